@@ -7,23 +7,21 @@ from pyspark.sql import functions as F
 KEY_NULL_TEXT = "_dbt_utils_surrogate_key_null_"
 
 
-# The characters Unicode calls white space.
-WHITE_SPACE = (
-    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
+# Outer characters to strip. The set is short on purpose: its length is paid
+# for every value.
+WHITE_SPACE = " \t\n\r\x0b\x0c\xa0"
 
 
 def clean_text(value: Column) -> Column:
-    """Strip every kind of outer whitespace; blank text is NULL."""
+    """Strip outer white space, not only blanks; empty text is NULL."""
     return F.nullif(F.btrim(value, F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def station_id_text(value: Column) -> Column:
-    """A trimmed station id without one trailing underscore; blank is NULL."""
-    trimmed = clean_text(value)
-    shortened = F.substring(trimmed, F.lit(1), F.length(trimmed) - 1)
-    return F.nullif(F.when(trimmed.endswith("_"), shortened).otherwise(trimmed), F.lit(""))
+    """A trimmed station id without one trailing underscore; empty text is NULL."""
+    trimmed = F.btrim(value, F.lit(WHITE_SPACE))
+    kept = F.length(trimmed) - trimmed.endswith("_").cast("int")
+    return F.nullif(F.substring(trimmed, F.lit(1), kept), F.lit(""))
 
 
 def elapsed(unit: str, later: Column, earlier: Column) -> Column:
@@ -69,4 +67,5 @@ def haversine_km(
     chord = F.sin(half_lat) * F.sin(half_lat) + F.cos(F.radians(lat1)) * F.cos(
         F.radians(lat2)
     ) * F.sin(half_lng) * F.sin(half_lng)
-    return F.lit(2 * radius_km) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    capped = F.when(chord > 1, 1.0).otherwise(chord)  # rounding may exceed 1 at antipodes
+    return F.lit(2 * radius_km) * F.asin(F.sqrt(capped))

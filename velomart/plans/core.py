@@ -140,9 +140,11 @@ def dim_date(
 
 
 def dim_rider_type(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(
-        list(RIDER_TYPES.items()), "member_casual string, description string"
-    )
+    types = [
+        F.struct(F.lit(name).alias("member_casual"), F.lit(text).alias("description"))
+        for name, text in RIDER_TYPES.items()
+    ]
+    rows = spark.range(0, 1, 1, 1).select(F.inline(F.array(*types)))
     return rows.select(
         surrogate_key(F.col("member_casual")).alias("rider_type_key"),
         "member_casual",
