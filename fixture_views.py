@@ -83,8 +83,22 @@ FROM {events}
 """
 
 
+# Declared, so that reading a table starts no inference job.
+BASE_SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _view(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:

@@ -10,10 +10,18 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-
-from velomart.operators.quality import gate_status, gate_trips
+from pyspark.sql import functions as F
+
+from velomart.operators.quality import (
+    gate_status,
+    gate_trips,
+    phantom_stations,
+    repeated_creates,
+    run_checks,
+)
 from velomart.params import Params
 from velomart.plans import core, intermediate, marts, staging
+from velomart.plans.checks import declared_checks
 from velomart.workspace import materialize
 
 
@@ -178,6 +186,32 @@ class Models:
     def station_volatility(self) -> DataFrame:
         return marts.station_volatility(self.stored_status_changes, self.params)
 
+    # --- checks ---
+
+    def assertions_report(self) -> DataFrame:
+        """Violations of all declared checks and of the three whole-table ones.
+
+        Every checked model is stored first, so its checks share one computation.
+        """
+        checks = declared_checks(self.params)
+        names = dict.fromkeys(c.model for c in checks)
+        tables = {name: materialize(getattr(self, name), f"checked_{name}") for name in names}
+        files = intermediate.dq_per_file(tables["trips_dq_summary"], self.params)
+        whole = {
+            ("dim_station", "no_phantom_station_ids"): phantom_stations(tables["dim_station"]),
+            ("trips_dq_summary", "rejected_pct_below_threshold"): files.where("is_violation"),
+            ("status_changes", "single_create"): repeated_creates(tables["status_changes"]),
+        }
+        report = run_checks(tables, checks)
+        for (model, name), violations in whole.items():
+            counted = violations.agg(F.count(F.lit(1)).alias("violations"))
+            report = report.unionByName(
+                counted.select(
+                    F.lit(model).alias("model"), F.lit(name).alias("check_name"), "violations"
+                )
+            )
+        return report
+
     # --- gates ---
 
     @cached_property

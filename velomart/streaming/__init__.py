@@ -1,0 +1 @@
+"""Structured Streaming jobs: ingestion, keep-last upsert, change detection."""

@@ -10,16 +10,31 @@ from pyspark.sql import functions as F
 
 import fixture_views as fx
 import oracles as o
-from velomart.operators import with_percent_rank, with_rank, with_row_number
-from velomart.operators import quality
-from velomart.operators.rules import reason_array, reason_text, status_rules, trip_rules
+from velomart.operators import quality, with_percent_rank, with_rank, with_row_number
+from velomart.operators.rules import (
+    is_valid,
+    reason_array,
+    reason_text,
+    status_rules,
+    trip_rules,
+)
 from velomart.params import Params
-from velomart.plans import core, intermediate, marts, profiling, reports, staging
+from velomart.plans import core, intermediate, marts, profiling, reports
+from velomart.plans.checks import declared_checks
 from velomart.plans.models import Models
-from velomart.workspace import materialize
+from velomart.schemas import STATION_STATUS
+from velomart.sources import lake
+from velomart.sources.station_feed import to_messages
+from velomart.streaming.changes import detect_changes
+from velomart.streaming.ingest import (
+    dlq_windows,
+    file_messages,
+    upsert_status_stream,
+    write_status_stream,
+)
+from velomart.workspace import materialize, scratch_path
 
 P = fx.PARAMS
-RIDER_KEYS = None
 
 
 @dataclass(frozen=True)
@@ -377,3 +392,503 @@ model(
     lambda m: m.trip_gate.unionByName(m.status_gate),
     o.sql(f"SELECT * FROM gate_trips UNION ALL {_STATUS_GATE}", "gate_trips", "status_counts"),
 )
+
+
+def _changes_in_two_runs(m: Models) -> DataFrame:
+    """First run up to a cut, second run seeded from the archive of the first, then merged."""
+    facts = m.stored_fct_station_status
+    middle = facts.agg(F.percentile_approx(F.unix_micros("snapshot_timestamp"), 0.5)).scalar()
+    cut = F.timestamp_micros(middle)
+    path = scratch_path(facts.sparkSession, "change_archive")
+    keys = ["gbfs_station_id", "valid_from"]
+    first = intermediate.status_changes(facts.where(F.col("snapshot_timestamp") <= cut))
+    lake.merge_into(first, path, keys, ["last_reported"], "snapshot_date")
+    archive = facts.sparkSession.read.parquet(path)
+    mark = F.lit(lake.high_water(archive, "snapshot_date", "valid_from"))
+    second = intermediate.status_changes(facts, intermediate.archive_seed(archive), mark)
+    lake.merge_into(second, path, keys, ["last_reported"], "snapshot_date")
+    stored = facts.sparkSession.read.parquet(path)
+    return stored.select(*intermediate.ARCHIVE_COLUMNS)
+
+
+model("status_changes_incremental", _changes_in_two_runs, o.relation("changes"))
+
+# --- metrics, watchdog, maintenance ---
+
+
+def _metrics(m: Models) -> DataFrame:
+    layers = {
+        "station_status": (m.stg_station_status, m.stg_station_status_rejected),
+        "trips": (m.stg_trips, m.stg_trips_rejected),
+    }
+    return quality.dq_metrics(layers, "run-1", P)
+
+
+_METRIC = (
+    f"SELECT CAST({o.AS_OF} AS DATE) AS run_date, '{{layer}}' AS layer, 'run-1' AS run_id, "
+    "v.n + r.n AS total_rows, v.n AS valid_rows, r.n AS rejected_rows, "
+    "CAST(0 AS BIGINT) AS duplicate_rows, "
+    f"{o.pct('r.n', '(v.n + r.n)', 4)} AS rejected_pct, {o.AS_OF} AS noted_at "
+    "FROM (SELECT count(*) AS n FROM {valid}) v, (SELECT count(*) AS n FROM {valid}_rejected) r"
+)
+_METRICS = " UNION ALL ".join(
+    _METRIC.format(layer=layer, valid=valid)
+    for layer, valid in (("station_status", "stg_station_status"), ("trips", "stg_trips"))
+)
+_METRIC_INPUTS = (
+    "stg_station_status", "stg_station_status_rejected", "stg_trips", "stg_trips_rejected",
+)
+model("dq_metrics", _metrics, o.sql(_METRICS, *_METRIC_INPUTS))
+model(
+    "quarantine_week",
+    lambda m: reports.quarantine_week(_metrics(m), P),
+    o.sql(
+        f"SELECT run_date, layer, total_rows, rejected_rows, {o.rnd('rejected_pct', 2)} AS "
+        f"rejected_pct FROM ({_METRICS}) m WHERE run_date >= CAST({o.AS_OF} AS DATE) - 7",
+        *_METRIC_INPUTS,
+    ),
+)
+model(
+    "reconcile_split",
+    lambda m: quality.reconcile_split(
+        m.raw_trips,
+        m.cleaned_trips.where(is_valid(trip_rules(P))),
+        m.stg_trips,
+        m.stg_trips_rejected,
+    ),
+    o.sql(
+        "SELECT raw.n AS raw_rows, kept.n AS valid_rows, valid.n - kept.n AS duplicate_rows, "
+        "bad.n AS rejected_rows, raw.n = valid.n + bad.n AS is_balanced "
+        "FROM (SELECT count(*) AS n FROM trips) raw, "
+        "(SELECT count(*) AS n FROM flagged_trips WHERE rejection_reason = '') valid, "
+        "(SELECT count(*) AS n FROM stg_trips) kept, "
+        "(SELECT count(*) AS n FROM stg_trips_rejected) bad",
+        "trips",
+        "flagged_trips",
+        "stg_trips",
+        "stg_trips_rejected",
+    ),
+)
+
+
+def _as_dlq(m: Models) -> DataFrame:
+    """Rejected status rows in the shape of the dead-letter table."""
+    return m.stg_station_status_rejected.select(
+        F.col("rejection_reason").alias("error_reason"), F.col("_ingested_at").alias("failed_at")
+    )
+
+
+_SINCE = f"{o.AS_OF} - INTERVAL '2' DAY"
+P_DLQ = Params(as_of=P.as_of, dlq_window_minutes=2 * 24 * 60, dlq_alert_rows=5)
+
+
+def _checks(m: Models) -> list[DataFrame]:
+    return [
+        quality.check_freshness(m.raw_status, P),
+        quality.check_dlq_growth(_as_dlq(m), P_DLQ),
+        quality.check_staging_rejection(m.stg_station_status, m.stg_station_status_rejected, P),
+    ]
+
+
+def _watchdog(m: Models) -> DataFrame:
+    freshness, dlq, rejection = _checks(m)
+    return freshness.unionByName(dlq).unionByName(rejection)
+
+
+_AGE = f"date_sub('second', max(snapshot_timestamp), {o.AS_OF})"
+_WATCHDOG = (
+    f"SELECT 'freshness' AS check_name, CASE WHEN {_AGE} > {P.freshness_minutes * 60} "
+    f"THEN 'STALE' ELSE 'OK' END AS status, {o.rnd(f'CAST({_AGE} AS DOUBLE) / 60', 1)} AS observed "
+    "FROM station_status UNION ALL "
+    f"SELECT 'dlq_growth', CASE WHEN count(*) > {P_DLQ.dlq_alert_rows} THEN 'SURGE' ELSE 'OK' END, "
+    f"CAST(count(*) AS DOUBLE) FROM stg_station_status_rejected WHERE _ingested_at >= {_SINCE} "
+    "UNION ALL SELECT 'staging_rejection', CASE WHEN rejected_pct > "
+    f"{P.quarantine_alert_pct} THEN 'SURGE' ELSE 'OK' END, rejected_pct FROM status_counts"
+)
+_WATCHDOG_INPUTS = ("station_status", "stg_station_status_rejected", "status_counts")
+model("watchdog_checks", _watchdog, o.sql(_WATCHDOG, *_WATCHDOG_INPUTS))
+model(
+    "watchdog_summary",
+    lambda m: quality.check_summary(_checks(m)),
+    o.sql(
+        "SELECT count(*) AS checks, count(*) FILTER (WHERE status NOT IN ('OK', 'SKIPPED')) AS "
+        "issues, string_agg(check_name || '=' || status, ',' ORDER BY check_name) AS statuses "
+        f"FROM ({_WATCHDOG}) w",
+        *_WATCHDOG_INPUTS,
+    ),
+)
+model(
+    "dlq_windows",
+    lambda m: dlq_windows(_as_dlq(m), P_DLQ, "1 day"),
+    o.sql(
+        "SELECT w AS window_start, w + INTERVAL '2' DAY AS window_end, count(*) AS rows_dlq, "
+        f"CASE WHEN count(*) > {P_DLQ.dlq_alert_rows} THEN 'SURGE' ELSE 'OK' END AS status FROM ("
+        "SELECT unnest([date_trunc('day', _ingested_at), date_trunc('day', _ingested_at) - "
+        "INTERVAL '1' DAY]) AS w FROM stg_station_status_rejected) x GROUP BY w",
+        "stg_station_status_rejected",
+    ),
+)
+
+
+def _reconcile(m: Models) -> DataFrame:
+    """Raw trips per day against the kept trips per day: the days that lost rows."""
+    return lake.reconcile(m.raw_trips, m.stg_trips, "_ride_started_date", "trip_date")
+
+
+model(
+    "reconcile_partitions",
+    _reconcile,
+    o.sql(
+        "SELECT coalesce(a.day, b.day) AS day, coalesce(a.n, 0) AS lake_rows, "
+        "coalesce(b.n, 0) AS table_rows "
+        "FROM (SELECT _ride_started_date AS day, count(*) AS n FROM trips GROUP BY 1) a "
+        "FULL OUTER JOIN (SELECT trip_date AS day, count(*) AS n FROM stg_trips GROUP BY 1) b "
+        "ON a.day = b.day WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)",
+        "trips",
+        "stg_trips",
+    ),
+)
+_KEEP = P.retention_days["station_status"]
+_CUTOFF = f"(CAST({o.AS_OF} AS DATE) - {_KEEP})"
+model(
+    "retention_report",
+    lambda m: lake.retention_report(m.raw_status, "station_status", "_snapshot_date", _KEEP, P),
+    o.sql(
+        f"SELECT 'station_status' AS table_name, CAST({_KEEP} AS BIGINT) AS keep_days, "
+        f"count(*) AS rows_before, count(*) FILTER (WHERE _snapshot_date >= {_CUTOFF}) AS rows_after, "
+        f"min(_snapshot_date) AS oldest_before, "
+        f"min(_snapshot_date) FILTER (WHERE _snapshot_date >= {_CUTOFF}) AS oldest_after "
+        "FROM station_status",
+        "station_status",
+    ),
+)
+model(
+    "retention_survivors",
+    lambda m: lake.survivors(m.raw_status, "_snapshot_date", _KEEP, P)
+    .groupBy("_snapshot_date")
+    .agg(F.count(F.lit(1)).alias("n")),
+    o.sql(
+        "SELECT _snapshot_date, count(*) AS n FROM station_status "
+        f"WHERE _snapshot_date >= {_CUTOFF} GROUP BY 1",
+        "station_status",
+    ),
+)
+
+
+def _partition_round_trip(m: Models) -> DataFrame:
+    """Lake write, idempotent load twice, then counts per loaded date."""
+    spark = m.raw_trips.sparkSession
+    folder, loaded = scratch_path(spark, "lake"), scratch_path(spark, "trips_table")
+    months = m.raw_trips.withColumn("_ride_started_date", F.trunc("_ride_started_date", "year"))
+    lake.write_daily_lake(months, folder)
+    for _ in range(2):
+        lake.load_trips(spark.read.parquet(folder), loaded)
+    return spark.read.parquet(loaded).groupBy("_ride_started_date").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("ride_id").alias("rides")
+    )
+
+
+model(
+    "partition_load",
+    _partition_round_trip,
+    o.sql(
+        "SELECT CAST(date_trunc('year', _ride_started_date) AS DATE) AS _ride_started_date, "
+        "count(*) AS n, count(DISTINCT ride_id) AS rides FROM trips GROUP BY 1",
+        "trips",
+    ),
+)
+
+# --- assertions ---
+_CHECK_RELATIONS = {
+    "station_id_mapping": "mapping",
+    "stations_deduplicated": "stations",
+    "trips_dq_summary": "dq_raw",
+    "station_id_bridge": "bridge",
+    "dim_station": "bridge",
+    "station_risk": "risk",
+    "demand_vs_supply": "demand",
+    "status_changes": "changes",
+    "status_windows": "windows",
+    "trip_summary_daily": "daily",
+    "station_popularity": "demand",
+    "usage_pattern_hourly": "hourly",
+    "member_vs_casual_behavior": "segments",
+    "station_availability_realtime": "availability",
+    "station_risk_monitoring": "work_list",
+    "station_supply_demand": "supply_demand",
+    "station_volatility": "volatility",
+}
+
+
+def _assertions_sql() -> str:
+    parts, needed = [], []
+    for check in declared_checks(P):
+        name = _CHECK_RELATIONS.get(check.model, check.model)
+        needed.append(name)
+        if check.bad:
+            body = f"SELECT count(*) FILTER (WHERE {check.bad}) FROM {name}"
+        elif check.unique:
+            keys = ", ".join(check.unique)
+            known = " AND ".join(f"{k} IS NOT NULL" for k in check.unique)
+            where = f"WHERE {known}" if check.skip_null else ""
+            body = (
+                f"SELECT count(*) FROM (SELECT 1 FROM {name} {where} "
+                f"GROUP BY {keys} HAVING count(*) > 1) g"
+            )
+        else:
+            child, parent, column = check.parent
+            other = _CHECK_RELATIONS.get(parent, parent)
+            needed.append(other)
+            body = (
+                f"SELECT count(*) FROM {name} WHERE {child} IS NOT NULL AND {child} NOT IN "
+                f"(SELECT {column} FROM {other} WHERE {column} IS NOT NULL)"
+            )
+        parts.append((check.model, check.name, body))
+    parts.append((
+        "dim_station", "no_phantom_station_ids",
+        "SELECT count(*) FROM (SELECT 1 FROM bridge WHERE station_name IS NOT NULL AND lat IS NOT "
+        "NULL AND lng IS NOT NULL GROUP BY station_name, round(lat, 6), round(lng, 6) "
+        "HAVING count(DISTINCT station_id) > 1) g",
+    ))
+    parts.append((
+        "trips_dq_summary", "rejected_pct_below_threshold",
+        "SELECT count(*) FROM (SELECT 1 FROM dq_raw GROUP BY _source_file HAVING "
+        f"sum(rejected_rows) * 100.0 / sum(row_count) > {P.quarantine_alert_pct}) g",
+    ))
+    parts.append((
+        "status_changes", "single_create",
+        "SELECT count(*) FROM (SELECT 1 FROM changes GROUP BY gbfs_station_id "
+        "HAVING count(*) FILTER (WHERE op = 'c') > 1) g",
+    ))
+    union = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{n}' AS check_name, ({body}) AS violations"
+        for m, n, body in parts
+    )
+    return o.sql(union, *dict.fromkeys(needed))
+
+
+model("assertions_report", lambda m: m.assertions_report(), _assertions_sql())
+model(
+    "phantom_stations",
+    lambda m: quality.phantom_stations(m.dim_station),
+    o.sql(
+        "SELECT station_name, round(lat, 6) AS lat, round(lng, 6) AS lng, "
+        "count(DISTINCT station_id) AS n_station_ids, "
+        "string_agg(DISTINCT station_id, ' | ' ORDER BY station_id) AS station_ids FROM bridge "
+        "WHERE station_name IS NOT NULL AND lat IS NOT NULL AND lng IS NOT NULL "
+        "GROUP BY 1, 2, 3 HAVING count(DISTINCT station_id) > 1",
+        "bridge",
+    ),
+)
+
+# --- profiling ---
+_SECONDS = "date_sub('second', started_at, ended_at)"
+_BOX = " AND ".join(
+    f"{s}_lat BETWEEN {P.lat_min} AND {P.lat_max} AND {s}_lng BETWEEN {P.lng_min} AND {P.lng_max}"
+    for s in ("start", "end")
+)
+_PLACED = " AND ".join(f"{s}_{c} IS NOT NULL" for s in ("start", "end") for c in ("lat", "lng"))
+
+
+def view(name: str, pick: Callable[[DataFrame], DataFrame], oracle: str) -> None:
+    """A query that reads the trips once, straight from the lazy view."""
+    register(name, lambda spark, sf_dir: pick(fx.raw_trips(spark, sf_dir)), oracle)
+
+
+view(
+    "profile_trips",
+    lambda t: profiling.trip_profile(t, P),
+    o.sql(
+        "SELECT count(*) AS total_rows, count(DISTINCT ride_id) AS distinct_rides, "
+        "min(started_at) AS first_started_at, max(ended_at) AS last_ended_at, "
+        f"min({_SECONDS}) AS min_seconds, {o.rnd(f'avg({_SECONDS})', 2)} AS avg_seconds, "
+        f"max({_SECONDS}) AS max_seconds, "
+        f"count(*) FILTER (WHERE {_SECONDS} < 0) AS negative_durations, "
+        f"count(*) FILTER (WHERE {_SECONDS} > {P.max_trip_duration_seconds}) AS extreme_durations, "
+        "count(*) FILTER (WHERE start_lat IS NULL OR start_lng IS NULL) AS start_without_place, "
+        "count(*) FILTER (WHERE end_lat IS NULL OR end_lng IS NULL) AS end_without_place, "
+        "count(*) FILTER (WHERE start_lat IS NULL AND end_lat IS NULL) AS both_without_lat, "
+        f"count(*) FILTER (WHERE {_PLACED} AND NOT ({_BOX})) AS outside_box, "
+        "count(*) - count(DISTINCT ride_id) AS duplicate_rows FROM trips",
+        "trips",
+    ),
+)
+view(
+    "profile_categories",
+    profiling.category_counts,
+    o.sql(
+        "SELECT 'rideable_type' AS column_name, rideable_type AS category, count(*) AS n "
+        "FROM trips GROUP BY 2 UNION ALL SELECT 'member_casual', member_casual, count(*) "
+        "FROM trips GROUP BY 2",
+        "trips",
+    ),
+)
+_SEEN = (
+    "WITH s AS (SELECT start_station_id AS station_id, start_station_name AS station_name FROM trips "
+    "UNION ALL SELECT end_station_id, end_station_name FROM trips), "
+    "k AS (SELECT * FROM s WHERE station_id <> ''), "
+    "i AS (SELECT station_id, count(*) AS row_count, count(DISTINCT station_name) AS name_count, "
+    f"CASE WHEN regexp_matches(station_id, '{profiling.NUMERIC_ID}') THEN 'numeric' "
+    "WHEN station_id LIKE '%$_' ESCAPE '$' THEN 'suffixed' ELSE 'other' END AS id_format "
+    "FROM k GROUP BY 1)"
+)
+view(
+    "profile_station_ids",
+    profiling.station_id_profile,
+    o.sql(
+        f"{_SEEN} SELECT *, name_count > 1 AS has_several_names, CASE WHEN station_id "
+        "LIKE '%$_' ESCAPE '$' THEN regexp_replace(station_id, '_$', '') IN (SELECT station_id "
+        "FROM i WHERE id_format = 'numeric') END AS base_exists FROM i",
+        "trips",
+    ),
+)
+view(
+    "profile_station_totals",
+    profiling.station_profile_totals,
+    o.sql(
+        f"{_SEEN} SELECT count(*) AS station_rows, count(DISTINCT station_id) AS distinct_ids, "
+        "count(DISTINCT station_name) AS distinct_names, "
+        "count(DISTINCT (station_id, station_name)) AS id_name_pairs, "
+        f"count(*) FILTER (WHERE NOT regexp_matches(station_id, '{profiling.NUMERIC_ID}')) AS odd_id_rows, "
+        "count(*) FILTER (WHERE station_name <> trim(station_name)) AS spaced_name_rows FROM k",
+        "trips",
+    ),
+)
+_DAYS = "SELECT CAST(started_at AS DATE) AS day, count(*) AS trips FROM trips GROUP BY 1"
+view("profile_daily", profiling.trips_per_day, o.sql(_DAYS, "trips"))
+view(
+    "profile_monthly",
+    profiling.trips_per_month,
+    o.sql(
+        "SELECT strftime(day, '%Y-%m') AS month, CAST(sum(trips) AS BIGINT) AS total_trips, "
+        f"count(*) AS day_count, {o.rnd('avg(trips)', 0)} AS mean_trips_per_day "
+        f"FROM ({_DAYS}) d GROUP BY 1",
+        "trips",
+    ),
+)
+view(
+    "profile_file_boundaries",
+    profiling.file_boundaries,
+    o.sql(
+        "SELECT _source_file, count(*) AS row_count, min(started_at) AS first_started_at, "
+        "max(started_at) AS last_started_at, min(ended_at) AS first_ended_at, "
+        "max(ended_at) AS last_ended_at FROM trips GROUP BY 1",
+        "trips",
+    ),
+)
+_UPTO, _BINS = 63_360_000, 60
+view(
+    "profile_duration_histogram",
+    lambda t: profiling.duration_histogram(t, _UPTO, _BINS),
+    o.sql(
+        f"SELECT CAST(least(floor({_SECONDS} / {_UPTO / _BINS}), {_BINS - 1}) AS BIGINT) AS bin, "
+        f"count(*) AS trips, CAST(least(floor({_SECONDS} / {_UPTO / _BINS}), {_BINS - 1}) AS DOUBLE) "
+        f"* {_UPTO / _BINS} AS from_seconds FROM trips "
+        f"WHERE {_SECONDS} BETWEEN 0 AND {_UPTO} GROUP BY 1, 3",
+        "trips",
+    ),
+)
+
+# --- ranking operators on a whole fact ---
+
+
+def _ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row number, rank and percent rank of every status row, without a global window."""
+    status = fx.raw_status(spark, sf_dir).select(
+        "station_id", "_ingested_at", F.coalesce("num_bikes_available", F.lit(-2)).alias("bikes")
+    )
+    order = [F.desc("bikes"), F.asc("station_id"), F.asc("_ingested_at")]
+    numbered = materialize(with_row_number(status, order, "position"), "numbered")
+    ranked = with_rank(numbered, "bikes", "bikes_rank")
+    return with_percent_rank(ranked, "bikes", "bikes_share")
+
+
+register(
+    "global_rank_distributed",
+    _ranks,
+    o.sql(
+        "SELECT station_id, _ingested_at, bikes, "
+        "row_number() OVER (ORDER BY bikes DESC, station_id, _ingested_at) AS position, "
+        "rank() OVER (ORDER BY bikes DESC) AS bikes_rank, "
+        "percent_rank() OVER (ORDER BY bikes) AS bikes_share FROM ("
+        "SELECT station_id, _ingested_at, coalesce(num_bikes_available, -2) AS bikes "
+        "FROM station_status) s",
+        "station_status",
+    ),
+)
+
+
+# --- streaming ---
+
+
+def _stream(m: Models) -> DataFrame:
+    """Status rows as messages, decoded by a stream, deduplicated, and change-detected."""
+    spark = m.raw_status.sparkSession
+    root = scratch_path(spark, "stream")
+    to_messages(m.stg_station_status).select("value").write.text(f"{root}/messages")
+    source = file_messages(spark, f"{root}/messages", 1_000)
+    now = F.lit(P.as_of).cast("timestamp")
+    write_status_stream(
+        source, f"{root}/status", f"{root}/dlq", f"{root}/checkpoint_status", now
+    ).awaitTermination()
+    landed = spark.readStream.schema(STATION_STATUS).parquet(f"{root}/status")
+    upsert_status_stream(
+        landed, f"{root}/latest", f"{root}/checkpoint_latest", P
+    ).awaitTermination()
+    status = spark.read.parquet(f"{root}/latest").drop("_reported_date")
+    facts = core.fct_station_status(
+        intermediate.station_risk(status, m.station_id_bridge, P)
+    )
+    return intermediate.status_changes(facts).select(
+        "gbfs_station_id", "valid_from", "op", "bikes_before", "bikes_after", "docks_before",
+        "docks_after", "is_renting", "risk_level",
+    )
+
+
+model(
+    "stream_dedup_cdc",
+    _stream,
+    o.sql(
+        "SELECT gbfs_station_id, valid_from, op, bikes_before, bikes_after, docks_before, "
+        "docks_after, is_renting, risk_level FROM changes",
+        "changes",
+    ),
+)
+
+
+def _stateful(m: Models) -> DataFrame:
+    """Keyed state over a stream of facts."""
+    facts = m.stored_fct_station_status
+    spark = facts.sparkSession
+    root = scratch_path(spark, "stateful")
+    narrow = facts.select("gbfs_station_id", "snapshot_timestamp", *intermediate.COMPARED)
+    narrow.write.parquet(f"{root}/facts")
+    stream = spark.readStream.schema(narrow.schema).parquet(f"{root}/facts")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/changes/_batch_id={batch_id}")
+
+    (
+        detect_changes(stream)
+        .writeStream.foreachBatch(keep)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{root}/changes").select(
+        "gbfs_station_id", "valid_from", "op", "bikes_before", "docks_before",
+        F.col("num_bikes_available").alias("bikes_after"),
+        F.col("num_docks_available").alias("docks_after"),
+    )
+
+
+model(
+    "stream_stateful_changes",
+    _stateful,
+    o.sql(
+        "SELECT gbfs_station_id, valid_from, op, bikes_before, docks_before, bikes_after, "
+        "docks_after FROM changes",
+        "changes",
+    ),
+)
