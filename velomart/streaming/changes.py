@@ -9,7 +9,7 @@ source options bound. The batch twin is ``plans.intermediate.status_changes``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -23,7 +23,6 @@ COMPARED = [
     "num_scooters_available", "is_installed", "is_renting", "is_returning", "is_disabled",
 ]
 _FIELDS = {c: T.BooleanType() if c.startswith("is_") else T.LongType() for c in COMPARED}
-# Arrow hands nullable longs to pandas as floats; counts are far below 2**53
 STATE = T.StructType(
     [T.StructField("seen_at", T.LongType())]
     + [T.StructField(c, t) for c, t in _FIELDS.items()]
@@ -40,50 +39,44 @@ OUTPUT = T.StructType(
 )
 
 
-def _plain(value: Any) -> Any:
-    return None if pd.isna(value) else value.item() if hasattr(value, "item") else value
+def _detector() -> Callable[..., Iterator[pd.DataFrame]]:
+    """The per-station function, as a closure: workers need pandas but not this package."""
+    compared = list(COMPARED)
+    kinds = {c: "boolean" if c.startswith("is_") else "Int64" for c in compared}
 
+    def plain(value: Any) -> Any:
+        return None if pd.isna(value) else value.item() if hasattr(value, "item") else value
 
-def _typed(frame: pd.DataFrame) -> pd.DataFrame:
-    kinds = {c: "boolean" if c.startswith("is_") else "Int64" for c in COMPARED}
-    return frame.astype(kinds)
+    def detect(
+        key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches), ignore_index=True).astype(kinds)
+        rows = rows.sort_values("seen_at", kind="stable")[["seen_at", *compared]]
+        known = state.exists
+        if known:
+            last = dict(zip(["seen_at", *compared], state.get, strict=True))
+            rows = rows[rows["seen_at"] > last["seen_at"]]
+            if rows.empty:
+                return
+            rows = pd.concat([pd.DataFrame([last]).astype(kinds), rows], ignore_index=True)
+        rows = rows.reset_index(drop=True)
+        now, before = rows[compared], rows[compared].shift(1)
+        equal = (now == before).fillna(False).astype(bool) | (now.isna() & before.isna())
+        changed = ~equal.all(axis=1)
+        changed.iloc[0] = not known  # a station's first row is a change, its seed is not
+        newest = rows.iloc[-1]
+        state.update((int(newest["seen_at"]), *[plain(newest[c]) for c in compared]))
+        result = now[changed].copy()
+        creates = (result.index == 0) & (not known)
+        result["gbfs_station_id"] = key[0]
+        result["valid_from"] = pd.to_datetime(rows["seen_at"][changed], unit="us", utc=True)
+        result["op"] = ["c" if create else "u" for create in creates]
+        result["bikes_before"] = before["num_bikes_available"][changed]
+        result["docks_before"] = before["num_docks_available"][changed]
+        yield result[columns]
 
-
-def _detect(
-    key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    rows = _typed(pd.concat(list(batches), ignore_index=True))
-    rows = rows.sort_values("seen_at", kind="stable")
-    known = state.exists
-    if known:
-        last = state.get
-        rows = rows[rows["seen_at"] > last[0]]
-        if rows.empty:
-            return
-        seed = _typed(pd.DataFrame([dict(zip(["seen_at", *COMPARED], last, strict=True))]))
-        rows = pd.concat([seed, rows[["seen_at", *COMPARED]]], ignore_index=True)
-    now = rows[COMPARED].reset_index(drop=True)
-    before = now.shift(1)
-    same = pd.Series(True, index=now.index)
-    for name in COMPARED:
-        equal = (now[name] == before[name]).fillna(False).astype(bool)
-        same &= equal | (now[name].isna() & before[name].isna())
-    first = pd.Series(False, index=now.index)
-    if known:
-        same.iloc[0] = True  # the seed is not a new row
-    else:
-        first.iloc[0] = True
-    changed = ~same | first
-    seen = rows["seen_at"].reset_index(drop=True)
-    final = now.iloc[-1]
-    state.update((int(seen.iloc[-1]), *[_plain(final[c]) for c in COMPARED]))
-    result = now[changed].copy()
-    result.insert(0, "docks_before", before["num_docks_available"][changed])
-    result.insert(0, "bikes_before", before["num_bikes_available"][changed])
-    result.insert(0, "op", ["c" if f else "u" for f in first[changed]])
-    result.insert(0, "valid_from", pd.to_datetime(seen[changed], unit="us", utc=True))
-    result.insert(0, "gbfs_station_id", key[0])
-    yield result
+    columns = OUTPUT.names
+    return detect
 
 
 def detect_changes(facts: DataFrame) -> DataFrame:
@@ -93,5 +86,5 @@ def detect_changes(facts: DataFrame) -> DataFrame:
         "gbfs_station_id", F.unix_micros("snapshot_timestamp").alias("seen_at"), *COMPARED
     )
     return narrow.groupBy("gbfs_station_id").applyInPandasWithState(
-        _detect, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+        _detector(), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
     )

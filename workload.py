@@ -736,9 +736,9 @@ view(
     "profile_station_ids",
     profiling.station_id_profile,
     o.sql(
-        f"{_SEEN} SELECT *, name_count > 1 AS has_several_names, CASE WHEN station_id "
+        f"SELECT * FROM ({_SEEN} SELECT *, name_count > 1 AS has_several_names, CASE WHEN station_id "
         "LIKE '%$_' ESCAPE '$' THEN regexp_replace(station_id, '_$', '') IN (SELECT station_id "
-        "FROM i WHERE id_format = 'numeric') END AS base_exists FROM i",
+        "FROM i WHERE id_format = 'numeric') END AS base_exists FROM i) p",
         "trips",
     ),
 )
@@ -746,11 +746,11 @@ view(
     "profile_station_totals",
     profiling.station_profile_totals,
     o.sql(
-        f"{_SEEN} SELECT count(*) AS station_rows, count(DISTINCT station_id) AS distinct_ids, "
+        f"SELECT * FROM ({_SEEN} SELECT count(*) AS station_rows, count(DISTINCT station_id) AS distinct_ids, "
         "count(DISTINCT station_name) AS distinct_names, "
         "count(DISTINCT (station_id, station_name)) AS id_name_pairs, "
         f"count(*) FILTER (WHERE NOT regexp_matches(station_id, '{profiling.NUMERIC_ID}')) AS odd_id_rows, "
-        "count(*) FILTER (WHERE station_name <> trim(station_name)) AS spaced_name_rows FROM k",
+        "count(*) FILTER (WHERE station_name <> trim(station_name)) AS spaced_name_rows FROM k) p",
         "trips",
     ),
 )
