@@ -120,8 +120,8 @@ def raw_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(_view(spark, sf_dir, STATION_INFORMATION_SQL, "events"), STATION_INFORMATION)
 
 
-def models(spark: SparkSession, sf_dir: str, params: Params = PARAMS) -> Models:
+def models(spark: SparkSession, sf_dir: str, store_trips: bool = False) -> Models:
     """The model graph over a stored raw trips table, which the mapping and staging both read."""
     trips = materialize(raw_trips(spark, sf_dir), "raw_trips")
     status, information = raw_status(spark, sf_dir), raw_information(spark, sf_dir)
-    return Models(trips, status, information, params)
+    return Models(trips, status, information, PARAMS, store_trips)

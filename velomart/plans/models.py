@@ -26,13 +26,22 @@ from velomart.workspace import materialize
 
 
 class Models:
+    """``store_trips`` writes the trip fact before its first use, which pays off as soon as
+    two models of the graph read the trips: the deduplication shuffle then runs once."""
+
     def __init__(
-        self, trips: DataFrame, status: DataFrame, information: DataFrame, params: Params
+        self,
+        trips: DataFrame,
+        status: DataFrame,
+        information: DataFrame,
+        params: Params,
+        store_trips: bool = False,
     ) -> None:
         self.raw_trips = trips
         self.raw_status = status
         self.raw_information = information
         self.params = params
+        self.store_trips = store_trips
 
     # --- staging ---
 
@@ -68,7 +77,8 @@ class Models:
 
     @cached_property
     def stations_deduplicated(self) -> DataFrame:
-        return intermediate.stations_deduplicated(self.stg_trips)
+        trips = self.fct_trips if self.store_trips else self.stg_trips
+        return intermediate.stations_deduplicated(trips)
 
     @cached_property
     def station_id_bridge(self) -> DataFrame:
@@ -87,11 +97,8 @@ class Models:
 
     @cached_property
     def fct_trips(self) -> DataFrame:
-        return core.fct_trips(self.stg_trips, self.params)
-
-    @cached_property
-    def stored_fct_trips(self) -> DataFrame:
-        return materialize(self.fct_trips, "fct_trips")
+        trips = core.fct_trips(self.stg_trips, self.params)
+        return materialize(trips, "fct_trips") if self.store_trips else trips
 
     @cached_property
     def fct_station_status(self) -> DataFrame:
@@ -103,7 +110,8 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return core.dim_date(self.stg_trips, self.stg_station_status, self.params)
+        trips = self.fct_trips if self.store_trips else self.stg_trips
+        return core.dim_date(trips, self.stg_station_status, self.params)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -216,7 +224,8 @@ class Models:
 
     @cached_property
     def trip_gate(self) -> DataFrame:
-        return gate_trips(self.stg_trips, self.stg_trips_rejected, self.params)
+        valid = self.fct_trips if self.store_trips else self.stg_trips
+        return gate_trips(valid, self.stg_trips_rejected, self.params)
 
     @cached_property
     def status_gate(self) -> DataFrame:
