@@ -79,7 +79,7 @@ def test_refresh_equals_full_build_and_is_repeatable(spark, cut):
     lake.merge_into(first, path, keys, ["last_reported"], "snapshot_date")
     for _ in range(2):
         archive = spark.read.parquet(path)
-        newest = F.lit(lake.high_water(archive, "snapshot_date", "valid_from"))
+        newest = F.lit(lake.high_water(spark, path, "snapshot_date", "valid_from"))
         seed = intermediate.archive_seed(archive)
         lake.merge_into(
             intermediate.status_changes(all_facts, seed, newest), path, keys, ["last_reported"],

@@ -7,6 +7,7 @@ that reads one mart never computes the columns it does not use.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -27,7 +28,9 @@ from velomart.workspace import materialize
 
 class Models:
     """``store_trips`` writes the trip fact before its first use, which pays off as soon as
-    two models of the graph read the trips: the deduplication shuffle then runs once."""
+    two models of the graph read the trips: the deduplication shuffle then runs once.
+    ``store(df, name)`` writes a table and returns it as stored. A model that is stored
+    already can be assigned to its attribute before the first use."""
 
     def __init__(
         self,
@@ -36,18 +39,20 @@ class Models:
         information: DataFrame,
         params: Params,
         store_trips: bool = False,
+        store: Callable[[DataFrame, str], DataFrame] = materialize,
     ) -> None:
         self.raw_trips = trips
         self.raw_status = status
         self.raw_information = information
         self.params = params
         self.store_trips = store_trips
+        self.store = store
 
     # --- staging ---
 
     @cached_property
     def station_id_mapping(self) -> DataFrame:
-        return materialize(staging.station_id_mapping(self.raw_trips), "station_id_mapping")
+        return self.store(staging.station_id_mapping(self.raw_trips), "station_id_mapping")
 
     @cached_property
     def cleaned_trips(self) -> DataFrame:
@@ -83,7 +88,7 @@ class Models:
     @cached_property
     def station_id_bridge(self) -> DataFrame:
         bridge = intermediate.station_id_bridge(self.stations_deduplicated, self.raw_information)
-        return materialize(bridge, "station_id_bridge")
+        return self.store(bridge, "station_id_bridge")
 
     @property
     def dim_station(self) -> DataFrame:
@@ -98,7 +103,7 @@ class Models:
     @cached_property
     def fct_trips(self) -> DataFrame:
         trips = core.fct_trips(self.stg_trips, self.params)
-        return materialize(trips, "fct_trips") if self.store_trips else trips
+        return self.store(trips, "fct_trips") if self.store_trips else trips
 
     @cached_property
     def fct_station_status(self) -> DataFrame:
@@ -106,7 +111,7 @@ class Models:
 
     @cached_property
     def stored_fct_station_status(self) -> DataFrame:
-        return materialize(self.fct_station_status, "fct_station_status")
+        return self.store(self.fct_station_status, "fct_station_status")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -142,7 +147,7 @@ class Models:
 
     @cached_property
     def stored_status_changes(self) -> DataFrame:
-        return materialize(self.status_changes, "status_changes")
+        return self.store(self.status_changes, "status_changes")
 
     @cached_property
     def status_windows(self) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,15 +42,46 @@ def write_partitions(
 
 
 def write_daily_lake(trips: DataFrame, path: str) -> None:
-    """Raw trips as ``dt=YYYY-MM-DD`` folders; row counts live in the Parquet footers."""
-    write_partitions(trips.withColumn("dt", F.col("_ride_started_date")), path, "dt")
+    """Raw trips as ``dt=YYYY-MM-DD/_source_file=…`` folders.
+
+    A rerun of a file replaces exactly what that file contributed; other files of the same
+    date stay. Row counts live in the Parquet footers.
+    """
+    (
+        clustered(trips.withColumn("dt", F.col("_ride_started_date")), "dt", ["_source_file"])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "_source_file")
+        .parquet(path)
+    )
 
 
 def partition_dates(spark: SparkSession, path: str, partition: str = "dt") -> list[dt.date]:
-    """Dates of the stored partitions, ascending; folders that are no dates are skipped."""
-    day = F.col(partition).try_cast("string").try_cast("date")
-    found = spark.read.parquet(path).select(day.alias("day")).distinct().dropna()
-    return sorted(row.day for row in found.collect())
+    """Dates of the stored partitions, ascending, from the folder names alone.
+
+    Folders whose name is no date are skipped.
+    """
+    pattern = _hadoop_path(spark, f"{path}/{partition}=*")
+    names = [
+        s.getPath().getName().split("=", 1)[1]
+        for s in _file_system(spark, pattern).globStatus(pattern) or []
+    ]
+    return sorted(day for day in map(_date_or_none, names) if day is not None)
+
+
+def _date_or_none(text: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+def _hadoop_path(spark: SparkSession, path: str) -> Any:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: Any) -> Any:
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def load_trips(lake: DataFrame, path: str) -> None:
@@ -126,10 +158,13 @@ def merge_into(
     write_partitions(merged, path, partition, list(keys))
 
 
-def high_water(path_table: DataFrame, partition: str, column: str) -> dt.datetime | None:
+def high_water(spark: SparkSession, path: str, partition: str, column: str) -> dt.datetime | None:
     """Newest value of ``column``, read from the newest date partition only."""
-    newest = path_table.select(F.max(partition)).scalar()
-    return path_table.where(F.col(partition) == newest).agg(F.max(column)).first()[0]
+    days = partition_dates(spark, path, partition)
+    if not days:
+        return None
+    newest = spark.read.parquet(path).where(F.col(partition) == F.lit(days[-1]))
+    return newest.agg(F.max(column)).first()[0]
 
 
 # --- retention ------------------------------------------------------------------------
@@ -157,14 +192,20 @@ def drop_expired_partitions(
     """Delete the folders of expired dates; no surviving file is read or rewritten."""
     cutoff = p.as_of.date() - dt.timedelta(days=keep_days)
     expired = [d for d in partition_dates(spark, path, partition) if d < cutoff]
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
     for day in expired:
-        folder = hadoop.Path(f"{path}/{partition}={day.isoformat()}")
-        folder.getFileSystem(configuration).delete(folder, True)
+        folder = _hadoop_path(spark, f"{path}/{partition}={day.isoformat()}")
+        _file_system(spark, folder).delete(folder, True)
     return expired
 
 
+def apply_lake_lifecycle(spark: SparkSession, root: str, p: Params) -> dict[str, list[dt.date]]:
+    """Expire the ``dt`` folders of every lake prefix by its own age limit."""
+    return {
+        prefix: drop_expired_partitions(spark, f"{root}/{prefix}", "dt", days, p)
+        for prefix, days in p.lake_retention_days.items()
+    }
+
+
 def newest_write(spark: SparkSession, path: str) -> DataFrame:
     """One row: modification time of the newest file below ``path`` (``newest``)."""
     files = (

@@ -48,3 +48,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sizing(input_bytes: int, partition_bytes: int = 192 * 2**20) -> dict[str, str]:
+    """Settings for an input of a known size: shuffle partitions that fit a task's memory.
+
+    Adaptive execution merges partitions that turn out small, so the count errs upwards.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 2**20),
+    }

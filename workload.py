@@ -413,7 +413,7 @@ def _changes_in_two_runs(m: Models) -> DataFrame:
     first = intermediate.status_changes(facts.where(F.col("snapshot_timestamp") <= cut))
     lake.merge_into(first, path, keys, ["last_reported"], "snapshot_date")
     archive = facts.sparkSession.read.parquet(path)
-    mark = F.lit(lake.high_water(archive, "snapshot_date", "valid_from"))
+    mark = F.lit(lake.high_water(facts.sparkSession, path, "snapshot_date", "valid_from"))
     second = intermediate.status_changes(facts, intermediate.archive_seed(archive), mark)
     lake.merge_into(second, path, keys, ["last_reported"], "snapshot_date")
     stored = facts.sparkSession.read.parquet(path)
