@@ -29,6 +29,14 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union as a balanced tree; a chain would be analysed again with every link."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).unionByName(union_all(frames[middle:]))
+
+
 def gate_trips(valid: DataFrame, rejected: DataFrame, p: Params) -> DataFrame:
     """Rejected share per source file; a file without one valid row counts as 100 %.
 
@@ -167,7 +175,7 @@ def check_staging_rejection(valid: DataFrame, rejected: DataFrame, p: Params) ->
 
 def check_summary(checks: Sequence[DataFrame]) -> DataFrame:
     """Number of checks and of issues, and every verdict."""
-    rows = reduce(DataFrame.unionByName, checks)
+    rows = union_all(list(checks))
     issue = ~F.col("status").isin("OK", "SKIPPED")
     pairs = F.transform(
         F.array_sort(F.collect_list(F.struct("check_name", "status"))),
@@ -221,56 +229,97 @@ def relationship(model: str, column: str, parent: str, parent_column: str) -> Ch
     return Check(model, f"relationship_{column}", parent=(column, parent, parent_column))
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """(model, check_name, violations) for every check.
+def _row_checks(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All row conditions of one model from one scan and one aggregate."""
+    counted = table.agg(
+        *[F.count_if(F.expr(c.bad)).alias(f"v{i}") for i, c in enumerate(checks)]
+    )
+    rows = [
+        F.struct(
+            F.lit(c.model).alias("model"),
+            F.lit(c.name).alias("check_name"),
+            F.col(f"v{i}").alias("violations"),
+        )
+        for i, c in enumerate(checks)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def _entry(number: int, columns: Sequence[str], seen: int, known: bool) -> Column:
+    """(check, key, times seen, key is known to the parent); NULL key where a check skips."""
+    return F.struct(
+        F.lit(number).alias("check"),
+        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("key"),
+        F.lit(seen).cast("long").alias("seen"),
+        F.lit(known).alias("known"),
+    )
 
-    All row conditions of a model share one scan and one aggregate. Uniqueness counts keys
-    seen more than once; relationships are anti joins of distinct keys.
-    """
-    results: list[DataFrame] = []
 
-    def report(df: DataFrame, check: Check) -> DataFrame:
-        return df.agg(_rows().alias("violations")).select(
-            F.lit(check.model).alias("model"), F.lit(check.name).alias("check_name"), "violations"
-        )
+def _key_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Uniqueness and relationships of all models from one grouping of their keys.
 
-    for model in dict.fromkeys(c.model for c in checks):
-        table = tables[model]
-        own = [c for c in checks if c.model == model]
-        conditions = [c for c in own if c.bad is not None]
-        if conditions:
-            counted = table.agg(
-                *[F.count_if(F.expr(c.bad)).alias(f"v{i}") for i, c in enumerate(conditions)]
-            )
-            pairs = [
-                F.struct(F.lit(c.name).alias("check_name"), F.col(f"v{i}").alias("violations"))
-                for i, c in enumerate(conditions)
-            ]
-            results.append(
-                counted.select(F.inline(F.array(*pairs))).select(
-                    F.lit(model).alias("model"), "check_name", "violations"
-                )
-            )
-        for check in own:
-            if check.unique:
-                rows = table.dropna(subset=list(check.unique)) if check.skip_null else table
-                repeated = rows.groupBy(*check.unique).agg(_rows().alias("_n")).where("_n > 1")
-                results.append(report(repeated, check))
-            elif check.parent:
-                column, parent, parent_column = check.parent
-                keys = table.select(F.col(column).alias("_key")).dropna()
-                known = tables[parent].select(F.col(parent_column).alias("_key")).distinct()
-                orphans = keys.groupBy("_key").agg(_rows().alias("_n")).join(
-                    known, "_key", "left_anti"
-                )
-                results.append(
-                    orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
-                        F.lit(model).alias("model"),
-                        F.lit(check.name).alias("check_name"),
-                        "violations",
-                    )
+    Keys are counted map-side per check, so a frequent key is one row per map task. A key
+    seen more than once breaks uniqueness; a key no parent row knows is an orphan, counted
+    with all its rows.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    entries: dict[str, list[Column]] = {}
+    for number, check in enumerate(checks):
+        if check.parent:
+            column, parent, parent_column = check.parent
+            child = _entry(number, [F.col(column).alias("k")], 1, False)
+            entries.setdefault(check.model, []).append(F.when(F.col(column).isNotNull(), child))
+            entry = _entry(number, [F.col(parent_column).alias("k")], 0, True)
+            entries.setdefault(parent, []).append(entry)
+        else:
+            entry = _entry(number, check.unique, 1, False)
+            if check.skip_null:
+                present = reduce(
+                    lambda a, b: a & b, [F.col(c).isNotNull() for c in check.unique]
                 )
-    return reduce(DataFrame.unionByName, results)
+                entry = F.when(present, entry)
+            entries.setdefault(check.model, []).append(entry)
+    # one entry per check without a key, so that a check of an empty table still reports 0
+    none = F.lit(None).cast("string").alias("key")
+    seeds = [
+        F.struct(F.lit(i).alias("check"), none, F.lit(0).cast("long").alias("seen"),
+                 F.lit(False).alias("known"))
+        for i in range(len(checks))
+    ]
+    keyed = [spark.range(0, 1, 1, 1).select(F.inline(F.array(*seeds)))]
+    for model, columns in entries.items():
+        keyed.append(tables[model].select(F.inline(F.array_compact(F.array(*columns)))))
+    per_key = (
+        union_all(keyed)
+        .groupBy("check", "key")
+        .agg(F.sum("seen").alias("seen"), F.max("known").alias("known"))
+    )
+    is_relationship = F.col("check").isin([i for i, c in enumerate(checks) if c.parent])
+    violations = F.when(
+        is_relationship, F.when(~F.col("known"), F.col("seen")).otherwise(0)
+    ).otherwise((F.col("seen") > 1).cast("long"))
+    names = F.array(
+        *[F.struct(F.lit(c.model).alias("m"), F.lit(c.name).alias("n")) for c in checks]
+    )
+    name = F.element_at(names, F.col("check") + 1)
+    return (
+        per_key.groupBy("check")
+        .agg(F.sum(violations).alias("violations"))
+        .select(name["m"].alias("model"), name["n"].alias("check_name"), "violations")
+    )
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """(model, check_name, violations) for every check."""
+    rows = [c for c in checks if c.bad is not None]
+    keys = [c for c in checks if c.bad is None]
+    results = [
+        _row_checks(tables[model], [c for c in rows if c.model == model])
+        for model in dict.fromkeys(c.model for c in rows)
+    ]
+    if keys:
+        results.append(_key_checks(tables, keys))
+    return union_all(results)
 
 
 def phantom_stations(stations: DataFrame) -> DataFrame:

@@ -26,6 +26,12 @@ from velomart.plans.checks import declared_checks
 from velomart.workspace import materialize
 
 
+CHECKED_OFTEN = (
+    "stg_trips", "stg_station_status", "stations_deduplicated", "dim_date", "trips_dq_summary",
+    "trip_summary_daily", "demand_vs_supply",
+)
+
+
 class Models:
     """``store_trips`` writes the trip fact before its first use, which pays off as soon as
     two models of the graph read the trips: the deduplication shuffle then runs once.
@@ -204,11 +210,15 @@ class Models:
     def assertions_report(self) -> DataFrame:
         """Violations of all declared checks and of the three whole-table ones.
 
-        Every checked model is stored first, so its checks share one computation.
+        Models that several checks would compute again are stored first and replace their
+        lazy form in this graph.
         """
+        for name in CHECKED_OFTEN:
+            setattr(self, name, materialize(getattr(self, name), f"checked_{name}"))
+        self.status_changes = self.stored_status_changes
+        self.fct_station_status = self.stored_fct_station_status
         checks = declared_checks(self.params)
-        names = dict.fromkeys(c.model for c in checks)
-        tables = {name: materialize(getattr(self, name), f"checked_{name}") for name in names}
+        tables = {name: getattr(self, name) for name in dict.fromkeys(c.model for c in checks)}
         files = intermediate.dq_per_file(tables["trips_dq_summary"], self.params)
         whole = {
             ("dim_station", "no_phantom_station_ids"): phantom_stations(tables["dim_station"]),
