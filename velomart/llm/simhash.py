@@ -110,7 +110,8 @@ def close_pairs(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray
     padded = np.zeros(words * 64, np.uint64)
     padded[:n] = prints
     bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    planes = np.packbits(bits.T, axis=1, bitorder="little").view(np.uint64)  # 64 x words
+    packed = np.packbits(bits.T, axis=1, bitorder="little")
+    planes = np.ascontiguousarray(packed).view(np.uint64)  # 64 x words
     later = np.zeros((n, words * 64), np.uint8)
     later[:, :n] = np.triu(np.ones((n, n), np.uint8), 1)
     dead = ~np.packbits(later, axis=1, bitorder="little").view(np.uint64)
