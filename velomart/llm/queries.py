@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velomart.llm import simhash
+from velomart.llm import simhash, token_counts
 
 SHINGLE_WORDS, MAX_BITS = 3, 2
+TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,7 +22,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        _read(spark, sf_dir, "documents"), tokenizer=TOKENIZER, limit=TOKEN_LIMIT
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
+    "op8_token_counts": op8_token_counts,
 }
 ORACLES: dict[str, str] = {}
