@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from velomart.llm import simhash, token_counts
+from velomart.llm import line_dedup, simhash, token_counts
 
+MIN_RUN_WORDS = 50
 SHINGLE_WORDS, MAX_BITS = 3, 2
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
@@ -16,6 +18,21 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, lines removed, the removed spans as text, SHA-256 of what stays."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("deleted_spans")
+    removed = F.aggregate(spans, F.lit(0), lambda n, s: n + s["hi"] - s["lo"])
+    shown = F.transform(spans, lambda s: F.concat(s["lo"].cast("string"), F.lit("-"), (s["hi"] - 1).cast("string")))
+    return line_dedup.dedup_lines(docs, min_words=MIN_RUN_WORDS).select(
+        "doc_id",
+        F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+        removed.cast("long").alias("n_removed"),
+        F.array_join(shown, ",").alias("removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(
         _read(spark, sf_dir, "documents"), shingle_words=SHINGLE_WORDS, radius=MAX_BITS
@@ -29,6 +46,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_simhash": op4_simhash,
     "op8_token_counts": op8_token_counts,
 }
