@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.llm import line_dedup, simhash, token_counts
+from velomart.llm import decontaminate, line_dedup, mixing, simhash, sql, token_counts
 
 MIN_RUN_WORDS = 50
+EDIT_SIMILARITY, RECALL = 0.8, 0.99
 SHINGLE_WORDS, MAX_BITS = 3, 2
+WEIGHTS, BUDGET, MOST_COPIES = (3, 1, 2), 1.5, 2
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
 
@@ -33,12 +35,28 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        _read(spark, sf_dir, "documents"),
+        _read(spark, sf_dir, "benchmark"),
+        similarity=EDIT_SIMILARITY,
+        recall=RECALL,
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(
         _read(spark, sf_dir, "documents"), shingle_words=SHINGLE_WORDS, radius=MAX_BITS
     )
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(
+        _read(spark, sf_dir, "documents"), weights=WEIGHTS, budget=BUDGET, most=MOST_COPIES
+    )
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         _read(spark, sf_dir, "documents"), tokenizer=TOKENIZER, limit=TOKEN_LIMIT
@@ -47,7 +65,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op4_simhash": op4_simhash,
+    "op7_mix": op7_mix,
     "op8_token_counts": op8_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_mix": sql.MIX,
+}
