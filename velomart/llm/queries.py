@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.llm import decontaminate, line_dedup, mixing, simhash, sql, token_counts
+from velomart.llm import decontaminate, line_dedup, mixing, quality, simhash, sql, token_counts
 
 MIN_RUN_WORDS = 50
 EDIT_SIMILARITY, RECALL = 0.8, 0.99
@@ -63,12 +63,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op4_simhash": op4_simhash,
     "op7_mix": op7_mix,
     "op8_token_counts": op8_token_counts,
+    "op9_quality": op9_quality,
 }
 ORACLES: dict[str, str] = {
     "op7_mix": sql.MIX,
