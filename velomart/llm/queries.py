@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.llm import decontaminate, line_dedup, mixing, quality, simhash, sql, token_counts
+from velomart.llm import decontaminate, line_dedup, mixing, quality, simhash, sql, token_counts, url_filter
 
 MIN_RUN_WORDS = 50
 EDIT_SIMILARITY, RECALL = 0.8, 0.99
 SHINGLE_WORDS, MAX_BITS = 3, 2
+URL_ORDER = 4
 WEIGHTS, BUDGET, MOST_COPIES = (3, 1, 2), 1.5, 2
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
@@ -50,6 +51,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_read(spark, sf_dir, "pages"), rules=url_filter.RULES, order=URL_ORDER)
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(
         _read(spark, sf_dir, "documents"), weights=WEIGHTS, budget=BUDGET, most=MOST_COPIES
@@ -71,10 +76,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op4_simhash": op4_simhash,
+    "op5_url_filter": op5_url_filter,
     "op7_mix": op7_mix,
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
 }
 ORACLES: dict[str, str] = {
+    "op5_url_filter": sql.URL_FILTER,
     "op7_mix": sql.MIX,
 }

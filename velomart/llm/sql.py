@@ -32,3 +32,79 @@ SELECT p.doc_id, p.size, t.source_size, t.target,
          floor(u + (place + 1) * (target / source_size)) - floor(u + place * (target / source_size))) END::BIGINT AS taken
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
+
+URL_FILTER = r"""
+WITH RECURSIVE r AS (
+  SELECT page_id, coalesce(url, '') AS url FROM pages),
+u0 AS (
+  SELECT url, count(*)::BIGINT AS rows,
+         translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM r GROUP BY url),
+rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+f AS (
+  SELECT url, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS ruled
+  FROM u0 JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY url),
+bits AS (
+  SELECT range AS b FROM range(8)),
+crc AS (  -- CRC-32 of each byte value
+  SELECT range::BIGINT AS byte, list_reduce([range::BIGINT] || range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256)),
+tab AS (SELECT list(v ORDER BY byte) AS t FROM crc),
+u AS (
+  SELECT u0.*, f.rule, f.ruled,
+         f.ruled IS NOT NULL AND xor(list_reduce([4294967295::BIGINT] ||
+           list_transform(string_split(regexp_replace(hex(encode(url)), '(..)', '\1,', 'g'), ',')[:-2],
+                          lambda x: ('0x' || x)::BIGINT),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 5 = 0 AS held
+  FROM u0 LEFT JOIN f USING (url) CROSS JOIN tab),
+w AS (
+  SELECT url, rows, ruled, held,
+         unnest([substr(repeat(chr(2), 4) || url, e, 5) FOR e IN range(1, length(url) + 1)]) AS win
+  FROM u),
+c AS (
+  SELECT win, coalesce(sum(rows) FILTER (WHERE ruled = 'allow' AND NOT held), 0)::BIGINT AS a,
+         coalesce(sum(rows) FILTER (WHERE ruled = 'block' AND NOT held), 0)::BIGINT AS b
+  FROM w GROUP BY win),
+g AS (
+  SELECT k, right(win, (k + 1)::INT) AS gram, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b
+  FROM c, range(5) AS x(k) GROUP BY ALL),
+m AS (
+  SELECT k, gram, a, b, sum(a) OVER ctx AS na, sum(b) OVER ctx AS nb,
+         count(*) FILTER (WHERE a > 0) OVER ctx AS ta, count(*) FILTER (WHERE b > 0) OVER ctx AS tb
+  FROM g WINDOW ctx AS (PARTITION BY k, left(gram, k::INT))),
+p AS (
+  SELECT k, gram,
+         CASE WHEN na + ta > 0 THEN (a + ta * (1.0::DOUBLE / 65536)) / (na + ta)::DOUBLE ELSE 1.0::DOUBLE / 65536 END AS pa,
+         CASE WHEN nb + tb > 0 THEN (b + tb * (1.0::DOUBLE / 65536)) / (nb + tb)::DOUBLE ELSE 1.0::DOUBLE / 65536 END AS pb
+  FROM m WHERE k = 0
+  UNION ALL
+  SELECT m.k, m.gram,
+         CASE WHEN na + ta > 0 THEN (a + ta * pa) / (na + ta)::DOUBLE ELSE pa END,
+         CASE WHEN nb + tb > 0 THEN (b + tb * pb) / (nb + tb)::DOUBLE ELSE pb END
+  FROM m JOIN p ON m.k = p.k + 1 AND right(m.gram, p.k::INT + 1) = p.gram),
+s AS (
+  SELECT url, (sum(round((ln(pa) - ln(pb)) * 1e9)::BIGINT)::DOUBLE / count(*)) / 1e9 AS score
+  FROM w JOIN p ON p.k = 4 AND p.gram = w.win GROUP BY url),
+sc AS (SELECT u.*, coalesce(score, 0.0) AS score FROM u LEFT JOIN s USING (url)),
+h AS (
+  SELECT floor(least(greatest(score, -5.0::DOUBLE), 5.0::DOUBLE) / 0.005::DOUBLE)::BIGINT AS slot,
+         sum(CASE WHEN ruled = 'allow' THEN rows ELSE 0 END) AS a,
+         sum(CASE WHEN ruled = 'block' THEN rows ELSE 0 END) AS b
+  FROM sc WHERE held GROUP BY slot),
+e AS (
+  SELECT slot, coalesce(sum(a) OVER lower_slots, 0)::DOUBLE / nullif(sum(a) OVER (), 0)
+             + (sum(b) OVER () - coalesce(sum(b) OVER lower_slots, 0))::DOUBLE / nullif(sum(b) OVER (), 0) AS err
+  FROM h WINDOW lower_slots AS (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT coalesce((SELECT slot FROM e WHERE err IS NOT NULL ORDER BY err, abs(slot), slot LIMIT 1), 0)
+         * 0.005::DOUBLE AS cut)
+SELECT r.page_id, sc.host, sc.path, sc.rule,
+       coalesce(sc.ruled, CASE WHEN sc.score >= t.cut THEN 'allow' ELSE 'block' END) AS verdict,
+       round(sc.score, 9) AS score
+FROM r JOIN sc USING (url), t
+"""
