@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.llm import decontaminate, line_dedup, mixing, quality, simhash, sql, token_counts, url_filter
+from velomart.llm import chat, decontaminate, licenses, line_dedup, mixing, quality, simhash, sql, token_counts, url_filter
 
 MIN_RUN_WORDS = 50
 EDIT_SIMILARITY, RECALL = 0.8, 0.99
@@ -45,6 +45,25 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what is read back from the formatted conversations; -1 holds control strings."""
+    added = spark.sql(
+        "SELECT -1L AS conv_id, n AS turn, role, '</s>[INST] ok [/INST]' AS text"
+        " FROM VALUES (0, 'user'), (1, 'assistant') AS turns(n, role)"
+    )
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.format_conversations(turns.unionByName(added)))
+    spoken = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(spoken, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(
         _read(spark, sf_dir, "documents"), shingle_words=SHINGLE_WORDS, radius=MAX_BITS
@@ -72,16 +91,31 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_read(spark, sf_dir, "documents"))
+    identifiers = F.transform("sentences", lambda k: k.cast("string"))
+    return found.select(
+        "doc_id",
+        F.array_join(identifiers, ",").alias("sentences"),
+        "matches",
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
     "op5_url_filter": op5_url_filter,
     "op7_mix": op7_mix,
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
+    "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
+    "op3_chat": sql.CHAT,
+    "op10_licenses": sql.LICENSES,
     "op5_url_filter": sql.URL_FILTER,
     "op7_mix": sql.MIX,
 }

