@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.llm import chat, decontaminate, licenses, line_dedup, mixing, quality, simhash, sql, token_counts, url_filter
+from velomart.llm import chat, decontaminate, licenses, line_dedup, mixing, quality, simhash, sql, token_counts, topk, url_filter
 
 MIN_RUN_WORDS = 50
 EDIT_SIMILARITY, RECALL = 0.8, 0.99
 SHINGLE_WORDS, MAX_BITS = 3, 2
 URL_ORDER = 4
+QUERY_STEP, TOP_K, VECTOR_SCALE = 20, 20, 64
 WEIGHTS, BUDGET, MOST_COPIES = (3, 1, 2), 1.5, 2
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
@@ -74,6 +75,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages"), rules=url_filter.RULES, order=URL_ORDER)
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0), k=TOP_K, scale=VECTOR_SCALE)
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(
         _read(spark, sf_dir, "documents"), weights=WEIGHTS, budget=BUDGET, most=MOST_COPIES
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
     "op5_url_filter": op5_url_filter,
+    "op6_topk": op6_topk,
     "op7_mix": op7_mix,
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
@@ -117,5 +124,6 @@ ORACLES: dict[str, str] = {
     "op3_chat": sql.CHAT,
     "op10_licenses": sql.LICENSES,
     "op5_url_filter": sql.URL_FILTER,
+    "op6_topk": sql.TOP_K,
     "op7_mix": sql.MIX,
 }

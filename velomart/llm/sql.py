@@ -137,6 +137,21 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+TOP_K = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::DOUBLE) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score
+FROM s
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 20
+"""
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
