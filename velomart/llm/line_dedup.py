@@ -136,8 +136,11 @@ def deleted_spans(keyed: DataFrame, id_col: str, text_col: str, file: str, row:
     named = materialize(_intervals(runs, levels), "named_runs")
     place = F.struct(F.col("id").isNull().alias("none"), "id", *_DOC, "start")
     first = named.groupBy("n", "a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))
+    # stored, so that both sides of the join are plain exchanges and a run in very many
+    # documents is split
+    first = materialize(first.where("copies > 1"), "first_copies")
     later = (
-        named.join(first.where("copies > 1"), ["n", "a", "b"])
+        named.join(first, ["n", "a", "b"])
         .where(F.col("first") != place)
         .select(*_DOC, F.col("start").alias("lo"), (F.col("start") + F.col("n")).alias("hi"))
     )
