@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 from velomart.workspace import materialize
 
 
+def _stored_least(edges: DataFrame) -> DataFrame:
+    """The least neighbour of each node; stored, so that the join with it can be split."""
+    return materialize(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    least = _stored_least(both)
     return (
         both.where("b > a")
         .join(least, "a")
@@ -26,7 +31,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = _stored_least(edges)
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return least.select("a", F.col("m").alias("b")).unionByName(moved).distinct()
 

@@ -221,7 +221,7 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
     )
     keyed = keyed.select(F.col("way").cast("long").alias("way"), "head", "fp")
     sizes = keyed.groupBy("way", "head").agg(F.count(F.lit(1)).alias("n"))
-    shared = keyed.join(sizes.where("n > 1"), ["way", "head"])
+    shared = keyed.join(materialize(sizes.where("n > 1"), "buckets"), ["way", "head"])
     plain = shared.where(F.col("n") <= BLOCK).select("way", "head", F.lit(0).cast("long").alias("tail"), "fp")
     again = shared.where(F.col("n") > BLOCK).select("way", "head", "fp")
     again = again.select("way", "head", F.explode(_patterns(ways, radius)).alias("tail"), "fp")
