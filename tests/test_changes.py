@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from velomart.params import Params
 from velomart.plans import intermediate, marts, reports
 from velomart.sources import lake
-from velomart.workspace import scratch_path
+from velomart.workspace import materialize, scratch_path
 
 P = Params()
 T0 = dt.datetime(2026, 1, 5, 23, 50)
@@ -78,9 +78,8 @@ def test_refresh_equals_full_build_and_is_repeatable(spark, cut):
     first = intermediate.status_changes(all_facts.where(F.col("snapshot_timestamp") <= mark))
     lake.merge_into(first, path, keys, ["last_reported"], "snapshot_date")
     for _ in range(2):
-        archive = spark.read.parquet(path)
-        newest = F.lit(lake.high_water(spark, path, "snapshot_date", "valid_from"))
-        seed = intermediate.archive_seed(archive)
+        seed = materialize(intermediate.archive_seed(spark.read.parquet(path)), "seed")
+        newest = F.lit(seed.agg(F.max("snapshot_timestamp")).first()[0])
         lake.merge_into(
             intermediate.status_changes(all_facts, seed, newest), path, keys, ["last_reported"],
             "snapshot_date",

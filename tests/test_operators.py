@@ -130,3 +130,17 @@ def test_check_summary(spark):
 
 def test_as_of_is_a_date_time():
     assert isinstance(Params().as_of, dt.datetime)
+
+
+def test_ranking_few_rows_under_many_partitions_writes_few_files(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        df = spark.range(500).select(F.col("id"), (F.col("id") % 50).alias("value"))
+        ranks = with_rank(df, "value", "place")
+        numbers = with_row_number(df, [F.desc("value"), F.asc("id")], "nth")
+        assert len(numbers.inputFiles()) <= 20 and len(ranks.inputFiles()) <= 20
+        assert {r.place for r in ranks.collect()} == set(range(1, 500, 10))
+        assert sorted(r.nth for r in numbers.collect()) == list(range(1, 501))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

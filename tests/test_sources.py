@@ -10,7 +10,7 @@ from velomart.operators.quality import QualityGateError
 from velomart.params import Params
 from velomart.plans import profiling
 from velomart.schemas import TRIP_CSV_COLUMNS
-from velomart.sources import lake, station_feed, trip_files
+from velomart.sources import lake, station_feed, storage, trip_files
 
 NOW = dt.datetime(2026, 3, 31, 12, 0)
 P = Params(as_of=NOW)
@@ -22,8 +22,8 @@ NEXT = "r3,classic_bike,2026-01-06 00:00:00,2026-01-06 00:10:00,A,1.1,B,2.2,40.7
 
 @pytest.fixture
 def folder(tmp_path):
-    (tmp_path / "202601-citibike-tripdata_1.csv").write_text("\n".join([HEADER, GOOD, BROKEN]))
-    (tmp_path / "202601-citibike-tripdata_2.csv").write_text("\n".join([HEADER, NEXT]))
+    (tmp_path / "202601-tripdata_1.csv").write_text("\n".join([HEADER, GOOD, BROKEN]))
+    (tmp_path / "202601-tripdata_2.csv").write_text("\n".join([HEADER, NEXT]))
     (tmp_path / "notes.txt").write_text("x")
     return str(tmp_path)
 
@@ -40,7 +40,7 @@ def test_csv_files(spark, folder):
     assert set(found) == {"r1", "r3"}
     assert found["r1"].started_at == dt.datetime(2026, 1, 5, 8, 0, 0, 123_000)
     assert found["r1"].start_station_name == "Main, St"
-    assert found["r1"]._source_file == "202601-citibike-tripdata_1.csv"
+    assert found["r1"]._source_file == "202601-tripdata_1.csv"
     assert found["r3"]._ride_started_date == dt.date(2026, 1, 6)
     bad = lost.first()
     assert (bad.ride_id, bad.rejection_reason) == ("r2", "missing_started_at")
@@ -60,13 +60,13 @@ def test_other_columns_fail_instead_of_shifting(spark, tmp_path):
 
 
 def test_header_consistency(spark, folder, tmp_path):
-    (tmp_path / "202602-citibike-tripdata_1.csv").write_text(f'"{HEADER},"extra"\n' + GOOD)
+    (tmp_path / "202602-tripdata_1.csv").write_text(f'"{HEADER},"extra"\n' + GOOD)
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
     lines = lines.select("value", F.col("_metadata.file_name").alias("_source_file"))
     found = {r._source_file: r for r in profiling.header_consistency(lines).collect()}
     assert len(found) == 3
-    assert found["202602-citibike-tripdata_1.csv"].extra_columns == "extra"
-    assert found["202601-citibike-tripdata_1.csv"].n_cols == 13
+    assert found["202602-tripdata_1.csv"].extra_columns == "extra"
+    assert found["202601-tripdata_1.csv"].n_cols == 13
 
 
 def test_lake_load_reconcile_and_retention(spark, folder, tmp_path):
@@ -74,7 +74,7 @@ def test_lake_load_reconcile_and_retention(spark, folder, tmp_path):
     trips, _ = trip_files.split_unplaceable(trip_files.typed_trips(text, NOW))
     raw, table = str(tmp_path / "lake"), str(tmp_path / "table")
     lake.write_daily_lake(trips, raw)
-    days = lake.partition_dates(spark, raw)
+    days = storage.partition_dates(spark, raw)
     assert days == [dt.date(2026, 1, 5), dt.date(2026, 1, 6)]
     stored = spark.read.parquet(raw)
     for _ in range(2):
@@ -91,7 +91,7 @@ def test_lake_load_reconcile_and_retention(spark, folder, tmp_path):
     report = lake.retention_report(stored, "trips", "dt", 10, later).first()
     assert (report.rows_before, report.rows_after) == (2, 1)
     assert lake.drop_expired_partitions(spark, raw, "dt", 10, later) == [dt.date(2026, 1, 5)]
-    assert lake.partition_dates(spark, raw) == [dt.date(2026, 1, 6)]
+    assert storage.partition_dates(spark, raw) == [dt.date(2026, 1, 6)]
     assert lake.newest_write(spark, raw).first().newest is not None
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 from pyspark.sql import functions as F
 from test_changes import ROWS, T0, facts
@@ -9,13 +10,15 @@ from test_changes import ROWS, T0, facts
 from velomart.params import Params
 from velomart.plans import intermediate, reports
 from velomart.schemas import STATION_STATUS
-from velomart.streaming.changes import COMPARED, detect_changes
+from velomart.streaming.changes import apply_batch, detect_changes, stored_changes
 from velomart.streaming.ingest import (
+    append_status_stream,
+    compact_status,
     dlq_windows,
     file_messages,
-    upsert_status_stream,
     write_status_stream,
 )
+from velomart.workspace import materialize
 
 NOW = dt.datetime(2026, 1, 6)
 P = Params()
@@ -57,7 +60,8 @@ def test_ingest_twice_adds_nothing_and_a_new_file_is_added(spark, tmp_path):
 
 
 def test_redelivery_keeps_the_last_copy(spark, tmp_path):
-    landed, latest = str(tmp_path / "landed"), str(tmp_path / "latest")
+    landed, log, latest = (str(tmp_path / name) for name in ("landed", "log", "latest"))
+    mark = -1
 
     def deliver(bikes, minute):
         moment = T0 + dt.timedelta(minutes=minute)
@@ -70,44 +74,47 @@ def test_redelivery_keeps_the_last_copy(spark, tmp_path):
                                "_snapshot_date": F.to_date("snapshot_timestamp")})
         conform(row, STATION_STATUS).write.mode("append").parquet(landed)
         stream = spark.readStream.schema(STATION_STATUS).parquet(landed)
-        upsert_status_stream(stream, latest, str(tmp_path / "c"), P).awaitTermination()
+        append_status_stream(stream, log, str(tmp_path / "c"), P).awaitTermination()
+        nonlocal mark
+        mark = compact_status(spark, log, latest, P, mark)
+        assert compact_status(spark, log, latest, P, mark) == mark
         return [r.num_bikes_available for r in spark.read.parquet(latest).collect()]
 
     assert deliver(1, 5) == [1]
     assert deliver(2, 30) == [2]  # after midnight, same report
     assert deliver(3, 1) == [2]  # an older copy arrives late
+    assert spark.read.parquet(log).count() == 3  # batches append, they rewrite nothing
 
 
 def test_stateful_changes_equal_the_batch_and_survive_a_restart(spark, tmp_path):
-    source, found = str(tmp_path / "facts"), str(tmp_path / "changes")
-    table = facts(spark, ROWS).select("gbfs_station_id", "snapshot_timestamp", *COMPARED)
+    source, root = str(tmp_path / "facts"), str(tmp_path / "out")
+    table = facts(spark, ROWS)
 
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{found}/_batch_id={batch_id}")
-
-    def run(rows):
-        rows.coalesce(1).write.mode("append").parquet(source)
+    def run(rows, checkpoint="c"):
+        if rows is not None:
+            rows.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(table.schema).parquet(source)
-        (
-            detect_changes(stream)
-            .writeStream.foreachBatch(keep)
-            .option("checkpointLocation", str(tmp_path / "c"))
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
+        detect_changes(stream, root, str(tmp_path / checkpoint)).awaitTermination()
 
     middle = F.lit(T0 + dt.timedelta(minutes=14)).cast("timestamp")
     run(table.where(F.col("snapshot_timestamp") <= middle))
+    run(None, "lost")  # the first batch again: same state, same folders
     run(table.where(F.col("snapshot_timestamp") > middle))
     run(table.where(F.col("snapshot_timestamp") <= middle))  # late: ignored
 
-    def listed(df):
-        columns = ["gbfs_station_id", "valid_from", "op", "bikes_before"]
-        return sorted(map(str, df.select(*columns).collect()))
+    batch = intermediate.status_changes(table)
+    assert sorted(map(str, stored_changes(spark, root).collect())) == sorted(map(str, batch.collect()))
+
 
-    batch = intermediate.status_changes(facts(spark, ROWS))
-    assert listed(spark.read.parquet(found)) == listed(batch)
+def test_a_poll_of_many_stations_is_one_join(spark, tmp_path):
+    root = str(tmp_path / "out")
+    first = materialize(facts(spark, [(f"g{k}", 0, k % 9, 1, True) for k in range(24_500)]), "poll")
+    later = F.col("snapshot_timestamp") + F.expr("INTERVAL 2 MINUTES")
+    apply_batch(first, 0, root)
+    start = time.perf_counter()
+    apply_batch(first.withColumn("snapshot_timestamp", later), 1, root)
+    assert time.perf_counter() - start < 20
+    assert stored_changes(spark, root).count() == 24_500
 
 
 def test_time_buckets_and_dlq_windows_run_on_streams(spark, tmp_path):

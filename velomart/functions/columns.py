@@ -3,13 +3,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: text standing for NULL inside a hashed key.
-KEY_NULL_TEXT = "_dbt_utils_surrogate_key_null_"
-
-
-# Outer characters to strip. The set is short on purpose: its length is paid
-# for every value.
-WHITE_SPACE = " \t\n\r\x0b\x0c\xa0"
+# Text standing for NULL inside a hashed key.
+KEY_NULL_TEXT = "~null~"
+
+# The characters of the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def clean_text(value: Column) -> Column:

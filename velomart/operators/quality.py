@@ -17,6 +17,10 @@ from velomart.functions import elapsed, safe_divide
 from velomart.params import Params
 
 
+# Fixed value: label of rows without a source file.
+UNKNOWN_SOURCE = "(tidak diketahui)"
+
+
 class QualityGateError(ValueError):
     """Too many rows were quarantined."""
 
@@ -57,7 +61,7 @@ def gate_trips(valid: DataFrame, rejected: DataFrame, p: Params) -> DataFrame:
         .where(F.col("rejected_rows") > 0)
         .select(
             F.lit("trips").alias("layer"),
-            F.coalesce("_source_file", F.lit("(tidak diketahui)")).alias("source"),
+            F.coalesce("_source_file", F.lit(UNKNOWN_SOURCE)).alias("source"),
             "total_rows",
             "rejected_rows",
             "rejected_pct",
@@ -94,18 +98,36 @@ def counts_by_side(valid: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def enforce(gate: DataFrame) -> None:
-    """Raise when the gate holds a violation."""
-    violations = gate.where("is_violation").orderBy(F.desc("rejected_pct"), "source").take(20)
+    """Raise when the gate holds a violation, naming every source, one row per file."""
+    violations = gate.where("is_violation").orderBy(F.desc("rejected_pct"), "source").collect()
     if violations:
         listed = ", ".join(f"{v.layer}/{v.source}={v.rejected_pct}%" for v in violations)
         raise QualityGateError(f"quarantine share above the threshold: {listed}")
 
 
-def dq_metrics(layers: Mapping[str, tuple[DataFrame, DataFrame]], run_id: str, p: Params) -> DataFrame:
-    """One metrics row per layer, ready to be appended to ``dq_metrics``."""
+class DataTestError(ValueError):
+    """A declared data test found violations."""
+
+
+def enforce_checks(report: DataFrame) -> None:
+    """Raise when a check found violations, naming every such check."""
+    failed = report.where("violations > 0").orderBy("model", "check_name").collect()
+    if failed:
+        listed = ", ".join(f"{r.model}.{r.check_name}={r.violations}" for r in failed)
+        raise DataTestError(f"data tests failed: {listed}")
+
+
+def dq_metrics(
+    layers: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]], run_id: str, p: Params
+) -> DataFrame:
+    """One metrics row per layer of (valid, rejected, raw), ready for ``dq_metrics``.
+
+    What is neither valid nor rejected was a duplicate.
+    """
 
-    def one(layer: str, valid: DataFrame, rejected: DataFrame) -> DataFrame:
+    def one(layer: str, valid: DataFrame, rejected: DataFrame, raw: DataFrame) -> DataFrame:
         total = F.col("valid_rows") + F.col("rejected_rows")
+        raw_rows = raw.agg(_rows()).scalar()
         return counts_by_side(valid, rejected).select(
             F.lit(p.as_of.date()).alias("run_date"),
             F.lit(layer).alias("layer"),
@@ -113,12 +135,12 @@ def dq_metrics(layers: Mapping[str, tuple[DataFrame, DataFrame]], run_id: str, p
             total.alias("total_rows"),
             "valid_rows",
             "rejected_rows",
-            F.lit(0).cast("long").alias("duplicate_rows"),
+            (raw_rows - total).cast("long").alias("duplicate_rows"),
             F.coalesce("rejected_pct", F.lit(0.0)).alias("rejected_pct"),
             F.lit(p.as_of).cast("timestamp").alias("noted_at"),
         )
 
-    return reduce(DataFrame.unionByName, [one(n, v, r) for n, (v, r) in layers.items()])
+    return reduce(DataFrame.unionByName, [one(n, *sides) for n, sides in layers.items()])
 
 
 # --- watchdog -------------------------------------------------------------------------

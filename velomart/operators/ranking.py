@@ -22,9 +22,8 @@ _ROW_BITS = 33
 
 def _sorted_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, stored with _range and _place."""
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = (
-        df.repartitionByRange(ranges, *order)
+        df.repartitionByRange(*order)  # no fixed number: adaptive execution sizes the ranges
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )

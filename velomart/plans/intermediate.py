@@ -315,6 +315,16 @@ def archive_seed(archive: DataFrame) -> DataFrame:
     ).select("gbfs_station_id", "snapshot_timestamp", *COMPARED, *CARRIED)
 
 
+def compared_rows(facts: DataFrame, high_water: Column | None = None) -> DataFrame:
+    """The columns a comparison needs; after a mark only its date and later ones are opened."""
+    rows = facts
+    if high_water is not None:
+        if "snapshot_date" in facts.columns:
+            rows = rows.where(F.col("snapshot_date") >= F.to_date(high_water))
+        rows = rows.where(F.col("snapshot_timestamp") > high_water)
+    return rows.select("gbfs_station_id", "snapshot_timestamp", *COMPARED, *CARRIED)
+
+
 def status_changes(
     facts: DataFrame, seed: DataFrame | None = None, high_water: Column | None = None
 ) -> DataFrame:
@@ -324,10 +334,7 @@ def status_changes(
     change) only later snapshots are read and compared, so a refresh costs the new
     snapshots plus one row per station. Rows at or before the high-water mark are ignored.
     """
-    rows = facts if high_water is None else facts.where(F.col("snapshot_timestamp") > high_water)
-    rows = rows.select("gbfs_station_id", "snapshot_timestamp", *COMPARED, *CARRIED).withColumn(
-        "_new", F.lit(True)
-    )
+    rows = compared_rows(facts, high_water).withColumn("_new", F.lit(True))
     if seed is not None:
         rows = seed.withColumn("_new", F.lit(False)).unionByName(rows)
     day = F.to_date("snapshot_timestamp")

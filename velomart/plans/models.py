@@ -7,7 +7,8 @@ that reads one mart never computes the columns it does not use.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from copy import copy
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -96,7 +97,7 @@ class Models:
         bridge = intermediate.station_id_bridge(self.stations_deduplicated, self.raw_information)
         return self.store(bridge, "station_id_bridge")
 
-    @property
+    @cached_property
     def dim_station(self) -> DataFrame:
         return core.dim_station(self.station_id_bridge)
 
@@ -207,32 +208,41 @@ class Models:
 
     # --- checks ---
 
-    def assertions_report(self) -> DataFrame:
-        """Violations of all declared checks and of the three whole-table ones.
+    def assertions_report(self, names: Sequence[str] | None = None) -> DataFrame:
+        """Violations of the declared checks and of the three whole-table ones.
 
-        Models that several checks would compute again are stored first and replace their
-        lazy form in this graph.
+        ``names`` limits the report to checks on these models. Models that several checks would
+        compute again are stored first, in a copy of the graph, which itself stays as it is.
         """
-        for name in CHECKED_OFTEN:
-            setattr(self, name, materialize(getattr(self, name), f"checked_{name}"))
-        self.status_changes = self.stored_status_changes
-        self.fct_station_status = self.stored_fct_station_status
         checks = declared_checks(self.params)
-        tables = {name: getattr(self, name) for name in dict.fromkeys(c.model for c in checks)}
-        files = intermediate.dq_per_file(tables["trips_dq_summary"], self.params)
+        wanted = set(names or [c.model for c in checks])
+        checks = [c for c in checks if c.model in wanted]
+        needed = {c.model for c in checks} | {c.parent[1] for c in checks if c.parent}
+        graph = copy(self)
+        for name in CHECKED_OFTEN:
+            if name in needed:
+                setattr(graph, name, materialize(getattr(graph, name), f"checked_{name}"))
+        if "status_changes" in needed or "status_windows" in needed:
+            graph.status_changes = graph.stored_status_changes
+        if "fct_station_status" in needed:
+            graph.fct_station_status = graph.stored_fct_station_status
+        tables = {name: getattr(graph, name) for name in sorted(needed)}
         whole = {
-            ("dim_station", "no_phantom_station_ids"): phantom_stations(tables["dim_station"]),
-            ("trips_dq_summary", "rejected_pct_below_threshold"): files.where("is_violation"),
-            ("status_changes", "single_create"): repeated_creates(tables["status_changes"]),
+            ("dim_station", "no_phantom_station_ids"): phantom_stations,
+            ("trips_dq_summary", "rejected_pct_below_threshold"): lambda t: intermediate.dq_per_file(
+                t, self.params
+            ).where("is_violation"),
+            ("status_changes", "single_create"): repeated_creates,
         }
         report = run_checks(tables, checks)
         for (model, name), violations in whole.items():
-            counted = violations.agg(F.count(F.lit(1)).alias("violations"))
-            report = report.unionByName(
-                counted.select(
-                    F.lit(model).alias("model"), F.lit(name).alias("check_name"), "violations"
+            if model in wanted:
+                counted = violations(tables[model]).agg(F.count(F.lit(1)).alias("violations"))
+                report = report.unionByName(
+                    counted.select(
+                        F.lit(model).alias("model"), F.lit(name).alias("check_name"), "violations"
+                    )
                 )
-            )
         return report
 
     # --- gates ---

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velomart.functions import clean_text, elapsed
+from velomart.functions.columns import WHITE_SPACE
 from velomart.params import Params
 
 # Fixed value: the plain numeric station id.
@@ -154,7 +155,7 @@ def station_profile_totals(trips: DataFrame) -> DataFrame:
     """One row: ids, names, pairs, rows with an unusual id, names with outer spaces."""
     pairs = _observed_stations(trips)
     odd = ~F.col("station_id").rlike(NUMERIC_ID)
-    spaced = F.col("station_name") != F.trim("station_name")
+    spaced = F.col("station_name") != F.btrim("station_name", F.lit(WHITE_SPACE))
     counted = F.col("n")
     return pairs.agg(
         F.sum("n").alias("station_rows"),

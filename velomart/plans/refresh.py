@@ -1,24 +1,29 @@
-"""Scheduled runs over a warehouse folder: ingest, batch refresh, status refresh.
+"""Scheduled runs over a warehouse folder: ingest, batch and status refresh, watchdog, clean-up.
 
 Tables live at ``<root>/<layer>/<table>``. Each run is a plain function that an outside
-scheduler calls; a failed gate or reconciliation raises and nothing downstream is written.
+scheduler calls. A gate is decided on scratch copies, before any table of the warehouse is
+written; a failed reconciliation or data test raises before metrics are recorded.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from velomart import schemas
-from velomart.operators.quality import dq_metrics, enforce
+from velomart.operators import keep_latest, merge_states
+from velomart.operators import quality as q
 from velomart.params import Params
-from velomart.plans import intermediate
+from velomart.plans import core, intermediate, staging
 from velomart.plans.models import Models
-from velomart.sources import lake, station_feed, trip_files
+from velomart.sources import lake, station_feed, storage, trip_files
+from velomart.workspace import materialize
 
 # table: (layer, partition column, cluster columns)
 LAYOUT = {
@@ -29,10 +34,33 @@ LAYOUT = {
     "fct_station_status": ("marts", "snapshot_date", ("station_key",)),
     "dim_date": ("marts", None, ()),
     "dim_rider_type": ("marts", None, ()),
+    "dim_station": ("marts", None, ()),
+    "stg_station_status": ("staging", "_reported_date", ("station_id",)),
+    "station_state": ("intermediate", None, ()),
 }
 BATCH_MARTS = ("trip_summary_daily", "usage_pattern_hourly", "member_vs_casual_behavior")
 STATUS_MARTS = ("station_availability_realtime", "station_risk_monitoring")
 DEMAND_MARTS = ("station_popularity", "station_supply_demand")
+# the models whose data tests a run must pass
+BATCH_TESTED = (
+    "stg_trips", "station_id_mapping", "stg_trips_rejected", "stations_deduplicated",
+    "trips_dq_summary", "station_id_bridge", "dim_station", "dim_date", "dim_rider_type",
+    "fct_trips", *BATCH_MARTS,
+)
+STATUS_TESTED = (
+    "stg_station_status", "stg_station_status_rejected", "fct_station_status", "status_changes",
+    "status_windows", "demand_vs_supply", *STATUS_MARTS, *DEMAND_MARTS, "station_volatility",
+)
+STATUS_LOG = T.StructType(
+    [
+        T.StructField("refreshed_at", T.TimestampType()),
+        T.StructField("batch_mark", T.LongType()),
+        T.StructField("bridge_hash", T.LongType()),
+        T.StructField("changed_rows", T.LongType()),
+        T.StructField("late_rows", T.LongType()),
+        T.StructField("was_full", T.BooleanType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -74,18 +102,21 @@ def ingest_trips(
     limit: int = 0,
 ) -> list[dt.date]:
     """CSV files → daily lake → raw table, reconciled per date. Returns the loaded dates."""
-    files = trip_files.discover_files(wh.spark, folder, pattern, limit)
-    text = trip_files.read_trip_text(wh.spark, files)
+    paths = trip_files.discover_files(wh.spark, folder, pattern, limit)
+    files = [os.path.basename(path) for path in paths]
+    text = trip_files.read_trip_text(wh.spark, paths)
     placed, lost = trip_files.split_unplaceable(trip_files.typed_trips(text, ingested_at))
     lake_path, table_path = f"{wh.root}/lake/raw/trips", wh.path("trips", "raw")
-    lake.write_daily_lake(placed, lake_path)
-    lake.write_partitions(lost, wh.path("trips_unplaceable", "raw"), "_source_file")
-    days = lake.partition_dates(wh.spark, lake_path)
-    stored = schemas.conform(wh.spark.read.parquet(lake_path), schemas.TRIPS)
-    lake.load_trips(stored, table_path)
-    loaded = wh.spark.read.parquet(table_path)
-    day = "_ride_started_date"
-    lake.enforce_reconciled(lake.reconcile(stored, loaded, day, day))
+    days = lake.write_daily_lake(placed, lake_path, files)
+    lake.write_per_file(lost, wh.path("trips_unplaceable", "raw"), files)
+    if not days:
+        return days
+    stored = wh.spark.read.parquet(lake_path).where(F.col("dt").isin(days))
+    conformed = schemas.conform(stored, schemas.TRIPS).withColumn("dt", F.col("_ride_started_date"))
+    lake.load_files(conformed, table_path, files, days)
+    day, mine = "_ride_started_date", F.col("_source_file").isin(files)
+    loaded = wh.spark.read.parquet(table_path).where(F.col(day).isin(days) & mine)
+    lake.enforce_reconciled(lake.reconcile(conformed.where(mine), loaded, day, day))
     return days
 
 
@@ -111,79 +142,243 @@ def ingest_station_information(
     return verdict
 
 
-def _models(wh: Warehouse, p: Params) -> Models:
+def ingest_status_payloads(
+    wh: Warehouse, payload_path: str, ingested_at: dt.datetime
+) -> tuple[int, int]:
+    """Polled status payloads → archive, status rows and dead letters. Returns both counts.
+
+    A payload whose envelope cannot be trusted goes to the dead letters whole; a bad station
+    goes there alone. Rows of one call replace those of an earlier call for the same time.
+    """
+    payloads = station_feed.read_payloads(wh.spark, payload_path)
+    station_feed.archive_payloads(payloads, f"{wh.root}/lake/raw/station_status")
+    now = F.lit(ingested_at).cast("timestamp")
+    rows, letters = station_feed.status_payloads(payloads, now)
+    batch = F.lit(int(ingested_at.replace(tzinfo=dt.timezone.utc).timestamp())).cast("long")
+    counts = []
+    for frame, table, name, day in (
+        (rows, "station_status", "_snapshot_date", F.col("_snapshot_date")),
+        (letters, "station_status_dlq", "_failed_date", F.to_date("failed_at")),
+    ):
+        stored = materialize(frame.withColumns({name: day, "_batch_id": batch}), table)
+        lake.write_batches(stored, wh.path(table, "raw"), name)
+        counts.append(stored.count())
+    return counts[0], counts[1]
+
+
+def _models(
+    wh: Warehouse, p: Params, store: Callable[[DataFrame, str], DataFrame] = materialize
+) -> Models:
     return Models(
         wh.raw("trips", schemas.TRIPS),
         wh.raw("station_status", schemas.STATION_STATUS),
         wh.raw("station_information", schemas.STATION_INFORMATION),
         p,
         store_trips=True,
-        store=wh.store,
+        store=store,
     )
 
 
+def _publish(wh: Warehouse, models: Models, *names: str) -> None:
+    """Store models in the warehouse; later ones read what was stored."""
+    for name in names:
+        setattr(models, name, wh.store(getattr(models, name), name))
+
+
+def _tested(models: Models, names: Sequence[str]) -> None:
+    q.enforce_checks(models.assertions_report(names))
+
+
 def refresh_batch(wh: Warehouse, p: Params, run_id: str) -> Models:
-    """Staging gate, then stations, trip fact, dimensions, trip marts and metrics."""
+    """Staging gate, then stations, trip fact, dimensions, trip marts, data tests and metrics.
+
+    Until the gate has passed, the mapping and the trips are scratch tables only.
+    """
     models = _models(wh, p)
-    enforce(models.trip_gate)
-    models.dim_date = wh.store(models.dim_date, "dim_date")
+    q.enforce(models.trip_gate)
+    models.store = wh.store
+    _publish(wh, models, "station_id_mapping", "fct_trips", "dim_date", "dim_rider_type")
     models.calendar = models.dim_date
-    models.dim_rider_type = wh.store(models.dim_rider_type, "dim_rider_type")
-    for name in BATCH_MARTS:
-        wh.store(getattr(models, name), name)
     _ = models.station_id_bridge
+    _publish(wh, models, "dim_station", *BATCH_MARTS)
+    _tested(models, BATCH_TESTED)
     layers = {
-        "station_status": (models.stg_station_status, models.stg_station_status_rejected),
-        "trips": (models.fct_trips, models.stg_trips_rejected),
-    }
-    lake.append_metrics(dq_metrics(layers, run_id, p), wh.path("dq_metrics", "raw"))
+        "station_status": (
+            models.stg_station_status, models.stg_station_status_rejected, models.raw_status
+        ),
+        "trips": (models.fct_trips, models.stg_trips_rejected, models.raw_trips),
+    }
+    lake.append_metrics(q.dq_metrics(layers, run_id, p), wh.path("dq_metrics", "raw"))
     return models
 
 
-def refresh_status(wh: Warehouse, p: Params) -> Models:
+def _last_status_run(wh: Warehouse) -> Row | None:
+    found = lake.read_or_none(wh.spark, wh.path("status_refreshes", "raw"))
+    return None if found is None else found.orderBy(F.desc("batch_mark"), F.desc("refreshed_at")).first()
+
+
+def refresh_status(wh: Warehouse, p: Params, full: bool = False) -> Models:
     """Status gate, then the status fact, the change archive and the operational marts.
 
-    The trip fact and the bridge are read as the last batch refresh stored them.
+    The trip fact and the bridge are read as the last batch refresh stored them. A run merges
+    the rows delivered since the one before and rewrites only the dates they touch; the first
+    run, one after a change of the bridge, and ``full`` build everything from the raw rows.
     """
-    models = _models(wh, p)
-    enforce(models.status_gate)
-    models.fct_trips = wh.spark.read.parquet(wh.path("fct_trips"))
-    models.station_id_bridge = wh.spark.read.parquet(wh.path("station_id_bridge"))
-    facts = models.stored_fct_station_status
-    path, keys = wh.path("status_changes"), ["gbfs_station_id", "valid_from"]
-    mark = lake.high_water(wh.spark, path, "snapshot_date", "valid_from")
-    if mark is None:
-        changes = intermediate.status_changes(facts)
+    spark = wh.spark
+    models = _models(wh, p, wh.store)
+    models.fct_trips = spark.read.parquet(wh.path("fct_trips"))
+    models.station_id_bridge = spark.read.parquet(wh.path("station_id_bridge"))
+    bridge_hash = models.station_id_bridge.agg(
+        F.bit_xor(F.xxhash64(*models.station_id_bridge.columns))
+    ).first()[0]
+    last = _last_status_run(wh)
+    raw = lake.read_or_none(spark, wh.path("station_status", "raw"))
+    mark = None if raw is None else raw.agg(F.max("_batch_id")).first()[0]
+    known = lake.read_or_none(spark, wh.path("stg_station_status"))
+    full = full or last is None or known is None or raw is None or last.bridge_hash != bridge_hash
+    if full:
+        q.enforce(models.status_gate)
+        reported = F.to_date("last_reported")
+        wh.store(models.stg_station_status.withColumn("_reported_date", reported), "stg_station_status")
+        models.stg_station_status = _stored_status(wh)
+        changed = models.stored_fct_station_status
     else:
-        seed = intermediate.archive_seed(wh.spark.read.parquet(path))
-        changes = intermediate.status_changes(facts, seed, F.lit(mark))
-    lake.merge_into(changes, path, keys, ["last_reported"], "snapshot_date")
-    archive = lake.read_or_none(wh.spark, path)
-    models.stored_status_changes = changes if archive is None else archive
-    for name in STATUS_MARTS:
-        wh.store(getattr(models, name), name)
+        changed = _merge_status(wh, models, raw.where(F.col("_batch_id") > last.batch_mark), p)
+        models.stg_station_status = _stored_status(wh)
+    facts = spark.read.parquet(wh.path("fct_station_status"))
+    models.fct_station_status = models.stored_fct_station_status = facts
+    late = _extend_archive(wh, models, facts if full else changed)
+    _publish(wh, models, *STATUS_MARTS)
     models.demand_vs_supply = wh.store(models.demand_vs_supply, "station_demand_vs_supply")
-    for name in DEMAND_MARTS:
-        wh.store(getattr(models, name), name)
-    wh.store(models.station_volatility, "station_volatility")
+    _publish(wh, models, *DEMAND_MARTS, "station_volatility")
+    _tested(models, STATUS_TESTED)
+    row = (p.as_of, mark, bridge_hash, changed.count(), late, full)
+    spark.createDataFrame([row], STATUS_LOG).write.mode("append").parquet(
+        wh.path("status_refreshes", "raw")
+    )
     return models
 
 
-def clean_up(wh: Warehouse, p: Params) -> DataFrame:
-    """Drop expired status and dead-letter dates and lake folders; report the status table."""
-    status = wh.raw("station_status", schemas.STATION_STATUS)
-    keep = p.retention_days["station_status"]
-    report = lake.retention_report(status, "station_status", "_snapshot_date", keep, p)
-    row = report.collect()
-    lake.drop_expired_partitions(
-        wh.spark, wh.path("station_status", "raw"), "_snapshot_date", keep, p
-    )
-    lake.drop_expired_partitions(
-        wh.spark, wh.path("station_status_dlq", "raw"), "_failed_date",
-        p.retention_days["station_status_dlq"], p,
+def _stored_status(wh: Warehouse) -> DataFrame:
+    return wh.spark.read.parquet(wh.path("stg_station_status")).drop("_reported_date")
+
+
+def _merge_status(wh: Warehouse, models: Models, new_raw: DataFrame, p: Params) -> DataFrame:
+    """Merge newly delivered rows into the staged status and the fact; returns their fact rows."""
+    spark, path, fact_path = wh.spark, wh.path("stg_station_status"), wh.path("fct_station_status")
+    keys, latest_by = list(p.status_dedup_key), ["_ingested_at", "snapshot_timestamp"]
+    new = staging.cleaned_status(schemas.conform(new_raw, schemas.STATION_STATUS))
+    new = staging.stg_station_status(new, p).withColumn("_reported_date", F.to_date("last_reported"))
+    new = materialize(new, "new_status")
+    stored = spark.read.parquet(path).select(*new.columns)
+    days = [r[0] for r in new.select("_reported_date").distinct().collect()]
+    touched = stored.where(F.col("_reported_date").isin(days))
+    merged = materialize(merge_states(touched, new, keys, latest_by), "merged_status")
+    same = [*keys, *latest_by]
+    changed = materialize(merged.join(touched, same, "left_anti"), "changed_status")
+    replaced = materialize(touched.join(changed.select(*keys), keys, "left_semi"), "replaced_status")
+    kept = stored.where(~F.col("_reported_date").isin(days))
+    valid = kept.select("station_id").unionByName(merged.select("station_id"))
+    q.enforce(q.gate_status(valid, models.stg_station_status_rejected, p))
+
+    lake.write_partitions(merged, path, "_reported_date", ["station_id"])
+    rows = changed.drop("_reported_date")
+    risk = intermediate.station_risk(rows, models.station_id_bridge, p)
+    facts = materialize(core.fct_station_status(risk), "changed_facts")
+    fact_days = F.to_date("snapshot_timestamp")
+    dates = changed.select(fact_days.alias("d")).unionByName(replaced.select(fact_days.alias("d")))
+    dates = [r.d for r in dates.distinct().collect()]
+    old = spark.read.parquet(fact_path).where(F.col("snapshot_date").isin(dates))
+    gone = changed.select(F.col("station_id").alias("gbfs_station_id"), "last_reported")
+    old = old.join(gone, ["gbfs_station_id", "last_reported"], "left_anti")
+    lake.rewrite_dates(
+        old.select(*facts.columns).unionByName(facts), fact_path, "snapshot_date", dates,
+        ["station_key"],
     )
-    lake.drop_expired_partitions(
-        wh.spark, wh.path("dq_metrics", "raw"), "run_date", p.retention_days["dq_metrics"], p
-    )
-    lake.apply_lake_lifecycle(wh.spark, f"{wh.root}/lake", p)
-    return wh.spark.createDataFrame(row, report.schema)
+    return facts
+
+
+def _extend_archive(wh: Warehouse, models: Models, facts: DataFrame) -> int:
+    """Append the changes in ``facts`` to the archive; returns the rows that came too late.
+
+    The state table holds the last archived change of every station, so neither the archive
+    nor older facts are read. Rows at or before its newest change are late.
+    """
+    path = wh.path("status_changes")
+    seed = lake.read_or_none(wh.spark, wh.path("station_state"))
+    late = 0
+    if seed is None:
+        changes = materialize(intermediate.status_changes(facts), "changes")
+        state = intermediate.archive_seed(changes)
+    else:
+        seed = materialize(seed, "seed")
+        mark = seed.agg(F.max("snapshot_timestamp")).first()[0]
+        at = F.lit(mark).cast("timestamp")
+        late = intermediate.late_rows(facts, at).first().late_rows if mark is not None else 0
+        new = materialize(intermediate.compared_rows(facts, at if mark is not None else None), "compared")
+        changes = materialize(intermediate.status_changes(new, seed), "changes")
+        state = seed.unionByName(intermediate.archive_seed(changes))
+        state = keep_latest(state, ["gbfs_station_id"], ["snapshot_timestamp"])
+    keys = ["gbfs_station_id", "valid_from"]
+    lake.merge_into(changes, path, keys, ["last_reported"], "snapshot_date")
+    wh.store(state, "station_state")
+    archive = lake.read_or_none(wh.spark, path)
+    archive = changes if archive is None else archive.select(*changes.columns)
+    models.status_changes = models.stored_status_changes = archive
+    return late
+
+
+def watchdog(wh: Warehouse, p: Params) -> DataFrame:
+    """Freshness, writer liveness, dead-letter growth and staging rejection, one row each.
+
+    The verdicts and their summary are appended to the warehouse.
+    """
+    models = _models(wh, p)
+    letters = wh.raw("station_status_dlq", schemas.STATION_STATUS_DLQ)
+    checks = [
+        q.check_freshness(models.raw_status, p),
+        q.check_liveness(lake.newest_write(wh.spark, wh.path("station_status", "raw")), p),
+        q.check_dlq_growth(letters, p),
+        q.check_staging_rejection(models.stg_station_status, models.stg_station_status_rejected, p),
+    ]
+    rows = materialize(q.union_all(checks), "watchdog")
+    summary = q.check_summary([rows]).withColumn("checked_at", F.lit(p.as_of).cast("timestamp"))
+    summary.write.mode("append").parquet(wh.path("watchdog_runs", "raw"))
+    return rows
+
+
+def clean_up(wh: Warehouse, p: Params) -> DataFrame:
+    """Drop expired dates and lake objects; report both status tables before and after."""
+    spark, keep = wh.spark, p.retention_days
+    tables = {
+        "station_status": ("_snapshot_date", wh.raw("station_status", schemas.STATION_STATUS)),
+        "station_status_dlq": ("_failed_date", _dead_letter_days(wh)),
+    }
+    reports = [
+        lake.retention_report(rows, name, day, keep[name], p) for name, (day, rows) in tables.items()
+    ]
+    report = materialize(q.union_all(reports), "retention")
+    for name, (day, _) in tables.items():
+        lake.drop_expired_partitions(spark, wh.path(name, "raw"), day, keep[name], p)
+    lake.drop_expired_partitions(spark, wh.path("dq_metrics", "raw"), "run_date", keep["dq_metrics"], p)
+    _expire_status(wh, p)
+    lake.apply_lake_lifecycle(spark, f"{wh.root}/lake", p)
+    return report
+
+
+def _dead_letter_days(wh: Warehouse) -> DataFrame:
+    letters = wh.raw("station_status_dlq", schemas.STATION_STATUS_DLQ)
+    return letters.withColumn("_failed_date", F.to_date("failed_at"))
+
+
+def _expire_status(wh: Warehouse, p: Params) -> None:
+    """Staged rows and facts go with the raw rows they came from."""
+    days = p.retention_days["station_status"]
+    cutoff = p.as_of.date() - dt.timedelta(days=days)
+    lake.drop_expired_partitions(wh.spark, wh.path("fct_station_status"), "snapshot_date", days, p)
+    path = wh.path("stg_station_status")
+    old = [d for d in storage.partition_dates(wh.spark, path, "_reported_date") if d < cutoff]
+    if old:
+        staged = wh.spark.read.parquet(path).where(F.col("_reported_date").isin(old))
+        kept = staged.where(F.col("_snapshot_date") >= F.lit(cutoff))
+        lake.rewrite_dates(kept, path, "_reported_date", old, ["station_id"])

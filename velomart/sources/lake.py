@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from velomart.operators import merge_states
 from velomart.params import Params
+from velomart.sources import storage
 from velomart.workspace import materialize
 
 
@@ -41,12 +41,14 @@ def write_partitions(
     )
 
 
-def write_daily_lake(trips: DataFrame, path: str) -> None:
-    """Raw trips as ``dt=YYYY-MM-DD/_source_file=…`` folders.
+def write_daily_lake(trips: DataFrame, path: str, files: Sequence[str] = ()) -> list[dt.date]:
+    """Raw trips as ``dt=YYYY-MM-DD/_source_file=…`` folders; row counts live in the footers.
 
-    A rerun of a file replaces exactly what that file contributed; other files of the same
-    date stay. Row counts live in the Parquet footers.
+    ``files`` names the source files that ``trips`` holds whole. A rerun then replaces exactly
+    what each of them contributed: folders on dates it no longer has are deleted after the
+    write. Returns the dates that held or hold rows of these files.
     """
+    before = _paths_of(trips.sparkSession, path, files)
     (
         clustered(trips.withColumn("dt", F.col("_ride_started_date")), "dt", ["_source_file"])
         .write.mode("overwrite")
@@ -54,42 +56,70 @@ def write_daily_lake(trips: DataFrame, path: str) -> None:
         .partitionBy("dt", "_source_file")
         .parquet(path)
     )
-
-
-def partition_dates(spark: SparkSession, path: str, partition: str = "dt") -> list[dt.date]:
-    """Dates of the stored partitions, ascending, from the folder names alone.
-
-    Folders whose name is no date are skipped.
-    """
-    pattern = _hadoop_path(spark, f"{path}/{partition}=*")
-    names = [
-        s.getPath().getName().split("=", 1)[1]
-        for s in _file_system(spark, pattern).globStatus(pattern) or []
-    ]
-    return sorted(day for day in map(_date_or_none, names) if day is not None)
-
-
-def _date_or_none(text: str) -> dt.date | None:
-    try:
-        return dt.date.fromisoformat(text)
-    except ValueError:
+    after = _paths_of(trips.sparkSession, path, files)
+    if before is None or after is None:
+        return [] if after is None else _days(after)
+    touched = _days(before.unionByName(after))
+    _delete_untouched(before, after)
+    return touched
+
+
+def write_per_file(df: DataFrame, path: str, files: Sequence[str]) -> None:
+    """Rows in ``_source_file=…`` folders; a listed file without rows loses its old folder."""
+    before = _paths_of(df.sparkSession, path, files)
+    write_partitions(df, path, "_source_file")
+    after = _paths_of(df.sparkSession, path, files)
+    if before is not None and after is not None:
+        _delete_untouched(before, after)
+
+
+def _paths_of(spark: SparkSession, path: str, files: Sequence[str]) -> DataFrame | None:
+    """Stored data files of the given source files, as they are now."""
+    found = storage.listing(spark, path) if files else None
+    if found is None:
         return None
+    names = spark.createDataFrame([(name,) for name in sorted(set(files))], "source string")
+    listed = found.withColumn("source", storage.partition_value("_source_file"))
+    listed = listed.join(names, "source").select(
+        "path", "folder", storage.partition_value("dt").try_cast("date").alias("day")
+    )
+    return materialize(listed, "listing")
 
 
-def _hadoop_path(spark: SparkSession, path: str) -> Any:
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def _days(listed: DataFrame) -> list[dt.date]:
+    return sorted(r.day for r in listed.select("day").where("day is not null").distinct().collect())
 
 
-def _file_system(spark: SparkSession, path: Any) -> Any:
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _delete_untouched(before: DataFrame, after: DataFrame) -> None:
+    """Delete folders whose files a write left as they were: their source has no rows there."""
+    stale = before.join(after, "path", "left_semi").select("folder").distinct()
+    storage.delete(before.sparkSession, (r.folder for r in stale.toLocalIterator()))
 
 
 def load_trips(lake: DataFrame, path: str) -> None:
-    """Idempotent load of lake dates: each date is replaced by everything the lake holds."""
+    """Idempotent load of whole dates: each date of ``lake`` is replaced by what it holds."""
     cluster = ["start_station_id", "end_station_id"]
     write_partitions(lake.drop("dt"), path, "_ride_started_date", cluster)
 
 
+def load_files(
+    lake: DataFrame, path: str, files: Sequence[str], days: Sequence[dt.date]
+) -> None:
+    """Replace the rows of ``files`` on ``days`` by what the lake holds of them.
+
+    Only these dates are read and rewritten; rows of other files stay, also when the lake has
+    expired its copies. A date that is left without rows loses its partition.
+    """
+    spark, day = lake.sparkSession, "_ride_started_date"
+    rows = lake.where(F.col("dt").isin(list(days)) & F.col("_source_file").isin(list(files)))
+    rows = rows.drop("dt")
+    current = read_or_none(spark, path)
+    if current is not None:
+        kept = current.where(F.col(day).isin(list(days)) & ~F.col("_source_file").isin(list(files)))
+        rows = kept.select(*rows.columns).unionByName(rows)
+    rewrite_dates(rows, path, day, days, ["start_station_id", "end_station_id"])
+
+
 def reconcile(left: DataFrame, right: DataFrame, left_day: str, right_day: str) -> DataFrame:
     """Dates whose row counts differ between two tables, from one aggregation."""
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
@@ -103,9 +133,9 @@ def reconcile(left: DataFrame, right: DataFrame, left_day: str, right_day: str)
 
 
 def enforce_reconciled(differences: DataFrame) -> None:
-    worst = differences.orderBy("day").limit(5).collect()
-    if worst:
-        listed = ", ".join(f"{r.day}: {r.lake_rows} <> {r.table_rows}" for r in worst)
+    wrong = differences.orderBy("day").collect()  # one row per date at most
+    if wrong:
+        listed = ", ".join(f"{r.day}: {r.lake_rows} <> {r.table_rows}" for r in wrong)
         raise ValueError(f"row counts differ: {listed}")
 
 
@@ -130,7 +160,8 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
+        # no folder yet, or one from which every file has expired
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -158,13 +189,27 @@ def merge_into(
     write_partitions(merged, path, partition, list(keys))
 
 
-def high_water(spark: SparkSession, path: str, partition: str, column: str) -> dt.datetime | None:
-    """Newest value of ``column``, read from the newest date partition only."""
-    days = partition_dates(spark, path, partition)
-    if not days:
-        return None
-    newest = spark.read.parquet(path).where(F.col(partition) == F.lit(days[-1]))
-    return newest.agg(F.max(column)).first()[0]
+def rewrite_dates(
+    rows: DataFrame, path: str, partition: str, days: Sequence[dt.date], cluster: Sequence[str] = ()
+) -> None:
+    """Replace whole dates by ``rows``, which may be read from them; a date without rows goes."""
+    rows = materialize(rows, "rewritten")
+    write_partitions(rows, path, partition, cluster)
+    filled = {r[0] for r in rows.select(partition).distinct().collect()}
+    storage.delete(
+        rows.sparkSession, [f"{path}/{partition}={d.isoformat()}" for d in days if d not in filled]
+    )
+
+
+def write_batches(rows: DataFrame, path: str, day: str) -> None:
+    """``<day>/_batch_id=<n>`` folders; a batch that comes again replaces exactly its own."""
+    (
+        rows.hint("rebalance", F.col(day))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day, "_batch_id")
+        .parquet(path)
+    )
 
 
 # --- retention ------------------------------------------------------------------------
@@ -191,24 +236,33 @@ def drop_expired_partitions(
 ) -> list[dt.date]:
     """Delete the folders of expired dates; no surviving file is read or rewritten."""
     cutoff = p.as_of.date() - dt.timedelta(days=keep_days)
-    expired = [d for d in partition_dates(spark, path, partition) if d < cutoff]
-    for day in expired:
-        folder = _hadoop_path(spark, f"{path}/{partition}={day.isoformat()}")
-        _file_system(spark, folder).delete(folder, True)
+    expired = [d for d in storage.partition_dates(spark, path, partition) if d < cutoff]
+    storage.delete(spark, (f"{path}/{partition}={day.isoformat()}" for day in expired))
     return expired
 
 
-def apply_lake_lifecycle(spark: SparkSession, root: str, p: Params) -> dict[str, list[dt.date]]:
-    """Expire the ``dt`` folders of every lake prefix by its own age limit."""
-    return {
-        prefix: drop_expired_partitions(spark, f"{root}/{prefix}", "dt", days, p)
-        for prefix, days in p.lake_retention_days.items()
-    }
+def expired_objects(spark: SparkSession, path: str, keep_days: int, p: Params) -> DataFrame | None:
+    """Files below ``path`` that were written more than ``keep_days`` before ``as_of``."""
+    files = storage.listing(spark, path)
+    if files is None:
+        return None
+    cutoff = F.lit(p.as_of - dt.timedelta(days=keep_days)).cast("timestamp")
+    return files.where(F.col("modified") < cutoff)
+
+
+def apply_lake_lifecycle(spark: SparkSession, root: str, p: Params) -> dict[str, int]:
+    """Delete lake objects by their own age, whatever dates they hold; returns how many."""
+    gone = {}
+    for prefix, days in p.lake_retention_days.items():
+        old = expired_objects(spark, f"{root}/{prefix}", days, p)
+        paths = () if old is None else (r.path for r in old.select("path").toLocalIterator())
+        gone[prefix] = storage.delete(spark, paths)
+    return gone
 
 
 def newest_write(spark: SparkSession, path: str) -> DataFrame:
-    """One row: modification time of the newest file below ``path`` (``newest``)."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    ).select("modificationTime")
-    return files.agg(F.max("modificationTime").alias("newest"))
+    """One row: modification time of the newest file below ``path`` (``newest``), or NULL."""
+    files = storage.listing(spark, path)
+    if files is None:
+        return spark.range(1).select(F.lit(None).cast("timestamp").alias("newest"))
+    return files.agg(F.max("modified").alias("newest"))

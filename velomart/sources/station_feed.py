@@ -18,11 +18,11 @@ from velomart.operators.quality import QualityGateError
 from velomart.params import Params
 from velomart.schemas import STATION_INFORMATION, STATION_STATUS, STATION_STATUS_DLQ, conform
 
-# Dead-letter reasons and the stored payload length.
+# Dead-letter reasons, and the word in one of them.
 INVALID_JSON = "invalid_json"
 MISSING_STATION_ID = "missing_station_id"
 PRODUCER_DLQ = "producer_dlq"
-PAYLOAD_CHARS = 50_000
+PROBLEMS_WORD = "masalah"
 
 COUNTS_REQUIRED = ("num_bikes_available", "num_docks_available")
 COUNTS_OPTIONAL = (
@@ -120,7 +120,7 @@ def stations_of(envelopes: DataFrame) -> DataFrame:
 
 def envelope_dead_letters(envelopes: DataFrame, failed_at: Column) -> DataFrame:
     """Whole payloads whose structure cannot be trusted."""
-    reason = F.concat(F.lit("invalid_envelope: "), F.col("problems").cast("string"), F.lit(" masalah"))
+    reason = F.concat(F.lit("invalid_envelope: "), F.col("problems").cast("string"), F.lit(f" {PROBLEMS_WORD}"))
     bad = envelopes.where("problems > 0")
     return _dead_letters(bad, reason, failed_at)
 
@@ -128,7 +128,7 @@ def envelope_dead_letters(envelopes: DataFrame, failed_at: Column) -> DataFrame:
 def _dead_letters(rows: DataFrame, reason: Column, failed_at: Column) -> DataFrame:
     letters = rows.withColumns(
         {
-            "raw_payload": F.substring("value", 1, PAYLOAD_CHARS),
+            "raw_payload": F.col("value"),
             "error_reason": reason,
             "failed_at": failed_at,
         }
@@ -181,6 +181,17 @@ def status_from_payload(
     )
 
 
+def status_payloads(payloads: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """(status rows, dead letters) of whole payloads; broken envelopes are dead letters whole.
+
+    The snapshot time is the payload's own, or ``now`` where it names none.
+    """
+    envelopes = parse_envelope(payloads)
+    snapshot = F.coalesce("last_updated", now)
+    rows, letters = status_from_payload(stations_of(envelopes), snapshot, now)
+    return rows, letters.unionByName(envelope_dead_letters(envelopes, now))
+
+
 def to_messages(status: DataFrame) -> DataFrame:
     """Status rows as (key, value) messages keyed by station, for any streaming sink."""
     body = status.select(
@@ -238,7 +249,7 @@ def decode_messages(
                 "snapshot_timestamp": snapshot,
                 "_ingested_at": now,
                 "_snapshot_date": F.to_date(snapshot),
-                "raw_payload": F.substring("value", 1, PAYLOAD_CHARS),
+                "raw_payload": F.col("value"),
                 "failed_at": now,
             }
         )

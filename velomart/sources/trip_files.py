@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 from velomart.params import CSV_NULL_TOKENS
 from velomart.schemas import TRIP_CSV_COLUMNS, TRIPS, conform
 
-# Fixed value: default name pattern of the monthly files.
-TRIP_FILE_PATTERN = "20*-citibike-tripdata_*.csv"
+TRIP_FILE_PATTERN = "*.csv"
 
 _TEXT = T.StructType([T.StructField(c, T.StringType()) for c in TRIP_CSV_COLUMNS])
 

@@ -1,90 +1,80 @@
 """Change detection on a stream of station facts.
 
-State per station is one row: its last seen values. Inside a micro-batch the rows of a
-station are ordered by time and compared with their predecessor in one vectorised step.
-Rows at or before the newest seen time of the station are late and are ignored, which is
-the archive rule applied per key. A group never exceeds one micro-batch, whose size the
-source options bound. The batch twin is ``plans.intermediate.status_changes``.
+State is a table with the last seen row of each station. A micro-batch is compared with it by
+the same plan as the batch archive: a union, one neighbour step and a filter, so a poll with
+one row for each of very many stations is a join and not a call per station. Rows at or before
+the newest seen time of their station are late and are ignored.
+
+The changes and the next state of batch ``n`` are written to folders of that number, and the
+batch reads the state of the batch before. A batch that runs again after a failure therefore
+reads the same state and replaces exactly its own folders.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-COMPARED = [
-    "num_bikes_available", "num_docks_available", "num_ebikes_available",
-    "num_scooters_available", "is_installed", "is_renting", "is_returning", "is_disabled",
-]
-_FIELDS = {c: T.BooleanType() if c.startswith("is_") else T.LongType() for c in COMPARED}
-STATE = T.StructType(
-    [T.StructField("seen_at", T.LongType())]
-    + [T.StructField(c, t) for c, t in _FIELDS.items()]
-)
-OUTPUT = T.StructType(
-    [
-        T.StructField("gbfs_station_id", T.StringType()),
-        T.StructField("valid_from", T.TimestampType()),
-        T.StructField("op", T.StringType()),
-        T.StructField("bikes_before", T.LongType()),
-        T.StructField("docks_before", T.LongType()),
-        *[T.StructField(c, t) for c, t in _FIELDS.items()],
-    ]
-)
-
-
-def _detector() -> Callable[..., Iterator[pd.DataFrame]]:
-    """The per-station function, as a closure: workers need pandas but not this package."""
-    compared = list(COMPARED)
-    kinds = {c: "boolean" if c.startswith("is_") else "Int64" for c in compared}
-
-    def plain(value: Any) -> Any:
-        return None if pd.isna(value) else value.item() if hasattr(value, "item") else value
-
-    def detect(
-        key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).astype(kinds)
-        rows = rows.sort_values("seen_at", kind="stable")[["seen_at", *compared]]
-        known = state.exists
-        if known:
-            last = dict(zip(["seen_at", *compared], state.get, strict=True))
-            rows = rows[rows["seen_at"] > last["seen_at"]]
-            if rows.empty:
-                return
-            rows = pd.concat([pd.DataFrame([last]).astype(kinds), rows], ignore_index=True)
-        rows = rows.reset_index(drop=True)
-        now, before = rows[compared], rows[compared].shift(1)
-        equal = (now == before).fillna(False).astype(bool) | (now.isna() & before.isna())
-        changed = ~equal.all(axis=1)
-        changed.iloc[0] = not known  # a station's first row is a change, its seed is not
-        newest = rows.iloc[-1]
-        state.update((int(newest["seen_at"]), *[plain(newest[c]) for c in compared]))
-        result = now[changed].copy()
-        creates = (result.index == 0) & (not known)
-        result["gbfs_station_id"] = key[0]
-        result["valid_from"] = pd.to_datetime(rows["seen_at"][changed], unit="us", utc=True)
-        result["op"] = ["c" if create else "u" for create in creates]
-        result["bikes_before"] = before["num_bikes_available"][changed]
-        result["docks_before"] = before["num_docks_available"][changed]
-        yield result[columns]
-
-    columns = OUTPUT.names
-    return detect
-
-
-def detect_changes(facts: DataFrame) -> DataFrame:
-    """Changes of a stream holding ``gbfs_station_id``, ``snapshot_timestamp`` and the
-    compared columns, in append mode."""
-    narrow = facts.select(
-        "gbfs_station_id", F.unix_micros("snapshot_timestamp").alias("seen_at"), *COMPARED
-    )
-    return narrow.groupBy("gbfs_station_id").applyInPandasWithState(
-        _detector(), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+from pyspark.sql.streaming import StreamingQuery
+
+from velomart.operators import keep_latest
+from velomart.plans.intermediate import ARCHIVE_COLUMNS, compared_rows, status_changes
+from velomart.sources import storage
+from velomart.workspace import materialize
+
+_BATCH = "_batch_id"
+
+
+def _state_numbers(spark: SparkSession, path: str) -> list[int]:
+    files = storage.listing(spark, path)
+    if files is None:
+        return []
+    number = storage.partition_value(_BATCH).try_cast("long")
+    return sorted(r[0] for r in files.select(number).distinct().collect() if r[0] is not None)
+
+
+def _after_state(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Rows newer than what was seen of their station."""
+    seen = state.select("gbfs_station_id", F.col("snapshot_timestamp").alias("_seen"))
+    joined = rows.join(seen, "gbfs_station_id", "left")
+    fresh = F.col("_seen").isNull() | (F.col("snapshot_timestamp") > F.col("_seen"))
+    return joined.where(fresh).select(*rows.columns)
+
+
+def apply_batch(batch: DataFrame, batch_id: int, root: str) -> None:
+    """Changes and next state of one micro-batch, below ``root``."""
+    spark = batch.sparkSession
+    rows = materialize(compared_rows(batch), "stream_rows")
+    numbers = [n for n in _state_numbers(spark, f"{root}/state") if n < batch_id]
+    state = None
+    if numbers:
+        path = f"{root}/state/{_BATCH}={numbers[-1]}"
+        state = spark.read.schema(rows.schema).parquet(path)
+        rows = materialize(_after_state(rows, state), "fresh_rows")
+    changes = status_changes(rows, state)
+    changes.write.mode("overwrite").parquet(f"{root}/changes/{_BATCH}={batch_id}")
+    seen = rows if state is None else state.unionByName(rows)
+    seen = keep_latest(seen, ["gbfs_station_id"], ["snapshot_timestamp", "last_reported"])
+    seen.write.mode("overwrite").parquet(f"{root}/state/{_BATCH}={batch_id}")
+    storage.delete(spark, [f"{root}/state/{_BATCH}={n}" for n in numbers[:-1]])
+
+
+def detect_changes(
+    facts: DataFrame, root: str, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Start writing the changes of a stream of status facts to ``<root>/changes``."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        apply_batch(batch, batch_id, root)
+
+    return (
+        facts.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )
+
+
+def stored_changes(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/changes").select(*ARCHIVE_COLUMNS)

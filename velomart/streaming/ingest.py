@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from velomart.operators import keep_latest
 from velomart.params import Params
 from velomart.plans.staging import cleaned_status, stg_station_status
-from velomart.sources.lake import merge_into
+from velomart.sources.lake import merge_into, read_or_none, write_batches
 from velomart.sources.station_feed import dead_letters, decode_messages, status_rows
 
 
@@ -73,53 +73,65 @@ def write_status_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         decoded = decode_messages(batch, stamp).persist()
         try:
-            for rows, path, day in (
-                (status_rows(decoded), status_path, F.col("_snapshot_date")),
-                (dead_letters(decoded), dlq_path, F.to_date("failed_at")),
+            for rows, path, name, day in (
+                (status_rows(decoded), status_path, "_snapshot_date", F.col("_snapshot_date")),
+                (dead_letters(decoded), dlq_path, "_failed_date", F.to_date("failed_at")),
             ):
-                name = "_snapshot_date" if path == status_path else "_failed_date"
-                (
-                    rows.withColumns({name: day, "_batch_id": F.lit(batch_id)})
-                    .hint("rebalance", F.col(name))
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(name, "_batch_id")
-                    .parquet(path)
-                )
+                dated = rows.withColumns({name: day, "_batch_id": F.lit(batch_id).cast("long")})
+                write_batches(dated, path, name)
         finally:
             decoded.unpersist()
 
     return _start(messages, handle, checkpoint, trigger)
 
 
-def upsert_status_stream(
+def append_status_stream(
     status: DataFrame,
     path: str,
     checkpoint: str,
     p: Params,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Keep the last delivery of each (station, last_reported) in a deduplicated table.
+    """Append the valid rows of each batch to ``<day of last_reported>/_batch_id=<n>`` folders.
 
-    The table is partitioned by the day of ``last_reported``, which is part of the key, so
-    a late redelivery meets its earlier copy in the same partition and replaces it.
+    A batch writes its own rows and nothing else, whatever the table holds. Redeliveries are
+    resolved by ``compact_status`` on a schedule, or by ``last_per_key`` when read before.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         valid = stg_station_status(cleaned_status(batch), p)
-        merge_into(
-            valid.withColumn("_reported_date", F.to_date("last_reported")),
-            path,
-            list(p.status_dedup_key),
-            ["_ingested_at", "snapshot_timestamp"],
-            "_reported_date",
+        dated = valid.withColumns(
+            {"_reported_date": F.to_date("last_reported"), "_batch_id": F.lit(batch_id).cast("long")}
         )
+        write_batches(dated, path, "_reported_date")
 
     return _start(status, handle, checkpoint, trigger)
 
 
+def compact_status(
+    spark: SparkSession, log_path: str, path: str, p: Params, after: int = -1
+) -> int:
+    """Merge the batches after number ``after`` into the deduplicated table; returns the newest.
+
+    The last delivery of each (station, last_reported) wins. The table is partitioned by the
+    day of ``last_reported``, which is part of the key, so a late redelivery meets its earlier
+    copy in the same partition, and only days with new rows are rewritten.
+    """
+    log = read_or_none(spark, log_path)
+    if log is None:
+        return after
+    new = log.where(F.col("_batch_id") > after)
+    newest = new.agg(F.max("_batch_id")).first()[0]
+    if newest is None:
+        return after
+    latest_by = ["_ingested_at", "snapshot_timestamp"]
+    new = keep_latest(new.drop("_batch_id"), list(p.status_dedup_key), latest_by)
+    merge_into(new, path, list(p.status_dedup_key), latest_by, "_reported_date")
+    return newest
+
+
 def last_per_key(rows: DataFrame) -> DataFrame:
-    """Batch twin of the upsert, for comparisons."""
+    """The deduplicated view of appended batches."""
     return keep_latest(rows, ["station_id", "last_reported"], ["_ingested_at", "snapshot_timestamp"])
 
 

@@ -25,11 +25,12 @@ from velomart.plans.models import Models
 from velomart.schemas import STATION_STATUS
 from velomart.sources import lake
 from velomart.sources.station_feed import to_messages
-from velomart.streaming.changes import detect_changes
+from velomart.streaming.changes import detect_changes, stored_changes
 from velomart.streaming.ingest import (
+    append_status_stream,
+    compact_status,
     dlq_windows,
     file_messages,
-    upsert_status_stream,
     write_status_stream,
 )
 from velomart.workspace import materialize, scratch_path
@@ -411,10 +412,11 @@ def _changes_in_two_runs(m: Models) -> DataFrame:
     path = scratch_path(facts.sparkSession, "change_archive")
     keys = ["gbfs_station_id", "valid_from"]
     first = intermediate.status_changes(facts.where(F.col("snapshot_timestamp") <= cut))
+    first = materialize(first, "first_changes")
     lake.merge_into(first, path, keys, ["last_reported"], "snapshot_date")
-    archive = facts.sparkSession.read.parquet(path)
-    mark = F.lit(lake.high_water(facts.sparkSession, path, "snapshot_date", "valid_from"))
-    second = intermediate.status_changes(facts, intermediate.archive_seed(archive), mark)
+    seed = materialize(intermediate.archive_seed(first), "seed")
+    mark = F.lit(seed.agg(F.max("snapshot_timestamp")).first()[0])
+    second = intermediate.status_changes(facts, seed, mark)
     lake.merge_into(second, path, keys, ["last_reported"], "snapshot_date")
     stored = facts.sparkSession.read.parquet(path)
     return stored.select(*intermediate.ARCHIVE_COLUMNS)
@@ -427,8 +429,8 @@ model("status_changes_incremental", _changes_in_two_runs, o.relation("changes"))
 
 def _metrics(m: Models) -> DataFrame:
     layers = {
-        "station_status": (m.stg_station_status, m.stg_station_status_rejected),
-        "trips": (m.stg_trips, m.stg_trips_rejected),
+        "station_status": (m.stg_station_status, m.stg_station_status_rejected, m.raw_status),
+        "trips": (m.stg_trips, m.stg_trips_rejected, m.raw_trips),
     }
     return quality.dq_metrics(layers, "run-1", P)
 
@@ -436,9 +438,10 @@ def _metrics(m: Models) -> DataFrame:
 _METRIC = (
     f"SELECT CAST({o.AS_OF} AS DATE) AS run_date, '{{layer}}' AS layer, 'run-1' AS run_id, "
     "v.n + r.n AS total_rows, v.n AS valid_rows, r.n AS rejected_rows, "
-    "CAST(0 AS BIGINT) AS duplicate_rows, "
+    "w.n - v.n - r.n AS duplicate_rows, "
     f"{o.pct('r.n', '(v.n + r.n)', 4)} AS rejected_pct, {o.AS_OF} AS noted_at "
-    "FROM (SELECT count(*) AS n FROM {valid}) v, (SELECT count(*) AS n FROM {valid}_rejected) r"
+    "FROM (SELECT count(*) AS n FROM {valid}) v, (SELECT count(*) AS n FROM {valid}_rejected) r, "
+    "(SELECT count(*) AS n FROM {layer}) w"
 )
 _METRICS = " UNION ALL ".join(
     _METRIC.format(layer=layer, valid=valid)
@@ -446,6 +449,7 @@ _METRICS = " UNION ALL ".join(
 )
 _METRIC_INPUTS = (
     "stg_station_status", "stg_station_status_rejected", "stg_trips", "stg_trips_rejected",
+    "station_status", "trips",
 )
 model("dq_metrics", _metrics, o.sql(_METRICS, *_METRIC_INPUTS))
 model(
@@ -807,7 +811,7 @@ def _ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "station_id", "_ingested_at", F.coalesce("num_bikes_available", F.lit(-2)).alias("bikes")
     )
     order = [F.desc("bikes"), F.asc("station_id"), F.asc("_ingested_at")]
-    numbered = materialize(with_row_number(status, order, "position"), "numbered")
+    numbered = with_row_number(status, order, "position")
     ranked = with_rank(numbered, "bikes", "bikes_rank")
     return with_percent_rank(ranked, "bikes", "bikes_share")
 
@@ -830,21 +834,44 @@ register(
 # --- streaming ---
 
 
+def _messages(m: Models, root: str, number: int, *frames: DataFrame) -> None:
+    """One delivery: a folder of message files that the stream has not seen."""
+    texts = quality.union_all([f.select("value") for f in frames])
+    texts.write.text(f"{root}/messages/{number}")
+
+
 def _stream(m: Models) -> DataFrame:
-    """Status rows as messages, decoded by a stream, deduplicated, and change-detected."""
+    """Raw messages in three deliveries, decoded, deduplicated and change-detected.
+
+    The first holds every raw row that is not kept, valid or not, with broken JSON and missing
+    ids between them; the second the kept rows; the third repeats half of them. Every delivery
+    is a batch of its own run.
+    """
     spark = m.raw_status.sparkSession
     root = scratch_path(spark, "stream")
-    to_messages(m.stg_station_status).select("value").write.text(f"{root}/messages")
-    source = file_messages(spark, f"{root}/messages", 1_000)
-    now = F.lit(P.as_of).cast("timestamp")
-    write_status_stream(
-        source, f"{root}/status", f"{root}/dlq", f"{root}/checkpoint_status", now
-    ).awaitTermination()
-    landed = spark.readStream.schema(STATION_STATUS).parquet(f"{root}/status")
-    upsert_status_stream(
-        landed, f"{root}/latest", f"{root}/checkpoint_latest", P
-    ).awaitTermination()
-    status = spark.read.parquet(f"{root}/latest").drop("_reported_date")
+    kept = materialize(m.stg_station_status, "kept_status")
+    raw = m.raw_status
+    broken = kept.select(F.concat(F.lit('{"station_id": "'), "station_id").alias("value"))
+    nameless = kept.select(F.to_json(F.struct(F.lit(1).alias("num_bikes_available"))).alias("value"))
+    lost = raw.join(kept.select("station_id", "last_reported", "snapshot_timestamp", "_ingested_at"),
+                    ["station_id", "last_reported", "snapshot_timestamp", "_ingested_at"], "left_anti")
+    deliveries = [
+        (to_messages(lost), broken, nameless),
+        (to_messages(kept),),
+        (to_messages(kept.where(F.crc32(F.col("station_id")) % 2 == 0)), broken),
+    ]
+    log, latest, mark = f"{root}/log", f"{root}/latest", -1
+    for number, frames in enumerate(deliveries):
+        _messages(m, root, number, *frames)
+        now = F.lit(P.as_of).cast("timestamp") + F.make_dt_interval(mins=F.lit(number))
+        source = file_messages(spark, f"{root}/messages/*", 1_000)
+        write_status_stream(
+            source, f"{root}/status", f"{root}/dlq", f"{root}/checkpoint_status", now
+        ).awaitTermination()
+        landed = spark.readStream.schema(STATION_STATUS).parquet(f"{root}/status")
+        append_status_stream(landed, log, f"{root}/checkpoint_log", P).awaitTermination()
+        mark = compact_status(spark, log, latest, P, mark)
+    status = spark.read.parquet(latest).drop("_reported_date")
     facts = core.fct_station_status(
         intermediate.station_risk(status, m.station_id_bridge, P)
     )
@@ -866,38 +893,27 @@ model(
 
 
 def _stateful(m: Models) -> DataFrame:
-    """Keyed state over a stream of facts."""
+    """Change detection over four micro-batches, each a restart, with late rows between them."""
     facts = m.stored_fct_station_status
     spark = facts.sparkSession
     root = scratch_path(spark, "stateful")
-    narrow = facts.select("gbfs_station_id", "snapshot_timestamp", *intermediate.COMPARED)
-    narrow.write.parquet(f"{root}/facts")
-    stream = spark.readStream.schema(narrow.schema).parquet(f"{root}/facts")
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/changes/_batch_id={batch_id}")
-
-    (
-        detect_changes(stream)
-        .writeStream.foreachBatch(keep)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{root}/changes").select(
-        "gbfs_station_id", "valid_from", "op", "bikes_before", "docks_before",
-        F.col("num_bikes_available").alias("bikes_after"),
-        F.col("num_docks_available").alias("docks_after"),
-    )
+    narrow = materialize(intermediate.compared_rows(facts), "narrow_facts")
+    days = sorted(r[0] for r in narrow.select(F.to_date("snapshot_timestamp")).distinct().collect())
+    cuts = [days[len(days) * k // 3] for k in (1, 2)]
+    day = F.to_date("snapshot_timestamp")
+    first, second = narrow.where(day < F.lit(cuts[0])), narrow.where(day < F.lit(cuts[1]))
+    late = first.withColumn("num_bikes_available", F.col("num_bikes_available") + 1000)
+    deliveries = [
+        first,
+        second.where(day >= F.lit(cuts[0])),
+        late,
+        narrow.where(day >= F.lit(cuts[1])),
+    ]
+    for rows in deliveries:
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/facts")
+        stream = spark.readStream.schema(narrow.schema).parquet(f"{root}/facts")
+        detect_changes(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return stored_changes(spark, f"{root}/out")
 
 
-model(
-    "stream_stateful_changes",
-    _stateful,
-    o.sql(
-        "SELECT gbfs_station_id, valid_from, op, bikes_before, docks_before, bikes_after, "
-        "docks_after FROM changes",
-        "changes",
-    ),
-)
+model("stream_stateful_changes", _stateful, o.relation("changes"))
