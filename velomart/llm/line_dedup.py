@@ -49,8 +49,8 @@ def _ranked(keys: DataFrame, by: list[str], name: str, kept: str) -> DataFrame:
     The range sort puts partition and place in ascending order, so the stored id is a rank.
     """
     repeated = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*by)
-    ranges = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = repeated.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+    # no fixed number of ranges: adaptive execution sizes them
+    ordered = repeated.repartitionByRange(*by).sortWithinPartitions(*by)
     return materialize(ordered.withColumn(kept, F.monotonically_increasing_id()), name)
 
 

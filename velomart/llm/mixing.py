@@ -61,8 +61,8 @@ def _offset(source: Column, seed: int) -> Column:
 
 def _places(rows: DataFrame, order: list[Column]) -> DataFrame:
     """``rows`` with ``place``: the number of rows of the same source that stand before."""
-    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # no fixed number of ranges: adaptive execution sizes them
+    numbered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = numbered.withColumn("vm_n", F.monotonically_increasing_id())
     stored = materialize(numbered.withColumn("vm_range", F.shiftright("vm_n", _ROW_BITS)), "ordered_rows")
     parts = stored.groupBy("source", "vm_range").agg(
