@@ -267,11 +267,17 @@ def _row_checks(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
-def _entry(number: int, columns: Sequence[str], seen: int, known: bool) -> Column:
-    """(check, key, times seen, key is known to the parent); NULL key where a check skips."""
+def _entry(number: int, key: Sequence[Column], seen: int, known: bool) -> Column:
+    """(check, 128-bit hash of the key, times seen, key is known to the parent).
+
+    Two longs per key of any type keep the grouping in fixed-width hash aggregation. NULL marks
+    are hashed too, so a NULL in one column is not mistaken for one in another.
+    """
+    parts = [x for c in key for x in (c, c.isNull())]
     return F.struct(
         F.lit(number).alias("check"),
-        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("key"),
+        F.xxhash64(*parts).alias("h1"),
+        F.xxhash64(F.lit(-1 - number), *parts).alias("h2"),
         F.lit(seen).cast("long").alias("seen"),
         F.lit(known).alias("known"),
     )
@@ -289,12 +295,13 @@ def _key_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
     for number, check in enumerate(checks):
         if check.parent:
             column, parent, parent_column = check.parent
-            child = _entry(number, [F.col(column).alias("k")], 1, False)
+            kind = tables[parent].schema[parent_column].dataType
+            child = _entry(number, [F.col(column).cast(kind)], 1, False)
             entries.setdefault(check.model, []).append(F.when(F.col(column).isNotNull(), child))
-            entry = _entry(number, [F.col(parent_column).alias("k")], 0, True)
+            entry = _entry(number, [F.col(parent_column)], 0, True)
             entries.setdefault(parent, []).append(entry)
         else:
-            entry = _entry(number, check.unique, 1, False)
+            entry = _entry(number, [F.col(c) for c in check.unique], 1, False)
             if check.skip_null:
                 present = reduce(
                     lambda a, b: a & b, [F.col(c).isNotNull() for c in check.unique]
@@ -302,10 +309,10 @@ def _key_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
                 entry = F.when(present, entry)
             entries.setdefault(check.model, []).append(entry)
     # one entry per check without a key, so that a check of an empty table still reports 0
-    none = F.lit(None).cast("string").alias("key")
+    none = F.lit(None).cast("long")
     seeds = [
-        F.struct(F.lit(i).alias("check"), none, F.lit(0).cast("long").alias("seen"),
-                 F.lit(False).alias("known"))
+        F.struct(F.lit(i).alias("check"), none.alias("h1"), none.alias("h2"),
+                 F.lit(0).cast("long").alias("seen"), F.lit(False).alias("known"))
         for i in range(len(checks))
     ]
     keyed = [spark.range(0, 1, 1, 1).select(F.inline(F.array(*seeds)))]
@@ -313,7 +320,7 @@ def _key_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
         keyed.append(tables[model].select(F.inline(F.array_compact(F.array(*columns)))))
     per_key = (
         union_all(keyed)
-        .groupBy("check", "key")
+        .groupBy("check", "h1", "h2")
         .agg(F.sum("seen").alias("seen"), F.max("known").alias("known"))
     )
     is_relationship = F.col("check").isin([i for i, c in enumerate(checks) if c.parent])

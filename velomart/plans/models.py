@@ -21,6 +21,7 @@ from velomart.operators.quality import (
     repeated_creates,
     run_checks,
 )
+from velomart.operators.rules import is_valid, status_rules, trip_rules
 from velomart.params import Params
 from velomart.plans import core, intermediate, marts, staging
 from velomart.plans.checks import declared_checks
@@ -33,6 +34,14 @@ CHECKED_OFTEN = (
 )
 
 
+# scratch copies of these are partitioned, so that a reader of one snapshot opens one date
+PARTITIONED = {"fct_station_status": "snapshot_date", "status_changes": "snapshot_date"}
+
+
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    return materialize(df, name, PARTITIONED.get(name))
+
+
 class Models:
     """``store_trips`` writes the trip fact before its first use, which pays off as soon as
     two models of the graph read the trips: the deduplication shuffle then runs once.
@@ -46,7 +55,7 @@ class Models:
         information: DataFrame,
         params: Params,
         store_trips: bool = False,
-        store: Callable[[DataFrame, str], DataFrame] = materialize,
+        store: Callable[[DataFrame, str], DataFrame] = scratch,
     ) -> None:
         self.raw_trips = trips
         self.raw_status = status
@@ -127,10 +136,14 @@ class Models:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        """Every day the raw partitions name; a superset of ``dim_date`` read from metadata."""
-        return core.dim_date(
-            self.raw_trips, self.raw_status, self.params, "_ride_started_date"
+        """The days of ``dim_date`` without deduplicating: valid rows have the same bounds."""
+        trips = (
+            self.fct_trips
+            if self.store_trips
+            else self.cleaned_trips.where(is_valid(trip_rules(self.params)))
         )
+        status = self.cleaned_status.where(is_valid(status_rules(self.params)))
+        return core.dim_date(trips, status, self.params)
 
     @cached_property
     def dim_rider_type(self) -> DataFrame:
@@ -162,9 +175,11 @@ class Models:
 
     @cached_property
     def trips_dq_summary(self) -> DataFrame:
-        return intermediate.trips_dq_summary(
+        """Stored: one row per file and reason, read by several reports."""
+        summary = intermediate.trips_dq_summary(
             self.raw_trips, self.station_id_mapping, self.params
         )
+        return materialize(summary, "trips_dq_summary")
 
     # --- marts ---
 

@@ -21,9 +21,9 @@ from velomart.operators import keep_latest, merge_states
 from velomart.operators import quality as q
 from velomart.params import Params
 from velomart.plans import core, intermediate, staging
-from velomart.plans.models import Models
+from velomart.plans.models import Models, scratch
 from velomart.sources import lake, station_feed, storage, trip_files
-from velomart.workspace import materialize
+from velomart.workspace import application_dir, materialize
 
 # table: (layer, partition column, cluster columns)
 LAYOUT = {
@@ -167,7 +167,7 @@ def ingest_status_payloads(
 
 
 def _models(
-    wh: Warehouse, p: Params, store: Callable[[DataFrame, str], DataFrame] = materialize
+    wh: Warehouse, p: Params, store: Callable[[DataFrame, str], DataFrame] = scratch
 ) -> Models:
     return Models(
         wh.raw("trips", schemas.TRIPS),
@@ -328,6 +328,11 @@ def _extend_archive(wh: Warehouse, models: Models, facts: DataFrame) -> int:
     return late
 
 
+def finish(wh: Warehouse) -> int:
+    """Delete the scratch tables of this application; call it when a run's results are not read on."""
+    return storage.delete(wh.spark, [application_dir(wh.spark)])
+
+
 def watchdog(wh: Warehouse, p: Params) -> DataFrame:
     """Freshness, writer liveness, dead-letter growth and staging rejection, one row each.
 

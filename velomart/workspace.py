@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,11 +44,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the stored table."""
+def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """Write ``df`` once and return the stored table, partitioned by a column if one is named."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df if partition is None else df.hint("rebalance", F.col(partition))
+    writer = rows.write.mode("errorifexists")
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    writer.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored if partition is None else stored.select(*df.columns)
 
 
 def sizing(input_bytes: int, partition_bytes: int = 192 * 2**20) -> dict[str, str]:
