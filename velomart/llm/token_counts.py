@@ -21,14 +21,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's tables; a full table is emptied, counts do not change.
-TABLE = 300_000
+#: Entries of one generation of a worker's table; dropping entries never changes a count.
+TABLE = 250_000
 _END = "</w>"
 #: Printable ASCII needs no library: its letters, digits and the rest are known.
 _PLAIN = re.compile(rb"[!-~]+")
 _PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
+class Table(dict):
+    """A bounded memo: a full generation becomes the old one, and what is used again moves on."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key, value):
+        if len(self) >= TABLE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordBpe:
     """Counts of a tokenizer file whose model is BPE with an end-of-word suffix."""
 
@@ -52,12 +73,12 @@ class WordBpe:
             self.parts.setdefault(whole, (rank, *pair))
         made = {t for t in vocab.values() if self._stands(t)}
         bare = {s: t for s, t in vocab.items() if t in made}
-        self.inner = {s: t for s, t in bare.items() if not s.endswith(_END)}
+        inner = {s: t for s, t in bare.items() if not s.endswith(_END)}
+        # beginnings of tokens that are none themselves, so that a walk knows where to stop
+        self.inner = {s[:k]: -1 for s in inner for k in range(1, len(s))} | inner
         self.final = {s[: -len(_END)]: t for s, t in bare.items() if s.endswith(_END)}
-        self.longest = max(map(len, [*self.inner, *self.final]))
-        self._borders: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, int] = {}
-        self._chunks: dict[bytes, int] = {}
+        self.longest = max(map(len, self.final))
+        self._borders, self._pieces, self._chunks = Table(), Table(), Table()
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int, float]]:
         """(token, made at, used up at) along the right (2) or left (1) edge of a token."""
@@ -86,26 +107,23 @@ class WordBpe:
         return self._stands(left) and self._stands(right) and self._border(left, right, rank)
 
     def follows(self, left: int, right: int) -> bool:
-        key = (left, right)
-        known = self._borders.get(key)
-        if known is None:
-            if len(self._borders) >= TABLE:
-                self._borders.clear()
-            known = self._borders[key] = self._border(left, right)
-        return known
+        known = self._borders[left, right]
+        return self._borders.keep((left, right), self._border(left, right)) if known is None else known
 
     def prefixes(self, piece: str) -> tuple[list[int], list[int]]:
         """Last token and count for every prefix of a byte-level piece, before its word end."""
-        last, count = [-1], [0]
-        for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = self.inner.get(piece[start:end])
-                if token is not None and (start == 0 or last[start] >= 0 and self.follows(last[start], token)):
-                    last.append(token)
-                    count.append(count[start] + 1)
+        n, get, follows = len(piece), self.inner.get, self.follows
+        last, count = [-1] * (n + 1), [0] * (n + 1)
+        for start in range(n):
+            before = last[start]
+            for end in range(start + 1, n + 1):
+                token = get(piece[start:end])
+                if token is None:
                     break
-            else:
-                raise ValueError(f"no token ends at {end} of {piece!r}")
+                if token >= 0 and last[end] < 0 and (start == 0 or follows(before, token)):
+                    last[end], count[end] = token, count[start] + 1
+            if last[start + 1] < 0:  # one symbol is always a token, so each place is reached
+                raise ValueError(f"no token ends at {start + 1} of {piece!r}")
         return last, count
 
     def prefix_counts(self, piece: str) -> list[int]:
@@ -123,12 +141,8 @@ class WordBpe:
         return out
 
     def piece_count(self, piece: str) -> int:
-        found = self._pieces.get(piece)
-        if found is None:
-            if len(self._pieces) >= TABLE:
-                self._pieces.clear()
-            found = self._pieces[piece] = self._whole(piece)
-        return found
+        found = self._pieces[piece]
+        return self._pieces.keep(piece, self._whole(piece)) if found is None else found
 
     def _whole(self, piece: str) -> int:
         if piece in self.final:
@@ -143,12 +157,8 @@ class WordBpe:
 
     def chunk_count(self, chunk: bytes) -> int:
         """Tokens of a run of bytes without ASCII white space."""
-        found = self._chunks.get(chunk)
-        if found is None:
-            if len(self._chunks) >= TABLE:
-                self._chunks.clear()
-            found = self._chunks[chunk] = self._new_chunk(chunk)
-        return found
+        found = self._chunks[chunk]
+        return self._chunks.keep(chunk, self._new_chunk(chunk)) if found is None else found
 
     def _new_chunk(self, chunk: bytes) -> int:
         if self._special and b"<|" in chunk:
