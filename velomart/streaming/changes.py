@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from velomart.operators import keep_latest
 from velomart.plans.intermediate import ARCHIVE_COLUMNS, compared_rows, status_changes
 from velomart.sources import storage
-from velomart.workspace import materialize
+from velomart.workspace import scratch_path
 
 _BATCH = "_batch_id"
 
@@ -43,21 +43,26 @@ def _after_state(rows: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def apply_batch(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Changes and next state of one micro-batch, below ``root``."""
+    """Changes and next state of one micro-batch, below ``root``.
+
+    The batch's rows are stored while it runs, since two plans read them, and dropped after.
+    """
     spark = batch.sparkSession
-    rows = materialize(compared_rows(batch), "stream_rows")
+    work = scratch_path(spark, "micro_batch")
+    compared_rows(batch).write.parquet(f"{work}/rows")
+    rows = spark.read.schema(compared_rows(batch).schema).parquet(f"{work}/rows")
     numbers = [n for n in _state_numbers(spark, f"{root}/state") if n < batch_id]
     state = None
     if numbers:
-        path = f"{root}/state/{_BATCH}={numbers[-1]}"
-        state = spark.read.schema(rows.schema).parquet(path)
-        rows = materialize(_after_state(rows, state), "fresh_rows")
+        state = spark.read.schema(rows.schema).parquet(f"{root}/state/{_BATCH}={numbers[-1]}")
+        _after_state(rows, state).write.parquet(f"{work}/fresh")
+        rows = spark.read.schema(rows.schema).parquet(f"{work}/fresh")
     changes = status_changes(rows, state)
     changes.write.mode("overwrite").parquet(f"{root}/changes/{_BATCH}={batch_id}")
     seen = rows if state is None else state.unionByName(rows)
     seen = keep_latest(seen, ["gbfs_station_id"], ["snapshot_timestamp", "last_reported"])
     seen.write.mode("overwrite").parquet(f"{root}/state/{_BATCH}={batch_id}")
-    storage.delete(spark, [f"{root}/state/{_BATCH}={n}" for n in numbers[:-1]])
+    storage.delete(spark, [work, *[f"{root}/state/{_BATCH}={n}" for n in numbers[:-1]]])
 
 
 def detect_changes(

@@ -285,8 +285,11 @@ def _liveness(m: Models) -> DataFrame:
     ):
         found = quality.check_liveness(lake.newest_write(spark, where), Params(as_of=at))
         checks.append(found.select(F.lit(name).alias("seen"), "check_name", "status"))
-    days = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("days"), F.sum("n").alias("n_rows"))
-    return materialize(quality.union_all(checks).crossJoin(days), "liveness")
+    stored = spark.read.parquet(path)
+    days = stored.agg(F.count(F.lit(1))).scalar()
+    n_rows = stored.agg(F.sum("n")).scalar()
+    found = quality.union_all(checks).withColumns({"days": days, "n_rows": n_rows})
+    return materialize(found, "liveness")
 
 
 model(
