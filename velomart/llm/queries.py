@@ -121,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": sql.LINE_DEDUP,
     "op3_chat": sql.CHAT,
     "op10_licenses": sql.LICENSES,
     "op5_url_filter": sql.URL_FILTER,

@@ -152,6 +152,39 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 20
 """
 
+LINE_DEDUP = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls, text FROM documents),
+l AS (
+  SELECT doc_id, pos, ls[pos + 1] AS line, len(regexp_extract_all(ls[pos + 1], '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS pos FROM d)),
+c AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS upto FROM l),
+pairs AS (  -- stretches of 50 words or more
+  SELECT a.doc_id, a.pos AS lo, b.pos AS hi
+  FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.pos <= b.pos AND b.upto - a.upto + a.words >= 50),
+runs AS (  -- the shortest from each line on, and up to each line
+  SELECT doc_id, lo, min(hi) AS hi FROM pairs GROUP BY doc_id, lo
+  UNION SELECT doc_id, max(lo), hi FROM pairs GROUP BY doc_id, hi),
+copies AS (
+  SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY ls[lo + 1:hi + 1] ORDER BY doc_id, lo) AS nth
+  FROM runs JOIN d USING (doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM copies WHERE nth > 1),
+spans AS (
+  SELECT doc_id, min(pos) AS lo, max(pos) AS hi
+  FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM gone)
+  GROUP BY doc_id, island),
+s AS (
+  SELECT doc_id, sum(hi - lo + 1) AS n, string_agg(lo || '-' || hi, ',' ORDER BY lo) AS removed
+  FROM spans GROUP BY doc_id),
+k AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS kept
+  FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, len(d.ls)::BIGINT AS n_lines, coalesce(s.n, 0)::BIGINT AS n_removed,
+       coalesce(s.removed, '') AS removed,
+       sha256(CASE WHEN s.n IS NULL THEN d.text ELSE coalesce(k.kept, '') END) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
