@@ -299,9 +299,14 @@ def drop_near_duplicates(
     )
     prints = materialize(fingerprints(rows, "text", shingle_words), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
-    kept = _classes(prints, order, radius).select(
-        F.col("kept.file").alias(file), F.col("kept.row").alias(row)
+    classes = _classes(prints, order, radius)
+    # the dropped rows are few, so their join is the one that may turn out to need no shuffle
+    dropped = prints.join(classes, "fp").where(
+        (F.col("kept.file") != F.col("file")) | (F.col("kept.row") != F.col("row"))
     )
-    return keyed.join(kept.distinct(), [file, row], "left_semi").select(
+    dropped = materialize(
+        dropped.select(F.col("file").alias(file), F.col("row").alias(row)), "dropped_rows"
+    )
+    return keyed.join(dropped, [file, row], "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
