@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import fixture_views as fx
@@ -13,7 +13,7 @@ import oracles as o
 from velomart.functions import clean_text
 from velomart.operators import quality
 from velomart.params import Params
-from velomart.plans import intermediate, profiling
+from velomart.plans import intermediate, profiling, refresh
 from velomart.plans.models import Models
 from velomart.schemas import STATION_STATUS_DLQ, TRIP_CSV_COLUMNS
 from velomart.sources import lake, station_feed, storage, trip_files
@@ -232,6 +232,50 @@ model(
 )
 
 
+def _layers(m: Models) -> DataFrame:
+    """Tables stored in their layers: dates per table, rows, and rows out of cluster order."""
+    spark = m.raw_status.sparkSession
+    wh = refresh.Warehouse(spark, scratch_path(spark, "warehouse"))
+    out = []
+    for name, frame, cluster in (
+        ("fct_station_status", m.stored_fct_station_status, "station_key"),
+        ("status_changes", m.stored_status_changes, "gbfs_station_id"),
+        ("dim_date", m.dim_date, None),
+        ("station_state", intermediate.archive_seed(m.stored_status_changes), None),
+    ):
+        wh.store(frame, name)
+        day = storage.partition_value("snapshot_date")
+        layer = F.regexp_extract("path", f"/([^/]+)/{name}/", 1)
+        stored = spark.read.parquet(wh.path(name))
+        unsorted = F.lit(0).cast("long")
+        if cluster is not None:
+            rows = stored.select(F.col(cluster).alias("k"), "_metadata.file_path", "_metadata.row_index")
+            before = F.lag("k").over(Window.partitionBy("file_path").orderBy("row_index"))
+            unsorted = rows.withColumn("b", before).agg(F.count_if(F.col("k") < F.col("b"))).scalar()
+        found = storage.listing(spark, wh.path(name)).groupBy(layer.alias("layer")).agg(
+            F.countDistinct(F.nullif(day, F.lit(""))).alias("n_dates")
+        )
+        counts = {"n_rows": stored.agg(F.count(F.lit(1))).scalar(), "out_of_order": unsorted}
+        out.append(materialize(found.withColumns({"table_name": F.lit(name), **counts}), "layer"))
+    return quality.union_all(out)
+
+
+model(
+    "warehouse_layers",
+    _layers,
+    o.sql(
+        "SELECT 'marts' AS layer, count(DISTINCT snapshot_date) AS n_dates, 'fct_station_status' AS table_name, "
+        "count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM fct_station_status UNION ALL "
+        "SELECT 'intermediate', count(DISTINCT snapshot_date), 'status_changes', count(*), 0 FROM changes UNION ALL "
+        "SELECT 'marts', 0, 'dim_date', count(*), 0 FROM dim_date UNION ALL "
+        "SELECT 'intermediate', 0, 'station_state', count(DISTINCT gbfs_station_id), 0 FROM changes",
+        "fct_station_status",
+        "changes",
+        "dim_date",
+    ),
+)
+
+
 def _lifecycle(m: Models) -> DataFrame:
     """Objects of all ride dates, seen by the age rule of today and of a year from now."""
     spark = m.raw_trips.sparkSession
@@ -334,6 +378,10 @@ def _information(m: Models) -> DataFrame:
     rows, rejected = station_feed.parse_information(station_feed.stations_of(envelopes), at)
     for _ in range(2):
         staged = lake.replace_table(rows, f"{root}/table")
+    try:  # an empty replace is refused and the stored table stays
+        lake.replace_table(rows.where("station_id IS NULL"), f"{root}/table")
+    except lake.EmptyReplaceError:
+        pass
     verdict = station_feed.verify_information(spark.read.parquet(f"{root}/table"), staged.count())
     lake.write_json_lines(staged, f"{root}/lines")
     back = station_feed.read_information(spark, f"{root}/lines")
