@@ -80,7 +80,12 @@ def format_conversations(
     """
     role = F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit(""))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = turns.select(F.col(f"`{conv_col}`").alias("conv"), F.col(f"`{turn_col}`").alias("turn"), role.alias("role"), text.alias("text"))
+    rows = turns.select(
+        F.col(f"`{conv_col}`").alias("conv"),
+        F.col(f"`{turn_col}`").alias("turn"),
+        role.alias("role"),
+        text.alias("text"),
+    )
     escaped = _render(_escape(F.col("role")), _escape(F.col("text")))
     plain = _render(F.col("role"), F.col("text"))
     same = parse(plain) == F.array(F.struct("role", "text"))

@@ -102,7 +102,13 @@ class Index:
     """What a task needs to find the items of one block."""
 
     def __init__(
-        self, items: list[tuple[object, str | None]], similarity: float, recall: float, samples: int, min_words: int, seed: int
+        self,
+        items: list[tuple[object, str | None]],
+        similarity: float,
+        recall: float,
+        samples: int,
+        min_words: int,
+        seed: int,
     ):
         split = [(item, words_of(text)) for item, text in items]
         split = [(item, words) for item, words in split if len(words) >= min_words]

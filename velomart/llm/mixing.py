@@ -31,10 +31,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], budget: float, mo
     """(source, source_size, weight, target) from (source, source_size), nulls last in order."""
     ordered = with_row_number(sizes, [F.col("source").asc_nulls_last()], "nth")
     cycle = F.array(*[F.lit(w) for w in weights])
+    turn = F.pmod(F.col("nth") - 1, F.lit(len(weights))).cast("int") + 1
     weighed = materialize(
-        ordered.select(
-            "source", "source_size", F.element_at(cycle, F.pmod(F.col("nth") - 1, F.lit(len(weights))).cast("int") + 1).alias("weight")
-        ),
+        ordered.select("source", "source_size", F.element_at(cycle, turn).alias("weight")),
         "weighed_sources",
     )
     total = weighed.agg(F.sum("source_size")).first()[0] or 0

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.llm import chat, decontaminate, licenses, line_dedup, mixing, quality, simhash, sql, token_counts, topk, url_filter
+from velomart.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    sql,
+    token_counts,
+    topk,
+    url_filter,
+)
 
 MIN_RUN_WORDS = 50
 EDIT_SIMILARITY, RECALL = 0.8, 0.99

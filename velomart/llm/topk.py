@@ -38,10 +38,16 @@ def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) ->
     v = F.transform(F.col(f"`{vector_col}`"), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("double"))
     finite = F.forall(
         f"`{vector_col}`",
-        lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double") * F.lit(float(scale))) < float(1 << 62)),
+        lambda x: x.isNotNull()
+        & ~F.isnan(x.cast("double"))
+        & (F.abs(x.cast("double") * F.lit(float(scale))) < float(1 << 62)),
     )
     kept = rows.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{vector_col}`").isNotNull() & finite)
-    return kept.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v"), F.size(f"`{vector_col}`").alias("dim"))
+    return kept.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"),
+        v.alias("v"),
+        F.size(f"`{vector_col}`").alias("dim"),
+    )
 
 
 class BallTree:

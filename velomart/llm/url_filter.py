@@ -55,7 +55,8 @@ RULES = (
 
 
 def host_of(url: Column) -> Column:
-    return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), ASCII_UPPER, ASCII_LOWER)
+    found = F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit(""))
+    return F.translate(found, ASCII_UPPER, ASCII_LOWER)
 
 
 def path_of(url: Column) -> Column:
@@ -146,13 +147,12 @@ def judge(
     not read.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("url"))
+    text = F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit(""))
+    rows = pages.select(F.col(f"`{id_col}`").alias("id"), text.alias("url"))
     urls = rows.groupBy("url").agg(F.count(F.lit(1)).alias("rows"))
     urls = urls.withColumn("ruled", _first_fit(host, path, rules, lambda r: r.verdict))
-    urls = materialize(
-        urls.withColumn("held", F.col("ruled").isNotNull() & (F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0)),
-        "urls",
-    )
+    fifth = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0
+    urls = materialize(urls.withColumn("held", F.col("ruled").isNotNull() & fifth), "urls")
     parts = _windows(urls, order)
     counted = [
         F.sum(F.when((F.col("ruled") == c) & ~F.col("held"), F.col("rows")).otherwise(0)).alias(c) for c in CLASSES
