@@ -30,6 +30,27 @@ def test_held_out_labels_change_nothing(spark):
     assert np.array_equal(one.weights, other.weights) and one.cut == other.cut
 
 
+def test_the_cut_covers_all_labelled_rows_whatever_the_sample(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    learned = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    text = {r.doc_id: r.text for r in docs.collect() if r.doc_id in learned}
+    rows, bad = np.array([quality.features(t) for t in text.values()]), sum(learned[k] == 0 for k in text)
+    assert bad > 40 and len(text) - bad > 40
+    for per_class in (40, 4000):
+        ranker = quality.train(docs, labels, per_class=per_class)
+        scores = np.sort(quality.weighted(rows, ranker.weights))
+        assert ranker.cut == (scores[bad - 1] + scores[bad]) / 2
+
+
+def test_cut_among_ties_and_signs(spark):
+    weights = np.eye(quality.N_FEATURES)[0]
+    for scores in ([3.0, -2.0, 0.5, -0.0, 0.0, -1e-300, 7.0], [1.0] * 5 + [2.0], [-1.0, -1.0, 1.0, 1.0]):
+        known = spark.createDataFrame([([x] + [0.0] * 10,) for x in scores], "x array<double>")
+        for bad in range(1, len(scores)):
+            low, high = sorted(scores)[bad - 1 : bad + 1]
+            assert quality.quantile_cut(known, weights, bad) == (low + high) / 2
+
+
 def test_fit_is_bradley_terry():
     rng = np.random.default_rng(1)
     rows = rng.normal(size=(400, quality.N_FEATURES))

@@ -3,12 +3,14 @@
 Each preference pair is a good and a bad labelled document. The model gives every document the
 score ``w . x`` of its features, and the pair the chance ``1 / (1 + exp(-(w . (x_good - x_bad))))``
 that the good one wins; ``w`` minimises the logistic loss over the pairs plus a small ridge. The
-cut is the quantile of the labelled scores at the share of bad labels, and a score becomes a
-number between 0 and 1 by its distance from the cut.
+cut is the quantile of the scores of all labelled documents that are not held out at the share
+of bad labels among them, and a score becomes a number between 0 and 1 by its distance from it.
 
 Features describe the whole text and nothing else. They are made and scored where the rows
-are, without a shuffle. Only the fit leaves the executors: at most ``per_class`` labelled
-documents of either class, those with the least hashes, a bound that does not grow.
+are; of the labelled rows they are stored once, and no text is shuffled. Only the fit of the
+weights is bounded: at most ``per_class`` labelled documents of either class, those with the
+least hashes, and ``PAIRS`` pairs of them. The cut is exact at every size: it is found by
+counts of score keys, 16 bits at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velomart.workspace import materialize
 
 #: Labelled documents of either class that the fit may use.
 PER_CLASS = 4000
@@ -72,7 +75,15 @@ class Ranker:
     cut: float
 
     def score(self, rows: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(rows @ self.weights - self.cut, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(weighted(rows, self.weights) - self.cut, -40, 40)))
+
+
+def weighted(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``rows @ weights``, to the last bit the same however rows are put into batches."""
+    out = np.zeros(len(rows))
+    for k, weight in enumerate(weights):
+        out += rows[:, k] * weight
+    return out
 
 
 def fit(good: np.ndarray, bad: np.ndarray, ridge: float = 1e-3, seed: int = 20) -> Ranker:
@@ -98,7 +109,7 @@ def fit(good: np.ndarray, bad: np.ndarray, ridge: float = 1e-3, seed: int = 20)
         if np.abs(step).max() < 1e-8:
             break
     w = w / scale
-    scores = np.sort(both @ w)
+    scores = np.sort(weighted(both, w))
     at = len(bad)  # the quantile at the share of bad labels, between its two neighbours
     return Ranker(w, float((scores[at - 1] + scores[at]) / 2))
 
@@ -129,6 +140,27 @@ def _score_batches(ranker: Ranker):
     return run
 
 
+def _order_keys(scores: np.ndarray) -> np.ndarray:
+    """Longs in the order of the doubles; the same again turns them back."""
+    bits = (scores + 0.0).view(np.int64)  # no negative zero
+    return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
+
+
+def _score_of(key: int) -> float:
+    bits = np.array([key], np.int64)
+    return float((bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))).view(np.float64)[0])
+
+
+def _key_batches(weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array(batch.column(0).to_pylist(), np.float64).reshape(-1, N_FEATURES)
+            keys = pa.array(_order_keys(weighted(rows, weights)), pa.int64())
+            yield pa.RecordBatch.from_arrays([keys], names=["key"])
+
+    return run
+
+
 def _good_batches(ranker: Ranker, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,6 +175,25 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(part == HOLD_OUT, F.lit(False))
 
 
+def quantile_cut(known: DataFrame, weights: np.ndarray, bad: int) -> float:
+    """The middle between the ``bad`` lowest scores of all rows of ``known`` and the others.
+
+    Each step counts the next 16 bits of the score keys that can still be the place looked
+    for, so a step returns 65 536 counts at most.
+    """
+    keys = materialize(known.select("x").mapInArrow(_key_batches(weights), "key long"), "quality_keys")
+    below, found = 0, None
+    for shift in (48, 32, 16, 0):
+        left = keys if found is None else keys.where(F.shiftright("key", shift + 16) == found)
+        for r in left.groupBy(F.shiftright("key", shift).alias("part")).count().orderBy("part").collect():
+            found, here = r["part"], r["count"]
+            if below + here >= bad:
+                break
+            below += here
+    above = found if below + here > bad else keys.where(F.col("key") > found).agg(F.min("key")).first()[0]
+    return (_score_of(found) + _score_of(above)) / 2
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -151,30 +202,29 @@ def train(
     label_col: str = "quality",
     per_class: int = PER_CLASS,
 ) -> Ranker:
-    """The ranker of the labelled rows that are not held out.
+    """The ranker of the labelled rows that are not held out: weights of a sample, cut of all.
 
     Null ids and labels other than 0 and 1 are not learned from; a label for a document that
     is not there, and a repeated label, mean nothing more. A repeated document counts once.
     """
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
-    known = known.where(F.col("id").isNotNull() & ~held_out(F.col("id"))).distinct()
+    learned = F.col("id").isNotNull() & ~held_out(F.col("id"))
+    known = known.where(learned & F.col("label").isin(0, 1)).distinct()
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    made = rows.where(learned).mapInArrow(_feature_batches(), f"id {kind}, x array<double>")
+    made = made.groupBy("id").agg(F.min("x").alias("x"))
+    known = materialize(made.join(known, "id").select("id", "label", "x"), "quality_features")
     order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
     sample = known.where("label = 0").orderBy(*order).limit(per_class).unionByName(
         known.where("label = 1").orderBy(*order).limit(per_class)
     )
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    found = (
-        rows.join(F.broadcast(sample), "id")  # 2 * per_class rows at most
-        .select("id", "label", "text")
-        .mapInArrow(_feature_batches(), f"id {kind}, label int, x array<double>")
-        .groupBy("id", "label")
-        .agg(F.min("x").alias("x"))
-        .orderBy("id", "label")
-        .collect()
-    )
+    found = sorted(sample.collect(), key=lambda r: (r.id, r.label))
     by_class = [np.array([r.x for r in found if r.label == label], np.float64) for label in (1, 0)]
-    return fit(*[x.reshape(-1, N_FEATURES) for x in by_class])
+    ranker = fit(*[x.reshape(-1, N_FEATURES) for x in by_class])
+    if all(map(len, by_class)):
+        ranker.cut = quantile_cut(known, ranker.weights, known.where("label = 0").count())
+    return ranker
 
 
 def score_quality(
