@@ -44,3 +44,113 @@ def test_rules_name_known_sentences_that_are_one_sentence():
     assert all(k in licenses.SENTENCES for rule in licenses.RULES for k in rule.sentences)
     for text in licenses.SENTENCES.values():
         assert len([p for p in re.split(licenses.SENTENCE_END, text) if p.strip()]) == 1, text
+
+
+GPL_2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL_3 = GPL_2.replace("software;", "software:").replace("Foundation;", "Foundation,").replace("version 2", "version 3")
+LGPL = GPL_2.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 2", "version 2.1")
+AGPL = GPL_3.replace("GNU General", "GNU Affero General")
+APACHE_HEADER = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_3 = """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+EPL = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+
+SPDX-License-Identifier: EPL-2.0"""
+UNLICENSE = """This is free and unencumbered software released into the
+public domain."""
+
+
+def wrapped(text, width):
+    import textwrap
+
+    return "\n".join(textwrap.fill(line, width) for line in text.split("\n"))
+
+
+LONG = [
+    *[(wrapped(MIT, width), [21, 22, 23], 1, ["MIT"]) for width in (40, 72, 80)],
+    (APACHE_HEADER, [5, 6, 7, 8], 1, ["Apache-2.0"]),
+    (GPL_2, [10, 36, 39, 12, 13], 1, ["GPL-2.0-or-later"]),
+    (GPL_3, [10, 11, 12, 13], 1, ["GPL-3.0-or-later"]),
+    (LGPL, [37, 40], 1, ["LGPL-2.1-or-later"]),
+    (AGPL, [10, 45, 12], 1, ["AGPL-3.0-or-later"]),
+    (BSD, [20, 24, 34, 35], 2, ["BSD-2-Clause", "LicenseRef-All-rights-reserved"]),
+    (BSD + BSD_3, [20, 24, 34, 35, 25], 2, ["BSD-3-Clause", "LicenseRef-All-rights-reserved"]),
+    (ISC, [26], 1, ["ISC"]),
+    (MPL, [27], 1, ["MPL-2.0"]),
+    (EPL, [47, 29, 55], 2, ["EPL-2.0"]),
+    (UNLICENSE, [49], 1, ["Unlicense"]),
+]
+LEADERS = ("", "# ", " * ", "// ", ";; ", "-- ", "   ")
+
+
+def test_wrapped_texts_with_and_without_comment_leaders(spark):
+    cases = [
+        ("\n".join((lead + line).rstrip() if lead.strip() else lead + line for line in text.split("\n")), *expected)
+        for text, *expected in LONG
+        for lead in LEADERS
+    ]
+    cases += [(case[0].replace("\n", "\r\n"), *case[1:]) for case in cases]
+    cases = [(f"/*\n{text}\n*/\nint main;", *expected) for text, *expected in cases]
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
+    got = licenses.scan(df).collect()
+    assert len(got) == len(cases)
+    for r in got:
+        assert (r.sentences, r.matches, r.licenses) == cases[r.doc_id][1:], cases[r.doc_id][0]
+
+
+def test_lines_between_other_lines_and_blank_lines(spark):
+    cases = [
+        ("a line\nLicensed under CC BY 4.0\nanother line", [15]),
+        ("Licensed under\nCC BY 4.0\nLicensed under CC BY 4.0", [15, 15]),
+        ("Licensed under\n\nCC BY 4.0", [33]),
+        ("Not licensed under\nCC BY 4.0", [33]),
+        ("Licensed under the Apache License, Version 2.0\n(the \"License\")", [5]),
+        ("Licensed under the Apache License, Version 2.0\nand more", [4]),
+        ("x\x02All rights reserved", []),
+    ]
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
+    for r in licenses.scan(df).collect():
+        assert r.sentences == cases[r.doc_id][1], cases[r.doc_id][0]

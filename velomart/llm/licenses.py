@@ -6,19 +6,27 @@ ordered list of identifiers that must follow each other in that sequence, whatev
 sentences stand between. Rules are tried in order, longer ones before the short notices they
 contain, and a match uses up its sentences.
 
+A sentence may be wrapped: marks that begin a line (comment leaders) are dropped, and a known
+sentence is found from the beginning of a line or sentence to the end of a line or sentence,
+across single line feeds. A blank line ends a sentence, also one that holds only marks. So a
+one-line notice between other lines is found as well, and of two that begin alike the longer.
+
 All of it happens inside the row that holds the text, with expressions: no shuffle, no limit.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A sentence ends at a line feed, or at . ! ? ; or : before white space or the end.
-SENTENCE_END = r"\n|[.!?;:]+(?=[ \t\n\x0B\f\r]|$)"
-OTHER = r"[^\p{L}\p{N}]+"
+#: A sentence ends at a blank line, or at . ! ? ; or : before white space or the end.
+SENTENCE_END = r"\n\n+|[.!?;:]+(?=[ \t\n\x0B\f\r]|$)"
+LEADER = r"(^|\n)[^\p{L}\p{N}\n]+"
+#: Stands for a sentence end until all else but letters, digits and line feeds is folded.
+END = "\x02"
 
 #: Known license sentences; fixed values, the public wording of each license or notice.
 SENTENCES = {
@@ -64,6 +72,46 @@ SENTENCES = {
     31: "Apache-2.0",
     32: "GPL-3.0-or-later",
     33: "CC-BY-4.0",
+    34: "Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+    " following disclaimer",
+    35: "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the"
+    " following disclaimer in the documentation and/or other materials provided with the distribution",
+    36: "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by"
+    " the Free Software Foundation",
+    37: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as"
+    " published by the Free Software Foundation",
+    38: "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as"
+    " published by the Free Software Foundation",
+    39: "either version 2 of the License, or (at your option) any later version",
+    40: "either version 2.1 of the License, or (at your option) any later version",
+    41: "either version 3 of the License, or (at your option) any later version",
+    42: "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by"
+    " the Free Software Foundation, either version 2 of the License, or (at your option) any later version",
+    43: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as"
+    " published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version",
+    44: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as"
+    " published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    45: "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as"
+    " published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    46: "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as"
+    " published by the Free Software Foundation",
+    47: "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+    " 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    48: "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+    " v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    49: "This is free and unencumbered software released into the public domain",
+    50: "GPL-2.0-only",
+    51: "GPL-2.0-or-later",
+    52: "LGPL-2.1-or-later",
+    53: "LGPL-3.0-or-later",
+    54: "AGPL-3.0-or-later",
+    55: "EPL-2.0",
+    56: "Unlicense",
+    57: "BSD-2-Clause",
+    58: "BSD-3-Clause",
+    59: "ISC",
+    60: "MPL-2.0",
+    61: "GPL-3.0-only",
 }
 
 
@@ -78,6 +126,10 @@ RULES = (
     LicenseRule("MIT", (21, 22, 23)),
     LicenseRule("Apache-2.0", (5, 6, 7, 8)),
     LicenseRule("GPL-3.0-or-later", (10, 11, 12, 13)),
+    LicenseRule("BSD-3-Clause", (24, 34, 35, 25)),
+    LicenseRule("BSD-2-Clause", (24, 34, 35)),
+    LicenseRule("BSD-3-Clause", (24, 34, 25)),
+    LicenseRule("BSD-3-Clause", (24, 35, 25)),
     LicenseRule("BSD-3-Clause", (24, 25)),
     LicenseRule("Apache-2.0", (5, 6)),
     LicenseRule("GPL-3.0-or-later", (10, 11)),
@@ -102,19 +154,57 @@ RULES = (
     LicenseRule("CC-BY-4.0", (17,)),
     LicenseRule("CC-BY-4.0", (29, 33)),
     LicenseRule("CC0-1.0", (28,)),
+    LicenseRule("GPL-2.0-or-later", (36, 39)),
+    LicenseRule("GPL-2.0-or-later", (42,)),
+    LicenseRule("GPL-2.0-only", (46,)),
+    LicenseRule("GPL-3.0-or-later", (36, 41)),
+    LicenseRule("LGPL-2.1-or-later", (37, 40)),
+    LicenseRule("LGPL-2.1-or-later", (43,)),
+    LicenseRule("LGPL-3.0-or-later", (37, 41)),
+    LicenseRule("LGPL-3.0-or-later", (44,)),
+    LicenseRule("AGPL-3.0-or-later", (38, 41)),
+    LicenseRule("AGPL-3.0-or-later", (45,)),
+    LicenseRule("EPL-2.0", (47,)),
+    LicenseRule("EPL-1.0", (48,)),
+    LicenseRule("Unlicense", (49,)),
+    LicenseRule("GPL-2.0-only", (29, 50)),
+    LicenseRule("GPL-2.0-or-later", (29, 51)),
+    LicenseRule("LGPL-2.1-or-later", (29, 52)),
+    LicenseRule("LGPL-3.0-or-later", (29, 53)),
+    LicenseRule("AGPL-3.0-or-later", (29, 54)),
+    LicenseRule("EPL-2.0", (29, 55)),
+    LicenseRule("Unlicense", (29, 56)),
+    LicenseRule("BSD-2-Clause", (29, 57)),
+    LicenseRule("BSD-3-Clause", (29, 58)),
+    LicenseRule("ISC", (29, 59)),
+    LicenseRule("MPL-2.0", (29, 60)),
+    LicenseRule("GPL-3.0-only", (29, 61)),
     LicenseRule("LicenseRef-All-rights-reserved", (20,)),
 )
 
 
-def _folded(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), OTHER, " "))
+def _folded(text: str) -> str:
+    return " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in text.lower()).split())
+
+
+def _spelled(text: Column) -> Column:
+    """Lower-case words between single blanks, line feeds (``\\n``) and sentence ends (``.``)."""
+    marked = F.translate(F.lower(text), END, " ")
+    marked = F.regexp_replace(marked, LEADER, "$1")
+    marked = F.regexp_replace(marked, SENTENCE_END, END)
+    marked = F.regexp_replace(marked, rf"[^\p{{L}}\p{{N}}\n{END}]+", " ")
+    marked = F.regexp_replace(marked, rf" ?{END}[ \n{END}]*", ".")
+    return F.trim(F.regexp_replace(marked, r" ?\n ?", "\n"))
 
 
 def _identifiers(text: Column, sentences: dict[int, str]) -> Column:
     """The identifiers of the known sentences of a text, in order."""
-    known = F.create_map(*[x for k, s in sentences.items() for x in (_folded(F.lit(s)), F.lit(k))])
-    found = F.transform(F.split(text, SENTENCE_END, -1), lambda s: F.element_at(known, _folded(s)))
-    return F.filter(found, lambda k: k.isNotNull())
+    folded = {_folded(s): k for k, s in sentences.items()}
+    longest_first = sorted(filter(None, folded), key=len, reverse=True)
+    known = F.create_map(*[F.lit(x) for pair in folded.items() for x in pair])
+    either = "|".join(s.replace(" ", "[ \\n]") for s in longest_first)
+    found = F.regexp_extract_all(_spelled(text), F.lit(rf"(?<![^.\n])(?:{either})(?![^.\n])"), F.lit(0))
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
 
 
 def pattern(rule: LicenseRule) -> str:
