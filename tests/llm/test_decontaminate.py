@@ -127,3 +127,52 @@ def test_documents_do_not_run_into_each_other():
     index = d.Index([(1, "one two three four five six seven eight nine ten")], 0.8, 0.99, 3, 5, 20)
     texts = pa.array(["one two three four five six", "seven eight nine ten", "seven eight nine ten"])
     assert list(d._found(index, texts)) == []
+
+
+def exactly_edited(words, edits, rng):
+    """That many words of ``words``, all at different places, substituted, deleted or preceded by a new one."""
+    words = list(words)
+    for at in sorted(rng.sample(range(len(words)), edits), reverse=True):
+        kind = rng.randrange(3)
+        words[at : at + (kind != 2)] = [f"new{at}"] if kind != 1 else []
+    return words
+
+
+def long_items(sizes, seed=11):
+    rng = random.Random(seed)
+    vocabulary = [f"wort{k}" for k in range(5000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=n))) for k, n in enumerate(sizes)]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        planted = exactly_edited(words, d.allowed_edits(len(words), 0.8), rng)
+        texts.append(" ".join([*rng.choices(vocabulary, k=90), *planted, *rng.choices(vocabulary, k=90)]))
+    return items, texts
+
+
+def test_long_items_are_found_at_the_threshold():
+    sizes = [65, 100, 129, 300, 1000, 1000] + [1600] * 6 + [3200] * 6
+    items, texts = long_items(sizes)
+    index = d.Index(items, 0.8, 0.99, 3, 5, 20)
+    found = {(row[0], row[1]): row for row in d._found(index, pa.array(texts))}
+    assert set(found) == {(k, k) for k in range(len(sizes))}
+    for (k, _), (_, _, edits, first, size) in found.items():
+        assert edits <= d.allowed_edits(sizes[k], 0.8) and abs(first - 90) <= 20 and size == sizes[k]
+    over = " ".join(exactly_edited(items[5][1].split(), 300, random.Random(1)))
+    piece = " ".join(items[5][1].split()[100:300])
+    assert list(d._found(index, pa.array([over, piece]))) == []
+
+
+def test_an_item_beside_a_copy_of_one_of_its_parts():
+    items, texts = long_items([400])
+    index = d.Index(items, 0.8, 0.99, 3, 5, 20)
+    part = " ".join(items[0][1].split()[150:260])
+    for text in (f"{part} {texts[0]}", f"{texts[0]} {part}", " ".join(texts[0].split()[90:-90])):
+        (row,) = d._found(index, pa.array([text]))
+        assert row[2] == plain_edits(items[0][1].split(), text.split())
+
+
+def test_every_class_meets_the_recall_it_promises():
+    items, _ = long_items([15, 20, 30, 45, 59, 64, 200, 1500])
+    index = d.Index(items, 0.8, 0.99, 3, 5, 20)
+    assert all(c.recall >= 0.99 and c.longest <= d.PART_WORDS for c in index.classes)

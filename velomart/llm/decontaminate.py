@@ -7,11 +7,14 @@ A CGK embedding walks over a text: step j writes the word under the pointer, and
 of (j, word) says whether the pointer moves. Two texts at a small edit distance meet again
 after each edit, so their embeddings differ in few places, and an LSH key of a few sampled
 places agrees with a probability that is measured, not assumed: before the scan the driver
-edits the items at random to the very threshold and sets the number of repetitions so that the
-target recall is met. Windows have the size of the items, in length classes a quarter apart. A
-window is only embedded if it holds as many of the items' word pairs as any stretch within
-the threshold must (the q-gram lemma), which loses nothing. Every hit is verified by an exact
-edit distance against all stretches around the window.
+edits the items at random to the very threshold, scans these texts and adds repetitions until
+the share found meets the target recall. That probability falls with the length, so an item of
+more than ``PART_WORDS`` words is looked for by parts: of the parts of a passage within the
+threshold one at least has no higher rate of edits. Windows have the size of the parts, in
+length classes a quarter apart. A window is only embedded if it holds as many of the items'
+word pairs as any stretch within the threshold must (the q-gram lemma), which loses nothing.
+Every hit is verified by an exact edit distance of the part, then of the whole item, against
+all stretches around the window.
 
 Documents are never shuffled. The items go to the tasks in blocks of a bounded size, one scan
 per block, so a large benchmark takes more scans, not more memory.
@@ -37,6 +40,10 @@ CHUNK_WORDS = 1 << 19
 PAIR_BITS = 22
 #: Length classes: the longest item of a class is this much longer than the shortest.
 CLASS_RATIO = 1.25
+#: Longer items are looked for by parts of nearly equal size.
+PART_WORDS = 64
+#: Edited parts of a length class that are scanned to measure the recall.
+TRIALS = 200
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -51,16 +58,17 @@ def allowed_edits(n: int, similarity: float) -> int:
 
 @dataclass
 class LengthClass:
-    """Items of similar length, their embedding and their LSH table."""
+    """Parts of similar length, their embedding and their LSH table."""
 
-    size: int  # words of a window: the shortest item
+    size: int  # words of a window: the shortest part
     longest: int
     pairs: int  # known word pairs that a window of the longest size must hold
-    members: np.ndarray  # index of items
+    members: np.ndarray  # index of parts
     moves: np.ndarray = field(default=None)  # repetitions x steps: odd multipliers of the walk
     sampled: np.ndarray = field(default=None)  # repetitions x steps, bool
     codes: np.ndarray = field(default=None)  # sorted LSH codes
-    owners: np.ndarray = field(default=None)  # index of item for each code
+    recall: float = 0.0  # share of the edited parts that a scan finds
+    owners: np.ndarray = field(default=None)  # index of part for each code
 
 
 def embed(tokens: np.ndarray, starts: np.ndarray, c: LengthClass) -> np.ndarray:
@@ -89,12 +97,11 @@ def _walk(c: LengthClass, reps: int, samples: int, rng: np.random.Generator) ->
 
 
 def _edited(tokens: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
-    """``tokens`` after that many random substitutions, deletions and insertions."""
+    """``tokens`` with that many words substituted, deleted or preceded by a new one."""
     out = list(tokens)
-    for _ in range(edits):
-        at, new = int(rng.integers(0, len(out))), np.uint64(rng.integers(1 << 40, 1 << 62))
+    for at in sorted(rng.choice(len(out), edits, replace=False).tolist(), reverse=True):
         kind = int(rng.integers(0, 3))
-        out[at : at + (kind != 2)] = [new] if kind != 1 or len(out) == 1 else []
+        out[at : at + (kind != 2)] = [np.uint64(0)] if kind != 1 or len(out) == 1 else []
     return np.array(out, np.uint64)
 
 
@@ -117,6 +124,11 @@ class Index:
         self.word = {w: k + 2 for k, w in enumerate(vocabulary)}  # 0: unknown, 1: past the end
         self.tokens = [np.array([self.word[w] for w in words], np.uint64) for _, words in split]
         self.edits = [allowed_edits(len(t), similarity) for t in self.tokens]
+        cuts = [np.array_split(t, -(-len(t) // PART_WORDS)) for t in self.tokens]
+        self.parts = [part for own in cuts for part in own]
+        self.part_edits = [allowed_edits(len(part), similarity) for part in self.parts]
+        self.item_of = np.repeat(np.arange(len(cuts)), [len(own) for own in cuts]).tolist()
+        self.offsets = [int(n) for own in cuts for n in np.cumsum([0, *map(len, own)])[:-1]]
         self.pairs = np.zeros(1 << PAIR_BITS, bool)
         for t in self.tokens:
             self.pairs[_pair_slots(t)] = True
@@ -124,31 +136,39 @@ class Index:
         self.classes = [self._table(c, recall, samples, rng) for c in self._length_classes()]
 
     def _length_classes(self) -> list[LengthClass]:
-        out, order = [], sorted(range(len(self.tokens)), key=lambda k: len(self.tokens[k]))
+        out, order = [], sorted(range(len(self.parts)), key=lambda k: len(self.parts[k]))
         while order:
-            size = len(self.tokens[order[0]])
-            own = [k for k in order if len(self.tokens[k]) <= CLASS_RATIO * size]
-            needed = min(len(self.tokens[k]) - 1 - 2 * self.edits[k] for k in own)
-            out.append(LengthClass(size, len(self.tokens[own[-1]]), max(0, needed), np.array(own)))
+            size = len(self.parts[order[0]])
+            own = [k for k in order if len(self.parts[k]) <= CLASS_RATIO * size]
+            needed = min(len(self.parts[k]) - 1 - 2 * self.part_edits[k] for k in own)
+            out.append(LengthClass(size, len(self.parts[own[-1]]), max(0, needed), np.array(own)))
             order = order[len(own) :]
         return out
 
     def _table(self, c: LengthClass, recall: float, samples: int, rng: np.random.Generator) -> LengthClass:
-        """Sets repetitions from the measured chance of one repetition, then indexes the items."""
-        trial = c.members[rng.integers(0, len(c.members), 64)]
+        """Indexes the parts with as many repetitions as the target recall takes on edited parts."""
+        trial = c.members[rng.integers(0, len(c.members), TRIALS)]
+        near = [_edited(self.parts[k], self.part_edits[k], rng) for k in trial]
+        gap = np.zeros(c.longest, np.uint64)
+        laid = np.concatenate([x for text in near for x in (gap, text, gap)])
+        bounds = np.cumsum([0, *[len(text) + 2 * len(gap) for text in near]])
+        starts = self._starts(laid, self._known(laid), c)
         _walk(c, 16, samples, rng)
-        met = 0
-        for k in trial:
-            near = _edited(self.tokens[k], self.edits[k], rng)
-            zero = np.zeros(1, np.int64)
-            met += int((embed(self.tokens[k], zero, c) == embed(_fill(near, c.size), zero, c)).sum())
-        chance = min(0.999, max(0.02, met / (16 * len(trial))))
-        _walk(c, max(4, int(np.ceil(np.log(1 - recall) / np.log(1 - chance)))), samples, rng)
-        codes = [embed(self.tokens[k], np.zeros(1, np.int64), c)[:, 0] for k in c.members]
-        flat, owners = np.concatenate(codes), np.repeat(c.members, len(c.moves))
-        order = np.argsort(flat, kind="stable")
-        c.codes, c.owners = flat[order], owners[order]
-        return c
+        zero = np.zeros(1, np.int64)
+        same = [embed(self.parts[k], zero, c) == embed(_fill(x, c.size), zero, c) for k, x in zip(trial, near, strict=True)]
+        chance = min(0.999, max(1, np.sum(same)) / (16 * TRIALS))  # a first guess, without a say in the end
+        reps = max(4, int(np.ceil(np.log(1 - recall) / np.log(1 - chance))))
+        while True:
+            _walk(c, reps, samples, rng)
+            codes = [embed(self.parts[k], zero, c)[:, 0] for k in c.members]
+            flat, owners = np.concatenate(codes), np.repeat(c.members, len(c.moves))
+            order = np.argsort(flat, kind="stable")
+            c.codes, c.owners = flat[order], owners[order]
+            found = {(doc, part) for doc, part, _ in self._near(laid, starts, bounds, c)}
+            c.recall = sum((doc, part) in found for doc, part in enumerate(trial.tolist())) / TRIALS
+            if c.recall >= recall:
+                return c
+            reps = -(-5 * reps // 4)
 
     def tokens_of(self, words: list[bytes]) -> np.ndarray:
         get = self.word.get
@@ -158,19 +178,30 @@ class Index:
         """(document, item, edits, first word) for documents laid end to end at ``bounds``."""
         if not len(tokens) or not self.classes:
             return
+        known = self._known(tokens)
+        near: set[tuple[int, int, int]] = set()
+        for c in self.classes:
+            near.update(self._near(tokens, self._starts(tokens, known, c), bounds, c))
+        yield from self._verified(tokens, bounds, sorted(near))
+
+    def _known(self, tokens: np.ndarray) -> np.ndarray:
+        """Running number of word pairs that the items have."""
         known = np.zeros(len(tokens) + 1, np.int32)
         if len(tokens) > 1:
             hit = self.pairs[_pair_slots(tokens)] & (tokens[:-1] > 0) & (tokens[1:] > 0)
             np.cumsum(hit, out=known[1:-1])
             known[-1] = known[-2]
-        near: set[tuple[int, int, int]] = set()
-        for c in self.classes:
-            last = len(tokens) - 1
-            ends = np.minimum(np.arange(len(tokens)) + c.longest - 1, last)
-            starts = np.nonzero(known[ends] - known[: len(tokens)] >= c.pairs)[0]
-            for lo in range(0, len(starts), 1 << 14):
-                near.update(self._candidates(tokens, starts[lo : lo + (1 << 14)], bounds, c))
-        yield from self._verified(tokens, bounds, sorted(near))
+        return known
+
+    def _starts(self, tokens: np.ndarray, known: np.ndarray, c: LengthClass) -> np.ndarray:
+        ends = np.minimum(np.arange(len(tokens)) + c.longest - 1, len(tokens) - 1)
+        return np.nonzero(known[ends] - known[: len(tokens)] >= c.pairs)[0]
+
+    def _near(
+        self, tokens: np.ndarray, starts: np.ndarray, bounds: np.ndarray, c: LengthClass
+    ) -> Iterator[tuple[int, int, int]]:
+        for lo in range(0, len(starts), 1 << 14):
+            yield from self._candidates(tokens, starts[lo : lo + (1 << 14)], bounds, c)
 
     def _candidates(
         self, tokens: np.ndarray, starts: np.ndarray, bounds: np.ndarray, c: LengthClass
@@ -183,33 +214,56 @@ class Index:
             return
         where = np.repeat(hits, n[hits])
         nth = np.arange(len(where)) - np.repeat(np.cumsum(n[hits]) - n[hits], n[hits])
-        items = c.owners[left[where] + nth]
+        parts = c.owners[left[where] + nth]
         at = starts[where % len(starts)]
         docs = np.searchsorted(bounds, at, "right") - 1
-        found = np.unique(np.stack([docs, items, at]), axis=1)
+        found = np.unique(np.stack([docs, parts, at]), axis=1)
         yield from map(tuple, found.T.tolist())
 
     def _verified(
         self, tokens: np.ndarray, bounds: np.ndarray, near: list[tuple[int, int, int]]
     ) -> Iterator[tuple[int, int, int, int]]:
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        k = 0
-        while k < len(near):
-            doc, item, lo = near[k]
-            size, edits = len(self.tokens[item]), self.edits[item]
-            hi = lo
-            while k < len(near) and near[k][:2] == (doc, item) and near[k][2] <= hi + size:
-                hi = near[k][2]
-                k += 1
-            lo, hi = max(bounds[doc], lo - edits), min(bounds[doc + 1], hi + size + edits)
-            distance, first = nearest(self.tokens[item], tokens[lo:hi], edits)
-            found = (distance, int(lo - bounds[doc]) + first)
-            if distance <= edits and found < best.get((doc, item), (1 << 60, 0)):
-                best[doc, item] = found
+        whole: set[tuple[int, int, int]] = set()
+        for doc, part, distance, first, lo, hi in _closest(tokens, bounds, near, self.parts, self.part_edits, 1):
+            item, offset = self.item_of[part], self.offsets[part]
+            if len(self.parts[part]) < len(self.tokens[item]):
+                whole |= {(doc, item, lo - offset), (doc, item, hi - offset)}
+            else:
+                best[doc, item] = min(best.get((doc, item), (1 << 60, 0)), (distance, first))
+        # edits before a part move it, so that the item may begin and end later by as many words
+        for doc, item, distance, first, _, _ in _closest(tokens, bounds, sorted(whole), self.tokens, self.edits, 2):
+            best[doc, item] = min(best.get((doc, item), (1 << 60, 0)), (distance, first))
         for (doc, item), (distance, first) in sorted(best.items()):
             yield doc, item, distance, first
 
 
+def _closest(
+    tokens: np.ndarray,
+    bounds: np.ndarray,
+    near: list[tuple[int, int, int]],
+    wanted: list[np.ndarray],
+    edits: list[int],
+    after: int,
+) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(document, wanted, edits, first word, lo, hi) of the runs lo to hi of ``near`` that hold it.
+
+    Text is read from ``edits`` words before a run to ``after * edits`` beyond its last stretch.
+    """
+    k = 0
+    while k < len(near):
+        doc, which, lo = near[k]
+        size, most = len(wanted[which]), edits[which]
+        hi = lo
+        while k < len(near) and near[k][:2] == (doc, which) and near[k][2] <= hi + size:
+            hi = near[k][2]
+            k += 1
+        begin, end = max(bounds[doc], lo - most), min(bounds[doc + 1], hi + size + after * most)
+        distance, first = nearest(wanted[which], tokens[begin:end], most)
+        if distance <= most:
+            yield doc, which, distance, int(begin - bounds[doc]) + first, lo, hi
+
+
 def _fill(tokens: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate([tokens, np.zeros(max(0, size - len(tokens)) + 1, np.uint64)])
 
