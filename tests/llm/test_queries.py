@@ -22,7 +22,7 @@ def test_query_equals_its_twin(spark, duck, sf_dir, name):
 
 def test_one_query_for_each_operator():
     names = [m[1] for n in contract.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(map(int, names)) == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert sorted(map(int, names)) == list(range(1, 14)) and "pipeline" in contract.queries()
 
 
 COLUMNS = {

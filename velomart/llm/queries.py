@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velomart.llm import (
+    byte_bpe,
     chat,
     decontaminate,
     licenses,
@@ -28,6 +29,7 @@ URL_ORDER = 4
 QUERY_STEP, TOP_K, VECTOR_SCALE = 20, 20, 64
 WEIGHTS, BUDGET, MOST_COPIES = (3, 1, 2), 1.5, 2
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
+BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -120,6 +122,17 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens, and digests of the ids and of the bytes decoded from them."""
+    ids = byte_bpe.encode_packed(_read(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+    return byte_bpe.decode(ids, BYTE_VOCABULARY).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -131,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": sql.LINE_DEDUP,
