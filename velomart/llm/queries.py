@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velomart.llm import (
     byte_bpe,
     chat,
+    conversation_repair,
     decontaminate,
     licenses,
     line_dedup,
@@ -133,6 +136,78 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """The damage that the contract of operator 13 does to conversations."""
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn"))) % 20
+    text, role = text_of("text"), text_of("role")
+    return (
+        rows.withColumn("damage", kind)
+        .where("damage <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("damage") == 4, "user").otherwise(role).alias("role"),
+            F.when(F.col("damage") == 1, "")
+            .when(F.col("damage") == 2, F.regexp_replace(text, "[.!?]", ""))
+            .otherwise(text)
+            .alias("text"),
+            F.explode(F.when(F.col("damage") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+        )
+        .drop("col")
+    )
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (conv, role, text) rows to a digest of each conversation; only the hash is held."""
+    current, digest = None, None
+    out: list[tuple] = []
+    for batch in batches:
+        for conv, role, text in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
+            if digest is None or conv != current:
+                if digest is not None:
+                    out.append((current, digest.hexdigest()))
+                current, digest = conv, hashlib.sha256()
+            else:
+                digest.update(b"\n")
+            digest.update(f"{role}:{text}".encode())
+        if out:
+            yield _digest_batch(out, batch.schema.field(0).type)
+            out = []
+    if digest is not None:
+        yield _digest_batch([(current, digest.hexdigest())], batch.schema.field(0).type)
+
+
+def _digest_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    columns = [pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["conv", "repaired_sha256"])
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and a digest of the repaired rows of every damaged conversation."""
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.repair(_damaged(rows))
+    kind = found.audit.schema["conv"].dataType.simpleString()
+    digests = (
+        found.rows.repartition("conv")
+        .sortWithinPartitions("conv", "n", "j")
+        .select("conv", "role", "text")
+        .mapInArrow(_digests, f"conv {kind}, repaired_sha256 string")
+        .withColumnRenamed("conv", "repaired_conv")
+    )
+    convs = rows.select("conv_id").distinct()
+    joined = convs.join(found.audit, F.col("conv_id").eqNullSafe(F.col("conv")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("repaired_conv")), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -145,6 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
     "op11_byte_bpe": op11_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": sql.LINE_DEDUP,
