@@ -73,9 +73,12 @@ def test_edge_cases_and_small_blocks(spark):
     rows = [(None, None, 1), (1, "", 2), (1, "", 2), (2, "<|endoftext|> a", 3), (None, "x y" * 50_000, 4), (3, "z" * 20_000, 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, block int").selectExpr("*", "block AS ids", "block AS words")
     wanted = sorted(((i, LIBRARY.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows), key=str)
-    for chars in (byte_bpe.BLOCK_CHARS, 1):
+    for chars in (byte_bpe.BLOCK_CHARS, 1, 60_000):
         found = byte_bpe.decode(byte_bpe.encode(docs, NAME, block_chars=chars), NAME, decoded_col="as_text").collect()
         assert sorted(((r.doc_id, list(r.ids), bytes(r.as_text)) for r in found), key=str) == wanted
+    packed = byte_bpe.encode_packed(docs, NAME, block_chars=1, bucket_rows=2, part_blocks=2)
+    found = byte_bpe.decode(packed, NAME).collect()
+    assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in found), key=str) == wanted
     assert byte_bpe.encode(docs.limit(0), NAME).collect() == []
     none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [bytes(r.decoded) for r in byte_bpe.decode(none, NAME).collect()] == [b"", b""]

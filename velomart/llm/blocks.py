@@ -34,3 +34,23 @@ class Codes(dict):
     def __missing__(self, key):
         code = self[key] = len(self)
         return code
+
+
+def pack_bytes(values: list[bytes]) -> bytes:
+    """Byte strings in one value: the packed lengths' size, the packed lengths, the bytes."""
+    sizes = pack(np.fromiter(map(len, values), np.uint32, len(values)))
+    body = zstandard.ZstdCompressor(level=3).compress(b"".join(values))
+    return len(sizes).to_bytes(4, "little") + sizes + body
+
+
+def unpack_bytes(packed: bytes) -> list[bytes]:
+    start = 4 + int.from_bytes(packed[:4], "little")
+    ends = np.cumsum(unpack(packed[4:start]), dtype=np.int64).tolist()
+    body = zstandard.ZstdDecompressor().decompress(packed[start:])
+    return [body[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches [start, start + size) of ``flat``, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]

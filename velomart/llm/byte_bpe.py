@@ -1,14 +1,17 @@
 """Byte-level BPE: every distinct pre-token of the corpus is encoded once.
 
 A text is cut into pre-tokens, and each is merged by the ranks of a vocabulary file. Pre-tokens
-repeat all over a corpus, so they are exploded with their positions, and only the distinct ones
-are encoded; a join on the pre-token brings the ids back, and positions put them in order.
+repeat all over a corpus, so they are exploded with their positions, shuffled by pre-token, and
+encoded where equal ones meet; the ids go back by block, and positions put them in order.
 
 Before the shuffle the exploded rows are aggregated. Whole texts are gathered to blocks of
-bounded size, and a block holds one row per distinct pre-token, whose number stands at each
-position it occurs at. The rows (block, number, pre-token) go through the join; the positions
-go once, packed, to the task that puts the block together again. A frequent pre-token is one row
-per block there, a key of a join between stored tables, which adaptive execution splits.
+bounded size, and a block holds each of its distinct pre-tokens once, with a number that stands at
+each position. Only (block, number, pre-token) is dealt by the hash of the pre-token, packed by
+bucket; the positions go once, packed, to the task that puts the block together again.
+
+The number of buckets grows with the rows to deal, and a bucket holds the rows of about
+``BLOCKS`` blocks at most, so a pre-token that occurs everywhere adds so many rows to a bucket at most.
+Above that many blocks it is encoded once for each ``BLOCKS`` of them.
 
 Decoding joins ids with the table of token bytes. That table has one row per token of the
 vocabulary file, its size is checked, and it is broadcast.
@@ -26,15 +29,20 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velomart.llm.blocks import Codes, block_numbers, pack, unpack
+from velomart.llm.blocks import Codes, block_numbers, gather, pack, pack_bytes, unpack, unpack_bytes
 from velomart.workspace import materialize
 
 #: A block ends with the text that brings it to so many characters or rows.
-BLOCK_CHARS, BLOCK_ROWS = 4 << 20, 1 << 16
+BLOCK_CHARS, BLOCK_ROWS = 8 << 20, 1 << 16
+#: A bucket holds about so many (block, pre-token) rows, from so many blocks at most.
+BUCKET_ROWS, BLOCKS = 1 << 20, 1 << 20
+#: Tokens that are decoded at a time.
+DECODED = 1 << 18
 #: Most bytes of a table of token bytes that is broadcast; vocabularies hold a few hundred kB.
 TABLE_BYTES = 64 << 20
 #: Pre-tokens of more bytes are merged with a heap.
@@ -84,15 +92,20 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[word]]
     if len(word) > SHORT:
         return _merge_long(word, ranks)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    while len(parts) > 1:
-        pairs = [ranks.get(a + b, -1) for a, b in zip(parts, parts[1:], strict=False)]
-        best = min((r for r in pairs if r >= 0), default=None)
-        if best is None:
+    none, get = len(ranks) + (1 << 32), ranks.get
+    cuts = list(range(len(word) + 1))
+    pairs = [get(word[i : i + 2], none) for i in range(len(word) - 1)]
+    while pairs:
+        best = min(pairs)
+        if best == none:
             break
         at = pairs.index(best)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
+        del cuts[at + 1], pairs[at]
+        if at < len(pairs):
+            pairs[at] = get(word[cuts[at] : cuts[at + 2]], none)
+        if at:
+            pairs[at - 1] = get(word[cuts[at - 1] : cuts[at + 1]], none)
+    return [ranks[word[i:j]] for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
 def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -149,9 +162,10 @@ def _cut(block_chars: int):
                 pa.ListArray.from_arrays([0, len(sizes)], pa.concat_arrays(ids)),
                 pa.array([sizes], pa.list_(pa.int32())),
                 pa.array([pack(np.concatenate(codes))], pa.binary()),
-                pa.array([list(words)], pa.list_(pa.string())),
+                pa.array([pack_bytes([w.encode() for w in words])], pa.binary()),
+                pa.array([len(words)], pa.int64()),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "codes", "words"])
+            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "codes", "words", "n_words"])
 
         for batch in batches:
             for i, value in enumerate(batch.column(1)):
@@ -170,20 +184,61 @@ def _cut(block_chars: int):
     return run
 
 
-def _encode_words(name: str):
+def _deal(buckets: int):
+    """(part, block, words) to one row per bucket: the pre-tokens of a bucket and their numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _ranks_of_worker(name)
         for batch in batches:
-            found = [np.array(merge(w.as_py().encode(), ranks), "<u4").tobytes() for w in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["word", "ids"])
+            for part, block, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = unpack_bytes(packed)
+                dealt = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(buckets)
+                order = np.argsort(dealt, kind="stable")
+                ends = np.flatnonzero(np.diff(dealt[order], append=np.uint64(buckets)))
+                rows, lo = [], 0
+                for hi in (ends + 1).tolist():
+                    codes = order[lo:hi]
+                    rows.append((int(dealt[codes[0]]), part, block, pack(codes), pack_bytes([words[c] for c in codes])))
+                    lo = hi
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _DEALT, strict=True)], schema=_DEALT
+                    )
 
     return run
 
 
-def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The stretches [start, start + size) of ``flat``, one after the other."""
-    before = np.cumsum(sizes) - sizes
-    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+_DEALT = pa.schema(
+    [("bucket", pa.int64()), ("part", pa.int64()), ("block", pa.int64()), ("codes", pa.binary()), ("words", pa.binary())]
+)
+
+
+def _encode_bucket(name: str):
+    """The rows of one bucket with ids for pre-tokens: each distinct one is merged once."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        ranks = _ranks_of_worker(name)
+        known = Codes()
+        sizes, tokens, out = [], [], []
+        for packed in rows["words"]:
+            wanted = np.fromiter(map(known.__getitem__, unpack_bytes(packed.as_py())), np.int64)
+            out.append(wanted)
+        for word in known:
+            found = merge(word, ranks)
+            sizes.append(len(found))
+            tokens += found
+        sizes, tokens = np.array(sizes, np.int64), np.array(tokens, np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        return pa.Table.from_arrays(
+            [
+                rows["block"],
+                rows["codes"],
+                pa.array([pack(sizes[w]) for w in out], pa.binary()),
+                pa.array([pack(gather(tokens, starts[w], sizes[w])) for w in out], pa.binary()),
+            ],
+            names=["of_block", "codes", "sizes", "tokens"],
+        )
+
+    return run
 
 
 def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -194,24 +249,22 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     )
 
 
-def _put_together(block: pa.Table, words: pa.Table) -> pa.Table:
+def _put_together(block: pa.Table, parts: pa.Table) -> pa.Table:
     """One block and the ids of its pre-tokens to one row per text."""
-    names = ["id", "ids"]
     kind = block.schema.field("ids").type.value_type
     if block.num_rows == 0:
-        return pa.Table.from_arrays([pa.array([], kind), pa.array([], pa.binary())], names=names)
-    ids, sizes = block["ids"].combine_chunks().flatten(), block["sizes"].combine_chunks().flatten()
+        return pa.Table.from_arrays([pa.array([], kind), pa.array([], pa.binary())], names=["id", "ids"])
+    ids, per_text = block["ids"].combine_chunks().flatten(), block["sizes"].combine_chunks().flatten()
     codes = unpack(block["codes"][0].as_py())
-    order = np.argsort(words["code"].to_numpy(), kind="stable")
-    encoded = words["ids"].combine_chunks()
-    lengths = np.array([len(v.as_buffer()) // 4 for v in encoded], np.int64)
-    flat = np.frombuffer(b"".join(v.as_py() for v in encoded), "<u4")
-    starts = (np.cumsum(lengths) - lengths)[order]
-    lengths = lengths[order]
-    tokens = _gather(flat, starts[codes], lengths[codes]) if len(codes) else np.zeros(0, "<u4")
-    upto = np.concatenate([[0], np.cumsum(lengths[codes])]) if len(codes) else np.zeros(1, np.int64)
-    ends = upto[np.cumsum(sizes.to_numpy(zero_copy_only=False))]
-    return pa.Table.from_arrays([ids, _binary(tokens.astype("<u4").view(np.uint8), ends * 4)], names=names)
+    found = [[unpack(v.as_py()) for v in parts[c]] for c in ("codes", "sizes", "tokens")]
+    numbers, sizes, tokens = (np.concatenate([np.zeros(0, np.uint32), *c]).astype(np.int64) for c in found)
+    starts, lengths = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    starts[numbers], lengths[numbers] = np.cumsum(sizes) - sizes, sizes
+    lengths = lengths[codes]
+    in_order = gather(tokens.astype("<u4"), starts[codes], lengths)
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    ends = upto[np.cumsum(per_text.to_numpy(zero_copy_only=False))]
+    return pa.Table.from_arrays([ids, _binary(in_order.view(np.uint8), ends * 4)], names=["id", "ids"])
 
 
 def encode_packed(
@@ -220,6 +273,8 @@ def encode_packed(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_chars: int = BLOCK_CHARS,
+    bucket_rows: int = BUCKET_ROWS,
+    part_blocks: int = BLOCKS,
 ) -> DataFrame:
     """``id_col`` and ``ids``: the ids as little-endian unsigned 32-bit integers in one value."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -230,19 +285,25 @@ def encode_packed(
             T.StructField("ids", T.ArrayType(kind)),
             T.StructField("sizes", T.ArrayType(T.IntegerType())),
             T.StructField("codes", T.BinaryType()),
-            T.StructField("words", T.ArrayType(T.StringType())),
+            T.StructField("words", T.BinaryType()),
+            T.StructField("n_words", T.LongType()),
         ]
     )
     blocks = materialize(rows.mapInArrow(_cut(block_chars), block), "pre_token_blocks")
-    distinct = blocks.select(F.explode("words").alias("word")).distinct()
-    encoded = materialize(distinct.mapInArrow(_encode_words(vocabulary), "word string, ids binary"), "encoded_words")
-    back = blocks.select(F.col("block").alias("of_block"), F.posexplode("words").alias("code", "word"))
-    back = back.join(encoded, "word").select("of_block", "code", "ids")
+    n_blocks, n_words = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    parts = -(-n_blocks // part_blocks) or 1
+    buckets = -(-n_words // (bucket_rows * parts)) or 1
+    dealt = blocks.select(F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part"), "block", "words").mapInArrow(
+        _deal(buckets), "bucket long, part long, block long, codes binary, words binary"
+    )
+    found = dealt.groupBy("bucket", "part").applyInArrow(
+        _encode_bucket(vocabulary), "of_block long, codes binary, sizes binary, tokens binary"
+    )
     out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.BinaryType())])
     return (
-        blocks.drop("words")
+        blocks.drop("words", "n_words")
         .groupBy("block")
-        .cogroup(back.groupBy("of_block"))
+        .cogroup(found.groupBy("of_block"))
         .applyInArrow(_put_together, out)
         .withColumnRenamed("id", id_col)
     )
@@ -285,26 +346,34 @@ def token_bytes(spark: SparkSession, vocabulary: str) -> DataFrame:
     return spark.createDataFrame([(rank, bytearray(token)) for token, rank in ranks.items()], "token int, bytes binary")
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch with their ids and the ids per row; a slice ends with the row that fills it."""
+    column = batch.column(1)
+    if pa.types.is_binary(column.type):
+        per_row = np.array([len(v.as_buffer()) // 4 if v.is_valid else 0 for v in column], np.int64)
+    else:
+        per_row = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    full = np.cumsum(per_row) // DECODED
+    cuts = [0, *(np.flatnonzero(np.diff(full)) + 1).tolist(), len(column)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        part = column.slice(lo, hi - lo)
+        if pa.types.is_binary(column.type):
+            ids = np.frombuffer(b"".join(v.as_buffer() for v in part if v.is_valid), "<u4")
+        else:
+            ids = part.flatten().to_numpy(zero_copy_only=False)
+        yield batch.slice(lo, hi - lo), ids, per_row[lo:hi]
+
+
 def _decode_batches(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, starts, sizes = table.value
         for batch in batches:
-            column = batch.column(1)
-            if pa.types.is_binary(column.type):
-                packed = [v.as_buffer() if v.is_valid else b"" for v in column]
-                tokens = np.frombuffer(b"".join(packed), "<u4")
-                per_row = np.array([len(p) // 4 for p in packed], np.int64)
-            else:
-                tokens = column.flatten().to_numpy(zero_copy_only=False)
-                per_row = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(sizes) or (sizes[tokens] < 0).any()):
-                raise ValueError("an id is no token of the vocabulary")
-            upto = np.concatenate([[0], np.cumsum(sizes[tokens])])
-            ends = upto[np.cumsum(per_row, dtype=np.int64)]
-            decoded = _binary(_gather(flat, starts[tokens], sizes[tokens]) if len(tokens) else flat[:0], ends)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, decoded], names=[*batch.schema.names, "decoded"]
-            )
+            for rows, tokens, per_row in _pieces(batch):
+                if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(sizes) or (sizes[tokens] < 0).any()):
+                    raise ValueError("an id is no token of the vocabulary")
+                upto = np.concatenate([[0], np.cumsum(sizes[tokens])])
+                decoded = _binary(gather(flat, starts[tokens], sizes[tokens]), upto[np.cumsum(per_row)])
+                yield pa.RecordBatch.from_arrays([*rows.columns, decoded], names=[*batch.schema.names, "decoded"])
 
     return run
 
