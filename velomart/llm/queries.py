@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from velomart.llm import (
     byte_bpe,
     chat,
+    collocations,
     conversation_repair,
     decontaminate,
     licenses,
@@ -33,6 +34,7 @@ QUERY_STEP, TOP_K, VECTOR_SCALE = 20, 20, 64
 WEIGHTS, BUDGET, MOST_COPIES = (3, 1, 2), 1.5, 2
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
+PHRASE_WORDS, PHRASE_COUNT, PHRASES, CONTAINED = 5, 100, 2000, 100
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -136,6 +138,16 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(
+        _read(spark, sf_dir, "documents"),
+        longest=PHRASE_WORDS,
+        least=PHRASE_COUNT,
+        top=PHRASES,
+        contained=CONTAINED,
+    )
+
+
 def _damaged(rows: DataFrame) -> DataFrame:
     """The damage that the contract of operator 13 does to conversations."""
     text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -220,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_collocations": op12_collocations,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {
@@ -229,4 +242,5 @@ ORACLES: dict[str, str] = {
     "op5_url_filter": sql.URL_FILTER,
     "op6_topk": sql.TOP_K,
     "op7_mix": sql.MIX,
+    "op12_collocations": sql.COLLOCATIONS,
 }

@@ -213,3 +213,43 @@ SELECT d.doc_id, coalesce(array_to_string(q.ids, ','), '') AS sentences, coalesc
        coalesce(array_to_string(list_sort(list_distinct(f.names)), ','), '') AS licenses
 FROM d LEFT JOIN q USING (rid) LEFT JOIN f ON f.rid = d.rid AND f.n = {len(RULES)}
 """
+
+#: Operator 12: every phrase of one to five words is spelled out and counted as text.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), total AS (
+  SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), phrases AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)
+  GROUP BY ALL
+  HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM phrases WHERE k > 1
+), scores AS (
+  SELECT cuts.lang, cuts.k, cuts.phrase, cuts.f AS a, head.f AS l, tail.f AS r, n, c,
+         (1000::HUGEINT * cuts.f * n) // (head.f::HUGEINT * tail.f) AS score
+  FROM cuts JOIN total USING (lang)
+  JOIN phrases head ON head.lang = cuts.lang AND head.phrase = array_to_string(w[1 : c], ' ')
+  JOIN phrases tail ON tail.lang = cuts.lang AND tail.phrase = array_to_string(w[c + 1 : ], ' ')
+), worst AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), alone AS (
+  SELECT * FROM worst WHERE NOT EXISTS (
+    SELECT 1 FROM phrases longer
+    WHERE longer.lang = worst.lang AND longer.k > worst.k AND 100 * longer.f >= 100 * worst.a
+      AND contains(' ' || longer.phrase || ' ', ' ' || worst.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM alone QUALIFY rank <= 2000
+"""
