@@ -101,12 +101,24 @@ def plain_whole(a, b):
     return row[-1]
 
 
-def test_several_blocks_of_items_give_the_same(spark, monkeypatch):
+def test_several_blocks_of_items_give_the_same(spark):
     items, docs = data(120)
-    whole = {(r.doc_id, r.item_id) for r in d.contaminated(*frames(spark, items, docs)).collect()}
-    monkeypatch.setattr(d, "BLOCK_CHARS", 2000)
-    parts = {(r.doc_id, r.item_id) for r in d.contaminated(*frames(spark, items, docs)).collect()}
+    tables = frames(spark, items, docs)
+    whole = {(r.doc_id, r.item_id) for r in d.contaminated(*tables).collect()}
+    parts = {(r.doc_id, r.item_id) for r in d.contaminated(*tables, block_chars=2000).collect()}
     assert len(whole ^ parts) <= 0.05 * len(whole)
+    clean = d.drop_contaminated(*tables, block_chars=2000)
+    assert "MapInArrow" not in clean._jdf.queryExecution().executedPlan().toString()
+    assert clean.columns == tables[0].columns
+    assert {r.doc_id for r in clean.collect()} == {doc for doc, _ in docs} - {doc for doc, _ in parts}
+
+
+def test_codes_of_a_table_are_those_of_each_part():
+    items, _ = long_items([15, 20, 30, 45, 59, 64, 200])
+    index = d.Index(items, 0.8, 0.99, 3, 5, 20)
+    for c in index.classes:
+        own = [(int(code), k) for k in c.members for code in d.embed(index.parts[k], np.zeros(1, np.int64), c)[:, 0]]
+        assert sorted(zip(map(int, c.codes), c.owners.tolist(), strict=True)) == sorted(own)
 
 
 def test_edge_cases(spark):

@@ -20,6 +20,18 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def pack_ids(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers whose sequences repeat, in two bytes each if all are small."""
+    kind = "<u2" if not len(numbers) or numbers.max() < 1 << 16 else "<u4"
+    data = np.ascontiguousarray(numbers.astype(kind)).tobytes()
+    return kind[-1].encode() + zstandard.ZstdCompressor(level=9).compress(data)
+
+
+def unpack_ids(packed: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(packed[1:])
+    return np.frombuffer(data, f"<u{packed[:1].decode()}").astype(np.uint32)
+
+
 def block_numbers():
     """Numbers for the blocks a task makes: no other task of the same job gives one of them."""
     n = (TaskContext.get().partitionId() if TaskContext.get() else 0) << _BLOCK_BITS

@@ -34,11 +34,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velomart.llm.blocks import Codes, block_numbers, gather, pack, pack_bytes, unpack, unpack_bytes
+from velomart.llm.blocks import (
+    Codes,
+    block_numbers,
+    gather,
+    pack,
+    pack_bytes,
+    pack_ids,
+    unpack,
+    unpack_bytes,
+    unpack_ids,
+)
 from velomart.workspace import materialize
 
 #: A block ends with the text that brings it to so many characters or rows.
-BLOCK_CHARS, BLOCK_ROWS = 8 << 20, 1 << 16
+BLOCK_CHARS, BLOCK_ROWS = 32 << 20, 1 << 16
+#: Positions of a block are packed, and put in order, so many at a time; a text is not parted.
+PIECE = 1 << 20
 #: A bucket holds about so many (block, pre-token) rows, from so many blocks at most.
 BUCKET_ROWS, BLOCKS = 1 << 20, 1 << 20
 #: Tokens that are decoded at a time.
@@ -149,37 +161,65 @@ def _ranks_of_worker(name: str) -> dict[bytes, int]:
     return read_ranks(public_tokenizers.path(name))
 
 
+_BLOCK = {
+    "block": (T.LongType(), pa.int64()),
+    "sizes": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+    "pieces": (T.ArrayType(T.BinaryType()), pa.list_(pa.binary())),
+    "texts": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+    "words": (T.BinaryType(), pa.binary()),
+    "n_words": (T.LongType(), pa.int64()),
+}
+
+
+class _Block:
+    """What a task gathers: ids, pre-tokens per text, packed numbers by position, pre-tokens."""
+
+    def __init__(self) -> None:
+        self.words, self.ids, self.sizes, self.chars = Codes(), [], [], 0
+        self.pieces: list[bytes] = []
+        self.texts: list[int] = []
+        self._open: list[np.ndarray] = []
+        self._tokens = 0
+
+    def add(self, key: pa.Array, text: str) -> None:
+        cut = pre_tokens(text)
+        self.ids.append(key)
+        self.sizes.append(len(cut))
+        self.chars += len(text)
+        self._open.append(np.fromiter(map(self.words.__getitem__, cut), np.uint32, len(cut)))
+        self._tokens += len(cut)
+        if self._tokens >= PIECE:
+            self._close()
+
+    def _close(self) -> None:
+        self.pieces.append(pack(np.concatenate(self._open)))
+        self.texts.append(len(self._open))
+        self._open, self._tokens = [], 0
+
+    def row(self, number: int) -> pa.RecordBatch:
+        if self._open:
+            self._close()
+        words = pack_bytes([w.encode() for w in self.words])
+        values = (number, self.sizes, self.pieces, self.texts, words, len(self.words))
+        columns = [pa.array([v], kind) for v, (_, kind) in zip(values, _BLOCK.values(), strict=True)]
+        ids = pa.ListArray.from_arrays([0, len(self.ids)], pa.concat_arrays(self.ids))
+        return pa.RecordBatch.from_arrays([*columns, ids], names=[*_BLOCK, "ids"])
+
+
 def _cut(block_chars: int):
-    """(id, text) rows to blocks: ids, pre-tokens per text, numbers by position, pre-tokens."""
+    """(id, text) rows to blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = block_numbers()
-        words, ids, sizes, codes, chars = Codes(), [], [], [], 0
-
-        def block() -> pa.RecordBatch:
-            columns = [
-                pa.array([next(numbers)], pa.int64()),
-                pa.ListArray.from_arrays([0, len(sizes)], pa.concat_arrays(ids)),
-                pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([pack(np.concatenate(codes))], pa.binary()),
-                pa.array([pack_bytes([w.encode() for w in words])], pa.binary()),
-                pa.array([len(words)], pa.int64()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "codes", "words", "n_words"])
-
+        block = _Block()
         for batch in batches:
             for i, value in enumerate(batch.column(1)):
-                text = value.as_py() or ""
-                cut = pre_tokens(text)
-                ids.append(batch.column(0).slice(i, 1))
-                sizes.append(len(cut))
-                codes.append(np.fromiter(map(words.__getitem__, cut), np.uint32, len(cut)))
-                chars += len(text)
-                if chars >= block_chars or len(sizes) >= BLOCK_ROWS:
-                    yield block()
-                    words, ids, sizes, codes, chars = Codes(), [], [], [], 0
-        if sizes:
-            yield block()
+                block.add(batch.column(0).slice(i, 1), value.as_py() or "")
+                if block.chars >= block_chars or len(block.sizes) >= BLOCK_ROWS:
+                    yield block.row(next(numbers))
+                    block = _Block()
+        if block.sizes:
+            yield block.row(next(numbers))
 
     return run
 
@@ -197,7 +237,8 @@ def _deal(buckets: int):
                 rows, lo = [], 0
                 for hi in (ends + 1).tolist():
                     codes = order[lo:hi]
-                    rows.append((int(dealt[codes[0]]), part, block, pack(codes), pack_bytes([words[c] for c in codes])))
+                    steps = pack(np.diff(codes, prepend=0))
+                    rows.append((int(dealt[codes[0]]), part, block, steps, pack_bytes([words[c] for c in codes])))
                     lo = hi
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -208,7 +249,7 @@ def _deal(buckets: int):
 
 
 _DEALT = pa.schema(
-    [("bucket", pa.int64()), ("part", pa.int64()), ("block", pa.int64()), ("codes", pa.binary()), ("words", pa.binary())]
+    [("bucket", pa.int64()), ("part", pa.int64()), ("block", pa.int64()), ("steps", pa.binary()), ("words", pa.binary())]
 )
 
 
@@ -231,11 +272,11 @@ def _encode_bucket(name: str):
         return pa.Table.from_arrays(
             [
                 rows["block"],
-                rows["codes"],
+                rows["steps"],
                 pa.array([pack(sizes[w]) for w in out], pa.binary()),
-                pa.array([pack(gather(tokens, starts[w], sizes[w])) for w in out], pa.binary()),
+                pa.array([pack_ids(gather(tokens, starts[w], sizes[w])) for w in out], pa.binary()),
             ],
-            names=["of_block", "codes", "sizes", "tokens"],
+            names=["of_block", "steps", "sizes", "tokens"],
         )
 
     return run
@@ -254,17 +295,25 @@ def _put_together(block: pa.Table, parts: pa.Table) -> pa.Table:
     kind = block.schema.field("ids").type.value_type
     if block.num_rows == 0:
         return pa.Table.from_arrays([pa.array([], kind), pa.array([], pa.binary())], names=["id", "ids"])
-    ids, per_text = block["ids"].combine_chunks().flatten(), block["sizes"].combine_chunks().flatten()
-    codes = unpack(block["codes"][0].as_py())
-    found = [[unpack(v.as_py()) for v in parts[c]] for c in ("codes", "sizes", "tokens")]
-    numbers, sizes, tokens = (np.concatenate([np.zeros(0, np.uint32), *c]).astype(np.int64) for c in found)
+    ids, per_text = (block[c].combine_chunks().flatten() for c in ("ids", "sizes"))
+    numbers = [np.cumsum(unpack(v.as_py()), dtype=np.int64) for v in parts["steps"]]
+    sizes, tokens = ([f(v.as_py()) for v in parts[c]] for c, f in (("sizes", unpack), ("tokens", unpack_ids)))
+    none = [np.zeros(0, np.uint32)]
+    numbers, sizes, tokens = (np.concatenate(none + found) for found in (numbers, sizes, tokens))
     starts, lengths = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    numbers, sizes = numbers.astype(np.int64), sizes.astype(np.int64)
     starts[numbers], lengths[numbers] = np.cumsum(sizes) - sizes, sizes
-    lengths = lengths[codes]
-    in_order = gather(tokens.astype("<u4"), starts[codes], lengths)
-    upto = np.concatenate([[0], np.cumsum(lengths)])
-    ends = upto[np.cumsum(per_text.to_numpy(zero_copy_only=False))]
-    return pa.Table.from_arrays([ids, _binary(in_order.view(np.uint8), ends * 4)], names=["id", "ids"])
+    out, at = [], 0
+    per_text = per_text.to_numpy(zero_copy_only=False)
+    for piece, texts in zip(block["pieces"][0], block["texts"][0], strict=True):
+        codes = unpack(piece.as_py())
+        length = lengths[codes]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        ends = upto[np.cumsum(per_text[at : at + texts.as_py()])]
+        in_order = gather(tokens, starts[codes], length).astype("<u4")
+        out.append(_binary(in_order.view(np.uint8), ends * 4))
+        at += texts.as_py()
+    return pa.Table.from_arrays([ids, pa.chunked_array(out, pa.binary())], names=["id", "ids"])
 
 
 def encode_packed(
@@ -279,25 +328,17 @@ def encode_packed(
     """``id_col`` and ``ids``: the ids as little-endian unsigned 32-bit integers in one value."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType
-    block = T.StructType(
-        [
-            T.StructField("block", T.LongType()),
-            T.StructField("ids", T.ArrayType(kind)),
-            T.StructField("sizes", T.ArrayType(T.IntegerType())),
-            T.StructField("codes", T.BinaryType()),
-            T.StructField("words", T.BinaryType()),
-            T.StructField("n_words", T.LongType()),
-        ]
-    )
+    block = T.StructType([T.StructField(name, kind) for name, (kind, _) in _BLOCK.items()])
+    block = block.add("ids", T.ArrayType(kind))
     blocks = materialize(rows.mapInArrow(_cut(block_chars), block), "pre_token_blocks")
     n_blocks, n_words = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     parts = -(-n_blocks // part_blocks) or 1
     buckets = -(-n_words // (bucket_rows * parts)) or 1
     dealt = blocks.select(F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part"), "block", "words").mapInArrow(
-        _deal(buckets), "bucket long, part long, block long, codes binary, words binary"
+        _deal(buckets), "bucket long, part long, block long, steps binary, words binary"
     )
     found = dealt.groupBy("bucket", "part").applyInArrow(
-        _encode_bucket(vocabulary), "of_block long, codes binary, sizes binary, tokens binary"
+        _encode_bucket(vocabulary), "of_block long, steps binary, sizes binary, tokens binary"
     )
     out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.BinaryType())])
     return (

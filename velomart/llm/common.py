@@ -28,6 +28,12 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def filter_in_arrow(docs: DataFrame, run) -> DataFrame:
+    """``docs.mapInArrow`` for a function that keeps the columns, whatever their names are."""
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+
+
 def with_row_key(df: DataFrame, file: str, row: str) -> DataFrame:
     """``df`` with two longs that name each row of its files.
 

@@ -17,7 +17,8 @@ Every hit is verified by an exact edit distance of the part, then of the whole i
 all stretches around the window.
 
 Documents are never shuffled. The items go to the tasks in blocks of a bounded size, one scan
-per block, so a large benchmark takes more scans, not more memory.
+per block. With several blocks each scan stores what it found before the next index is built,
+so a large benchmark takes more scans, not more memory.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velomart.llm.common import unused
+from velomart.llm.common import filter_in_arrow, unused, with_row_key
+from velomart.workspace import materialize
 
 #: Characters of the items that one scan takes along; the bound of what tasks get.
 BLOCK_CHARS = 4_000_000
@@ -44,6 +46,8 @@ CLASS_RATIO = 1.25
 PART_WORDS = 64
 #: Edited parts of a length class that are scanned to measure the recall.
 TRIALS = 200
+#: Repetitions times windows that are embedded at once.
+CELLS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -160,16 +164,24 @@ class Index:
         reps = max(4, int(np.ceil(np.log(1 - recall) / np.log(1 - chance))))
         while True:
             _walk(c, reps, samples, rng)
-            codes = [embed(self.parts[k], zero, c)[:, 0] for k in c.members]
-            flat, owners = np.concatenate(codes), np.repeat(c.members, len(c.moves))
-            order = np.argsort(flat, kind="stable")
-            c.codes, c.owners = flat[order], owners[order]
+            self._fill_table(c, np.unique(trial))
             found = {(doc, part) for doc, part, _ in self._near(laid, starts, bounds, c)}
             c.recall = sum((doc, part) in found for doc, part in enumerate(trial.tolist())) / TRIALS
             if c.recall >= recall:
+                self._fill_table(c, c.members)
                 return c
             reps = -(-5 * reps // 4)
 
+    def _fill_table(self, c: LengthClass, parts: np.ndarray) -> None:
+        """The codes of ``parts``: all are embedded as windows of one text, since none is shorter."""
+        laid = np.concatenate([self.parts[k] for k in parts])
+        starts = np.cumsum([0, *[len(self.parts[k]) for k in parts]])[:-1]
+        step = max(1, CELLS // len(c.moves))
+        codes = [embed(laid, starts[lo : lo + step], c) for lo in range(0, len(starts), step)]
+        flat, owners = np.concatenate(codes, axis=1).T.ravel(), np.repeat(parts, len(c.moves))
+        order = np.argsort(flat, kind="stable")
+        c.codes, c.owners = flat[order], owners[order]
+
     def tokens_of(self, words: list[bytes]) -> np.ndarray:
         get = self.word.get
         return np.array([get(w, 0) for w in words], np.uint64)
@@ -200,8 +212,9 @@ class Index:
     def _near(
         self, tokens: np.ndarray, starts: np.ndarray, bounds: np.ndarray, c: LengthClass
     ) -> Iterator[tuple[int, int, int]]:
-        for lo in range(0, len(starts), 1 << 14):
-            yield from self._candidates(tokens, starts[lo : lo + (1 << 14)], bounds, c)
+        step = max(1, CELLS // len(c.moves))
+        for lo in range(0, len(starts), step):
+            yield from self._candidates(tokens, starts[lo : lo + step], bounds, c)
 
     def _candidates(
         self, tokens: np.ndarray, starts: np.ndarray, bounds: np.ndarray, c: LengthClass
@@ -346,16 +359,34 @@ def _clean_batches(shared, place: int):
     return run
 
 
-def _indexes(benchmark: DataFrame, item_col: str, text_col: str, settings: tuple) -> Iterator[Index]:
-    """One index per block of items, of at most about ``BLOCK_CHARS`` characters each."""
+def _bad_keys(shared):
+    """(file, row, text) to the keys of the rows that hold an item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            bad = sorted({row[0] for row in _found(index, batch.column(2))})
+            if bad:
+                yield batch.select([0, 1]).take(pa.array(bad))
+
+    return run
+
+
+def _indexes(benchmark: DataFrame, item_col: str, text_col: str, settings: tuple, block_chars: int) -> list:
+    """For each block of items, of about ``block_chars`` characters at most, what makes its index."""
     items = benchmark.select(
         F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text")
     ).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-2 * chars // BLOCK_CHARS) or 1
-    for block in range(blocks):
+    blocks = -(-2 * chars // block_chars) or 1
+    if blocks > 1:
+        items = materialize(items, "benchmark_items")
+
+    def index(block: int) -> Index:
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        yield Index([(r.item, r.text) for r in part.orderBy("item", "text").collect()], *settings)
+        return Index([(r.item, r.text) for r in part.orderBy("item", "text").collect()], *settings)
+
+    return [lambda block=block: index(block) for block in range(blocks)]
 
 
 def contaminated(
@@ -370,6 +401,7 @@ def contaminated(
     samples: int = 3,
     min_item_words: int = 5,
     seed: int = 20,
+    block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """(id, item, edits, item_words, first_word): the closest stretch of each item in each row.
 
@@ -381,10 +413,15 @@ def contaminated(
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, item long, edits long, item_words long, first_word long"
+    settings = (similarity, recall, samples, min_item_words, seed)
+    indexes = _indexes(benchmark, item_col, item_text_col, settings, block_chars)
     out = None
-    for index in _indexes(benchmark, item_col, item_text_col, (similarity, recall, samples, min_item_words, seed)):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for index in indexes:
+        shared = docs.sparkSession.sparkContext.broadcast(index())
         found = rows.mapInArrow(_match_batches(shared), schema)
+        if len(indexes) > 1:
+            found = materialize(found, "matches")
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out.withColumnsRenamed({"id": id_col, "item": unused(item_col, [id_col])})
 
@@ -400,10 +437,24 @@ def drop_contaminated(
     samples: int = 3,
     min_item_words: int = 5,
     seed: int = 20,
+    block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """The rows of ``docs`` in which no item is found, all columns; see ``contaminated``."""
-    place = docs.columns.index(text_col)
-    for index in _indexes(benchmark, item_col, item_text_col, (similarity, recall, samples, min_item_words, seed)):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-        docs = docs.mapInArrow(_clean_batches(shared, place), docs.schema)
-    return docs
+    settings = (similarity, recall, samples, min_item_words, seed)
+    indexes = _indexes(benchmark, item_col, item_text_col, settings, block_chars)
+    if len(indexes) == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(indexes[0]())
+        return filter_in_arrow(docs, _clean_batches(shared, docs.columns.index(text_col)))
+    file, row = unused("vm_file", docs.columns), unused("vm_row", docs.columns)
+    keyed = with_row_key(docs, file, row)
+    texts = keyed.select(
+        F.col(file).alias("file"), F.col(row).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")
+    )
+    bad = None
+    for index in indexes:
+        shared = docs.sparkSession.sparkContext.broadcast(index())
+        found = materialize(texts.mapInArrow(_bad_keys(shared), "file long, row long"), "contaminated_rows")
+        shared.destroy()
+        bad = found if bad is None else bad.unionByName(found)
+    bad = bad.distinct().select(F.col("file").alias(file), F.col("row").alias(row))
+    return keyed.join(bad, [file, row], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

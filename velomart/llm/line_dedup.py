@@ -185,15 +185,16 @@ def dedup_lines(
     file, row = unused("vm_file", docs.columns), unused("vm_row", docs.columns)
     keyed = with_row_key(docs, file, row)
     spans = deleted_spans(keyed, id_col, text_col, file, row, min_words)
-    spans = spans.select(F.col("file").alias(file), F.col("row").alias(row), F.col("spans").alias("vm_spans_found"))
+    found = unused("vm_spans_found", docs.columns)
+    spans = spans.select(F.col("file").alias(file), F.col("row").alias(row), F.col("spans").alias(found))
     text = F.col(f"`{text_col}`").cast("string")
-    kept = _kept_lines(F.split(text, "\n", -1), F.col("vm_spans_found"))
+    kept = _kept_lines(F.split(text, "\n", -1), F.col(found))
     return keyed.join(spans, [file, row], "left").select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("vm_spans_found").isNull(), text)
+        F.when(F.col(found).isNull(), text)
         .otherwise(F.array_join(kept, "\n"))
         .alias(unused(kept_col, docs.columns)),
-        F.coalesce("vm_spans_found", F.expr("cast(array() as array<struct<lo:int,hi:int>>)")).alias(
+        F.coalesce(found, F.expr("cast(array() as array<struct<lo:int,hi:int>>)")).alias(
             unused(spans_col, docs.columns)
         ),
     )

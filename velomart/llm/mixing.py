@@ -170,10 +170,11 @@ def mix(
     file, row = unused("vm_file", docs.columns), unused("vm_row", docs.columns)
     keyed = with_row_key(docs, file, row)
     found = _mixed(keyed, id_col, source_col, text_col, weights, budget, most, seed, [file, row])
+    copies = unused("vm_copies", docs.columns)
     drawn = found.where("copies > 0").select(
-        F.col("vm_key0").alias(file), F.col("vm_key1").alias(row), F.col("copies").alias("vm_copies")
+        F.col("vm_key0").alias(file), F.col("vm_key1").alias(row), F.col("copies").alias(copies)
     )
-    numbers = F.explode(F.sequence(F.lit(0), F.col("vm_copies").cast("int") - 1))
+    numbers = F.explode(F.sequence(F.lit(0), F.col(copies).cast("int") - 1))
     return keyed.join(drawn, [file, row]).select(
         *[F.col(f"`{c}`") for c in docs.columns], numbers.alias(unused(copy_col, docs.columns))
     )

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velomart.llm.common import filter_in_arrow
 from velomart.workspace import materialize
 
 #: Labelled documents of either class that the fit may use.
@@ -263,4 +264,4 @@ def drop_low_quality(
 ) -> DataFrame:
     """The rows of ``docs`` that are predicted good, all columns."""
     ranker = train(docs, labels, id_col, text_col, label_col, per_class)
-    return docs.mapInArrow(_good_batches(ranker, docs.columns.index(text_col)), docs.schema)
+    return filter_in_arrow(docs, _good_batches(ranker, docs.columns.index(text_col)))

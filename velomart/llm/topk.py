@@ -7,8 +7,10 @@ node is left out for every query whose kth score it cannot reach. The kth score
 found on one shard is handed to all others: a first round searches one shard per block, a
 second the rest, starting from those scores.
 
-Scores are whole numbers, computed in double precision where that is exact and in Python
-integers where it might not be.
+Scores are whole numbers. Vectors of small components meet in double precision, which is exact
+for them. Pairs with a vector of large components are bounded in double precision with the error
+counted in; what can still be among the best is computed in Python integers. A score that no long
+holds is returned as the nearest long and ranked by its exact value.
 """
 
 from __future__ import annotations
@@ -27,26 +29,26 @@ from velomart.workspace import materialize
 SHARD_ROWS, BLOCK_ROWS = 16_384, 4_096
 LEAF = 256
 _EXACT = float(1 << 53)
+_LARGEST = float(np.finfo(np.float64).max)
 _NONE = -(1 << 62)
+_LONG = (1 << 63) - 1
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v, dim) with floor(scale * x) of each component; unusable vectors are left out.
 
-    A component whose whole number does not fit a long is unusable too.
+    A double of 2**53 and more is whole. A product beyond the doubles counts as the largest.
     """
-    v = F.transform(F.col(f"`{vector_col}`"), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("double"))
-    finite = F.forall(
-        f"`{vector_col}`",
-        lambda x: x.isNotNull()
-        & ~F.isnan(x.cast("double"))
-        & (F.abs(x.cast("double") * F.lit(float(scale))) < float(1 << 62)),
-    )
-    kept = rows.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{vector_col}`").isNotNull() & finite)
-    return kept.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"),
-        v.alias("v"),
-        F.size(f"`{vector_col}`").alias("dim"),
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * F.lit(float(scale))
+        y = F.when(F.abs(y) < _EXACT, F.floor(y).cast("double")).otherwise(y)
+        return F.greatest(F.least(y, F.lit(_LARGEST)), F.lit(-_LARGEST))
+
+    x = F.col(f"`{vector_col}`")
+    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) <= _LARGEST))
+    return rows.where(F.col(f"`{id_col}`").isNotNull() & x.isNotNull() & finite).select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.transform(x, whole).alias("v"), F.size(x).alias("dim")
     )
 
 
@@ -72,12 +74,36 @@ class BallTree:
         return place
 
 
-def _scores(queries: np.ndarray, points: np.ndarray, exact: bool) -> np.ndarray:
-    if exact:
-        return np.rint(queries @ points.T).astype(np.int64)
-    whole = [[int(x) for x in row] for row in points]
-    out = [[sum(int(a) * b for a, b in zip(q, p, strict=True)) for p in whole] for q in queries]
-    return np.array(out, np.int64)
+def _ordered(score: int) -> bytes:
+    """Bytes that sort like whole numbers of any size."""
+    size = (abs(score).bit_length() + 7) // 8
+    head = size.to_bytes(4, "big") + abs(score).to_bytes(size, "big")
+    return b"\x01" + head if score >= 0 else b"\x00" + bytes(255 - x for x in head)
+
+
+def search_exact(
+    queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int
+) -> Iterator[tuple[int, np.ndarray, list[int]]]:
+    """As ``search``, for components of any size."""
+    scale = np.abs(points).max(initial=1.0)
+    near = points / scale
+    lost = (points.shape[1] + 2) * 2.0**-51
+    order = np.argsort(ids, kind="stable")
+    for q, query in enumerate(queries):
+        own = query / max(np.abs(query).max(initial=0), 1.0)
+        about = near @ own
+        error = np.abs(near) @ np.abs(own) * lost + 1e-290
+        usable = order[ids[order] != query_ids[q]]
+        if not len(usable):
+            continue
+        least = np.sort((about - error)[usable])[-min(k, len(usable))]
+        close = usable[(about + error)[usable] >= least]
+        whole = [int(x) for x in query]
+        scores = [sum(a * int(b) for a, b in zip(whole, points[p], strict=True)) for p in close.tolist()]
+        best = sorted(range(len(close)), key=lambda i: (-scores[i], i))[:k]
+        best = [i for i in best if scores[i] >= floor[q] or floor[q] in (_NONE, -_LONG)]
+        if best:
+            yield q, ids[close[best]], [scores[i] for i in best]
 
 
 def search(
@@ -85,12 +111,11 @@ def search(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query (index): ids and scores of its best ``k`` among ``points``, at least ``floor``.
 
-    A point with the query's own id is no candidate. Ties go to the smaller id.
+    A point with the query's own id is no candidate. Ties go to the smaller id. Products of the
+    components, and their sums, must be exact in double precision.
     """
     order = np.argsort(ids, kind="stable")
     points, ids = points[order], ids[order]
-    reach = np.abs(queries).max(initial=0) * np.abs(points).max(initial=0) * max(1, points.shape[1])
-    exact = reach < _EXACT
     norms = np.sqrt((queries**2).sum(axis=1))
     tree = BallTree(points)
     best = np.full((len(queries), k), _NONE, np.int64)
@@ -119,7 +144,7 @@ def search(
                     heapq.heappush(heap, (-float(tops[open_rows].max()), child, rows[open_rows], tops[open_rows]))
             continue
         members = np.sort(tree.order[lo:hi])
-        found = _scores(queries[rows], points[members], exact)
+        found = np.rint(queries[rows] @ points[members].T).astype(np.int64)
         found[ids[members][None, :] == query_ids[rows][:, None]] = _NONE
         better = (found >= kth[rows][:, None]).any(axis=1)
         rows, found = rows[better], found[better]
@@ -139,16 +164,35 @@ def _vectors(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), np.float64).reshape(len(column), -1)
 
 
+_FOUND = ("query_id", "vec_id", "score", "beyond")
+
+
+def _rows(query_id: int, who: np.ndarray, scores) -> pd.DataFrame:
+    """Scores as longs; those at the edge of the longs or beyond have their order as bytes."""
+    beyond = None
+    if not isinstance(scores, np.ndarray):
+        beyond = [_ordered(s) if abs(s) >= _LONG else None for s in scores]
+        scores = [max(-_LONG, min(_LONG, s)) for s in scores]
+    return pd.DataFrame(dict(zip(_FOUND, (query_id, who, scores, beyond), strict=True)))
+
+
 def _group(k: int):
     def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
         if len(shard) and len(block):
-            ids = block["id"].to_numpy()
-            found = search(
-                _vectors(block["v"]), ids, block["floor"].to_numpy(), _vectors(shard["v"]), shard["id"].to_numpy(), k
-            )
-            out = [pd.DataFrame({"query_id": ids[q], "vec_id": who, "score": scores}) for q, who, scores in found]
-        empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
+            points, ids = _vectors(shard["v"]), shard["id"].to_numpy()
+            queries, asked, floor = _vectors(block["v"]), block["id"].to_numpy(), block["floor"].to_numpy()
+            limit = np.sqrt(_EXACT / max(1, points.shape[1]))
+            small_p, small_q = ((np.abs(v) < limit).all(axis=1) for v in (points, queries))
+            for method, q, p in (
+                (search, small_q, small_p),
+                (search_exact, small_q, ~small_p),
+                (search_exact, ~small_q, np.ones(len(points), bool)),
+            ):
+                if q.any() and p.any():
+                    found = method(queries[q], asked[q], floor[q], points[p], ids[p], k)
+                    out += [_rows(asked[q][n], who, scores) for n, who, scores in found]
+        empty = pd.DataFrame({c: pd.Series(dtype="int64" if c != "beyond" else "object") for c in _FOUND})
         return pd.concat(out) if out else empty
 
     return run
@@ -166,12 +210,14 @@ def _search_round(queries: DataFrame, candidates: DataFrame, pairs: Column, k: i
     return (
         shards.groupBy("for_shard", "for_block", "for_dim")
         .cogroup(dealt.groupBy("shard", "block", "dim"))
-        .applyInPandas(_group(k), "query_id long, vec_id long, score long")
+        .applyInPandas(_group(k), "query_id long, vec_id long, score long, beyond binary")
     )
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(
+        F.col("score").desc(), F.col("beyond").desc(), "vec_id"
+    )
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -185,8 +231,9 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, id, score): the k highest inner products of each query, all if fewer.
 
-    Components count as ``floor(scale * x)``. Ties go to the smaller id. Rows with a null id, a
-    null vector, or a null or non-finite component take no part. A query's own id is no candidate,
+    Components count as ``floor(scale * x)``, exactly; a score beyond the longs is returned as the
+    nearer of ``2**63 - 1`` and ``1 - 2**63`` and ranked by its exact value. Ties go to the smaller
+    id. Rows with a null id, a null vector, or a null or non-finite component take no part. A query's own id is no candidate,
     in any row. Vectors meet those of the same length only. Equal rows count once; of different
     vectors under one id all are candidates and the least is the query. Either table may be
     empty; other columns are not read.
