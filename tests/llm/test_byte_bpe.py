@@ -79,6 +79,8 @@ def test_edge_cases_and_small_blocks(spark):
     packed = byte_bpe.encode_packed(docs, NAME, block_chars=1, bucket_rows=2, part_blocks=2)
     found = byte_bpe.decode(packed, NAME).collect()
     assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in found), key=str) == wanted
+    both = byte_bpe.encode_packed(docs, NAME, block_chars=60_000, decoded=True).collect()
+    assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in both), key=str) == wanted
     assert byte_bpe.encode(docs.limit(0), NAME).collect() == []
     none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [bytes(r.decoded) for r in byte_bpe.decode(none, NAME).collect()] == [b"", b""]

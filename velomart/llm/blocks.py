@@ -51,7 +51,7 @@ class Codes(dict):
 def pack_bytes(values: list[bytes]) -> bytes:
     """Byte strings in one value: the packed lengths' size, the packed lengths, the bytes."""
     sizes = pack(np.fromiter(map(len, values), np.uint32, len(values)))
-    body = zstandard.ZstdCompressor(level=3).compress(b"".join(values))
+    body = zstandard.ZstdCompressor(level=9).compress(b"".join(values))
     return len(sizes).to_bytes(4, "little") + sizes + body
 
 

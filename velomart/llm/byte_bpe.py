@@ -50,11 +50,9 @@ from velomart.workspace import materialize
 #: A block ends with the text that brings it to so many characters or rows.
 BLOCK_CHARS, BLOCK_ROWS = 32 << 20, 1 << 16
 #: Positions of a block are packed, and put in order, so many at a time; a text is not parted.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: A bucket holds about so many (block, pre-token) rows, from so many blocks at most.
 BUCKET_ROWS, BLOCKS = 1 << 20, 1 << 20
-#: Tokens that are decoded at a time.
-DECODED = 1 << 18
 #: Most bytes of a table of token bytes that is broadcast; vocabularies hold a few hundred kB.
 TABLE_BYTES = 64 << 20
 #: Pre-tokens of more bytes are merged with a heap.
@@ -290,30 +288,60 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     )
 
 
-def _put_together(block: pa.Table, parts: pa.Table) -> pa.Table:
-    """One block and the ids of its pre-tokens to one row per text."""
-    kind = block.schema.field("ids").type.value_type
-    if block.num_rows == 0:
-        return pa.Table.from_arrays([pa.array([], kind), pa.array([], pa.binary())], names=["id", "ids"])
-    ids, per_text = (block[c].combine_chunks().flatten() for c in ("ids", "sizes"))
-    numbers = [np.cumsum(unpack(v.as_py()), dtype=np.int64) for v in parts["steps"]]
-    sizes, tokens = ([f(v.as_py()) for v in parts[c]] for c, f in (("sizes", unpack), ("tokens", unpack_ids)))
-    none = [np.zeros(0, np.uint32)]
-    numbers, sizes, tokens = (np.concatenate(none + found) for found in (numbers, sizes, tokens))
-    starts, lengths = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-    numbers, sizes = numbers.astype(np.int64), sizes.astype(np.int64)
-    starts[numbers], lengths[numbers] = np.cumsum(sizes) - sizes, sizes
-    out, at = [], 0
-    per_text = per_text.to_numpy(zero_copy_only=False)
-    for piece, texts in zip(block["pieces"][0], block["texts"][0], strict=True):
-        codes = unpack(piece.as_py())
-        length = lengths[codes]
-        upto = np.concatenate([[0], np.cumsum(length)])
-        ends = upto[np.cumsum(per_text[at : at + texts.as_py()])]
-        in_order = gather(tokens, starts[codes], length).astype("<u4")
-        out.append(_binary(in_order.view(np.uint8), ends * 4))
-        at += texts.as_py()
-    return pa.Table.from_arrays([ids, pa.chunked_array(out, pa.binary())], names=["id", "ids"])
+class _TokenBytes:
+    """The table of token bytes as three columns: bytes laid end to end, starts and sizes."""
+
+    def __init__(self, tokens: DataFrame):
+        bound = tokens.agg(F.sum(F.length("bytes")), F.max("token")).first()
+        if max(bound[0] or 0, bound[1] or 0) > TABLE_BYTES:
+            raise ValueError("the table of token bytes is too large to broadcast")
+        pairs = sorted((r.token, bytes(r.bytes)) for r in tokens.collect())
+        self.sizes = np.full(pairs[-1][0] + 1, -1, np.int64)
+        self.sizes[[t for t, _ in pairs]] = [len(b) for _, b in pairs]
+        self.starts = np.cumsum(np.maximum(self.sizes, 0)) - np.maximum(self.sizes, 0)
+        self.flat = np.frombuffer(b"".join(b for _, b in pairs), np.uint8)
+
+    def decoded(self, ids: np.ndarray, per_row: np.ndarray) -> pa.Array:
+        """Rows of ``per_row`` ids each to the bytes they stand for."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or (self.sizes[ids] < 0).any()):
+            raise ValueError("an id is no token of the vocabulary")
+        sizes = self.sizes[ids]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        return _binary(gather(self.flat, self.starts[ids], sizes), upto[np.cumsum(per_row, dtype=np.int64)])
+
+
+def _put_together(table=None):
+    """One block and the ids of its pre-tokens to one row per text, decoded again with a table."""
+
+    def run(block: pa.Table, parts: pa.Table) -> pa.Table:
+        names = ["id", "ids"] if table is None else ["id", "ids", "decoded"]
+        kind = block.schema.field("ids").type.value_type
+        if block.num_rows == 0:
+            return pa.Table.from_arrays([pa.array([], kind), *[pa.array([], pa.binary()) for _ in names[1:]]], names=names)
+        ids, per_text = (block[c].combine_chunks().flatten() for c in ("ids", "sizes"))
+        per_text = per_text.to_numpy(zero_copy_only=False)
+        numbers = [np.cumsum(unpack(v.as_py()), dtype=np.int64) for v in parts["steps"]]
+        sizes, tokens = ([f(v.as_py()) for v in parts[c]] for c, f in (("sizes", unpack), ("tokens", unpack_ids)))
+        none = [np.zeros(0, np.uint32)]
+        numbers, sizes, tokens = (np.concatenate(none + found) for found in (numbers, sizes, tokens))
+        starts, lengths = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        numbers, sizes = numbers.astype(np.int64), sizes.astype(np.int64)
+        starts[numbers], lengths[numbers] = np.cumsum(sizes) - sizes, sizes
+        packed, decoded, at = [], [], 0
+        for piece, texts in zip(block["pieces"][0], block["texts"][0], strict=True):
+            codes, here = unpack(piece.as_py()), per_text[at : at + texts.as_py()]
+            length = lengths[codes]
+            upto = np.concatenate([[0], np.cumsum(length)])
+            ends = upto[np.cumsum(here)]
+            in_order = gather(tokens, starts[codes], length).astype("<u4")
+            packed.append(_binary(in_order.view(np.uint8), ends * 4))
+            if table is not None:
+                decoded.append(table.value.decoded(in_order, np.diff(ends, prepend=0)))
+            at += texts.as_py()
+        columns = [packed] if table is None else [packed, decoded]
+        return pa.Table.from_arrays([ids, *[pa.chunked_array(c, pa.binary()) for c in columns]], names=names)
+
+    return run
 
 
 def encode_packed(
@@ -324,8 +352,12 @@ def encode_packed(
     block_chars: int = BLOCK_CHARS,
     bucket_rows: int = BUCKET_ROWS,
     part_blocks: int = BLOCKS,
+    decoded: bool = False,
 ) -> DataFrame:
-    """``id_col`` and ``ids``: the ids as little-endian unsigned 32-bit integers in one value."""
+    """``id_col`` and ``ids``: the ids as little-endian unsigned 32-bit integers in one value.
+
+    With ``decoded`` a column of that name has the bytes decoded from the ids, in the same task.
+    """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType
     block = T.StructType([T.StructField(name, kind) for name, (kind, _) in _BLOCK.items()])
@@ -341,13 +373,17 @@ def encode_packed(
         _encode_bucket(vocabulary), "of_block long, steps binary, sizes binary, tokens binary"
     )
     out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.BinaryType())])
-    return (
+    table = None
+    if decoded:
+        out = out.add("decoded", T.BinaryType())
+        table = docs.sparkSession.sparkContext.broadcast(_TokenBytes(token_bytes(docs.sparkSession, vocabulary)))
+    whole = (
         blocks.drop("words", "n_words")
         .groupBy("block")
         .cogroup(found.groupBy("of_block"))
-        .applyInArrow(_put_together, out)
-        .withColumnRenamed("id", id_col)
+        .applyInArrow(_put_together(table), out)
     )
+    return whole.toDF(id_col, *whole.columns[1:])
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +430,7 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
         per_row = np.array([len(v.as_buffer()) // 4 if v.is_valid else 0 for v in column], np.int64)
     else:
         per_row = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    full = np.cumsum(per_row) // DECODED
+    full = np.cumsum(per_row) // PIECE
     cuts = [0, *(np.flatnonzero(np.diff(full)) + 1).tolist(), len(column)]
     for lo, hi in zip(cuts, cuts[1:], strict=False):
         part = column.slice(lo, hi - lo)
@@ -407,13 +443,9 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
 
 def _decode_batches(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, sizes = table.value
         for batch in batches:
-            for rows, tokens, per_row in _pieces(batch):
-                if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(sizes) or (sizes[tokens] < 0).any()):
-                    raise ValueError("an id is no token of the vocabulary")
-                upto = np.concatenate([[0], np.cumsum(sizes[tokens])])
-                decoded = _binary(gather(flat, starts[tokens], sizes[tokens]), upto[np.cumsum(per_row)])
+            for rows, ids, per_row in _pieces(batch):
+                decoded = table.value.decoded(ids, per_row)
                 yield pa.RecordBatch.from_arrays([*rows.columns, decoded], names=[*batch.schema.names, "decoded"])
 
     return run
@@ -434,15 +466,6 @@ def decode(
     """
     spark = rows.sparkSession
     rows = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
-    tokens = token_bytes(spark, vocabulary)
-    bound = tokens.agg(F.sum(F.length("bytes")), F.max("token")).first()
-    if max(bound[0] or 0, bound[1] or 0) > TABLE_BYTES:
-        raise ValueError("the table of token bytes is too large to broadcast")
-    pairs = sorted((r.token, bytes(r.bytes)) for r in tokens.collect())
-    sizes = np.full(pairs[-1][0] + 1, -1, np.int64)
-    sizes[[t for t, _ in pairs]] = [len(b) for _, b in pairs]
-    starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
-    flat = np.frombuffer(b"".join(b for _, b in pairs), np.uint8)
-    table = spark.sparkContext.broadcast((flat, starts, sizes))
+    table = spark.sparkContext.broadcast(_TokenBytes(token_bytes(spark, vocabulary)))
     out = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
     return rows.mapInArrow(_decode_batches(table), out).toDF(id_col, ids_col, decoded_col)

@@ -129,8 +129,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: tokens, and digests of the ids and of the bytes decoded from them."""
-    ids = byte_bpe.encode_packed(_read(spark, sf_dir, "documents"), BYTE_VOCABULARY)
-    return byte_bpe.decode(ids, BYTE_VOCABULARY).select(
+    docs = _read(spark, sf_dir, "documents")
+    return byte_bpe.encode_packed(docs, BYTE_VOCABULARY, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
