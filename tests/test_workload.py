@@ -18,6 +18,7 @@ import workload
 SF_DIR = "/root/testdata/sf0.001"
 SECTION = {
     "station_id_mapping", "stg_trips", "stg_station_status", "station_risk", "fct_trips",
+    "trips_incremental_marts",
     "demand_vs_supply", "trip_summary_daily", "member_vs_casual", "station_volatility",
     "status_changes_incremental", "quarantine_gate", "global_rank_distributed", "csv_ingest",
     "lake_rerun", "information_load", "stream_dead_letters", "stream_stateful_changes", "white_space",

@@ -15,8 +15,8 @@ def first_by(value: Column, *order: Column) -> Column:
     return F.min_by(value, ranked)
 
 
-def signed_endpoints(trips: DataFrame, start_id: str, end_id: str) -> DataFrame:
-    """Departures and arrivals per station, from one pass over the trips.
+def signed_endpoints(trips: DataFrame, start_id: str, end_id: str, *by: str) -> DataFrame:
+    """Departures and arrivals per station and ``by``, from one pass over the trips.
 
     Each trip contributes a departure and an arrival row that are summed map-side, which
     replaces two aggregations and their full outer join, and flattens hot stations.
@@ -33,9 +33,9 @@ def signed_endpoints(trips: DataFrame, start_id: str, end_id: str) -> DataFrame:
     )
     departures, arrivals = F.sum("departures"), F.sum("arrivals")
     return (
-        trips.select(F.inline(F.array(departure, arrival)))
+        trips.select(*by, F.inline(F.array(departure, arrival)))
         .where(F.col("station_id").isNotNull())
-        .groupBy("station_id")
+        .groupBy(*by, "station_id")
         .agg(
             departures.alias("departure_count"),
             arrivals.alias("arrival_count"),

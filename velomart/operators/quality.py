@@ -50,13 +50,21 @@ def gate_trips(valid: DataFrame, rejected: DataFrame, p: Params) -> DataFrame:
         rejected.select("_source_file", F.lit(1).alias("_bad"))
     )
     bad = F.sum("_bad")
-    pct = _share(bad, _rows())
+    counts = sides.groupBy("_source_file").agg(
+        (_rows() - bad).alias("valid_rows"), bad.alias("rejected_rows")
+    )
+    return gate_of_counts(counts, p)
+
+
+def gate_of_counts(counts: DataFrame, p: Params) -> DataFrame:
+    """The trip gate from valid and rejected rows per file; parts of a file add up."""
+    valid, rejected = F.sum("valid_rows"), F.sum("rejected_rows")
     return (
-        sides.groupBy("_source_file")
+        counts.groupBy("_source_file")
         .agg(
-            (_rows() - bad).alias("total_rows"),
-            bad.alias("rejected_rows"),
-            pct.alias("rejected_pct"),
+            valid.alias("total_rows"),
+            rejected.alias("rejected_rows"),
+            _share(rejected, valid + rejected).alias("rejected_pct"),
         )
         .where(F.col("rejected_rows") > 0)
         .select(
@@ -126,23 +134,29 @@ def dq_metrics(
     """
 
     def one(layer: str, valid: DataFrame, rejected: DataFrame, raw: DataFrame) -> DataFrame:
-        total = F.col("valid_rows") + F.col("rejected_rows")
-        raw_rows = raw.agg(_rows()).scalar()
-        return counts_by_side(valid, rejected).select(
-            F.lit(p.as_of.date()).alias("run_date"),
-            F.lit(layer).alias("layer"),
-            F.lit(run_id).alias("run_id"),
-            total.alias("total_rows"),
-            "valid_rows",
-            "rejected_rows",
-            (raw_rows - total).cast("long").alias("duplicate_rows"),
-            F.coalesce("rejected_pct", F.lit(0.0)).alias("rejected_pct"),
-            F.lit(p.as_of).cast("timestamp").alias("noted_at"),
-        )
+        counts = counts_by_side(valid, rejected).withColumn("raw_rows", raw.agg(_rows()).scalar())
+        return dq_metrics_of_counts(layer, counts, run_id, p)
 
     return reduce(DataFrame.unionByName, [one(n, *sides) for n, sides in layers.items()])
 
 
+def dq_metrics_of_counts(layer: str, counts: DataFrame, run_id: str, p: Params) -> DataFrame:
+    """The metrics row of one layer from its raw, valid and rejected rows."""
+    total = F.col("valid_rows") + F.col("rejected_rows")
+    share = _share(F.col("rejected_rows"), F.nullif(total, F.lit(0)))
+    return counts.select(
+        F.lit(p.as_of.date()).alias("run_date"),
+        F.lit(layer).alias("layer"),
+        F.lit(run_id).alias("run_id"),
+        total.alias("total_rows"),
+        "valid_rows",
+        "rejected_rows",
+        (F.col("raw_rows") - total).cast("long").alias("duplicate_rows"),
+        F.coalesce(share, F.lit(0.0)).alias("rejected_pct"),
+        F.lit(p.as_of).cast("timestamp").alias("noted_at"),
+    )
+
+
 # --- watchdog -------------------------------------------------------------------------
 
 

@@ -15,8 +15,8 @@ def _key_or_null(name: str) -> Column:
     return F.when(F.col(name).isNotNull(), surrogate_key(F.col(name)))
 
 
-def fct_trips(trips: DataFrame, p: Params) -> DataFrame:
-    """One row per valid trip."""
+def fct_trips(trips: DataFrame, p: Params, *keep: str) -> DataFrame:
+    """One row per valid trip, with the ``keep`` columns."""
     distance = haversine_km(
         F.col("start_lat"), F.col("start_lng"), F.col("end_lat"), F.col("end_lng"),
         p.earth_radius_km,
@@ -47,6 +47,7 @@ def fct_trips(trips: DataFrame, p: Params) -> DataFrame:
         F.round(distance, 3).alias("distance_km"),
         "_source_file",
         "_ingested_at",
+        *keep,
     )
 
 

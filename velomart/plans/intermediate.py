@@ -26,12 +26,8 @@ from velomart.plans.staging import stg_trips
 from velomart.workspace import materialize
 
 
-def stations_deduplicated(trips: DataFrame) -> DataFrame:
-    """One row per station seen in the trips, with its latest non-null name and place.
-
-    Distinct (station, name, place) combinations are hash-aggregated first; the arg-max
-    then runs on those few rows instead of on two rows per trip.
-    """
+def station_sightings(trips: DataFrame, *by: str) -> DataFrame:
+    """Mentions and first and last sighting of each (station, name, place), per ``by``."""
 
     def end(side: str, time: str) -> Column:
         return F.struct(
@@ -42,16 +38,35 @@ def stations_deduplicated(trips: DataFrame) -> DataFrame:
             F.col(time).alias("seen_at"),
         )
 
-    seen = (
-        trips.select(F.inline(F.array(end("start", "started_at"), end("end", "ended_at"))))
+    ends = F.inline(F.array(end("start", "started_at"), end("end", "ended_at")))
+    return (
+        trips.select(*by, ends)
         .where(F.col("station_id").isNotNull())
-        .groupBy("station_id", "station_name", "lat", "lng")
+        .groupBy(*by, "station_id", "station_name", "lat", "lng")
         .agg(
             F.count(F.lit(1)).alias("mentions"),
             F.min("seen_at").alias("first_seen_at"),
             F.max("seen_at").alias("last_seen_at"),
         )
     )
+
+
+def stations_deduplicated(trips: DataFrame) -> DataFrame:
+    """One row per station seen in the trips, with its latest non-null name and place.
+
+    Distinct (station, name, place) combinations are hash-aggregated first; the arg-max
+    then runs on those few rows instead of on two rows per trip.
+    """
+    return stations_of(station_sightings(trips))
+
+
+def stations_of(seen: DataFrame) -> DataFrame:
+    """The stations from sightings, which may be those of parts of the trips together."""
+    seen = seen.groupBy("station_id", "station_name", "lat", "lng").agg(
+        F.sum("mentions").alias("mentions"),
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+    )
     newest = -F.unix_micros(F.col("last_seen_at").cast("timestamp"))
     return seen.groupBy("station_id").agg(
         first_by(F.col("station_name"), newest).alias("station_name"),
@@ -137,9 +152,12 @@ def trips_dq_summary(
     counts = rows.groupBy("_source_file", reason.alias("rejection_reason")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    kept = kept.groupBy(F.col("_source_file").alias("_file")).agg(
-        F.count(F.lit(1)).alias("_kept")
-    )
+    return dq_summary_of(counts, kept.groupBy("_source_file").agg(F.count(F.lit(1)).alias("kept")), p)
+
+
+def dq_summary_of(counts: DataFrame, kept: DataFrame, p: Params) -> DataFrame:
+    """The summary from rows per (file, reason) and kept rows per file."""
+    kept = kept.select(F.col("_source_file").alias("_file"), F.col("kept").alias("_kept"))
     ok = F.col("rejection_reason").isNull()
     valid = F.when(ok, F.coalesce("_kept", F.lit(0))).otherwise(0).cast("long")
     rejected = F.when(ok, 0).otherwise(F.col("row_count")).cast("long")
@@ -251,13 +269,23 @@ def demand_vs_supply(
     ``status`` holds station-risk columns. With ``bridge`` the name and place of stations
     missing from the latest snapshot come from the dimension instead of being NULL.
     """
-    supply = current_rows(status, latest).select(
+    supply = current_supply(status, latest)
+    return demand_of(
+        signed_endpoints(trips, "start_station_id", "end_station_id"), supply, bridge
+    )
+
+
+def current_supply(status: DataFrame, latest: DataFrame) -> DataFrame:
+    return current_rows(status, latest).select(
         "legacy_station_id", "station_name", "region_id", "lat", "lng", "capacity",
         "num_bikes_available", "num_docks_available", "occupancy_rate_pct", "risk_level",
         "risk_severity", "is_operational", "is_stale",
         F.col("snapshot_timestamp").alias("last_snapshot_at"),
     )
-    demand = signed_endpoints(trips, "start_station_id", "end_station_id")
+
+
+def demand_of(demand: DataFrame, supply: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
+    """Demand per station, as of ``signed_endpoints``, next to its supply."""
     combined = demand.join(
         supply, F.col("station_id") == F.col("legacy_station_id"), "left"
     ).drop("legacy_station_id")

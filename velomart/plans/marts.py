@@ -25,8 +25,8 @@ def _rounded_minutes(seconds: Column) -> Column:
     return F.round(seconds / 60, 2)
 
 
-def trip_summary_daily(trips: DataFrame, dates: DataFrame) -> DataFrame:
-    daily = trips.groupBy("trip_date").agg(
+def daily_totals(trips: DataFrame, *by: str) -> DataFrame:
+    return trips.groupBy(*by, "trip_date").agg(
         F.count(F.lit(1)).alias("total_trips"),
         _count_if(F.col("member_casual") == "member", "member_trips"),
         _count_if(F.col("member_casual") == "casual", "casual_trips"),
@@ -36,6 +36,13 @@ def trip_summary_daily(trips: DataFrame, dates: DataFrame) -> DataFrame:
         F.round(F.sum(_metres()) / 1000, 1).alias("total_distance_km"),
         F.countDistinct("start_station_id").alias("active_start_stations"),
     )
+
+
+def trip_summary_daily(trips: DataFrame, dates: DataFrame) -> DataFrame:
+    return summary_of_days(daily_totals(trips), dates)
+
+
+def summary_of_days(daily: DataFrame, dates: DataFrame) -> DataFrame:
     days = dates.select("date_day", "date_key", "day_name", "is_weekend")
     return daily.join(days, F.col("trip_date") == F.col("date_day"), "left").select(
         F.col("trip_date").alias("date_day"),
@@ -61,13 +68,27 @@ def station_popularity(demand: DataFrame) -> DataFrame:
     )
 
 
-def usage_pattern_hourly(trips: DataFrame, dates: DataFrame) -> DataFrame:
-    cells = trips.groupBy("day_of_week", "start_hour").agg(
+def hourly_cells(trips: DataFrame, *by: str) -> DataFrame:
+    """Counts and seconds per weekday and hour; cells of parts of the trips add up."""
+    return trips.groupBy(*by, "day_of_week", "start_hour").agg(
         F.count(F.lit(1)).alias("total_trips"),
         _count_if(F.col("member_casual") == "member", "member_trips"),
         _count_if(F.col("member_casual") == "casual", "casual_trips"),
-        _rounded_minutes(F.avg("duration_seconds")).alias("avg_duration_minutes"),
+        F.sum("duration_seconds").alias("seconds"),
+        F.count("duration_seconds").alias("timed"),
     )
+
+
+def usage_pattern_hourly(trips: DataFrame, dates: DataFrame) -> DataFrame:
+    return usage_of_cells(hourly_cells(trips), dates)
+
+
+def usage_of_cells(cells: DataFrame, dates: DataFrame) -> DataFrame:
+    """The hourly pattern from cells, several to a weekday and hour perhaps."""
+    counted = ("total_trips", "member_trips", "casual_trips", "seconds", "timed")
+    cells = cells.groupBy("day_of_week", "start_hour").agg(*[F.sum(c).alias(c) for c in counted])
+    average = _rounded_minutes(safe_divide(F.col("seconds"), F.col("timed")))
+    cells = cells.withColumn("avg_duration_minutes", average).drop("seconds", "timed")
     cells = materialize(cells, "hourly")  # 168 rows at most, read again for the total
     total = cells.agg(F.sum("total_trips")).scalar()
     names = dates.select("day_of_week", "day_name", "is_weekend").distinct()
@@ -84,6 +105,18 @@ def usage_pattern_hourly(trips: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def duration_histogram(trips: DataFrame, *by: str) -> DataFrame:
+    """Trips per (segment, duration in seconds) and what is summed over them; parts add up."""
+    return trips.groupBy(*by, "member_casual", "duration_seconds").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum(_metres()).alias("metres"),
+        F.count("distance_km").alias("measured"),
+        _count_if(F.col("rideable_type") == "electric_bike", "ebikes"),
+        _count_if(F.col("start_hour").between(7, 9), "morning"),
+        _count_if(F.col("start_hour").between(17, 19), "evening"),
+    )
+
+
 def member_vs_casual_behavior(
     trips: DataFrame, dates: DataFrame, rider_types: DataFrame
 ) -> DataFrame:
@@ -95,19 +128,17 @@ def member_vs_casual_behavior(
     """
     weekend = F.coalesce("is_weekend", F.lit(False))
     days = dates.select(F.col("date_day").alias("trip_date"), "is_weekend")
-    histogram = (
-        trips.join(days, "trip_date", "left")
-        .groupBy("member_casual", "duration_seconds")
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            F.sum(_metres()).alias("metres"),
-            F.count("distance_km").alias("measured"),
-            _count_if(F.col("rideable_type") == "electric_bike", "ebikes"),
-            _count_if(weekend, "weekend"),
-            _count_if(~weekend, "weekday"),
-            _count_if(F.col("start_hour").between(7, 9), "morning"),
-            _count_if(F.col("start_hour").between(17, 19), "evening"),
-        )
+    dated = trips.join(days, "trip_date", "left").withColumn("is_weekend", weekend)
+    return behavior_of_histogram(duration_histogram(dated, "is_weekend"), rider_types)
+
+
+def behavior_of_histogram(histogram: DataFrame, rider_types: DataFrame) -> DataFrame:
+    """The segments from histograms with ``is_weekend``, several to a duration perhaps."""
+    summed = ("trips", "metres", "measured", "ebikes", "morning", "evening")
+    histogram = histogram.groupBy("member_casual", "duration_seconds").agg(
+        *[F.sum(c).alias(c) for c in summed],
+        F.sum(F.when(F.col("is_weekend"), F.col("trips")).otherwise(0)).alias("weekend"),
+        F.sum(F.when(F.col("is_weekend"), 0).otherwise(F.col("trips"))).alias("weekday"),
     )
     segment = Window.partitionBy("member_casual")
     upto = segment.orderBy("duration_seconds").rowsBetween(Window.unboundedPreceding, 0)

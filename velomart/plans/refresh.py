@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -22,7 +23,9 @@ from velomart.operators import quality as q
 from velomart.params import Params
 from velomart.plans import core, intermediate, staging
 from velomart.plans.models import Models, scratch
+from velomart.plans.trip_increments import RAW_DAY, StoredTrips, refresh_trips
 from velomart.sources import lake, station_feed, storage, trip_files
+from velomart.sources.snapshots import SnapshotStore
 from velomart.workspace import application_dir, materialize
 
 # table: (layer, partition column, cluster columns)
@@ -30,7 +33,7 @@ LAYOUT = {
     "station_id_mapping": ("staging", None, ()),
     "station_id_bridge": ("intermediate", None, ()),
     "status_changes": ("intermediate", "snapshot_date", ("gbfs_station_id",)),
-    "fct_trips": ("marts", "trip_date", ("start_station_id", "member_casual")),
+    "station_demand": ("intermediate", None, ()),
     "fct_station_status": ("marts", "snapshot_date", ("station_key",)),
     "dim_date": ("marts", None, ()),
     "dim_rider_type": ("marts", None, ()),
@@ -51,6 +54,9 @@ STATUS_TESTED = (
     "stg_station_status", "stg_station_status_rejected", "fct_station_status", "status_changes",
     "status_windows", "demand_vs_supply", *STATUS_MARTS, *DEMAND_MARTS, "station_volatility",
 )
+# dates whose raw trips changed, and the loads that a batch refresh has dealt with
+TRIP_LOADS = "load_id string, day date"
+TRIP_REFRESHES = "load_id string, run_id string"
 STATUS_LOG = T.StructType(
     [
         T.StructField("refreshed_at", T.TimestampType()),
@@ -113,6 +119,11 @@ def ingest_trips(
         return days
     stored = wh.spark.read.parquet(lake_path).where(F.col("dt").isin(days))
     conformed = schemas.conform(stored, schemas.TRIPS).withColumn("dt", F.col("_ride_started_date"))
+    # noted first: a load that dies half-way is derived again, one that is not noted never
+    load = uuid.uuid4().hex
+    wh.spark.createDataFrame([(load, day) for day in days], TRIP_LOADS).coalesce(1).write.mode("append").parquet(
+        wh.path("trip_loads", "raw")
+    )
     lake.load_files(conformed, table_path, files, days)
     day, mine = "_ride_started_date", F.col("_source_file").isin(files)
     loaded = wh.spark.read.parquet(table_path).where(F.col(day).isin(days) & mine)
@@ -166,17 +177,24 @@ def ingest_status_payloads(
     return counts[0], counts[1]
 
 
+def trip_store(wh: Warehouse) -> SnapshotStore:
+    """The trip tables of a warehouse: facts, key index, partial aggregates."""
+    return SnapshotStore(wh.spark, f"{wh.root}/trips")
+
+
 def _models(
     wh: Warehouse, p: Params, store: Callable[[DataFrame, str], DataFrame] = scratch
 ) -> Models:
-    return Models(
+    raw = (
         wh.raw("trips", schemas.TRIPS),
         wh.raw("station_status", schemas.STATION_STATUS),
         wh.raw("station_information", schemas.STATION_INFORMATION),
-        p,
-        store_trips=True,
-        store=store,
     )
+    trips = trip_store(wh)
+    at = trips.snapshot()
+    if at.number:
+        return StoredTrips(trips, at, *raw, p, store)
+    return Models(*raw, p, store_trips=True, store=store)
 
 
 def _publish(wh: Warehouse, models: Models, *names: str) -> None:
@@ -189,26 +207,46 @@ def _tested(models: Models, names: Sequence[str]) -> None:
     q.enforce_checks(models.assertions_report(names))
 
 
-def refresh_batch(wh: Warehouse, p: Params, run_id: str) -> Models:
-    """Staging gate, then stations, trip fact, dimensions, trip marts, data tests and metrics.
+def _pending(wh: Warehouse, full: bool) -> tuple[list[str], list[dt.date]]:
+    """Loads that no batch refresh has dealt with, and the dates they changed."""
+    loads = lake.read_or_none(wh.spark, wh.path("trip_loads", "raw"))
+    if loads is None:
+        return [], []
+    done = lake.read_or_none(wh.spark, wh.path("trip_refreshes", "raw"))
+    if done is not None:
+        loads = loads.join(done, "load_id", "left_anti")
+    new = loads.select("load_id").distinct().collect()
+    days = {r.day for r in loads.select("day").distinct().collect()}
+    if full:
+        days |= set(storage.partition_dates(wh.spark, wh.path("trips", "raw"), RAW_DAY))
+        days |= set(trip_store(wh).snapshot().segments("clean"))
+    return [r.load_id for r in new], sorted(days)
+
+
+def refresh_batch(wh: Warehouse, p: Params, run_id: str, full: bool = False) -> Models:
+    """Trips of the dates loaded since the last run, then stations, marts, data tests and metrics.
 
-    Until the gate has passed, the mapping and the trips are scratch tables only.
+    The trip tables are published together once their gate has passed; marts are sums over
+    partial aggregates. ``full`` derives every date again. Nothing but touched dates, and dates
+    that hold another copy of a ride, is read from raw or clean trips and from facts.
     """
-    models = _models(wh, p)
-    q.enforce(models.trip_gate)
-    models.store = wh.store
-    _publish(wh, models, "station_id_mapping", "fct_trips", "dim_date", "dim_rider_type")
+    trips = trip_store(wh)
+    loads, days = _pending(wh, full or not trips.snapshot().number)
+    if days or not trips.snapshot().number:
+        refresh_trips(trips, wh.raw("trips", schemas.TRIPS), days, p)
+        done = wh.spark.createDataFrame([(load, run_id) for load in loads], TRIP_REFRESHES)
+        done.coalesce(1).write.mode("append").parquet(wh.path("trip_refreshes", "raw"))
+        trips.expire()
+    models = _models(wh, p, wh.store)
+    _publish(wh, models, "station_id_mapping", "dim_date", "dim_rider_type")
     models.calendar = models.dim_date
     _ = models.station_id_bridge
-    _publish(wh, models, "dim_station", *BATCH_MARTS)
+    _publish(wh, models, "dim_station", "station_demand", *BATCH_MARTS)
     _tested(models, BATCH_TESTED)
-    layers = {
-        "station_status": (
-            models.stg_station_status, models.stg_station_status_rejected, models.raw_status
-        ),
-        "trips": (models.fct_trips, models.stg_trips_rejected, models.raw_trips),
-    }
-    lake.append_metrics(q.dq_metrics(layers, run_id, p), wh.path("dq_metrics", "raw"))
+    status = (models.stg_station_status, models.stg_station_status_rejected, models.raw_status)
+    metrics = q.dq_metrics({"station_status": status}, run_id, p)
+    metrics = metrics.unionByName(q.dq_metrics_of_counts("trips", models.trip_counts, run_id, p))
+    lake.append_metrics(metrics, wh.path("dq_metrics", "raw"))
     return models
 
 
@@ -220,13 +258,13 @@ def _last_status_run(wh: Warehouse) -> Row | None:
 def refresh_status(wh: Warehouse, p: Params, full: bool = False) -> Models:
     """Status gate, then the status fact, the change archive and the operational marts.
 
-    The trip fact and the bridge are read as the last batch refresh stored them. A run merges
+    Demand and the bridge are read as the last batch refresh stored them. A run merges
     the rows delivered since the one before and rewrites only the dates they touch; the first
     run, one after a change of the bridge, and ``full`` build everything from the raw rows.
     """
     spark = wh.spark
     models = _models(wh, p, wh.store)
-    models.fct_trips = spark.read.parquet(wh.path("fct_trips"))
+    models.station_demand = spark.read.parquet(wh.path("station_demand"))
     models.station_id_bridge = spark.read.parquet(wh.path("station_id_bridge"))
     bridge_hash = models.station_id_bridge.agg(
         F.bit_xor(F.xxhash64(*models.station_id_bridge.columns))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from velomart.functions import clean_text, elapsed, station_id_text
 from velomart.operators import first_by, keep_latest
-from velomart.operators.rules import split, status_rules, trip_rules
+from velomart.operators.rules import raw_trip_rules, reason_text, split, status_rules, trip_rules
 from velomart.params import Params
 
 TRIP_COLUMNS = [
@@ -27,19 +27,32 @@ def _endpoint(side: str) -> Column:
     )
 
 
-def station_id_mapping(trips: DataFrame, fold_name_case: bool = False) -> DataFrame:
-    """Raw station id → canonical id; ids with the same usual name and place are merged.
+def station_mentions(trips: DataFrame, *by: str) -> DataFrame:
+    """How often each (station, name, place) stands at an end of a trip, per ``by``.
 
-    Both ends of a trip come from one scan. All heavy lifting is the first hash
-    aggregation; what follows runs on distinct (id, name, place) combinations.
-    ``fold_name_case`` compares names without case; the default compares them exactly.
+    Both ends of a trip come from one scan. Counts of parts of the trips add up.
     """
-    mentions = (
-        trips.select(F.inline(F.array(_endpoint("start"), _endpoint("end"))))
+    keys = [*by, "station_id", "station_name", "lat", "lng"]
+    return (
+        trips.select(*by, F.inline(F.array(_endpoint("start"), _endpoint("end"))))
         .where(F.col("station_id").isNotNull())
-        .groupBy("station_id", "station_name", "lat", "lng")
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("mentions"))
     )
+
+
+def station_id_mapping(trips: DataFrame, fold_name_case: bool = False) -> DataFrame:
+    """Raw station id → canonical id; ids with the same usual name and place are merged.
+
+    All heavy lifting is the first hash aggregation; what follows runs on distinct (id, name,
+    place) combinations. ``fold_name_case`` compares names without case; the default compares
+    them exactly.
+    """
+    return mapping_of(station_mentions(trips), fold_name_case)
+
+
+def mapping_of(mentions: DataFrame, fold_name_case: bool = False) -> DataFrame:
+    """The mapping from counted mentions, one row per combination."""
     most = -F.col("mentions")
     profile = mentions.groupBy("station_id").agg(
         first_by(F.col("station_name"), most).alias("station_name"),
@@ -75,8 +88,10 @@ def station_id_mapping(trips: DataFrame, fold_name_case: bool = False) -> DataFr
     )
 
 
-def cleaned_trips(trips: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Trimmed trips with canonical station ids, duration and date.
+def cleaned_trips(trips: DataFrame, mapping: DataFrame, *keep: str) -> DataFrame:
+    """Trimmed trips with canonical station ids, duration and date, and the ``keep`` columns.
+
+    ``_start`` and ``_end`` are the station ids as delivered.
 
     Only ids that were merged away change, so the joins see the few merged rows of
     ``mapping`` and not the whole of it. The stored mapping has an exact size: Catalyst
@@ -99,6 +114,7 @@ def cleaned_trips(trips: DataFrame, mapping: DataFrame) -> DataFrame:
         F.lower(clean_text(F.col("member_casual"))).alias("member_casual"),
         "_source_file",
         "_ingested_at",
+        *[c for c in keep if c in trips.columns],
     )
     for side in ("start", "end"):
         other = merged.select(
@@ -112,7 +128,27 @@ def cleaned_trips(trips: DataFrame, mapping: DataFrame) -> DataFrame:
     return (
         df.withColumn("duration_seconds", seconds)
         .withColumn("trip_date", F.to_date("started_at"))
-        .select(*TRIP_COLUMNS)
+        .select(*TRIP_COLUMNS, *keep)
+    )
+
+
+def tagged_trips(trips: DataFrame, mapping: DataFrame, p: Params, *keep: str) -> DataFrame:
+    """Every cleaned trip with ``reason`` (shared rules) and ``raw_reason`` (the summary's own).
+
+    A valid row has a NULL reason. The summary's rules see station ids as delivered.
+    """
+    ids = {"start_station_id": "_start", "end_station_id": "_end"}
+    cleaned = cleaned_trips(trips, mapping, *keep, *ids.values())
+    tagged = cleaned.withColumn("reason", F.nullif(reason_text(trip_rules(p)), F.lit("")))
+    aside = tagged.withColumns({f"_{c}": F.col(c) for c in ids}).withColumns(
+        {c: F.col(delivered) for c, delivered in ids.items()}
+    )
+    judged = aside.withColumn("raw_reason", F.nullif(reason_text(raw_trip_rules(p)), F.lit("")))
+    return judged.select(
+        *[F.col(f"_{c}").alias(c) if c in ids else F.col(c) for c in TRIP_COLUMNS],
+        *keep,
+        "reason",
+        "raw_reason",
     )
 
 
@@ -125,6 +161,10 @@ def stg_trips(cleaned: DataFrame, p: Params) -> DataFrame:
 def stg_trips_rejected(cleaned: DataFrame, p: Params) -> DataFrame:
     """Quarantined trips with their reasons; nothing is deduplicated."""
     _, rejected = split(cleaned, trip_rules(p))
+    return quarantined(rejected, p)
+
+
+def quarantined(rejected: DataFrame, p: Params) -> DataFrame:
     return rejected.select(
         *TRIP_COLUMNS[:-2],
         "rejection_reason",

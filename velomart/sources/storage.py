@@ -1,14 +1,15 @@
-"""Listing and deleting stored files.
+"""Listing, deleting and writing small stored files.
 
 Files are listed by Spark's ``binaryFile`` source, which reads no content when only paths and
-times are asked for. Spark has no public call that deletes files, so ``delete`` asks the
-session's Hadoop file system. It is the only use of private members in this package, and needs
-a classic session, not Spark Connect.
+times are asked for. Spark has no public call that deletes or renames files or names folders, so
+``delete``, ``write_text`` and ``child_names`` ask the session's Hadoop file system. They are the
+only use of private members in this package, and need a classic session, not Spark Connect.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -55,3 +56,34 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> int:
         files = target.getFileSystem(context._jsc.hadoopConfiguration())
         gone += bool(files.delete(target, True))
     return gone
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.format("binaryFile").load(path).select(F.col("content").cast("string")).first()[0]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file so that it is there whole or not at all; False if it is there already.
+
+    The content goes to a neighbour, which is renamed; a rename onto an existing file fails.
+    """
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path
+    folder, name = path.rsplit("/", 1)
+    target, draft = place(path), place(f"{folder}/_{name}.{uuid.uuid4().hex[:8]}")
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    stream = files.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not files.exists(target) and files.rename(draft, target):
+        return True
+    files.delete(draft, False)
+    return False

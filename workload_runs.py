@@ -4,6 +4,7 @@ purpose in places, and read back by the operators. Each has its DuckDB twin."""
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from velomart.functions import clean_text
 from velomart.operators import quality
 from velomart.params import Params
 from velomart.plans import intermediate, profiling, refresh
+from velomart.plans import trip_increments as ti
 from velomart.plans.models import Models
 from velomart.schemas import STATION_STATUS_DLQ, TRIP_CSV_COLUMNS
 from velomart.sources import lake, station_feed, storage, trip_files
+from velomart.sources.snapshots import SnapshotStore
 from velomart.streaming.ingest import append_status_stream, last_per_key, write_status_stream
 from velomart.workspace import materialize, scratch_path
 from workload import P, model, register
@@ -448,6 +451,138 @@ model(
     ),
 )
 
+# --- incremental trips: M1, M2, M13, M18, M20, M21, A14, D4, S6, S7 ----------------------
+
+_AGAIN = "CAST(split_part(ride_id, '-', 1) AS BIGINT) % 97 = 0"
+
+
+def _deliveries(m: Models) -> tuple[SnapshotStore, DataFrame]:
+    """Trips in three loads, published after each: files that come late, are corrected, are removed.
+
+    The first load lacks the last file, has wrong stations in the first one, and a file of copies
+    that win over older rides of other years; in the second these copies are gone, and some
+    rides come again a year later, which settles them anew. The third repeats a file.
+    """
+    spark = m.raw_trips.sparkSession
+    root = scratch_path(spark, "increments")
+    store = SnapshotStore(spark, f"{root}/state")
+    year = m.raw_trips.withColumn(ti.RAW_DAY, F.trunc(ti.RAW_DAY, "year"))
+    trips = materialize(year, "yearly_trips")
+    files = sorted(r[0] for r in trips.select("_source_file").distinct().collect())
+
+    def shifted(rows: DataFrame, name: str, years: int) -> DataFrame:
+        later = F.make_dt_interval(days=F.lit(366 * years))
+        moved = {"started_at": F.col("started_at") + later, "ended_at": F.col("ended_at") + later}
+        rows = rows.withColumns(moved).withColumn("_source_file", F.lit(name))
+        rows = rows.withColumn("_ingested_at", F.lit(dt.datetime(2030, 1, 1)).cast("timestamp"))
+        return rows.withColumn(ti.RAW_DAY, F.trunc(F.to_date("started_at"), "year")).select(*trips.columns)
+
+    wrong = trips.where(F.col("_source_file") == files[0]).withColumn("end_station_id", F.lit("5007.01"))
+    extra = shifted(trips.where(F.expr(_AGAIN.replace("97", "61"))), "extra.csv", 2)
+    again = shifted(trips.where(F.expr(_AGAIN)), "again.csv", 1)
+    first = trips.where(F.col("_source_file").isin(files[1:-1])).unionByName(wrong).unionByName(extra)
+    loads = [
+        (first, [*files[:-1], "extra.csv"]),
+        (trips.where(F.col("_source_file").isin(files[0], files[-1])).unionByName(again),
+         [files[0], files[-1], "extra.csv", "again.csv"]),
+        (again, ["again.csv"]),
+    ]
+    for rows, names in loads:
+        days = lake.write_daily_lake(rows, f"{root}/lake", names)
+        lake.load_files(spark.read.parquet(f"{root}/lake"), f"{root}/raw", names, days)
+        raw = spark.read.parquet(f"{root}/raw")
+        ti.refresh_trips(store, raw, days, replace(P, quarantine_alert_pct=100.0))
+    return store, spark.read.parquet(f"{root}/raw")
+
+
+def _stored(m: Models) -> ti.StoredTrips:
+    store, raw = _deliveries(m)
+    return ti.StoredTrips(store, store.snapshot(), raw, m.raw_status, m.raw_information, P)
+
+
+def _incremental_facts(m: Models) -> DataFrame:
+    return _stored(m).fct_trips.select(
+        "trip_key", "ride_id", "trip_date", "started_at", "start_station_id", "end_station_id",
+        "member_casual", "duration_seconds", "distance_km", "_source_file",
+    )
+
+
+_LATER = (
+    "SELECT * REPLACE (started_at + INTERVAL 366 DAY AS started_at, ended_at + INTERVAL 366 DAY AS ended_at, "
+    "'again.csv' AS _source_file, TIMESTAMP '2030-01-01' AS _ingested_at) FROM trips "
+    f"WHERE {_AGAIN}"
+)
+model(
+    "trips_incremental",
+    _incremental_facts,
+    o.sql(
+        "SELECT trip_key, ride_id, trip_date, started_at, start_station_id, end_station_id, member_casual, "
+        "duration_seconds, distance_km, _source_file FROM fct_trips",
+        "fct_trips",
+        more_trips=_LATER,
+    ),
+)
+
+
+def _incremental_marts(m: Models) -> DataFrame:
+    """The marts that are sums over partial aggregates, one under another."""
+    stored = _stored(m)
+    none = F.lit(None)
+
+    def rows(frame: DataFrame, name: str, key: Column, *numbers: str) -> DataFrame:
+        values = [F.col(c).cast("double") for c in numbers] + [none.cast("double")] * (6 - len(numbers))
+        named = [v.alias(f"v{k}") for k, v in enumerate(values)]
+        return frame.select(F.lit(name).alias("mart"), key.cast("string").alias("key"), *named)
+
+    return quality.union_all(
+        [
+            rows(stored.trip_summary_daily, "daily", F.col("date_day"), "total_trips", "member_trips",
+                 "ebike_trips", "avg_duration_minutes", "total_distance_km", "active_start_stations"),
+            rows(stored.usage_pattern_hourly, "hourly", F.col("day_of_week") * 100 + F.col("start_hour"),
+                 "total_trips", "member_trips", "avg_duration_minutes", "share_of_total_pct"),
+            rows(stored.member_vs_casual_behavior, "behavior", F.col("member_casual"), "total_trips",
+                 "median_duration_minutes", "avg_distance_km", "weekend_trips", "morning_peak_trips"),
+            rows(stored.station_demand, "demand", F.col("station_id"), "departure_count", "arrival_count", "net_flow"),
+            rows(stored.station_id_mapping, "mapping", F.concat_ws("=", "station_id", "canonical_station_id"),
+                 "total_mentions", "ids_in_group"),
+            rows(stored.trips_dq_summary, "dq", F.concat_ws("=", "_source_file", "rejection_reason"),
+                 "row_count", "valid_rows", "rejected_rows", "duplicate_rows"),
+            rows(stored.stations_deduplicated, "stations", F.concat_ws("=", "station_id", "station_name"),
+                 "lat", "lng", "trip_mentions"),
+        ]
+    )
+
+
+def _mart(name: str, key: str, table: str, *numbers: str) -> str:
+    values = [f"CAST({c} AS DOUBLE)" for c in numbers] + ["CAST(NULL AS DOUBLE)"] * (6 - len(numbers))
+    named = ", ".join(f"{v} AS v{k}" for k, v in enumerate(values))
+    return f"SELECT '{name}' AS mart, CAST({key} AS VARCHAR) AS key, {named} FROM {table}"
+
+
+model(
+    "trips_incremental_marts",
+    _incremental_marts,
+    o.sql(
+        " UNION ALL ".join(
+            [
+                _mart("daily", "date_day", "daily", "total_trips", "member_trips", "ebike_trips",
+                      "avg_duration_minutes", "total_distance_km", "active_start_stations"),
+                _mart("hourly", "day_of_week * 100 + start_hour", "hourly", "total_trips", "member_trips",
+                      "avg_duration_minutes", "share_of_total_pct"),
+                _mart("behavior", "member_casual", "segments", "total_trips", "median_duration_minutes",
+                      "avg_distance_km", "weekend_trips", "morning_peak_trips"),
+                _mart("demand", "station_id", "demand", "departure_count", "arrival_count", "net_flow"),
+                _mart("mapping", "station_id || '=' || canonical_station_id", "mapping", "total_mentions", "ids_in_group"),
+                _mart("dq", "concat_ws('=', _source_file, rejection_reason)", "dq_raw", "row_count", "valid_rows",
+                      "rejected_rows", "duplicate_rows"),
+                _mart("stations", "concat_ws('=', station_id, station_name)", "stations", "lat", "lng", "trip_mentions"),
+            ]
+        ),
+        "daily", "hourly", "segments", "demand", "mapping", "dq_raw", "stations",
+        more_trips=_LATER,
+    ),
+)
+
 # --- messages and payloads of the status feed: D8, D10, S15, R2, R3, R10 ----------------
 
 _MESSAGE_KINDS = """
