@@ -12,7 +12,7 @@ _BLOCK_BITS = 33
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, byte plane by byte plane and compressed; most are small."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=9).compress(planes.tobytes())
 
 
 def unpack(packed: bytes) -> np.ndarray:
@@ -51,7 +51,7 @@ class Codes(dict):
 def pack_bytes(values: list[bytes]) -> bytes:
     """Byte strings in one value: the packed lengths' size, the packed lengths, the bytes."""
     sizes = pack(np.fromiter(map(len, values), np.uint32, len(values)))
-    body = zstandard.ZstdCompressor(level=9).compress(b"".join(values))
+    body = zstandard.ZstdCompressor(level=12).compress(b"".join(values))
     return len(sizes).to_bytes(4, "little") + sizes + body
 
 

@@ -50,7 +50,7 @@ from velomart.workspace import materialize
 #: A block ends with the text that brings it to so many characters or rows.
 BLOCK_CHARS, BLOCK_ROWS = 32 << 20, 1 << 16
 #: Positions of a block are packed, and put in order, so many at a time; a text is not parted.
-PIECE = 1 << 18
+PIECE = 1 << 20
 #: A bucket holds about so many (block, pre-token) rows, from so many blocks at most.
 BUCKET_ROWS, BLOCKS = 1 << 20, 1 << 20
 #: Most bytes of a table of token bytes that is broadcast; vocabularies hold a few hundred kB.
