@@ -13,6 +13,7 @@ from velomart.plans import trip_increments as ti
 from velomart.plans.models import Models
 from velomart.schemas import STATION_INFORMATION, STATION_STATUS, TRIPS
 from velomart.sources.snapshots import SEGMENT, SnapshotStore
+from velomart.workspace import materialize
 
 P = Params(as_of=dt.datetime(2026, 1, 20), quarantine_alert_pct=95.0)
 NOW = dt.datetime(2026, 1, 15)
@@ -108,6 +109,48 @@ def test_ingest_correct_remove_and_redeliver(spark, tmp_path):
     assert world.store.snapshot(before.number) == before
 
 
+def violations(models):
+    names = ("stg_trips", "fct_trips", "stg_trips_rejected", "station_id_mapping", "trip_summary_daily")
+    return sorted(map(tuple, models.assertions_report(names).collect()))
+
+
+def test_data_tests_over_three_refreshes(spark, tmp_path):
+    rng = random.Random(6)
+    world = World(spark, str(tmp_path))
+    one = [trip(rng, f"r{k}", 1 + k % 3, "one.csv") for k in range(40)] + [(*good("odd", 2, "one.csv")[:12], "someone", *good("odd", 2, "one.csv")[13:])]
+    for files in ({"one.csv": one}, {"two.csv": [good(f"r{k}", 5, "two.csv", 2) for k in range(9)]}, {"one.csv": one[:20]}):
+        world.refresh(world.load(**files))
+        stored, full = world.models()
+        assert violations(stored) == violations(full)
+    # a ride that is a fact of two dates, and one whose station nobody knows
+    change = ti.Change(world.store)
+    day = dt.date(2026, 1, 6)
+    more = world.store.read("facts", segments=[dt.date(2026, 1, 5)]).where("ride_id in ('r0', 'r1')")
+    more = more.withColumn(SEGMENT, F.lit(day)).withColumn("start_station_key", F.lit("nobody"))
+    more = materialize(more, "more")
+    change.replace("facts", more, [day])
+    buckets = {r[0] for r in ti.segment_checks._keys(more, [c for c in ti.trip_checks(P, "fct_trips") if c.unique]).select("_bucket").distinct().collect()}
+    for d in range(1, 6):
+        spoil(f"{world.path}/state/facts", f"2026-01-0{d}")
+        spoil(f"{world.path}/state/clean", f"2026-01-0{d}")
+    for folder, _, files in os.walk(f"{world.path}/state/facts__keys"):
+        if "_bucket=" in folder and int(folder.rsplit("=", 1)[1]) not in buckets:
+            for name in files:
+                open(os.path.join(folder, name), "wb").close()
+    again = ti.update_checks(change, "facts", change.read("facts", [day]), [day], ti.trip_checks(P, *ti.FACT_MODELS))
+    assert set(again) == buckets
+    change.publish()
+    found = dict((f"{m}.{c}", n) for m, c, n in ti.segment_checks.report(
+        world.store, world.store.snapshot(), "facts", ti.trip_checks(P, *ti.FACT_MODELS),
+        {name: getattr(stored, name) for name in ("dim_station", "dim_date", "dim_rider_type")}).collect())
+    assert (found["fct_trips.unique_ride_id"], found["stg_trips.unique_ride_id"], found["fct_trips.unique_trip_key"]) == (2, 2, 2)
+    assert found["fct_trips.relationship_start_station_key"] == 2
+    # the same rows again are the same digests: nothing is counted
+    change = ti.Change(world.store)
+    change.replace("facts", more, [day])
+    assert ti.update_checks(change, "facts", change.read("facts", [day]), [day], ti.trip_checks(P, *ti.FACT_MODELS)) == []
+
+
 def spoil(root, day):
     """Make the files of a segment unreadable."""
     for folder, _, files in os.walk(root):

@@ -164,13 +164,14 @@ def stg_trips_rejected(cleaned: DataFrame, p: Params) -> DataFrame:
     return quarantined(rejected, p)
 
 
-def quarantined(rejected: DataFrame, p: Params) -> DataFrame:
+def quarantined(rejected: DataFrame, p: Params, *keep: str) -> DataFrame:
     return rejected.select(
         *TRIP_COLUMNS[:-2],
         "rejection_reason",
         "_source_file",
         F.lit(p.as_of).cast("timestamp").alias("quarantined_at"),
         "_ingested_at",
+        *keep,
     )
 
 

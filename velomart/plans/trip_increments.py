@@ -21,7 +21,7 @@ The gate is decided on the unpublished versions, before the pointer is written.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Collection, Iterable
+from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -30,10 +30,13 @@ from pyspark.sql import functions as F
 
 from velomart.operators import keep_latest, signed_endpoints
 from velomart.operators import quality as q
+from velomart.operators.quality import Check
 from velomart.operators.rules import is_valid, status_rules
 from velomart.params import Params
-from velomart.plans import core, intermediate, marts, staging
+from velomart.plans import core, intermediate, marts, segment_checks, staging
+from velomart.plans.checks import declared_checks
 from velomart.plans.models import Models, scratch
+from velomart.plans.segment_checks import update_checks
 from velomart.plans.staging import TRIP_COLUMNS
 from velomart.sources.snapshots import SEGMENT, Change, Snapshot, SnapshotStore
 from velomart.workspace import materialize
@@ -43,6 +46,8 @@ RAW_DAY, BUCKET = "_ride_started_date", "_bucket"
 FEW_RIDES = 200
 LATEST = ["_ingested_at", "ended_at"]
 FACT_ORDER = ["start_station_id", "member_casual"]
+#: Models that are the fact's rows, whose data tests are kept with the segments of the fact.
+FACT_MODELS = ("stg_trips", "fct_trips")
 
 
 @dataclass(frozen=True)
@@ -129,6 +134,15 @@ def _kept_per_file(rows: DataFrame) -> DataFrame:
     return rows.groupBy(SEGMENT, "_source_file").agg(F.count(F.lit(1)).alias("kept"))
 
 
+def _quarantined(clean: DataFrame, p: Params, *keep: str) -> DataFrame:
+    rejected = clean.where(F.col("reason").isNotNull()).withColumnRenamed("reason", "rejection_reason")
+    return staging.quarantined(rejected, p, *keep)
+
+
+def trip_checks(p: Params, *models: str) -> list[Check]:
+    return [c for c in declared_checks(p) if c.model in models]
+
+
 def _settle(
     change: Change, clean: DataFrame, copies: DataFrame, derived: list[dt.date], opened: list[dt.date], p: Params
 ) -> list[dt.date]:
@@ -280,7 +294,11 @@ def _refreshed(change: Change, raw: DataFrame, touched: set[dt.date], p: Params,
     opened = sorted(r[0] for r in copies.select(SEGMENT).distinct().collect())
     settled = _settle(change, clean, copies, derived, opened, p)
     _count_files(change, clean, copies, derived, opened)
-    _aggregate(change, sorted({*derived, *settled}))
+    changed = sorted({*derived, *settled})
+    _aggregate(change, changed)
+    update_checks(change, "facts", change.read("facts", changed), changed, trip_checks(p, *FACT_MODELS))
+    rejected = _quarantined(clean, p, SEGMENT)
+    update_checks(change, "rejected", rejected, derived, trip_checks(p, "stg_trips_rejected"))
 
     q.enforce(q.gate_of_counts(_files_of(change, derived), p))
     seen = counts.get
@@ -332,8 +350,7 @@ class StoredTrips(Models):
 
     @cached_property
     def stg_trips_rejected(self) -> DataFrame:
-        rejected = self._table("clean").where(F.col("reason").isNotNull())
-        return staging.quarantined(rejected.withColumnRenamed("reason", "rejection_reason"), self.params)
+        return _quarantined(self._table("clean"), self.params)
 
     @cached_property
     def stations_deduplicated(self) -> DataFrame:
@@ -399,3 +416,16 @@ class StoredTrips(Models):
         valid = self._table("fact_files").withColumn("rejected_rows", zero)
         rejected = self._table("rejected_files").withColumn("valid_rows", zero)
         return q.gate_of_counts(valid.unionByName(rejected), self.params)
+
+    def assertions_report(self, names: Sequence[str] | None = None) -> DataFrame:
+        """As in ``Models``; tests of the trips come from the results kept per segment."""
+        wanted = set(names or [c.model for c in declared_checks(self.params)])
+        kept = {"facts": FACT_MODELS, "rejected": ("stg_trips_rejected",)}
+        others = wanted - {model for models in kept.values() for model in models}
+        reports = [super().assertions_report(sorted(others))] if others else []
+        for table, models in kept.items():
+            checks = trip_checks(self.params, *(m for m in models if m in wanted))
+            if checks:
+                parents = {c.parent[1]: getattr(self, c.parent[1]) for c in checks if c.parent}
+                reports.append(segment_checks.report(*self._trips_at, table, checks, parents))
+        return q.union_all(reports)
