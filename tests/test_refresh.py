@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,3 +251,49 @@ def test_a_failed_data_test_stops_the_metrics(spark, wh, tmp_path):
     with pytest.raises(DataTestError, match="member_casual"):
         refresh.refresh_batch(wh, P, "run-1")
     assert lake.read_or_none(spark, wh.path("dq_metrics", "raw")) is None
+
+
+def spoil(path):
+    """Overwrite the rows of a Parquet file; its footer, which a schema may be taken from, stays."""
+    path = path.removeprefix("file:")
+    folder, name = os.path.split(path)
+    if os.path.exists(f"{folder}/.{name}.crc"):
+        os.remove(f"{folder}/.{name}.crc")
+    with open(path, "r+b") as file:
+        content = file.read()
+        end = len(content) - 8 - int.from_bytes(content[-8:-4], "little")
+        file.seek(4)
+        file.write(b"\xff" * (end - 4))
+
+
+def test_a_status_refresh_opens_the_dates_it_touches(spark, wh, tmp_path):
+    """Thirty dates, one new batch: files of all other dates could as well be unreadable."""
+    p = Params(as_of=dt.datetime(2026, 1, 31, 12), freshness_minutes=10**6)
+    refresh.ingest_trips(wh, str(tmp_path / "csv"), NOW)
+    refresh.ingest_station_information(wh, str(tmp_path / "info.json"), NOW, p)
+    refresh.refresh_batch(wh, p, "run-1")
+    deliver(spark, wh, tmp_path, *[status(f"g{s}", (s + d) % 9, 60, day=d) for s in (1, 2) for d in range(1, 31)])
+    refresh.refresh_status(wh, p)
+    ahead = json.loads(status("g1", 4, 180, day=30)) | {"snapshot_timestamp": "2026-01-30T10:00:00"}  # is rejected
+    deliver(spark, wh, tmp_path, status("g1", 8, 120, day=30), status("g2", 3, 120, day=30), json.dumps(ahead))
+    for table in ("fct_station_status", "stg_station_status", "status_changes"):
+        for path in [r.path for r in storage.listing(spark, wh.path(table)).collect()]:
+            if "=2026-01-30" not in path:
+                spoil(path)
+    refresh.refresh_status(wh, p)
+    log = spark.read.parquet(wh.path("status_refreshes", "raw")).orderBy("batch_mark").collect()
+    assert [(r.was_full, r.changed_rows) for r in log] == [(True, 60), (False, 2)]
+    volatility = rows(wh, "station_volatility")
+    found = {name: rows(wh, name) for name in ("station_risk_monitoring", "station_availability_realtime", "station_supply_demand")}
+    counts = refresh.status.counts(refresh.status_store(wh), refresh.status_store(wh).snapshot()).first()
+    assert (counts.raw_rows, counts.valid_rows, counts.rejected_rows) == (63, 62, 1)
+    for table in ("fct_station_status", "stg_station_status", "status_changes", "station_state"):
+        storage.delete(spark, [wh.path(table)])
+    models = refresh.refresh_status(wh, p, full=True)
+    assert rows(wh, "station_volatility") == volatility
+    assert {name: rows(wh, name) for name in found} == found
+    kept = [name for _, names in refresh.status.TESTED.values() for name in names]
+    parents = {"dim_station": models.dim_station, "dim_date": models.dim_date}
+    store = refresh.status_store(wh)
+    partial = refresh.status.assertions_report(store, store.snapshot(), parents, p, kept)
+    assert sorted(map(tuple, partial.collect())) == sorted(map(tuple, models.assertions_report(kept).collect()))

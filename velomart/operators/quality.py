@@ -80,15 +80,20 @@ def gate_of_counts(counts: DataFrame, p: Params) -> DataFrame:
 
 def gate_status(valid: DataFrame, rejected: DataFrame, p: Params) -> DataFrame:
     """Overall rejected share of the status feed; an empty feed passes with 0."""
-    return counts_by_side(valid, rejected).select(
+    return status_gate_of_counts(counts_by_side(valid, rejected), p)
+
+
+def status_gate_of_counts(counts: DataFrame, p: Params) -> DataFrame:
+    """The status gate from one row of valid and rejected counts."""
+    total = F.nullif(F.col("valid_rows") + F.col("rejected_rows"), F.lit(0))
+    pct = _share(F.col("rejected_rows"), total)
+    return counts.select(
         F.lit("station_status").alias("layer"),
         F.lit("station_status").alias("source"),
         F.col("valid_rows").alias("total_rows"),
         "rejected_rows",
-        F.coalesce("rejected_pct", F.lit(0.0)).alias("rejected_pct"),
-        F.coalesce(F.col("rejected_pct") > p.quarantine_alert_pct, F.lit(False)).alias(
-            "is_violation"
-        ),
+        F.coalesce(pct, F.lit(0.0)).alias("rejected_pct"),
+        F.coalesce(pct > p.quarantine_alert_pct, F.lit(False)).alias("is_violation"),
     )
 
 

@@ -239,9 +239,17 @@ def station_risk(status: DataFrame, bridge: DataFrame, p: Params) -> DataFrame:
 
 def latest_complete_snapshot(facts: DataFrame, p: Params) -> DataFrame:
     """One row: the newest snapshot holding nearly as many stations as the largest one."""
-    sizes = facts.groupBy("snapshot_timestamp").agg(
+    return latest_of_sizes(snapshot_sizes(facts), p)
+
+
+def snapshot_sizes(facts: DataFrame, *by: str) -> DataFrame:
+    return facts.groupBy(*by, "snapshot_timestamp").agg(
         F.countDistinct("gbfs_station_id").alias("stations")
     )
+
+
+def latest_of_sizes(sizes: DataFrame, p: Params) -> DataFrame:
+    """The latest complete snapshot from the number of stations in each."""
     sizes = materialize(sizes, "snapshot_sizes")  # read twice; one row per snapshot
     needed = sizes.agg(round_to_long(F.max("stations") * p.complete_snapshot_share)).scalar()
     return (

@@ -281,10 +281,10 @@ def station_supply_demand(demand: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def station_volatility(changes: DataFrame, p: Params) -> DataFrame:
-    """How much each station moves, from the change archive."""
+def station_movement(changes: DataFrame, *by: str) -> DataFrame:
+    """Changes per station as it was named; those of parts of the archive add up."""
     c = F.col
-    named = changes.groupBy("gbfs_station_id", "station_name", "legacy_station_id").agg(
+    return changes.groupBy(*by, "gbfs_station_id", "station_name", "legacy_station_id").agg(
         F.count(F.lit(1)).alias("changes"),
         F.count_if(c("op") == "u").alias("updates"),
         F.sum(F.abs(F.coalesce("delta_bikes", F.lit(0)))).alias("bikes"),
@@ -292,6 +292,21 @@ def station_volatility(changes: DataFrame, p: Params) -> DataFrame:
         F.min("valid_from").alias("first_at"),
         F.max("valid_from").alias("last_at"),
     )
+
+
+def station_volatility(changes: DataFrame, p: Params) -> DataFrame:
+    """How much each station moves, from the change archive."""
+    return volatility_of_movement(station_movement(changes), p)
+
+
+def volatility_of_movement(movement: DataFrame, p: Params) -> DataFrame:
+    """The volatility of stations from movements, several to a station and name perhaps."""
+    c = F.col
+    named = movement.groupBy("gbfs_station_id", "station_name", "legacy_station_id").agg(
+        *[F.sum(n).alias(n) for n in ("changes", "updates", "bikes", "docks")],
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
     newest = -F.unix_micros("last_at")
     minutes = elapsed("MINUTE", F.max("last_at"), F.min("first_at"))
     stations = (

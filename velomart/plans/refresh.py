@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -22,6 +22,7 @@ from velomart.operators import keep_latest, merge_states
 from velomart.operators import quality as q
 from velomart.params import Params
 from velomart.plans import core, intermediate, staging
+from velomart.plans import status_increments as status
 from velomart.plans.models import Models, scratch
 from velomart.plans.trip_increments import RAW_DAY, StoredTrips, refresh_trips
 from velomart.sources import lake, station_feed, storage, trip_files
@@ -57,6 +58,8 @@ STATUS_TESTED = (
 # dates whose raw trips changed, and the loads that a batch refresh has dealt with
 TRIP_LOADS = "load_id string, day date"
 TRIP_REFRESHES = "load_id string, run_id string"
+# dates that a status run is about to rewrite, by the newest batch it merges
+STATUS_TOUCHED = "mark long, kind string, day date"
 STATUS_LOG = T.StructType(
     [
         T.StructField("refreshed_at", T.TimestampType()),
@@ -238,13 +241,19 @@ def refresh_batch(wh: Warehouse, p: Params, run_id: str, full: bool = False) ->
         done.coalesce(1).write.mode("append").parquet(wh.path("trip_refreshes", "raw"))
         trips.expire()
     models = _models(wh, p, wh.store)
+    kept, at = status_store(wh), status_store(wh).snapshot()
+    if at.number:
+        models.calendar = models.dim_date = _calendar(wh, p)
     _publish(wh, models, "station_id_mapping", "dim_date", "dim_rider_type")
     models.calendar = models.dim_date
     _ = models.station_id_bridge
     _publish(wh, models, "dim_station", "station_demand", *BATCH_MARTS)
     _tested(models, BATCH_TESTED)
-    status = (models.stg_station_status, models.stg_station_status_rejected, models.raw_status)
-    metrics = q.dq_metrics({"station_status": status}, run_id, p)
+    if at.number:
+        metrics = q.dq_metrics_of_counts("station_status", status.counts(kept, at), run_id, p)
+    else:
+        sides = (models.stg_station_status, models.stg_station_status_rejected, models.raw_status)
+        metrics = q.dq_metrics({"station_status": sides}, run_id, p)
     metrics = metrics.unionByName(q.dq_metrics_of_counts("trips", models.trip_counts, run_id, p))
     lake.append_metrics(metrics, wh.path("dq_metrics", "raw"))
     return models
@@ -255,14 +264,28 @@ def _last_status_run(wh: Warehouse) -> Row | None:
     return None if found is None else found.orderBy(F.desc("batch_mark"), F.desc("refreshed_at")).first()
 
 
+def status_store(wh: Warehouse) -> SnapshotStore:
+    """What is kept of the status tables: running counts, snapshot sizes, movement, data tests."""
+    return SnapshotStore(wh.spark, f"{wh.root}/status")
+
+
+def _newest_batch(wh: Warehouse) -> int | None:
+    """The highest delivered batch, a value of the folders' names."""
+    files = storage.listing(wh.spark, wh.path("station_status", "raw"))
+    if files is None:
+        return None
+    return files.agg(F.max(storage.partition_value("_batch_id").try_cast("long"))).first()[0]
+
+
 def refresh_status(wh: Warehouse, p: Params, full: bool = False) -> Models:
     """Status gate, then the status fact, the change archive and the operational marts.
 
     Demand and the bridge are read as the last batch refresh stored them. A run merges
-    the rows delivered since the one before and rewrites only the dates they touch; the first
-    run, one after a change of the bridge, and ``full`` build everything from the raw rows.
+    the rows delivered since the one before and reads and rewrites only the dates they touch:
+    gates, data tests, the latest snapshot and volatility come from what is kept per date. The
+    first run, one after a change of the bridge, and ``full`` build everything from the raw rows.
     """
-    spark = wh.spark
+    spark, store = wh.spark, status_store(wh)
     models = _models(wh, p, wh.store)
     models.station_demand = spark.read.parquet(wh.path("station_demand"))
     models.station_id_bridge = spark.read.parquet(wh.path("station_id_bridge"))
@@ -271,25 +294,41 @@ def refresh_status(wh: Warehouse, p: Params, full: bool = False) -> Models:
     ).first()[0]
     last = _last_status_run(wh)
     raw = lake.read_or_none(spark, wh.path("station_status", "raw"))
-    mark = None if raw is None else raw.agg(F.max("_batch_id")).first()[0]
+    mark = _newest_batch(wh)
     known = lake.read_or_none(spark, wh.path("stg_station_status"))
     full = full or last is None or known is None or raw is None or last.bridge_hash != bridge_hash
+    full = full or not store.snapshot().number
     if full:
         q.enforce(models.status_gate)
         reported = F.to_date("last_reported")
         wh.store(models.stg_station_status.withColumn("_reported_date", reported), "stg_station_status")
-        models.stg_station_status = _stored_status(wh)
         changed = models.stored_fct_station_status
+        touched = status.Touched(None, None, None)
+        batches = status.batch_counts(-1 if mark is None else mark, models.raw_status, models.stg_station_status_rejected)
     else:
-        changed = _merge_status(wh, models, raw.where(F.col("_batch_id") > last.batch_mark), p)
-        models.stg_station_status = _stored_status(wh)
+        new_raw = raw.where(F.col("_batch_id") > last.batch_mark)
+        changed, batches = _merge_status(wh, models, new_raw, mark, p)
+        touched = _noted(wh, last.batch_mark)
     facts = spark.read.parquet(wh.path("fct_station_status"))
     models.fct_station_status = models.stored_fct_station_status = facts
-    late = _extend_archive(wh, models, facts if full else changed)
+    late, archived = _extend_archive(wh, models, facts if full else changed)
+    if not full:
+        touched.changes |= archived
+    staged = spark.read.parquet(wh.path("stg_station_status"))
+    models.stg_station_status = staged.drop("_reported_date")
+    at = status.update(store, touched, staged, facts, models.status_changes, batches, p)
+
+    models.latest_complete_snapshot = status.latest_complete_snapshot(store, at, p)
+    models.station_volatility = status.station_volatility(store, at, p)
+    models.calendar = models.dim_date = _calendar(wh, p)
     _publish(wh, models, *STATUS_MARTS)
     models.demand_vs_supply = wh.store(models.demand_vs_supply, "station_demand_vs_supply")
     _publish(wh, models, *DEMAND_MARTS, "station_volatility")
-    _tested(models, STATUS_TESTED)
+    kept = [name for _, names in status.TESTED.values() for name in names]
+    kept.append("stg_station_status_rejected")
+    parents = {"dim_station": models.dim_station, "dim_date": models.dim_date}
+    report = models.assertions_report([name for name in STATUS_TESTED if name not in kept])
+    q.enforce_checks(report.unionByName(status.assertions_report(store, at, parents, p, kept)))
     row = (p.as_of, mark, bridge_hash, changed.count(), late, full)
     spark.createDataFrame([row], STATUS_LOG).write.mode("append").parquet(
         wh.path("status_refreshes", "raw")
@@ -297,17 +336,47 @@ def refresh_status(wh: Warehouse, p: Params, full: bool = False) -> Models:
     return models
 
 
-def _stored_status(wh: Warehouse) -> DataFrame:
-    return wh.spark.read.parquet(wh.path("stg_station_status")).drop("_reported_date")
+def _calendar(wh: Warehouse, p: Params) -> DataFrame:
+    """The date dimension from the dates that trips and snapshots are kept for."""
+    trips, snapshots = trip_store(wh), status_store(wh)
+    days = []
+    for store, table in ((trips, "daily"), (snapshots, "sizes")):
+        rows = [(day,) for day in store.snapshot().segments(table)]
+        days.append(wh.spark.createDataFrame(rows, "day date"))
+    return core.dim_date(*days, p, "day", "day")
+
 
+def _note(wh: Warehouse, mark: int, kind: str, days: Iterable[dt.date]) -> None:
+    """Note dates before they are rewritten; the run that finishes deals with them."""
+    rows = wh.spark.createDataFrame([(mark, kind, day) for day in days], STATUS_TOUCHED)
+    rows.coalesce(1).write.mode("append").parquet(wh.path("status_touched", "raw"))
 
-def _merge_status(wh: Warehouse, models: Models, new_raw: DataFrame, p: Params) -> DataFrame:
-    """Merge newly delivered rows into the staged status and the fact; returns their fact rows."""
+
+def _noted(wh: Warehouse, after: int) -> status.Touched:
+    """Dates noted since the last run that finished, by it or by one that did not."""
+    found = lake.read_or_none(wh.spark, wh.path("status_touched", "raw"))
+    touched = status.Touched()
+    if found is not None:
+        for r in found.where(F.col("mark") > after).select("kind", "day").distinct().collect():
+            getattr(touched, r.kind).add(r.day)
+    return touched
+
+
+def _merge_status(
+    wh: Warehouse, models: Models, new_raw: DataFrame, mark: int, p: Params
+) -> tuple[DataFrame, DataFrame]:
+    """Merge newly delivered rows into the staged status and the fact.
+
+    Returns their fact rows and the counts of the delivery. Nothing is written before the gate.
+    """
     spark, path, fact_path = wh.spark, wh.path("stg_station_status"), wh.path("fct_station_status")
+    store = status_store(wh)
     keys, latest_by = list(p.status_dedup_key), ["_ingested_at", "snapshot_timestamp"]
-    new = staging.cleaned_status(schemas.conform(new_raw, schemas.STATION_STATUS))
-    new = staging.stg_station_status(new, p).withColumn("_reported_date", F.to_date("last_reported"))
+    cleaned = staging.cleaned_status(schemas.conform(new_raw, schemas.STATION_STATUS))
+    new = staging.stg_station_status(cleaned, p).withColumn("_reported_date", F.to_date("last_reported"))
     new = materialize(new, "new_status")
+    rejected = staging.stg_station_status_rejected(cleaned, p)
+    batches = materialize(status.batch_counts(mark, cleaned, rejected), "batch_counts")
     stored = spark.read.parquet(path).select(*new.columns)
     days = [r[0] for r in new.select("_reported_date").distinct().collect()]
     touched = stored.where(F.col("_reported_date").isin(days))
@@ -315,17 +384,18 @@ def _merge_status(wh: Warehouse, models: Models, new_raw: DataFrame, p: Params)
     same = [*keys, *latest_by]
     changed = materialize(merged.join(touched, same, "left_anti"), "changed_status")
     replaced = materialize(touched.join(changed.select(*keys), keys, "left_semi"), "replaced_status")
-    kept = stored.where(~F.col("_reported_date").isin(days))
-    valid = kept.select("station_id").unionByName(merged.select("station_id"))
-    q.enforce(q.gate_status(valid, models.stg_station_status_rejected, p))
+    counts = status.counts(store, store.snapshot(), batches, merged, days)
+    q.enforce(q.status_gate_of_counts(counts, p))
 
-    lake.write_partitions(merged, path, "_reported_date", ["station_id"])
     rows = changed.drop("_reported_date")
     risk = intermediate.station_risk(rows, models.station_id_bridge, p)
     facts = materialize(core.fct_station_status(risk), "changed_facts")
     fact_days = F.to_date("snapshot_timestamp")
     dates = changed.select(fact_days.alias("d")).unionByName(replaced.select(fact_days.alias("d")))
     dates = [r.d for r in dates.distinct().collect()]
+    _note(wh, mark, "staged", days)
+    _note(wh, mark, "facts", dates)
+    lake.write_partitions(merged, path, "_reported_date", ["station_id"])
     old = spark.read.parquet(fact_path).where(F.col("snapshot_date").isin(dates))
     gone = changed.select(F.col("station_id").alias("gbfs_station_id"), "last_reported")
     old = old.join(gone, ["gbfs_station_id", "last_reported"], "left_anti")
@@ -333,11 +403,11 @@ def _merge_status(wh: Warehouse, models: Models, new_raw: DataFrame, p: Params)
         old.select(*facts.columns).unionByName(facts), fact_path, "snapshot_date", dates,
         ["station_key"],
     )
-    return facts
+    return facts, batches
 
 
-def _extend_archive(wh: Warehouse, models: Models, facts: DataFrame) -> int:
-    """Append the changes in ``facts`` to the archive; returns the rows that came too late.
+def _extend_archive(wh: Warehouse, models: Models, facts: DataFrame) -> tuple[int, set[dt.date]]:
+    """Append the changes in ``facts`` to the archive; returns rows that came too late, and dates.
 
     The state table holds the last archived change of every station, so neither the archive
     nor older facts are read. Rows at or before its newest change are late.
@@ -363,7 +433,7 @@ def _extend_archive(wh: Warehouse, models: Models, facts: DataFrame) -> int:
     archive = lake.read_or_none(wh.spark, path)
     archive = changes if archive is None else archive.select(*changes.columns)
     models.status_changes = models.stored_status_changes = archive
-    return late
+    return late, {r[0] for r in changes.select("snapshot_date").distinct().collect()}
 
 
 def finish(wh: Warehouse) -> int:

@@ -97,8 +97,11 @@ def update_checks(
     ``rows`` are the rows of these segments as they are now. Returns the buckets counted again.
     """
     by_rows, children, keys, digests, verdicts = _names(table)
-    change.replace(by_rows, _row_violations(rows, [c for c in checks if c.bad is not None]), segments)
-    change.replace(children, _children(rows, [c for c in checks if c.parent]), segments)
+    parts = {
+        by_rows: _row_violations(rows, [c for c in checks if c.bad is not None]),
+        children: _children(rows, [c for c in checks if c.parent]),
+    }
+    change.replace_together(parts, segments)
     unique = [c for c in checks if c.unique]
     change.replace(keys, _keys(rows, unique), segments, within=[BUCKET])
     per_bucket = change.read(keys, segments).groupBy(SEGMENT, BUCKET, "key_of").agg(

@@ -181,9 +181,12 @@ def _count_files(
 ) -> None:
     """Counts per segment and file for the gate and the quality summary."""
     rejected = clean.where(F.col("reason").isNotNull()).groupBy(SEGMENT, "_source_file")
-    change.replace("rejected_files", rejected.agg(F.count(F.lit(1)).alias("rejected_rows")), derived)
     reasons = clean.groupBy(SEGMENT, "_source_file", "raw_reason")
-    change.replace("dq_counts", reasons.agg(F.count(F.lit(1)).alias("row_count")), derived)
+    counted = {
+        "rejected_files": rejected.agg(F.count(F.lit(1)).alias("rejected_rows")),
+        "dq_counts": reasons.agg(F.count(F.lit(1)).alias("row_count")),
+    }
+    change.replace_together(counted, derived)
     rows = _summary_rows(clean)
     if not opened:
         change.replace("dq_kept", _kept_per_file(keep_latest(rows, ["ride_id"], LATEST)), derived)
@@ -218,15 +221,15 @@ def _aggregate(change: Change, segments: list[dt.date]) -> None:
     """Partial aggregates of the facts of some segments."""
     facts = change.read("facts", segments)
     files = facts.groupBy(SEGMENT, "_source_file").agg(F.count(F.lit(1)).alias("valid_rows"))
-    for table, rows in (
-        ("fact_files", files),
-        ("daily", marts.daily_totals(facts, SEGMENT)),
-        ("hourly", marts.hourly_cells(facts, SEGMENT)),
-        ("durations", marts.duration_histogram(facts, SEGMENT, "trip_date")),
-        ("flows", signed_endpoints(facts, "start_station_id", "end_station_id", SEGMENT)),
-        ("sightings", intermediate.station_sightings(facts, SEGMENT)),
-    ):
-        change.replace(table, rows, segments)
+    partials = {
+        "fact_files": files,
+        "daily": marts.daily_totals(facts, SEGMENT),
+        "hourly": marts.hourly_cells(facts, SEGMENT),
+        "durations": marts.duration_histogram(facts, SEGMENT, "trip_date"),
+        "flows": signed_endpoints(facts, "start_station_id", "end_station_id", SEGMENT),
+        "sightings": intermediate.station_sightings(facts, SEGMENT),
+    }
+    change.replace_together(partials, segments)
 
 
 def _files_of(change: Change, segments: list[dt.date]) -> DataFrame:

@@ -15,9 +15,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Collection, Iterable, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,6 +153,16 @@ class Change:
         stored = T.StructType([f for f in rows.schema.fields if f.name != SEGMENT])
         self._schemas[table] = json.dumps(stored.jsonValue())
 
+    def replace_together(self, rows_of: Mapping[str, DataFrame], segments: Collection[dt.date]) -> None:
+        """Replace the same ``segments`` of several tables by jobs that run side by side."""
+        with ThreadPoolExecutor(len(rows_of)) as pool:
+            jobs = [
+                pool.submit(inheritable_thread_target(self.store.spark)(self.replace), table, rows, segments)
+                for table, rows in rows_of.items()
+            ]
+            for job in jobs:
+                job.result()
+
     def replace_whole(self, table: str, rows: DataFrame) -> None:
         self.replace(table, rows.withColumn(SEGMENT, F.lit(WHOLE)), [WHOLE])
 

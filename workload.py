@@ -633,9 +633,11 @@ _CHECK_RELATIONS = {
 }
 
 
-def _assertions_sql() -> str:
+def assertions_sql(models: tuple[str, ...] = (), more_trips: str | None = None) -> str:
     parts, needed = [], []
     for check in declared_checks(P):
+        if models and check.model not in models:
+            continue
         name = _CHECK_RELATIONS.get(check.model, check.model)
         needed.append(name)
         if check.bad:
@@ -657,30 +659,36 @@ def _assertions_sql() -> str:
                 f"(SELECT {column} FROM {other} WHERE {column} IS NOT NULL)"
             )
         parts.append((check.model, check.name, body))
-    parts.append((
-        "dim_station", "no_phantom_station_ids",
-        "SELECT count(*) FROM (SELECT 1 FROM bridge WHERE station_name IS NOT NULL AND lat IS NOT "
-        "NULL AND lng IS NOT NULL GROUP BY station_name, round(lat, 6), round(lng, 6) "
-        "HAVING count(DISTINCT station_id) > 1) g",
-    ))
-    parts.append((
-        "trips_dq_summary", "rejected_pct_below_threshold",
-        "SELECT count(*) FROM (SELECT 1 FROM dq_raw GROUP BY _source_file HAVING "
-        f"sum(rejected_rows) * 100.0 / sum(row_count) > {P.quarantine_alert_pct}) g",
-    ))
-    parts.append((
-        "status_changes", "single_create",
-        "SELECT count(*) FROM (SELECT 1 FROM changes GROUP BY gbfs_station_id "
-        "HAVING count(*) FILTER (WHERE op = 'c') > 1) g",
-    ))
+    whole = [
+        (
+            "dim_station", "no_phantom_station_ids", "bridge",
+            "SELECT count(*) FROM (SELECT 1 FROM bridge WHERE station_name IS NOT NULL AND lat IS NOT "
+            "NULL AND lng IS NOT NULL GROUP BY station_name, round(lat, 6), round(lng, 6) "
+            "HAVING count(DISTINCT station_id) > 1) g",
+        ),
+        (
+            "trips_dq_summary", "rejected_pct_below_threshold", "dq_raw",
+            "SELECT count(*) FROM (SELECT 1 FROM dq_raw GROUP BY _source_file HAVING "
+            f"sum(rejected_rows) * 100.0 / sum(row_count) > {P.quarantine_alert_pct}) g",
+        ),
+        (
+            "status_changes", "single_create", "changes",
+            "SELECT count(*) FROM (SELECT 1 FROM changes GROUP BY gbfs_station_id "
+            "HAVING count(*) FILTER (WHERE op = 'c') > 1) g",
+        ),
+    ]
+    for model_name, check_name, table, body in whole:
+        if not models or model_name in models:
+            parts.append((model_name, check_name, body))
+            needed.append(table)
     union = " UNION ALL ".join(
         f"SELECT '{m}' AS model, '{n}' AS check_name, ({body}) AS violations"
         for m, n, body in parts
     )
-    return o.sql(union, *dict.fromkeys(needed))
+    return o.sql(union, *dict.fromkeys(needed), more_trips=more_trips)
 
 
-model("assertions_report", lambda m: m.assertions_report(), _assertions_sql())
+model("assertions_report", lambda m: m.assertions_report(), assertions_sql())
 model(
     "phantom_stations",
     lambda m: quality.phantom_stations(m.dim_station),
