@@ -5,9 +5,11 @@ prefix, and that last token is the only one that may follow there: two neighbour
 stand iff no merge across their border would have come first. So one pass over the word gives
 the last token and the exact count of every prefix, without merging anything. Counts add up
 over words, since white space ends a word and gives no token; the running sum is the count
-at every word end of a text, which answers limits and truncation without encoding again.
+at every word end of a text. Where a limit falls inside a word, the counts at its prefixes tell
+how much of it fits, so truncation needs no second encoding.
 
-Words repeat, so each Python worker keeps bounded tables of counts it has found.
+Words repeat, so each Python worker keeps tables of counts it has found, bounded in entries and
+in bytes.
 """
 
 from __future__ import annotations
@@ -16,16 +18,21 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of one generation of a worker's table; dropping entries never changes a count.
-TABLE = 250_000
+#: Entries and bytes of keys of one generation of a worker's table, and of a key that is kept;
+#: dropping entries never changes a count.
+TABLE, TABLE_BYTES, KEY_BYTES = 250_000, 8 << 20, 256
 _END = "</w>"
 #: Printable ASCII needs no library: its letters, digits and the rest are known.
 _PLAIN = re.compile(rb"[!-~]+")
+#: A character with the marks and vowels that its normal form may swallow.
+_CLUSTER = regex.compile(r"(?s:.)[\p{M}\u1160-\u11FF]*")
 _PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
@@ -35,6 +42,7 @@ class Table(dict):
     def __init__(self) -> None:
         super().__init__()
         self.old: dict = {}
+        self._held = 0
 
     def __missing__(self, key):
         found = self.old.get(key)
@@ -43,10 +51,15 @@ class Table(dict):
         return found
 
     def keep(self, key, value):
-        if len(self) >= TABLE:
+        size = len(key)
+        if size > KEY_BYTES:
+            return value
+        if len(self) >= TABLE or self._held + size > TABLE_BYTES:
             self.old = dict(self)
             self.clear()
+            self._held = 0
         self[key] = value
+        self._held += size
         return value
 
 
@@ -175,7 +188,7 @@ class WordBpe:
         return sum(map(self.piece_count, pieces))
 
     def text(self, text: str | None, limit: int) -> tuple[int, int, int]:
-        """Bytes, tokens, and the bytes up to the last word end at which ``limit`` holds."""
+        """Bytes, tokens, and the bytes of the longest beginning within ``limit`` tokens."""
         data = text.encode() if text else b""
         chunks = data.split()
         known = self._chunks.get
@@ -185,13 +198,58 @@ class WordBpe:
         total = sum(counts)
         if total <= limit:
             return len(data), total, len(data)
-        running, kept = 0, 0
+        running = 0
         for span, n in zip(re.finditer(rb"[^\x20\x09-\x0D]+", data), counts, strict=True):
-            running += n
-            if running > limit:
+            if running + n > limit:
                 break
-            kept = span.end()
-        return len(data), total, kept
+            running += n
+        return len(data), total, span.start() + self.fitting(span[0], limit - running)
+
+    def fitting(self, chunk: bytes, room: int) -> int:
+        """Bytes of the longest beginning of ``chunk`` that takes ``room`` tokens at most.
+
+        A character stays with its combining marks, and a special string is whole or left out.
+        """
+        kept = 0
+        parts = [chunk.decode()]
+        if self._special and b"<|" in chunk:
+            parts = [p for p in self._special.split(parts[0]) if p]
+        for part in parts:
+            n = 1 if part in self.special else self._plain(part.encode())
+            if n > room:
+                return kept + (0 if part in self.special else self._fitting_plain(part, room))
+            room -= n
+            kept += len(part.encode())
+        return kept
+
+    def _fitting_plain(self, text: str, room: int) -> int:
+        clusters = _CLUSTER.findall(text)
+        normal = [self.library.normalizer.normalize_str(c) for c in clusters]
+        whole = self.library.normalizer.normalize_str(text)
+        # bytes of the text up to each place of its normal form at which a cluster ends
+        upto, place, size = {0: 0}, 0, 0
+        for cluster, form in zip(clusters, normal, strict=True):
+            place, size = place + len(form), size + len(cluster.encode())
+            upto[place] = size
+        if "".join(normal) != whole:  # clusters that change each other: every one of them is tried
+            ends = list(accumulate(len(c) for c in clusters))
+            fits = [e for e in ends if self._plain(text[:e].encode()) <= room]
+            return len(text[: max(fits, default=0)].encode())
+        best = 0
+        for piece, (lo, hi) in self.library.pre_tokenizer.pre_tokenize_str(whole):
+            n = self.piece_count(piece)
+            if n <= room:
+                room -= n
+                best = max(best, max((upto[k] for k in range(lo, hi + 1) if k in upto), default=0))
+                continue
+            if whole[lo] == "'":  # a contraction that is cut is no contraction
+                counts = {k: self._plain(whole[lo:k].encode()) for k in range(lo + 1, hi)}
+            else:
+                at = list(accumulate((len(c.encode()) for c in whole[lo:hi]), initial=0))
+                by_byte = self.prefix_counts(piece)
+                counts = {lo + k: by_byte[b] for k, b in enumerate(at) if k and b < len(by_byte)}
+            return max([best, *(upto[k] for k, c in counts.items() if c <= room and k in upto)])
+        return best
 
 
 @lru_cache(maxsize=2)
@@ -227,7 +285,7 @@ def token_counts(
 ) -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``kept_bytes`` of every row.
 
-    ``kept_bytes`` is where truncation to ``limit`` tokens at a word end would cut. Null texts
+    ``kept_bytes`` is the longest beginning of the text that takes ``limit`` tokens at most. Null texts
     count as empty: no bytes, no tokens. Rows are independent, so null ids, repeated rows and
     extra columns change nothing; an empty table gives no rows. Special strings inside a text
     count as the library's default does, one token each.
