@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from velomart.operators import keep_latest
 from velomart.params import Params
 from velomart.plans.staging import cleaned_status, stg_station_status
-from velomart.sources.lake import merge_into, read_or_none, write_batches
+from velomart.sources import storage
+from velomart.sources.lake import merge_into, write_batches
 from velomart.sources.station_feed import dead_letters, decode_messages, status_rows
 
 
@@ -109,24 +110,33 @@ def append_status_stream(
 
 
 def compact_status(
-    spark: SparkSession, log_path: str, path: str, p: Params, after: int = -1
+    spark: SparkSession,
+    log_path: str,
+    path: str,
+    p: Params,
+    after: int = -1,
+    keep_batches: int | None = None,
 ) -> int:
     """Merge the batches after number ``after`` into the deduplicated table; returns the newest.
 
     The last delivery of each (station, last_reported) wins. The table is partitioned by the
     day of ``last_reported``, which is part of the key, so a late redelivery meets its earlier
-    copy in the same partition, and only days with new rows are rewritten.
+    copy in the same partition, and only days with new rows are rewritten. With ``keep_batches``
+    the log forgets merged batches but the newest so many; a batch that is replayed after that is
+    merged once more, which changes nothing.
     """
-    log = read_or_none(spark, log_path)
-    if log is None:
-        return after
-    new = log.where(F.col("_batch_id") > after)
-    newest = new.agg(F.max("_batch_id")).first()[0]
-    if newest is None:
+    files = storage.listing(spark, log_path)
+    number = storage.partition_value("_batch_id").try_cast("long")
+    newest = None if files is None else files.agg(F.max(number)).first()[0]
+    if newest is None or newest <= after:
         return after
+    new = spark.read.parquet(log_path).where(F.col("_batch_id") > after)
     latest_by = ["_ingested_at", "snapshot_timestamp"]
     new = keep_latest(new.drop("_batch_id"), list(p.status_dedup_key), latest_by)
     merge_into(new, path, list(p.status_dedup_key), latest_by, "_reported_date")
+    if keep_batches is not None:
+        old = files.where(number <= newest - keep_batches).select("folder").distinct()
+        storage.delete(spark, [r.folder for r in old.toLocalIterator()])
     return newest
 
 
@@ -136,7 +146,10 @@ def last_per_key(rows: DataFrame) -> DataFrame:
 
 
 def dlq_windows(dlq: DataFrame, p: Params, slide: str = "5 minutes") -> DataFrame:
-    """Dead letters per sliding window with the alert verdict; batch or stream."""
+    """Dead letters per sliding window with the alert verdict.
+
+    On a stream give ``dlq`` a watermark; see ``write_dlq_windows``.
+    """
     size = f"{p.dlq_window_minutes} minutes"
     return (
         dlq.groupBy(F.window("failed_at", size, slide).alias("w"))
@@ -148,3 +161,32 @@ def dlq_windows(dlq: DataFrame, p: Params, slide: str = "5 minutes") -> DataFram
             F.when(F.col("rows_dlq") > p.dlq_alert_rows, "SURGE").otherwise("OK").alias("status"),
         )
     )
+
+
+def write_dlq_windows(
+    dlq: DataFrame,
+    path: str,
+    checkpoint: str,
+    p: Params,
+    lateness: str = "10 minutes",
+    slide: str = "5 minutes",
+    name: str | None = None,
+    trigger: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """Append each window of a dead-letter stream once, when the watermark has passed its end.
+
+    State holds open windows, and for ``lateness`` the place of each letter, so that a letter that
+    is delivered again counts once. Letters that come more than ``lateness`` after the newest one
+    are dropped, one by one, and their number is in the query's progress (``ProgressLog``).
+    """
+    place = ["kafka_topic", "kafka_partition", "kafka_offset"]
+    once = dlq.withWatermark("failed_at", lateness).dropDuplicatesWithinWatermark(place)
+    windows = dlq_windows(once, p, slide)
+    writer = windows.writeStream.format("parquet").outputMode("append").option("path", path)
+    if name is not None:
+        writer = writer.queryName(name)
+    return (
+        writer.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

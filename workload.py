@@ -918,7 +918,7 @@ def _stateful(m: Models) -> DataFrame:
         narrow.where(day >= F.lit(cuts[1])),
     ]
     for rows in deliveries:
-        rows.coalesce(1).write.mode("append").parquet(f"{root}/facts")
+        rows.write.mode("append").parquet(f"{root}/facts")
         stream = spark.readStream.schema(narrow.schema).parquet(f"{root}/facts")
         detect_changes(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return stored_changes(spark, f"{root}/out")

@@ -20,7 +20,14 @@ from velomart.plans.models import Models
 from velomart.schemas import STATION_STATUS_DLQ, TRIP_CSV_COLUMNS
 from velomart.sources import lake, station_feed, storage, trip_files
 from velomart.sources.snapshots import SnapshotStore
-from velomart.streaming.ingest import append_status_stream, last_per_key, write_status_stream
+from velomart.streaming.batch_log import BatchLog
+from velomart.streaming.ingest import (
+    append_status_stream,
+    last_per_key,
+    write_dlq_windows,
+    write_status_stream,
+)
+from velomart.streaming.progress import ProgressLog, check_queries, progress_table
 from velomart.workspace import materialize, scratch_path
 from workload import P, assertions_sql, model, register
 
@@ -353,22 +360,28 @@ model(
 # --- station information: S8-S12, D6, D7, D9 -------------------------------------------
 
 
+#: Stations and events in one payload, about; a region or user of any size is many payloads.
+_PAYLOAD_ROWS = 200
+
+
 def _information_payloads(m: Models, root: str) -> DataFrame:
-    """One payload file per region, broken here and there, as whole texts."""
+    """Payloads of a bounded number of stations of a region, broken here and there, as whole texts."""
     n = F.substring("station_id", 3, 20).cast("long")
+    parts = m.raw_information.agg((F.floor(F.count(F.lit(1)) / _PAYLOAD_ROWS) + 1).cast("long")).scalar()
     station = F.struct(
         "station_id", "name", "short_name", F.col("lat").cast("string").alias("lat"), "lon",
         F.when(n % 7 == 0, "many").otherwise(F.col("capacity").cast("string")).alias("capacity"),
         F.coalesce("region_id", F.lit("none")).alias("region_id"),
     )
     texts = F.collect_list(F.to_json(station))
-    payload = m.raw_information.groupBy(F.coalesce("region_id", F.lit("none")).alias("region")).agg(
+    region = F.coalesce("region_id", F.lit("none")).alias("region")
+    payload = m.raw_information.groupBy(region, (n % parts).alias("part")).agg(
         F.concat(F.lit('{"last_updated": 1, "data": {"stations": ['), F.array_join(texts, ","), F.lit("]}}")).alias("value")
     )
-    broken = payload.select("region", F.lit('{"last_updated": "soon", "data": {"stations": [1, {}]}}').alias("value"))
+    broken = payload.select("region", "part", F.lit('{"last_updated": "soon", "data": {"stations": [1, {}]}}').alias("value"))
     named = payload.withColumn("kind", F.lit("good")).unionByName(broken.withColumn("kind", F.lit("bad")))
     for kind in ("good", "bad"):
-        named.where(F.col("kind") == kind).select("value").repartition(6).write.option("lineSep", "\n").text(f"{root}/{kind}")
+        named.where(F.col("kind") == kind).select("value").write.option("lineSep", "\n").text(f"{root}/{kind}")
     return m.raw_information.sparkSession.read.text([f"{root}/good", f"{root}/bad"])
 
 
@@ -415,7 +428,8 @@ model(
         f"TRUE AS is_verified FROM station_information WHERE {_N} % 7 <> 0 UNION ALL "
         f"SELECT station_id, 'capacity is not an integer', NULL, NULL, NULL, NULL FROM station_information WHERE {_N} % 7 = 0 "
         "UNION ALL SELECT NULL, 'invalid_envelope: 2 masalah', NULL, NULL, NULL, NULL FROM "
-        "(SELECT DISTINCT coalesce(region_id, 'none') FROM station_information) r",
+        f"(SELECT DISTINCT coalesce(region_id, 'none'), {_N} % (SELECT count(*) // {_PAYLOAD_ROWS} + 1 "
+        "FROM station_information) FROM station_information) r",
         "station_information",
     ),
 )
@@ -662,7 +676,7 @@ register(
 
 
 def _payload_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polled payloads as files of a stream, one envelope per user, to rows and dead letters."""
+    """Polled payloads as files of a stream, bounded envelopes of a user, to rows and dead letters."""
     root = scratch_path(spark, "payloads")
     events = fx.table(spark, sf_dir, "events")
     station = F.expr(
@@ -671,7 +685,8 @@ def _payload_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "', \"num_docks_available\": 1, \"is_renting\": ', CASE WHEN event_id % 14 = 0 THEN '\"maybe\"' ELSE '1' END, "
         "', \"last_reported\": 1700000000}')"
     )
-    payload = events.groupBy("user_id").agg(F.array_join(F.collect_list(station), ",").alias("all"))
+    parts = events.agg((F.floor(F.count(F.lit(1)) / _PAYLOAD_ROWS) + 1).cast("long")).scalar()
+    payload = events.groupBy("user_id", (F.col("event_id") % parts).alias("part")).agg(F.array_join(F.collect_list(station), ",").alias("all"))
     text = F.when(F.col("user_id") % 8 == 0, F.concat(F.lit('{"data": ['), "all", F.lit("]}"))).otherwise(
         F.concat(F.lit('{"last_updated": 1700000600, "ttl": 60, "data": {"stations": ['), "all", F.lit("]}}"))
     )
@@ -709,7 +724,8 @@ register(
     "FROM events WHERE user_id % 8 <> 0) "
     "SELECT coalesce(reason, '(rows)') AS error_reason, count(*) AS n, "
     "CASE WHEN reason IS NULL THEN CAST(600 * count(*) AS BIGINT) END AS seconds FROM e GROUP BY reason UNION ALL "
-    "SELECT 'invalid_envelope: 1 masalah', count(DISTINCT user_id), NULL FROM events WHERE user_id % 8 = 0",
+    "SELECT 'invalid_envelope: 1 masalah', count(*), NULL FROM (SELECT DISTINCT user_id, event_id % "
+    f"(SELECT count(*) // {_PAYLOAD_ROWS} + 1 FROM events) FROM events WHERE user_id % 8 = 0) u",
 )
 
 
@@ -743,7 +759,12 @@ model(
 def _late(m: Models) -> DataFrame:
     """Rows that a refresh ignores because they are not after the newest archived change."""
     facts = m.stored_fct_station_status
-    middle = facts.agg(F.percentile_approx(F.unix_micros("snapshot_timestamp"), 0.5)).scalar()
+    # the exact median from one row per distinct time
+    at = F.unix_micros("snapshot_timestamp")
+    times = materialize(facts.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")), "times")
+    upto = F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    total = times.agg(F.sum("n")).scalar()
+    middle = times.withColumn("upto", upto).where(F.col("upto") * 2 >= total).agg(F.min("at")).scalar()
     return intermediate.late_rows(facts, F.timestamp_micros(middle))
 
 
@@ -756,3 +777,86 @@ model(
         "fct_station_status",
     ),
 )
+
+# --- streams that run for long: R3, R4, R5, D13, D14 ----------------------------------------
+
+
+def _compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in a hundred micro-batches, some of them again, compacted on the way."""
+    root = scratch_path(spark, "batch_log")
+    events = fx.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.to_date("ts").alias("day"), (F.col("event_id") % 100).cast("int").alias("batch")
+    )
+    events = materialize(events, "numbered_events", "batch")
+    log = BatchLog(spark, f"{root}/log", events.drop("batch").schema, fan=4)
+    for batch in [*range(100), 99, 64, 3]:
+        log.append(events.where(F.col("batch") == batch).drop("batch"), batch)
+    folders = len(log.tiers())
+    return log.read().groupBy("day").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"), F.sum("event_id").alias("events")
+    ).withColumn("has_few_folders", F.lit(folders <= 3 * 4))
+
+
+register(
+    "stream_compaction",
+    _compaction,
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users, "
+    "CAST(sum(event_id) AS BIGINT) AS events, TRUE AS has_few_folders FROM events GROUP BY 1",
+)
+
+
+def _dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error events as a stream of dead letters: windows written once, late and repeated letters."""
+    root = scratch_path(spark, "dlq_stream")
+    letters = fx.table(spark, sf_dir, "events").where("event_type = 'error'").select(
+        F.col("ts").cast("timestamp").alias("failed_at"), F.lit("t").alias("kafka_topic"),
+        F.lit(0).cast("long").alias("kafka_partition"), F.col("event_id").alias("kafka_offset"),
+    )
+    letters = materialize(letters, "letters")
+    cut = letters.agg(F.date_trunc("day", F.timestamp_micros(F.avg(F.unix_micros("failed_at")).cast("long")))).scalar()
+    first = letters.where(F.col("failed_at") < cut)
+    newest = letters.agg(F.max("failed_at")).scalar()
+    late = letters.where(F.col("failed_at") < newest - F.make_dt_interval(days=F.lit(4)))
+    late = late.withColumn("kafka_offset", -1 - F.col("kafka_offset"))
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    name = f"letters-{root[-12:]}"
+    try:
+        for rows in (first, letters.where(F.col("failed_at") >= cut), late):
+            rows.write.mode("append").parquet(f"{root}/letters")
+            stream = spark.readStream.schema(letters.schema).parquet(f"{root}/letters")
+            query = write_dlq_windows(
+                stream, f"{root}/windows", f"{root}/checkpoint", Params(dlq_window_minutes=2 * 24 * 60, dlq_alert_rows=5),
+                "2 days", "1 day", name,
+            )
+            query.awaitTermination()
+            log.catch_up(query)
+    finally:
+        spark.streams.removeListener(log)
+    windows = spark.read.parquet(f"{root}/windows")
+    progress = materialize(progress_table(spark, f"{root}/progress"), "progress")
+    # a query of the same batches that stopped an hour ago, though its folder is written to
+    stalled = progress.withColumns(
+        {"query": F.lit("stalled"), "happened_at": F.col("happened_at") - F.make_dt_interval(hours=F.lit(1))}
+    )
+    now = Params(as_of=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    expected = spark.createDataFrame([(name,), ("stalled",)], "query string")
+    seen = check_queries(progress.unionByName(stalled), expected, now)
+    verdicts = seen.select(
+        F.lit(None).cast("timestamp").alias("window_start"),
+        F.when(F.col("query") == "stalled", 0).otherwise(F.col("late_rows")).cast("long").alias("rows_dlq"),
+        F.concat(F.when(F.col("query") == "stalled", "stalled: ").otherwise("live: "), F.col("status")).alias("status"),
+    )
+    return windows.select("window_start", "rows_dlq", "status").unionByName(verdicts)
+
+
+register(
+    "dlq_windows_stream",
+    _dlq_stream,
+    "WITH l AS (SELECT ts FROM events WHERE event_type = 'error'), m AS (SELECT max(ts) AS newest FROM l), "
+    "w AS (SELECT unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 1 DAY]) AS w FROM l) "
+    "SELECT w AS window_start, count(*) AS rows_dlq, CASE WHEN count(*) > 5 THEN 'SURGE' ELSE 'OK' END AS status "
+    "FROM w, m WHERE w + INTERVAL 2 DAY <= newest - INTERVAL 2 DAY GROUP BY w UNION ALL "
+    "SELECT NULL, (SELECT count(*) FROM l, m WHERE ts < newest - INTERVAL 4 DAY), 'live: OK' UNION ALL "
+    "SELECT NULL, 0, 'stalled: STALE'",
+)
