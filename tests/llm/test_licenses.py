@@ -126,14 +126,18 @@ LONG = [
 LEADERS = ("", "# ", " * ", "// ", ";; ", "-- ", "   ")
 
 
-def test_wrapped_texts_with_and_without_comment_leaders(spark):
+def wrapped_cases():
     cases = [
         ("\n".join((lead + line).rstrip() if lead.strip() else lead + line for line in text.split("\n")), *expected)
         for text, *expected in LONG
         for lead in LEADERS
     ]
     cases += [(case[0].replace("\n", "\r\n"), *case[1:]) for case in cases]
-    cases = [(f"/*\n{text}\n*/\nint main;", *expected) for text, *expected in cases]
+    return [(f"/*\n{text}\n*/\nint main;", *expected) for text, *expected in cases]
+
+
+def test_wrapped_texts_with_and_without_comment_leaders(spark):
+    cases = wrapped_cases()
     df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
     got = licenses.scan(df).collect()
     assert len(got) == len(cases)
@@ -154,3 +158,51 @@ def test_lines_between_other_lines_and_blank_lines(spark):
     df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
     for r in licenses.scan(df).collect():
         assert r.sentences == cases[r.doc_id][1], cases[r.doc_id][0]
+
+
+NAMED = [
+    ("// SPDX-License-Identifier: GPL-2.0\nint x;", ["GPL-2.0-only"]),
+    ("SPDX-License-Identifier: BSL-1.0", ["BSL-1.0"]),
+    ("# SPDX-License-Identifier: Apache-2.0 OR MIT", ["Apache-2.0", "MIT"]),
+    ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */", ["BSD-3-Clause", "GPL-2.0-only"]),
+    ("SPDX-License-Identifier: MIT AND Zlib AND ISC\nMore", ["ISC", "MIT", "Zlib"]),
+    ("SPDX-License-Identifier: Nobody-1.0 OR MIT", ["MIT"]),
+    ("Cats OR MIT", []),
+    ("Released under the BSD 3-Clause License.", ["BSD-3-Clause"]),
+    ("The MIT License (MIT)\n\nCopyright", ["MIT"]),
+    ("This work is licensed under CC BY 4.0", ["CC-BY-4.0"]),
+    ("Distributed under the Boost\nSoftware License,\nVersion 1.0.", ["BSL-1.0"]),
+    ("This software is released under the zlib License", ["Zlib"]),
+    ("Licensed under CC0 1.0", ["CC0-1.0"]),
+]
+
+
+def test_spdx_expressions_and_cited_names(spark):
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(NAMED)], "doc_id long, text string")
+    for r in licenses.scan(df).collect():
+        assert r.licenses == NAMED[r.doc_id][1], NAMED[r.doc_id][0]
+
+
+def test_every_known_sentence_is_found_alone_and_in_a_text(spark):
+    assert len(licenses.ALL_SENTENCES) >= 300
+    rows = [(k, s) for k, s in licenses.ALL_SENTENCES.items()]
+    rows += [(k, f"Before this.\n# {wrapped(s, 50).replace(chr(10), chr(10) + '# ')}\n# and after") for k, s in rows]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows) and all(r.sentences == [r.doc_id] for r in found)
+
+
+def test_the_twin_on_wrapped_and_odd_texts(spark):
+    import duckdb
+
+    from velomart.llm import sql
+
+    texts = [c[0] for c in [*CASES, *NAMED, *wrapped_cases()]]
+    texts += ["a\n\nb", "\n\n", "MIT\n.\nMIT", "Licensed under\nthe\nMIT\nLicense\nAll rights\nreserved", "x:\nSPDX-License-Identifier:\nMIT"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = licenses.scan(df).collect()
+    spelled = sorted((r.doc_id, ",".join(map(str, r.sentences)), r.matches, ",".join(r.licenses)) for r in got)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(con.execute(sql.LICENSES).fetchall()) == spelled

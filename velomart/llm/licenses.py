@@ -11,6 +11,13 @@ sentence is found from the beginning of a line or sentence to the end of a line
 across single line feeds. A blank line ends a sentence, also one that holds only marks. So a
 one-line notice between other lines is found as well, and of two that begin alike the longer.
 
+A text is cut into sentences and these into lines, and whole runs of lines are looked up in the
+map. A run is only put together where its first line begins a known sentence, which one lookup in
+a hash set tells, so the cost does not grow with the number of known sentences.
+
+Terms of an SPDX expression count one by one: ``A OR B`` and ``A AND B`` as an identifier line for
+each, ``A WITH exception`` as ``A``.
+
 All of it happens inside the row that holds the text, with expressions: no shuffle, no limit.
 """
 
@@ -112,7 +119,59 @@ SENTENCES = {
     59: "ISC",
     60: "MPL-2.0",
     61: "GPL-3.0-only",
+    62: "The MIT License (MIT)",
+}
+
+SPDX_TAG = 29
+
+#: Further identifiers of the SPDX list, and the license that each stands for; fixed values.
+SPDX_NAMES = {
+    "0BSD": "0BSD", "AGPL-3.0-only": "AGPL-3.0-only", "Artistic-2.0": "Artistic-2.0", "BSL-1.0": "BSL-1.0",
+    "CC0-1.0": "CC0-1.0", "CC-BY-NC-4.0": "CC-BY-NC-4.0", "CC-BY-ND-4.0": "CC-BY-ND-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+    "CDDL-1.0": "CDDL-1.0", "EPL-1.0": "EPL-1.0", "EUPL-1.2": "EUPL-1.2", "GPL-2.0": "GPL-2.0-only",
+    "GPL-3.0": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-2.1-only": "LGPL-2.1-only", "LGPL-3.0": "LGPL-3.0-only",
+    "LGPL-3.0-only": "LGPL-3.0-only", "AGPL-3.0": "AGPL-3.0-only", "MIT-0": "MIT-0", "MS-PL": "MS-PL", "NCSA": "NCSA",
+    "OFL-1.1": "OFL-1.1", "PostgreSQL": "PostgreSQL", "Python-2.0": "Python-2.0", "WTFPL": "WTFPL", "X11": "X11", "Zlib": "Zlib",
+}
+
+#: Names under which notices cite a license; fixed values.
+TITLES = {
+    "MIT": ("MIT License",),
+    "MIT-0": ("MIT No Attribution License",),
+    "Apache-2.0": ("Apache License 2.0", "Apache 2.0 License", "Apache License, Version 2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License", "Boost Software License, Version 1.0"),
+    "ISC": ("ISC License",),
+    "Zlib": ("zlib License",),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, Version 2.0"),
+    "GPL-2.0-only": ("GNU General Public License v2.0", "GNU General Public License, version 2", "GPLv2"),
+    "GPL-3.0-only": ("GNU General Public License v3.0", "GNU General Public License, version 3", "GPLv3"),
+    "LGPL-2.1-only": ("GNU Lesser General Public License v2.1", "LGPLv2.1"),
+    "LGPL-3.0-only": ("GNU Lesser General Public License v3.0", "LGPLv3"),
+    "AGPL-3.0-only": ("GNU Affero General Public License v3.0", "AGPLv3"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0"),
+    "CDDL-1.0": ("Common Development and Distribution License 1.0",),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "OFL-1.1": ("SIL Open Font License 1.1", "SIL Open Font License, Version 1.1"),
+    "Unlicense": ("Unlicense",),
+    "WTFPL": ("Do What The F*ck You Want To Public License",),
+    "CC0-1.0": ("CC0 1.0 Universal License",),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0 International License",),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License",),
+    "CC-BY-NC-4.0": ("Creative Commons Attribution-NonCommercial 4.0 International License",),
 }
+SHORT_TITLES = {
+    "CC0-1.0": "CC0 1.0", "CC-BY-4.0": "CC BY 4.0", "CC-BY-SA-4.0": "CC BY-SA 4.0", "CC-BY-NC-4.0": "CC BY-NC 4.0",
+    "CC-BY-ND-4.0": "CC BY-ND 4.0",
+}
+#: What a notice says before the name; fixed values.
+SAID = (
+    "Released under", "Licensed under", "Distributed under", "Published under", "Available under",
+    "This project is licensed under", "This project is released under", "This software is licensed under",
+    "This software is released under", "This software is distributed under", "This work is licensed under",
+    "This code is licensed under", "This library is licensed under", "This file is licensed under",
+)
 
 
 @dataclass(frozen=True)
@@ -183,6 +242,29 @@ RULES = (
 )
 
 
+def _by_rule() -> tuple[dict[int, str], tuple[LicenseRule, ...]]:
+    """All sentences and rules: the listed ones, SPDX names, and notices made of their parts."""
+    sentences, rules = dict(SENTENCES), list(RULES)
+    known = {_folded(s) for s in sentences.values()}
+
+    def add(number: int, sentence: str, license_: str, *before: int) -> None:
+        if _folded(sentence) not in known:
+            known.add(_folded(sentence))
+            sentences[number] = sentence
+            rules.append(LicenseRule(license_, (*before, number)))
+
+    rules.append(LicenseRule("MIT", (62,)))
+    for k, (name, license_) in enumerate(SPDX_NAMES.items()):
+        add(100 + k, name, license_, SPDX_TAG)
+    cited = [(f"the {title}", license_) for license_, titles in TITLES.items() for title in titles]
+    cited += [(f"a {title}", license_) for license_, titles in TITLES.items() for title in titles if title[:2] == "Cr"]
+    cited += [(title, license_) for license_, title in SHORT_TITLES.items()]
+    for k, (title, license_) in enumerate(cited):
+        for j, said in enumerate(SAID):
+            add(1000 + 20 * k + j, f"{said} {title}", license_)
+    return sentences, tuple(rules)
+
+
 def _folded(text: str) -> str:
     return " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in text.lower()).split())
 
@@ -197,14 +279,47 @@ def _spelled(text: Column) -> Column:
     return F.trim(F.regexp_replace(marked, r" ?\n ?", "\n"))
 
 
+ALL_SENTENCES, ALL_RULES = _by_rule()
+
+
+def _terms_apart(text: Column) -> Column:
+    """Every term of an SPDX expression behind a tag of its own; exceptions go."""
+    tag = "SPDX-License-Identifier:"
+    behind = rf"(?<={tag}[^\n]{{0,400}})[ \t)]+"
+    single = F.regexp_replace(text, rf"{behind}WITH[ \t(]+[A-Za-z0-9.+-]+", "")
+    single = F.regexp_replace(single, rf"{behind}(?:OR|AND)[ \t(]+", f". {tag} ")
+    return F.when(F.contains(text, F.lit(tag)), single).otherwise(text)
+
+
 def _identifiers(text: Column, sentences: dict[int, str]) -> Column:
     """The identifiers of the known sentences of a text, in order."""
-    folded = {_folded(s): k for k, s in sentences.items()}
-    longest_first = sorted(filter(None, folded), key=len, reverse=True)
+    folded = {f: k for k, s in sentences.items() if (f := _folded(s))}
+    words = [f.split() for f in folded]
+    begins = sorted({" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)})
+    most = max(map(len, words), default=1)
     known = F.create_map(*[F.lit(x) for pair in folded.items() for x in pair])
-    either = "|".join(s.replace(" ", "[ \\n]") for s in longest_first)
-    found = F.regexp_extract_all(_spelled(text), F.lit(rf"(?<![^.\n])(?:{either})(?![^.\n])"), F.lit(0))
-    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
+    nothing = F.struct(F.lit(0).alias("free"), F.expr("cast(array() as array<int>)").alias("found"))
+
+    def in_sentence(sentence: Column) -> Column:
+        lines = F.split(sentence, "\n")
+
+        def step(state: Column, i: Column) -> Column:
+            run = lambda n: F.array_join(F.slice(lines, i + 1, n), " ")
+            sizes = F.sequence(F.least(F.size(lines) - i, F.lit(most)), F.lit(1), F.lit(-1))
+            fits = F.filter(sizes, lambda n: run(n).isin(list(folded)))
+            longest = F.get(fits, F.lit(0))
+            taken = F.struct(
+                (i + longest).alias("free"),
+                F.array_append(state["found"], F.element_at(known, run(longest))).alias("found"),
+            )
+            begun = (i >= state["free"]) & F.get(lines, i).isin(begins)
+            return F.when(begun, F.when(F.size(fits) > 0, taken).otherwise(state)).otherwise(state)
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), nothing, step, lambda state: state["found"])
+
+    pieces = F.split(_spelled(_terms_apart(text)), "[.]")
+    some = F.filter(pieces, lambda p: F.exists(F.split(p, "\n"), lambda line: line.isin(begins)))
+    return F.flatten(F.transform(some, in_sentence))
 
 
 def pattern(rule: LicenseRule) -> str:
@@ -214,7 +329,15 @@ def pattern(rule: LicenseRule) -> str:
 def _matched(identifiers: Column, rules: tuple[LicenseRule, ...]) -> Column:
     """(left, matches, licenses) after all rules; a match becomes a comma, which no rule crosses."""
     spelled = F.array_join(F.transform(identifiers, lambda k: F.concat(F.lit(" "), k.cast("string"), F.lit(" "))), "")
-    listed = F.array(*[F.struct(F.lit(pattern(r)).alias("pattern"), F.lit(r.license).alias("license")) for r in rules])
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(pattern(r)).alias("pattern"), F.lit(r.license).alias("license"), F.lit(r.sentences[0]).alias("first")
+            )
+            for r in rules
+        ]
+    )
+    listed = F.filter(listed, lambda rule: F.array_contains(identifiers, rule["first"]))
     start = F.struct(
         spelled.alias("left"),
         F.lit(0).alias("matches"),
@@ -239,8 +362,8 @@ def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    sentences: dict[int, str] = SENTENCES,
-    rules: tuple[LicenseRule, ...] = RULES,
+    sentences: dict[int, str] = ALL_SENTENCES,
+    rules: tuple[LicenseRule, ...] = ALL_RULES,
 ) -> DataFrame:
     """(id, sentences, matches, licenses) of every row.
 

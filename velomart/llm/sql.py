@@ -6,7 +6,7 @@ taken over, being long fixed values.
 
 from __future__ import annotations
 
-from velomart.llm.licenses import RULES, SENTENCES
+from velomart.llm.licenses import ALL_RULES, ALL_SENTENCES
 
 MIX = r"""
 WITH d AS (
@@ -190,15 +190,44 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+_TAG = "SPDX-License-Identifier:"
+#: Lines are cleared of leading marks one by one; runs of lines inside a sentence are spelled out and
+#: joined with the known sentences, and of overlapping runs the first and longest stays.
 LICENSES = rf"""
-WITH RECURSIVE known(id, txt) AS (VALUES {", ".join(f"({k}, {_text(s)})" for k, s in SENTENCES.items())}),
+WITH RECURSIVE known(id, txt) AS (VALUES {", ".join(f"({k}, {_text(s)})" for k, s in ALL_SENTENCES.items())}),
 s AS (SELECT id, trim(regexp_replace(lower(txt), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS txt FROM known),
-r(n, license, ids) AS (VALUES {", ".join(f"({n}, {_text(r.license)}, {list(r.sentences)})" for n, r in enumerate(RULES, 1))}),
+r(n, license, ids) AS (VALUES {", ".join(f"({n}, {_text(r.license)}, {list(r.sentences)})" for n, r in enumerate(ALL_RULES, 1))}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-c AS (SELECT rid, string_split(regexp_replace(text, '[.!?;:]+([ \t\n\x0B\f\r]|$)', chr(10), 'g'), chr(10)) AS parts FROM d),
-x AS (SELECT rid, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM c),
-k AS (SELECT rid, pos, id FROM x JOIN s ON trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) = s.txt),
-q AS (SELECT rid, list(id ORDER BY pos) AS ids FROM k GROUP BY rid),
+l0 AS (SELECT rid, unnest(string_split(replace(text, chr(2), ' '), chr(10))) AS line,
+              generate_subscripts(string_split(text, chr(10)), 1) AS nth FROM d),
+l1 AS (
+  SELECT rid, nth, CASE WHEN contains(line, '{_TAG}') THEN
+      split_part(line, '{_TAG}', 1) || '{_TAG}' || regexp_replace(regexp_replace(
+        substr(line, strpos(line, '{_TAG}') + {len(_TAG)}),
+        '[ \t)]+WITH[ \t(]+[A-Za-z0-9.+-]+', '', 'g'), '[ \t)]+(?:OR|AND)[ \t(]+', '. {_TAG} ', 'g')
+    ELSE line END AS line
+  FROM l0),
+l2 AS (SELECT rid, nth, regexp_replace(line, '^[^\p{{L}}\p{{N}}]+', '') AS line FROM l1),
+t AS (
+  SELECT rid, regexp_replace(regexp_replace(string_agg(lower(line), chr(10) ORDER BY nth),
+           '\n\n+|[.!?;:]+([ \t\n\x0B\f\r])', chr(2) || '\1', 'g'), '[.!?;:]+$', chr(2)) AS text
+  FROM l2 GROUP BY rid),
+p0 AS (SELECT rid, string_split(text, chr(2)) AS parts FROM t),
+p AS (SELECT rid, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM p0),
+w AS (
+  SELECT rid, pos, list_filter(list_transform(string_split(part, chr(10)),
+           lambda x: trim(regexp_replace(x, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda x: x <> '') AS lines
+  FROM p),
+i AS (SELECT rid, pos, lines, unnest(range(1, len(lines) + 1)) AS a FROM w),
+j AS (SELECT rid, pos, lines, a, unnest(range(a, least(len(lines), a + 79) + 1)) AS b FROM i
+      WHERE EXISTS (SELECT 1 FROM s WHERE starts_with(s.txt, lines[a]))),
+h AS (SELECT rid, pos, a, b, id FROM j JOIN s ON array_to_string(lines[a : b], ' ') = s.txt),
+g AS (SELECT rid, pos, list({{'a': a, 'b': b, 'ids': [id]}} ORDER BY a, b DESC) AS hits FROM h GROUP BY rid, pos),
+k AS (
+  SELECT rid, pos, list_reduce(list_prepend({{'a': 0::BIGINT, 'b': 0::BIGINT, 'ids': []::INTEGER[]}}, hits),
+    lambda x, y: CASE WHEN y.a > x.b THEN {{'a': y.a, 'b': y.b, 'ids': list_concat(x.ids, y.ids)}} ELSE x END).ids AS ids
+  FROM g),
+q AS (SELECT rid, flatten(list(ids ORDER BY pos)) AS ids FROM k GROUP BY rid),
 f AS (
   SELECT rid, 0 AS n, list_aggregate(list_transform(ids, lambda i: ' ' || i || ' '), 'string_agg', '') AS left_over,
          0::BIGINT AS matches, []::VARCHAR[] AS names
@@ -211,7 +240,7 @@ f AS (
     ON r.n = f.n + 1)
 SELECT d.doc_id, coalesce(array_to_string(q.ids, ','), '') AS sentences, coalesce(f.matches, 0)::BIGINT AS matches,
        coalesce(array_to_string(list_sort(list_distinct(f.names)), ','), '') AS licenses
-FROM d LEFT JOIN q USING (rid) LEFT JOIN f ON f.rid = d.rid AND f.n = {len(RULES)}
+FROM d LEFT JOIN q USING (rid) LEFT JOIN f ON f.rid = d.rid AND f.n = {len(ALL_RULES)}
 """
 
 #: Operator 12: every phrase of one to five words is spelled out and counted as text.
