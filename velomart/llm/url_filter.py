@@ -153,7 +153,9 @@ def judge(
     urls = urls.withColumn("ruled", _first_fit(host, path, rules, lambda r: r.verdict))
     fifth = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0
     urls = materialize(urls.withColumn("held", F.col("ruled").isNotNull() & fifth), "urls")
-    parts = _windows(urls, order)
+    # a url is many windows, so the few stored urls are dealt to all tasks before they are cut up
+    tasks = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _windows(urls.repartition(tasks, "url"), order)
     counted = [
         F.sum(F.when((F.col("ruled") == c) & ~F.col("held"), F.col("rows")).otherwise(0)).alias(c) for c in CLASSES
     ]
