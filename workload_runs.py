@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import fixture_views as fx
 import oracles as o
 from velomart.functions import clean_text
-from velomart.operators import quality
+from velomart.operators import mergeable, quality
 from velomart.params import Params
 from velomart.plans import intermediate, profiling, refresh
 from velomart.plans import trip_increments as ti
@@ -860,3 +860,36 @@ register(
     "SELECT NULL, (SELECT count(*) FROM l, m WHERE ts < newest - INTERVAL 4 DAY), 'live: OK' UNION ALL "
     "SELECT NULL, 0, 'stalled: STALE'",
 )
+
+# --- figures of months from the state of days: A3, A6 ---------------------------------------
+
+
+def _monthly(m: Models) -> DataFrame:
+    """Stations in use and median duration of each month, merged from days."""
+    trips = materialize(m.fct_trips.select("trip_date", "start_station_id", "duration_seconds"), "slim_trips")
+    numbers = materialize(mergeable.extended_numbers(trips, "start_station_id"), "station_numbers")
+    numbered = trips.join(numbers, "start_station_id", "left")
+    month = F.trunc("trip_date", "month").alias("month")
+    days = materialize(mergeable.distinct_state(numbered, ["trip_date"], F.col("number")), "station_days")
+    stations = mergeable.merged_distinct(days.select("*", month), ["month"])
+    sketches = materialize(mergeable.quantile_state(trips, ["trip_date"], F.col("duration_seconds")), "duration_days")
+    medians = mergeable.merged_quantile(sketches.select("*", month), ["month"], 0.5)
+    ranks = trips.select(month, "duration_seconds").join(medians, "month").groupBy("month", "n").agg(
+        F.count_if(F.col("duration_seconds") < F.col("value")).alias("below"),
+        F.count_if(F.col("duration_seconds") <= F.col("value")).alias("upto"),
+    )
+    slack = 3 * mergeable.rank_error(400) * F.col("n") + 1
+    in_bound = (F.col("below") - slack <= F.col("n") / 2) & (F.col("upto") + slack >= F.col("n") / 2)
+    ranks = ranks.select("month", F.col("n").alias("trips"), in_bound.alias("median_in_bound"))
+    return ranks.join(stations.withColumnRenamed("n", "active_stations"), "month", "left")
+
+
+model(
+    "monthly_from_days",
+    _monthly,
+    o.sql(
+        "SELECT CAST(date_trunc('month', trip_date) AS DATE) AS month, count(*) AS trips, TRUE AS median_in_bound, "
+        "nullif(count(DISTINCT start_station_id), 0) AS active_stations FROM fct_trips GROUP BY 1",
+        "fct_trips",
+    ),
+)
