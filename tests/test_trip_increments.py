@@ -230,3 +230,27 @@ def test_raw_trips_are_scanned_twice(spark, tmp_path, monkeypatch):
     reads_raw = [table for table, files in plans if any("/raw1/" in f for f in files)]
     assert reads_raw == ["mentions", "clean"]
     assert (found.raw_rows, found.rejected_rows) == (50, world.models()[0].stg_trips_rejected.count())
+
+
+def test_filters_on_either_key_skip_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = spark.range(40_000).selectExpr(
+        "md5(string(id)) AS ride_id", "concat(1000 + pmod(hash(id), 200), '.01') AS start_station_id",
+        "if(id % 3 = 0, 'casual', 'member') AS member_casual", "date'2026-01-01' AS _segment",
+    )
+    change = ti.Change(store)
+    change.replace("facts", rows.coalesce(1), [dt.date(2026, 1, 1)], ti.FACT_ORDER, options={"parquet.block.size": "100000"})
+    groups = []
+    for folder, _, files in os.walk(tmp_path):
+        for name in files:
+            if name.endswith(".parquet"):
+                meta = pq.ParquetFile(os.path.join(folder, name)).metadata
+                for g in range(meta.num_row_groups):
+                    columns = [meta.row_group(g).column(c) for c in range(meta.num_columns)]
+                    groups.append({c.path_in_schema: (c.statistics.min, c.statistics.max) for c in columns})
+    assert len(groups) >= 6
+    for column, value in (("start_station_id", "1100.01"), ("member_casual", "casual")):
+        hit = sum(g[column][0] <= value <= g[column][1] for g in groups)
+        assert 0 < hit <= len(groups) * 0.7, (column, hit, len(groups))

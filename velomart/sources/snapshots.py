@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from velomart.operators import merge_states
 from velomart.sources import storage
+from velomart.workspace import materialize
 
 SEGMENT, VERSION = "_segment", "_version"
 #: The segment of a table that is always replaced whole.
@@ -86,22 +88,22 @@ class SnapshotStore:
         return reader.parquet(*folders).select(*schema.names)
 
     def expire(self, keep: int = 2) -> int:
-        """Delete pointers but the newest ``keep`` and the versions that none of those names."""
+        """Delete pointers but the newest ``keep`` and the segments that none of those names."""
         numbers = self._numbers()
         live = {
-            (table, version)
+            (table, version, segment)
             for n in numbers[-keep:]
             for table, segments in self.snapshot(n).tables.items()
-            for version in segments.values()
+            for segment, version in segments.items()
         }
         files = storage.listing(self.spark, self.root)
         stale: list[str] = [self._pointer(n) for n in numbers[:-keep]]
         if files is not None:
-            place = F.regexp_extract("path", f"/([^/]+)/{VERSION}=([^/]+)/", 1).alias("table")
-            version = storage.partition_value(VERSION).alias("version")
-            for r in files.select(place, version).where("version <> ''").distinct().toLocalIterator():
-                if (r.table, r.version) not in live:
-                    stale.append(f"{self.root}/{r.table}/{VERSION}={r.version}")
+            place = F.regexp_extract("path", f"/([^/]+)/{VERSION}=[^/]+/", 1).alias("table")
+            named = [storage.partition_value(name).alias(name) for name in (VERSION, SEGMENT)]
+            for r in files.select(place, *named).where(f"{VERSION} <> ''").distinct().toLocalIterator():
+                if tuple(r) not in live:
+                    stale.append(f"{self.root}/{r.table}/{VERSION}={r[1]}/{SEGMENT}={r[2]}")
         return storage.delete(self.spark, stale)
 
 
@@ -181,3 +183,27 @@ class Change:
         if not storage.write_text(self.store.spark, self.store._pointer(now.number), content):
             raise ConflictError(f"snapshot {now.number} of {self.store.root} was published meanwhile")
         return now
+
+
+def merge_rows(
+    store: SnapshotStore, table: str, incoming: DataFrame, keys: Sequence[str], latest_by: Sequence[str]
+) -> Snapshot:
+    """Upsert ``incoming`` by key and publish; only its segments are read and written.
+
+    A key must always fall into the same segment, which ``incoming`` carries. Repeating the call
+    with the same rows changes no row.
+    """
+    change = Change(store)
+    try:
+        incoming = materialize(incoming, "incoming")
+        days = [r[0] for r in incoming.select(SEGMENT).distinct().collect()]
+        rows = incoming
+        if table in change.before.tables:
+            rows = merge_states(
+                store.read(table, change.before, days).select(*incoming.columns), incoming, keys, latest_by
+            )
+        change.replace(table, rows, days, list(keys))
+        return change.publish()
+    except BaseException:
+        change.abandon()
+        raise
