@@ -69,8 +69,13 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_payloads(payloads: DataFrame, path: str) -> None:
-    """Keep the untouched payload texts for a replay."""
-    payloads.select("value").write.mode("append").text(path)
+    """Keep the untouched payload texts for a replay, line feeds included: one JSON line each."""
+    payloads.select("value").write.mode("append").json(path)
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """Archived payloads as ``read_payloads`` gave them."""
+    return spark.read.schema("value string").json(path)
 
 
 def _whole(text: Column) -> Column:

@@ -893,3 +893,49 @@ model(
         "fct_trips",
     ),
 )
+
+
+# --- archive, replay, retention: S9, S19 -----------------------------------------------------
+
+
+def _archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily payloads archived, replayed twice into a table, and expired by date."""
+    root = scratch_path(spark, "archive")
+    events = fx.table(spark, sf_dir, "events")
+    parts = events.agg((F.floor(F.count(F.lit(1)) / _PAYLOAD_ROWS) + 1).cast("long")).scalar()
+    station = F.expr(
+        "concat('  {\"station_id\": \"e', event_id, '\", \"num_bikes_available\": 4, "
+        "\"num_docks_available\": 1, \"last_reported\": ', unix_seconds(timestamp(ts)), '}')"
+    )
+    day = F.to_date("ts").alias("day")
+    envelopes = events.groupBy(day, (F.col("event_id") % parts).alias("part")).agg(
+        F.array_join(F.collect_list(station), ",\n").alias("all")
+    )
+    payloads = envelopes.select(
+        F.concat(F.lit('{"last_updated": '), F.unix_seconds(F.col("day").cast("timestamp")).cast("string"),
+                 F.lit(',\n "data": {"stations": [\n'), "all", F.lit("\n ]}}\n")).alias("value")
+    )
+    payloads = materialize(payloads, "payloads")
+    station_feed.archive_payloads(payloads, f"{root}/lake")
+    replayed = station_feed.read_archive(spark, f"{root}/lake")
+    exact = payloads.exceptAll(replayed).unionByName(replayed.exceptAll(payloads)).isEmpty()
+    for _ in range(2):  # a replay replaces its own rows
+        rows, letters = station_feed.status_payloads(replayed, _now())
+        lake.write_batches(rows.withColumn("_batch_id", F.lit(0).cast("long")), f"{root}/status", "_snapshot_date")
+    gone = lake.drop_expired_partitions(spark, f"{root}/status", "_snapshot_date", 14, P)
+    return spark.read.parquet(f"{root}/status").groupBy("_snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.unix_seconds("last_reported")).alias("seconds")
+    ).withColumns(
+        {"is_exact": F.lit(exact), "dates_gone": F.lit(len(gone)).cast("long"),
+         "letters": letters.agg(F.count(F.lit(1))).scalar()}
+    )
+
+
+register(
+    "archive_replay",
+    _archive_replay,
+    "WITH e AS (SELECT CAST(ts AS DATE) AS d, ts FROM events), c AS (SELECT DATE '2024-02-01' - 14 AS cutoff) "
+    "SELECT d AS _snapshot_date, count(*) AS n, CAST(sum(floor(epoch(ts))) AS BIGINT) AS seconds, TRUE AS is_exact, "
+    "(SELECT count(DISTINCT d) FROM e, c WHERE d < cutoff) AS dates_gone, CAST(0 AS BIGINT) AS letters "
+    "FROM e, c WHERE d >= cutoff GROUP BY d",
+)
