@@ -1,6 +1,9 @@
+import math
+import re
 import zlib
 
 import numpy as np
+import pytest
 
 from velomart.llm import quality
 
@@ -76,3 +79,61 @@ def test_edge_cases(spark):
     learned = [r for r in (2, 3) if zlib.crc32(str(r).encode()) % 3 != 1]
     scores = {r.doc_id: r.score for r in quality.score_quality(docs, known).collect()}
     assert len(learned) < 2 or scores[2] > scores[3]
+
+
+def plain_features(text):
+    """The features word by word and character by character."""
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    if not words:
+        return [0.0] * 10 + [1.0]
+    size, n = len(text.encode()), len(words)
+    among = lambda chars: math.sqrt(sum(c in chars for c in text) / size)
+    again = sum(words[k] == words[k - 1] for k in range(1, n))
+    triples = {(words[k], words[k + 1], words[k + 2]) for k in range(n - 2)}
+    shouts, bars = text.count("!"), text.count("|")
+    return [
+        among("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        among("!#$%&*|@^~=+<>{}[]_/\\"),
+        among("0123456789"),
+        min(1.0, math.sqrt(shouts / n)),
+        math.sqrt(min(1.0, bars / n)),
+        math.sqrt(again / n),
+        math.sqrt(1 - len(triples) / max(1, n - 2)),
+        (n - len(set(words))) / n,
+        math.log(size / n),
+        math.log(n) / 10,
+        0.0,
+    ]
+
+
+def test_every_score_is_that_of_plain_features(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    ranker = quality.train(docs, labels)
+    scores = {r.doc_id: r.score for r in quality.score_quality(docs, labels).collect()}
+    for r in docs.collect():
+        z = sum(w * x for w, x in zip(ranker.weights, plain_features(r.text), strict=True)) - ranker.cut
+        assert scores[r.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, z)))), rel=1e-9)
+    odd = [None, "", " \n", "a", "a b", "A A A !!! | 12", "É é" * 50, "x " * 999, "!|!|"]
+    for text in odd:
+        assert quality.features(text) == pytest.approx(plain_features(text))
+
+
+def test_the_fit_is_the_least_loss_of_its_pairs():
+    """The loss of all preference pairs, summed one by one, grows in every direction."""
+    rng = np.random.default_rng(4)
+    good, bad = rng.normal(0.4, 1, (60, quality.N_FEATURES)), rng.normal(0, 1.3, (50, quality.N_FEATURES))
+    weights = quality.fit(good, bad).weights
+    draw = np.random.default_rng(20)
+    scale = np.concatenate([good, bad]).std(axis=0)
+    n = min(quality.PAIRS, len(good) * len(bad))
+    pairs = list(zip(draw.integers(0, len(good), n).tolist(), draw.integers(0, len(bad), n).tolist(), strict=True))
+
+    def loss(w):
+        chances = [math.log1p(math.exp(-sum(w * (good[g] - bad[b])))) for g, b in pairs]
+        return sum(chances) / n + 0.5 * 1e-3 * sum((w * scale) ** 2)
+
+    least = loss(weights)
+    for _ in range(6):
+        step = rng.normal(size=quality.N_FEATURES) * 0.02
+        assert loss(weights + step) > least and loss(weights - step) > least

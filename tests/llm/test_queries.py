@@ -34,6 +34,11 @@ COLUMNS = {
     "op7_mix": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op8_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, kept_bytes bigint",
     "op9_quality": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op10_licenses": "doc_id bigint, sentences string, matches bigint, licenses string",
+    "op11_byte_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op12_collocations": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op13_conversation_repair": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, "
+    "illegal bigint, cost bigint, audit string, repaired_sha256 string",
 }
 
 
@@ -42,6 +47,7 @@ def test_columns(spark, sf_dir, name):
     df = contract.queries()[name](spark, sf_dir)
     assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == COLUMNS[name]
     tables = {"op3_chat": ("conversations", "conv_id", 1), "op5_url_filter": ("pages", None, 0), "op6_topk": None}
+    tables |= {"op12_collocations": None, "op13_conversation_repair": ("conversations", "conv_id", 0)}
     expected = tables.get(name, ("documents", None, 0))
     if expected:
         source = spark.read.parquet(f"{sf_dir}/{expected[0]}.parquet")
