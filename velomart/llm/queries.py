@@ -243,4 +243,5 @@ ORACLES: dict[str, str] = {
     "op6_topk": sql.TOP_K,
     "op7_mix": sql.MIX,
     "op12_collocations": sql.COLLOCATIONS,
+    "op13_conversation_repair": sql.CONVERSATION_REPAIR,
 }

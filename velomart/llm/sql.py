@@ -282,3 +282,78 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
        phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
 FROM alone QUALIFY rank <= 2000
 """
+
+#: Operator 13: the cheapest edits forwards, row by row, with the best (cost, audit) of each state.
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE table_of_crc AS (
+  SELECT list(v ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, [0::UBIGINT for z in range(8)]),
+      lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256))::UBIGINT AS i))),
+rows0 AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+rows1 AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, [ascii(x)::UBIGINT for x in string_split(key, '')]),
+      lambda c, b: xor(c >> 8, crc[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT) % 20 AS damage
+  FROM rows0, table_of_crc),
+rows2 AS (
+  SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE damage WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM rows1 WHERE damage <> 0),
+rows3 AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n FROM rows2),
+turns AS (
+  SELECT *, left(role, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+         WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?')
+         THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair
+  FROM rows3),
+chains(state, became, added) AS (VALUES
+  ('', '', []::VARCHAR[]), ('', 'u', ['user:']), ('', 'a', ['user:', 'assistant:']), ('s', 's', []),
+  ('s', 'u', ['user:']), ('s', 'a', ['user:', 'assistant:']), ('u', 'u', []), ('u', 'a', ['assistant:']),
+  ('a', 'a', []), ('a', 'u', ['user:'])),
+whole(state, following, spelled) AS (VALUES ('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS n, '' AS state, {'cost': 0, 'audit': '', 'lines': []::VARCHAR[]} AS way FROM turns
+  UNION ALL
+  SELECT conv_id, n, state, min(way) AS way FROM (
+    SELECT t.conv_id, t.n, e.state,
+      {'cost': b.way.cost + 3 * len(c.added) + e.cost,
+       'audit': b.way.audit || repeat('I', len(c.added)) || e.letter,
+       'lines': list_concat(list_concat(b.way.lines, c.added), e.lines)} AS way
+    FROM best b JOIN turns t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.n = b.n + 1
+    JOIN chains c ON c.state = b.state
+    JOIN whole w ON w.state = c.became,
+    LATERAL (
+      SELECT c.became AS state, 4 AS cost, 'D' AS letter, []::VARCHAR[] AS lines
+      UNION ALL
+      SELECT t.initial, CASE t.fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', [t.role || ':' || t.text]
+      WHERE t.fault NOT IN ('blank', 'duplicate') AND (t.initial = w.following OR (t.initial = 's' AND c.became = ''))
+      UNION ALL
+      SELECT w.following, CASE t.fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R', [w.spelled || ':' || t.text]
+      WHERE t.fault NOT IN ('blank', 'duplicate')) e) steps
+  GROUP BY conv_id, n, state),
+ended AS (
+  SELECT b.conv_id, min({'cost': way.cost + 3 * len(c.added), 'audit': way.audit || repeat('I', len(c.added)),
+                         'lines': list_concat(way.lines, c.added)}) AS way
+  FROM best b JOIN chains c ON c.state = b.state AND c.became IN ('', 'a')
+  WHERE b.n = (SELECT max(n) FROM turns t WHERE t.conv_id IS NOT DISTINCT FROM b.conv_id) GROUP BY b.conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.way.cost, 0)::BIGINT AS cost, coalesce(e.way.audit, '') AS audit,
+       sha256(coalesce(array_to_string(e.way.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
