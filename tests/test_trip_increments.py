@@ -99,7 +99,7 @@ def test_ingest_correct_remove_and_redeliver(spark, tmp_path):
     for files in steps:
         touched.append(world.load(**files))
         results.append(world.refresh(touched[-1]))
-        if len(results) != 3:
+        if len(results) in (2, 4, 6):
             same(*world.models())
     assert results[1].settled and not results[0].opened
     # dates of stations that are mapped to another one now are derived as well

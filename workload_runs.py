@@ -508,17 +508,19 @@ def _deliveries(m: Models) -> tuple[SnapshotStore, DataFrame]:
     return store, spark.read.parquet(f"{root}/raw")
 
 
-_DELIVERED: dict[tuple[str, str], ti.StoredTrips] = {}
+_DELIVERED: dict[tuple[str, str], tuple[SnapshotStore, ti.StoredTrips]] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> ti.StoredTrips:
     """The trips as delivered, once per application: several queries read the same tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _DELIVERED:
+    # the shared folder may have been cleaned since
+    if key not in _DELIVERED or not _DELIVERED[key][0].snapshot().number:
         m = fx.models(spark, sf_dir)
         store, raw = _deliveries(m)
-        _DELIVERED[key] = ti.StoredTrips(store, store.snapshot(), raw, m.raw_status, m.raw_information, P)
-    return _DELIVERED[key]
+        stored = ti.StoredTrips(store, store.snapshot(), raw, m.raw_status, m.raw_information, P)
+        _DELIVERED[key] = store, stored
+    return _DELIVERED[key][1]
 
 
 def _incremental_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
