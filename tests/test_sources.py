@@ -173,3 +173,15 @@ def test_station_information(spark, tmp_path):
     stored = spark.read.parquet(table)
     assert station_feed.verify_information(stored, 1).first().is_ok
     assert not station_feed.verify_information(stored, 2).first().is_ok
+
+
+def test_no_filter_parses_a_payload_again(spark, tmp_path):
+    good = '{"last_updated": 1, "data": {"stations": [{"station_id": "a", "num_bikes_available": 1, "num_docks_available": 2}]}}'
+    spark.createDataFrame([(good,), ("{",)], "value string").write.text(str(tmp_path / "in"))
+    rows, letters = station_feed.status_payloads(spark.read.text(str(tmp_path / "in")), F.lit(NOW).cast("timestamp"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # once for the envelope, once for the station
+    assert plan.count("from_json(") == 2
+    assert not [line for line in plan.splitlines() if "Filter" in line and "from_json(" in line]
+    assert [r.station_id for r in rows.collect()] == ["a"]
+    assert [r.error_reason for r in letters.collect()] == ["invalid_envelope: 1 masalah"]
