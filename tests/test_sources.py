@@ -185,3 +185,29 @@ def test_no_filter_parses_a_payload_again(spark, tmp_path):
     assert not [line for line in plan.splitlines() if "Filter" in line and "from_json(" in line]
     assert [r.station_id for r in rows.collect()] == ["a"]
     assert [r.error_reason for r in letters.collect()] == ["invalid_envelope: 1 masalah"]
+
+
+def _written(spark, act):
+    """Rows that the data-writing jobs of ``act`` put into the shared folder besides their table."""
+    from velomart import workspace
+
+    root = workspace.application_dir(spark)
+    before = set(storage.child_names(spark, root))
+    act()
+    return sorted(n.rsplit("-", 1)[0] for n in set(storage.child_names(spark, root)) - before)
+
+
+def test_dates_are_rewritten_from_themselves_in_one_write(spark, tmp_path):
+    path, a, b = str(tmp_path / "t"), dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    rows = spark.createDataFrame([(1, "x", a), (2, "y", a), (3, "x", b)], "k long, f string, day date")
+    lake.write_partitions(rows, path, "day")
+    kept = spark.read.parquet(path).where("f <> 'x'").select("k", "f", "day")
+    assert _written(spark, lambda: lake.rewrite_dates(kept, path, "day", [a, b])) == []
+    assert [tuple(r) for r in spark.read.parquet(path).select("k", "f", "day").collect()] == [(2, "y", a)]
+    more = spark.createDataFrame([(2, "z", a), (4, "z", b)], "k long, f string, day date")
+    assert _written(spark, lambda: lake.merge_into(more, path, ["k"], ["f"], "day")) == ["incoming"]
+    found = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "f", "day").collect())
+    assert found == [(2, "z", a), (4, "z", b)]
+    none = spark.read.parquet(path).where("k < 0").select("k", "f", "day")
+    lake.rewrite_dates(none, path, "day", [a])
+    assert [r.k for r in spark.read.parquet(path).collect()] == [4]
