@@ -144,3 +144,32 @@ def test_ranking_few_rows_under_many_partitions_writes_few_files(spark):
         assert sorted(r.nth for r in numbers.collect()) == list(range(1, 501))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_trips_through_a_column_are_the_staged_ones(spark):
+    from velomart.plans import staging
+
+    at = dt.datetime(2024, 1, 1, 23)
+    names = staging.TRIP_COLUMNS
+    first = ["r1", "a", at, at + dt.timedelta(hours=10), 60, at.date(), "A", "1.1", "B", "2.2", 40.7, -74.0, 40.8, -74.1, "m", "f", at]
+    rows = [first]
+    for name, value in (("rideable_type", "b"), ("started_at", at + dt.timedelta(hours=2)), ("end_lng", -74.0),
+                        ("start_station_id", None), ("member_casual", None), ("_ingested_at", at - dt.timedelta(days=1))):
+        rows.append([value if n == name else v for n, v in zip(names, first)])
+    rows[2][names.index("trip_date")] = dt.date(2024, 1, 2)
+    rows.append(["r2", *rows[2][1:]])
+    schema = (
+        "ride_id string, rideable_type string, started_at timestamp, ended_at timestamp, duration_seconds long, "
+        "trip_date date, start_station_name string, start_station_id string, end_station_name string, "
+        "end_station_id string, start_lat double, start_lng double, end_lat double, end_lng double, "
+        "member_casual string, _source_file string, _ingested_at timestamp"
+    )
+    cleaned = spark.createDataFrame([tuple(r) for r in rows], schema)
+    whole = staging.stg_trips(cleaned, Params())
+    assert whole.count() == 2
+    for last in ("trip_date", "end_lng"):
+        part = staging.stg_trips_through(cleaned, Params(), last)
+        assert part.columns == names[: names.index(last) + 1]
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, whole.select(*part.columns).collect()))
+    plan = staging.stg_trips_through(cleaned, Params(), "trip_date")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_source_file" not in plan.split("Window")[1].split("\n")[0]
