@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+import workload_runs
 from velomart.operators.quality import QualityGateError
 from velomart.params import Params
 from velomart.plans import profiling
@@ -152,6 +153,23 @@ def test_messages(spark):
     }
 
 
+def test_a_text_that_is_no_json_is_not_read_for_fields(spark):
+    cut_off = '{"station_id": "a", "num_bikes_available": 1, "num_docks_available": 2'
+    messages = spark.createDataFrame([(cut_off,), (cut_off + "}",), (None,)], "value string")
+    decoded = station_feed.decode_messages(messages, F.lit(NOW).cast("timestamp"))
+    found = [(r.station_id, r.num_bikes_available, r.error_reason) for r in decoded.collect()]
+    assert found == [(None, None, "invalid_json"), ("a", 1, None), (None, None, "invalid_json")]
+
+
+def test_messages_are_dealt_to_all_tasks(spark):
+    rows = spark.range(0, 1000, 1, 1).select(F.col("id").alias("event_id"))
+    for per_part, parts in ((20, 50), (10_000, spark.sparkContext.defaultParallelism)):
+        dealt = workload_runs.spread(rows, per_part)
+        sizes = [r.n for r in dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 1000 and len(sizes) == parts
+        assert max(sizes) <= 1000 / parts * 1.5
+
+
 def test_station_information(spark, tmp_path):
     info = {"station_id": "g-1", "name": "A", "short_name": "1.1", "lat": 40.7, "lon": -74.0,
             "capacity": 10, "region_id": 71, "rental_methods": ["KEY", "CARD"],
