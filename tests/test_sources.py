@@ -229,3 +229,16 @@ def test_dates_are_rewritten_from_themselves_in_one_write(spark, tmp_path):
     none = spark.read.parquet(path).where("k < 0").select("k", "f", "day")
     lake.rewrite_dates(none, path, "day", [a])
     assert [r.k for r in spark.read.parquet(path).collect()] == [4]
+
+
+def test_lake_files_are_in_the_order_of_loads(spark, tmp_path):
+    rows = [(f"r{i}", f"{i * 7 % 10}.1", f"{i % 3}.1", f"{i % 2}.csv", dt.date(2026, 1, 5)) for i in range(60)]
+    names = ["ride_id", "start_station_id", "end_station_id", "_source_file", "_ride_started_date"]
+    lake.write_daily_lake(spark.createDataFrame(rows, names), str(tmp_path / "lake"))
+    stored = spark.read.parquet(str(tmp_path / "lake"))
+    found = stored.select("_metadata.file_path", "_metadata.row_index", "start_station_id", "end_station_id").collect()
+    assert len(found) == 60
+    for path in {r.file_path for r in found}:
+        one = sorted((r for r in found if r.file_path == path), key=lambda r: r.row_index)
+        stations = [(r.start_station_id, r.end_station_id) for r in one]
+        assert stations == sorted(stations)
