@@ -256,3 +256,22 @@ def test_filters_on_either_key_skip_row_groups(spark, tmp_path):
     for column, value in (("start_station_id", "1100.01"), ("member_casual", "casual")):
         hit = sum(g[column][0] <= value <= g[column][1] for g in groups)
         assert 0 < hit <= len(groups) * 0.7, (column, hit, len(groups))
+
+
+def test_scratch_copies_hold_staged_trips_and_stores_the_fact(spark):
+    raw = spark.createDataFrame([good("r1", 5, "a.csv"), good("r1", 5, "a.csv", 1), good("r2", 6, "b.csv")], TRIPS)
+    status, info = (spark.createDataFrame([], s) for s in (STATION_STATUS, STATION_INFORMATION))
+    graph = Models(raw, status, info, P, store_trips=True)
+    facts = sorted(graph.fct_trips.collect())
+    assert [r.ride_id for r in facts] == ["r1", "r2"]
+    files = graph.fct_trips.inputFiles()
+    assert files and all("/stg_trips-" in f for f in files)
+    names = []
+
+    def store(df, name):
+        names.append(name)
+        return materialize(df, name)
+
+    other = Models(raw, status, info, P, store_trips=True, store=store)
+    assert sorted(other.fct_trips.collect()) == facts
+    assert names == ["station_id_mapping", "fct_trips"]
