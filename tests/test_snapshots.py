@@ -78,3 +78,13 @@ def test_of_two_writers_one_is_told(spark, store):
         two.publish()
     two.abandon()
     assert content(store.read("a")) == [(0, 1)]
+
+
+def test_columns_are_derived_after_rows_are_gathered(spark, store):
+    change = Change(store)
+    derive = lambda t: t.withColumn("text", F.concat(F.lit("k"), "k"))
+    change.replace("a", rows(spark, (0, 1), (1, 5)), DAYS, ["v"], derive=derive)
+    change.publish()
+    stored = store.read("a")
+    assert stored.columns == ["k", "v", "text", SEGMENT]
+    assert sorted((r.k, r.v, r.text) for r in stored.collect()) == [(0, 1, "k0"), (1, 5, "k1")]
