@@ -1,6 +1,7 @@
 """Hand-made rows for each rule, NULL case and edge."""
 
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import Row
@@ -13,10 +14,12 @@ from velomart.functions import (
     haversine_km,
     iso_day_of_week,
     round_to_long,
+    rounded_place,
     safe_divide,
     station_id_text,
     surrogate_key,
 )
+from velomart.functions.columns import WHITE_SPACE
 from velomart.operators.rules import (
     is_valid,
     raw_trip_rules,
@@ -162,6 +165,49 @@ def test_text_expressions(spark):
     )
 
 
+def test_stored_text_is_cleaned_like_any_other(spark):
+    parts = [*WHITE_SPACE, "", "a", "_", "~", "!", "x y", "\x1f", "\x7f", "é", "漢", "\u200b"]
+    texts = ["".join(t) for t in itertools.product(parts, repeat=2)] + ["\t 5 _\xa0 ", " \t", None]
+    v = F.col("v")
+    rows = spark.createDataFrame([(t,) for t in texts], "v string").select(
+        "v", clean_text(v, stored=True).alias("text"), station_id_text(v, stored=True).alias("id")
+    )
+    for r in rows.collect():
+        text = None if r.v is None else r.v.strip(WHITE_SPACE)
+        assert r.text == (text or None), repr(r.v)
+        assert r.id == ((text or "").removesuffix("_") or None), repr(r.v)
+    # the slow search for the whole set is left to text that needs it
+    assert "else btrim" in str(clean_text(v, stored=True)).lower()
+
+
+def test_rounded_places_are_the_rounded_ones(spark):
+    values = [40.7, -73.9, 40.7000005, 40.7000015, -0.0000005, 1e-7, 0.0, 1e15, 123456.1234565, 1e300]
+    values += [float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    assert rows.where(~rounded_place(F.col("v")).eqNullSafe(F.round("v", 6))).count() == 0
+    assert "rint" in str(rounded_place(F.col("v"))).lower()
+
+
+def test_duration_rules_at_their_bounds(spark):
+    most, micro = dt.timedelta(seconds=P.max_trip_duration_seconds), dt.timedelta(microseconds=1)
+    cases = {
+        -SECOND: "negative_duration", micro - SECOND: "", dt.timedelta(): "", most: "",
+        most + SECOND - micro: "", most + SECOND: "duration_extreme",
+    }
+    rows = trips(spark, *[trip(ended_at=T0 + length, _source_file=str(i)) for i, length in enumerate(cases)])
+    for rules in (trip_rules(P), raw_trip_rules(P)):
+        found = {int(r[0]): r[1] for r in rows.select("_source_file", reason_text(rules)).collect()}
+        assert [found[i] for i in range(len(cases))] == list(cases.values())
+    # a start so late that the longest trip would end beyond all times, and times that are missing
+    odd = rows.limit(1).withColumn("started_at", F.timestamp_micros(F.lit(2**63 - 1)).cast(rows.schema["started_at"].dataType))
+    assert odd.select(reason_text(trip_rules(P))).first()[0] == "negative_duration"
+    gone = trips(spark, trip(started_at=None))
+    assert gone.select(reason_text(raw_trip_rules(P))).first()[0] == "missing_started_at"
+    # elapsed seconds come behind a plain comparison
+    for reason, plain in (("negative_duration", "<"), ("duration_extreme", ">=")):
+        assert plain in str(raw_trip_rules(P)[reason]).split("timestampdiff")[0], reason
+
+
 def test_numbers_and_dates(spark):
     day = F.lit("2026-01-05").cast("date")
     assert one(spark, iso_day_of_week(day)) == 1

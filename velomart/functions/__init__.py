@@ -8,6 +8,7 @@ from velomart.functions.columns import (
     iso_day_of_week,
     percentage,
     round_to_long,
+    rounded_place,
     safe_divide,
     station_id_text,
     surrogate_key,
@@ -21,6 +22,7 @@ __all__ = [
     "iso_day_of_week",
     "percentage",
     "round_to_long",
+    "rounded_place",
     "safe_divide",
     "station_id_text",
     "surrogate_key",
