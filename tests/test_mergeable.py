@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from velomart.operators.mergeable import (
@@ -51,3 +52,24 @@ def test_empty(spark):
     assert extended_numbers(none, "s").collect() == []
     assert merged_distinct(distinct_state(none, ["day"], F.col("v")), ["day"]).collect() == []
     assert merged_quantile(quantile_state(none, ["day"], F.col("v")), ["day"], 0.5).collect() == []
+
+
+def test_monthly_figures_deduplicate_without_unused_columns(spark, monkeypatch):
+    import workload_runs
+    from velomart.params import Params
+    from velomart.plans.models import Models
+    from velomart.schemas import STATION_INFORMATION, STATION_STATUS, TRIPS
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, name):
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString())
+
+    nothing = spark.sparkContext.emptyRDD()  # a plan over it is not folded away
+    empty = [spark.createDataFrame(nothing, schema) for schema in (TRIPS, STATION_STATUS, STATION_INFORMATION)]
+    monkeypatch.setattr(workload_runs, "materialize", seen)
+    with pytest.raises(Seen) as found:
+        workload_runs._monthly(Models(*empty, Params()))
+    window = str(found.value).split("Window")[1].split("\n")[0]
+    assert "start_station_id" in window and "member_casual" not in window
