@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from velomart.operators import (
     keep_latest,
+    marked_apart,
+    marks_of_repeated,
     signed_endpoints,
     with_neighbor,
     with_percent_rank,
@@ -84,6 +86,23 @@ def test_keep_latest_breaks_every_tie(spark):
     assert plan.count() == 2
 
 
+def test_marks_keep_all_rows_of_a_repeated_key_together(spark):
+    df = materialize(spark.range(3_000).selectExpr("if(id % 50 = 0, null, string(id % 2900)) AS k", "id AS t"), "copies")
+    once, more = marked_apart(df, ["k"], marks_of_repeated(df, ["k"]))
+    counts = {r.k: r.n for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = [r.k for r in more.collect()]
+    assert {k for k, n in counts.items() if n > 1} <= set(found)
+    assert all(found.count(k) == counts[k] for k in set(found))
+    assert len(set(found)) < 600  # most single rows are not among them
+    assert once.columns == df.columns
+    assert pairs(once.unionByName(more), "k", "t") == pairs(df, "k", "t")
+    assert pairs(once.unionByName(keep_latest(more, ["k"], ["t"])), "k", "t") == pairs(keep_latest(df, ["k"], ["t"]), "k", "t")
+    # nothing repeated: nothing is marked, and the rows are not shuffled
+    single = df.where("k IS NOT NULL").dropDuplicates(["k"])
+    once, more = marked_apart(single, ["k"], marks_of_repeated(single, ["k"]))
+    assert (once.count(), more.count()) == (single.count(), 0)
+
+
 def test_signed_endpoints_skip_missing_ids(spark):
     trips = spark.createDataFrame(
         [("a", "b"), ("a", None), (None, "a"), ("c", "c")], "s string, e string"

@@ -1,12 +1,17 @@
 """One pointer for many tables: readers, writers that fail, writers that race, old versions."""
 
 import datetime as dt
+import glob
+import os
+import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from velomart.sources import storage
 from velomart.sources.snapshots import SEGMENT, Change, ConflictError, SnapshotStore, merge_rows
+from velomart.workspace import FREE_SHUFFLES, freed_shuffles, materialize
 
 DAYS = [dt.date(2026, 1, d) for d in (1, 2, 3)]
 
@@ -88,3 +93,41 @@ def test_columns_are_derived_after_rows_are_gathered(spark, store):
     stored = store.read("a")
     assert stored.columns == ["k", "v", "text", SEGMENT]
     assert sorted((r.k, r.v, r.text) for r in stored.collect()) == [(0, 1, "k0"), (1, 5, "k1")]
+
+
+def test_rows_in_place_are_not_gathered_again(spark, store):
+    change = Change(store)
+    parts = materialize(rows(spark, *[(3 * k, k) for k in range(30)]).repartition(3), "parts")
+    change.replace("gathered", parts, DAYS)
+    change.replace("placed", parts, DAYS, in_place=True)
+    files = {t: glob.glob(f"{store.root}/{t}/*/*/*.parquet") for t in ("gathered", "placed")}
+    assert (len(files["gathered"]), len(files["placed"])) == (1, 3)
+    assert content(change.read("placed")) == content(change.read("gathered"))
+
+
+def test_writes_leave_no_shuffle_files(spark, store):
+    root = spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    shuffled = lambda: set(glob.glob(f"{root}/blockmgr-*/*/shuffle_*"))
+    before = shuffled()
+    keyed = spark.range(5_000).selectExpr("id % 700 AS k").groupBy("k").agg(F.count(F.lit(1)).alias("v"))
+    assert materialize(keyed, "keyed").count() == 700
+    Change(store).replace("a", keyed.withColumn(SEGMENT, F.lit(DAYS[0])), DAYS)
+    left = {f for f in shuffled() - before if os.path.getsize(f) > 1_000}
+    assert not left
+
+
+def test_freed_shuffles_resets_the_session(spark):
+    def inside(_):
+        with freed_shuffles(spark):
+            return spark.conf.get(FREE_SHUFFLES)
+
+    with freed_shuffles(spark), ThreadPoolExecutor(4) as pool:
+        assert set(pool.map(inside, range(8))) == {"true"}
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+    assert spark.conf.get(FREE_SHUFFLES, "false") == "false"
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:  # the user's own setting stays
+        inside(0)
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+    finally:
+        spark.conf.unset(FREE_SHUFFLES)

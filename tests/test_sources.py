@@ -96,6 +96,31 @@ def test_lake_load_reconcile_and_retention(spark, folder, tmp_path):
     assert lake.newest_write(spark, raw).first().newest is not None
 
 
+@pytest.mark.parametrize("large", [1, lake.LARGE_FILE])
+def test_large_files_of_a_date_are_loaded_where_they_lie(spark, tmp_path, monkeypatch, large):
+    monkeypatch.setattr(lake, "LARGE_FILE", large)
+    day, path = dt.date(2026, 1, 5), {n: str(tmp_path / n) for n in ("lake", "table")}
+
+    def trips(name, *rides):
+        rows = [(ride, f"{k}.1", "2.1", name, day) for k, ride in enumerate(rides)]
+        return spark.createDataFrame(rows, "ride_id string, start_station_id string, end_station_id string, _source_file string, _ride_started_date date")
+
+    def loaded(rows, *files):
+        days = lake.write_daily_lake(rows, path["lake"], files)
+        lake.load_files(spark.read.parquet(path["lake"]), path["table"], files, days)
+        table = spark.read.parquet(path["table"])
+        assert {r._ride_started_date for r in table.collect()} == {day}
+        return sorted((r._source_file, r.ride_id) for r in table.collect()), len(table.inputFiles())
+
+    first = loaded(trips("a.csv", "1", "2").unionByName(trips("b.csv", "3")), "a.csv", "b.csv")
+    assert first == ([("a.csv", "1"), ("a.csv", "2"), ("b.csv", "3")], 2 if large == 1 else 1)
+    again = loaded(trips("b.csv", "4", "4"), "b.csv")
+    assert again == ([("a.csv", "1"), ("a.csv", "2"), ("b.csv", "4"), ("b.csv", "4")], 2 if large == 1 else 1)
+    # rows that come from no file are gathered as before
+    lake.load_files(spark.createDataFrame([("9", "1.1", "2.1", "b.csv", day, day)], "ride_id string, start_station_id string, end_station_id string, _source_file string, _ride_started_date date, dt date"), path["table"], ["b.csv"], [day])
+    assert sorted(r.ride_id for r in spark.read.parquet(path["table"]).collect()) == ["1", "2", "9"]
+
+
 def payload(stations, **envelope):
     body = {"last_updated": 1_767_600_000, "ttl": 60, "data": {"stations": stations}}
     return json.dumps({**body, **envelope})
